@@ -2,20 +2,25 @@
 
 A window ``partitionBy(target_id)`` sends every row of a target to one task;
 with a fleet where one target holds a third of all rows that task is the job.
-The scans here give the same answer as such a window (row number, running
-count, last non-null value before a row) but split each group over many tasks:
+The scans here give the same answer as such a window (row number, last
+non-null value before a row) but split each group over many tasks:
 
 1. ``repartitionByRange`` on (group, order) cuts the data into slices of
    bounded size; a hot group simply spans many slices.
-2. Inside each slice an ordinary window over (slice, group) computes the
-   slice-local result.
-3. A summary per (slice, group) -- one row each, so about
-   ``#slices + #groups`` rows -- is scanned across slices to get the carry-in
-   of every slice, and joined back.
-
-The range exchange is shared by both branches (Spark reuses the identical
-exchange), so every row sees one consistent slice assignment.  Orders must be
-total (add a unique tie-breaker) for the result to be deterministic.
+2. One window over (slice, group) computes, per row, the slice-local result
+   and the slice's summary (row count, last non-null value).
+3. The summaries -- one row per (slice, group), about ``#slices + #groups``
+   rows -- are scanned across slices to get each slice's carry-in, which is
+   joined back.
+
+The slice id (``spark_partition_id`` after the range exchange) must be the
+same for a row and for its slice summary.  Spark does not reuse an exchange
+whose subtree holds a nondeterministic expression, and AQE may coalesce the
+two reads differently, so the sliced rows are frozen once with a reliable
+``checkpoint()`` into the shared checkpoint folder (``spark.checkpoint.dir``)
+before the summary is taken.  Only the caller's narrow columns are written;
+the checkpoint also cuts lineage, so a lost executor never re-slices.  Orders
+must be total (add a unique tie-breaker) for the result to be deterministic.
 """
 
 from __future__ import annotations
@@ -23,14 +28,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _SLICE = "__slice"
 
 
+def _freeze(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _slices(df: DataFrame, group: list[str], order: list[Column], slices: int | None) -> DataFrame:
+def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int | None) -> DataFrame:
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *_cols(group), *order).withColumn(_SLICE, F.spark_partition_id())
 
@@ -40,16 +52,17 @@ def ordinal(df: DataFrame, group: list[str], order: list, name: str = "pos",
     """Add ``name`` = 1-based position of each row inside its group, ordered
     by ``order`` (the result of ``row_number()`` over that window)."""
     order = _cols(order)
-    sl = _slices(df, group, order, slices)
-    local = sl.withColumn("__lpos", F.row_number().over(
-        Window.partitionBy(_SLICE, *group).orderBy(*order)))
-    counts = sl.groupBy(_SLICE, *group).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(_SLICE, *group)
+    local = (_sliced(df, group, order, slices)
+             .withColumn("__lpos", F.row_number().over(w.orderBy(*order)))
+             .withColumn("__n", F.count(F.lit(1)).over(w)))
+    local = _freeze(local)
+    counts = local.groupBy(_SLICE, *group).agg(F.max("__n").alias("__n"))
     carry = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.partitionBy(*group).orderBy(_SLICE)
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return (local.join(carry.select(_SLICE, *group, "__off"), [_SLICE, *group])
             .withColumn(name, (F.col("__lpos") + F.col("__off")).cast("long"))
-            .drop("__lpos", "__off", _SLICE))
+            .drop("__lpos", "__off", "__n", _SLICE))
 
 
 def last_before(df: DataFrame, group: list[str], order: list, value: str, name: str,
@@ -58,22 +71,19 @@ def last_before(df: DataFrame, group: list[str], order: list, value: str, name:
     group that come strictly before this row (``last(value, ignorenulls)``
     over ``rowsBetween(unboundedPreceding, -1)``)."""
     order = _cols(order)
-    sl = _slices(df, group, order, slices)
-    w_local = (Window.partitionBy(_SLICE, *group).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    local = sl.withColumn("__local", F.last(value, ignorenulls=True).over(w_local))
-    ordkey = F.struct(*order)
-    summary = (sl.where(F.col(value).isNotNull()).groupBy(_SLICE, *group)
-               .agg(F.max_by(F.col(value), ordkey).alias("__slast")))
-    # every (slice, group) pair that holds rows needs a carry, even if its own
-    # rows are all null; take the pairs from a count summary.
-    pairs = sl.groupBy(_SLICE, *group).agg(F.count(F.lit(1)).alias("__n"))
-    full = pairs.join(summary, [_SLICE, *group], "left")
-    carry = full.withColumn("__carry", F.last("__slast", ignorenulls=True).over(
+    w = Window.partitionBy(_SLICE, *group)
+    w_before = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = (_sliced(df, group, order, slices)
+             .withColumn("__local", F.last(value, ignorenulls=True).over(w_before))
+             .withColumn("__slast", F.last(value, ignorenulls=True).over(w_all)))
+    local = _freeze(local)
+    summary = local.groupBy(_SLICE, *group).agg(F.max("__slast").alias("__slast"))
+    carry = summary.withColumn("__carry", F.last("__slast", ignorenulls=True).over(
         Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)))
     return (local.join(carry.select(_SLICE, *group, "__carry"), [_SLICE, *group])
             .withColumn(name, F.coalesce("__local", "__carry"))
-            .drop("__local", "__carry", _SLICE))
+            .drop("__local", "__carry", "__slast", _SLICE))
 
 
 def any_before(df: DataFrame, group: list[str], order: list, flag: str, name: str,

@@ -173,8 +173,9 @@ SELECT DISTINCT * FROM (
 }
 
 
-def sql(body: str, *needs: str) -> str:
-    """``WITH`` the named bindings (and what they depend on) ``body``."""
+def sql(body: str, *needs: str, local: list[tuple[str, str]] | None = None) -> str:
+    """``WITH`` the named bindings (and what they depend on), then the
+    query's own ``local`` CTEs, then ``body``."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -186,7 +187,8 @@ def sql(body: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    if not order:
+    parts = [(n, CTES[n][1]) for n in order] + list(local or [])
+    if not parts:
         return body.strip()
-    withs = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
+    withs = ",\n".join(f"{n} AS ({q.strip()})" for n, q in parts)
     return f"WITH {withs}\n{body.strip()}"

@@ -63,6 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             conf_dir = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # not set at all
             conf_dir = None
+    if not conf_dir and fallback is None and spark.sparkContext.master.startswith("local"):
+        # single machine: a scratch folder of this process is the shared folder
+        import tempfile
+        fallback = tempfile.mkdtemp(prefix="ledgerfleet-ckpt-")
     if not conf_dir:
         if fallback is None:
             raise RuntimeError(
