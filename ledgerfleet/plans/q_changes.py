@@ -14,7 +14,7 @@ SET_COL = "o_totalprice"
 # --- fixed values: defaults of a freshly inserted order row (M9) ---------------
 ORDER_DEFAULTS = {"o_orderstatus": "O", "o_orderpriority": "5-LOW"}
 # ---------------------------------------------------------------------------------
-ROLLBACK_TO = 5000
+ROLLBACK_TO = 20
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
@@ -95,7 +95,7 @@ def dry_run(spark, d):
 
 @register("rollback_changes", o.sql(_TABLE_SQL, "changes", local=_fold_local(ROLLBACK_TO)))
 def rollback_changes(spark, d):
-    """Orders as of change version 5000 (later applied changes undone)."""
+    """Orders as of change version 20 (later applied changes undone)."""
     return _applied(spark, d, ROLLBACK_TO)[0]
 
 

@@ -25,7 +25,7 @@ def read_corpus(spark: SparkSession, root: str, fleet: bool = True) -> DataFrame
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.text(root, wholetext=True)
     path = F.col("_metadata.file_path")
-    parent = F.element_at(F.split(path, "/"), -2)
+    parent = F.try_element_at(F.split(path, "/"), F.lit(-2))
     target = parent if fleet else F.lit("default")
     # the glob also accepts a bare '.sql' (no stem); its extension is not 'sql'
     fname = F.substring_index(path, "/", -1)
