@@ -167,7 +167,7 @@ FROM part"""),
 SELECT DISTINCT * FROM (
   SELECT target_id, 'table' AS object_type, lower(o) AS object_name, FALSE AS is_temporary
   FROM (SELECT target_id, unnest(regexp_extract_all(body, {_lit(ddl_regex('CREATE TABLE'))}, 1)) AS o
-        FROM scripts WHERE doc_id % 4 <> 0)
+        FROM scripts WHERE doc_id % 5 <> 0)
   UNION ALL SELECT target_id, 'table', 'schema_migrations', FALSE FROM scripts
   UNION ALL SELECT source, 'view', concat('tmp_', lang), TRUE FROM documents)"""),
 }
