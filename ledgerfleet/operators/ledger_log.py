@@ -11,9 +11,10 @@ current ledger is a fold of the events per key:
   start (none: success = false, 0 ms, applied_at = the start time);
 * ``failure`` keeps applied_at (from the start or an earlier success).
 
-All of it is grouped aggregation (``max_by`` with map-side partial
-aggregation) plus one join of events to their key's live start, salted so a
-hot key is spread; no per-key sort of the whole log.
+"The last update after the live start" is "the last update overall, if it
+comes after the last start/remove", so the whole fold is one grouped
+aggregation of three ``max(struct)`` values -- map-side partial aggregation,
+no join, no per-key sort, and the same aggregation runs in a stream (ST1).
 """
 
 from __future__ import annotations
@@ -39,28 +40,46 @@ def latest_event(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "eve
     return log.groupBy(*key).agg(last.alias("_last")).select(*key, "_last.*")
 
 
+def state_aggregates(ts: str = "ts", seq: str = "event_id", ms: str = "ms") -> list:
+    """The three running maxima the fold needs: last reset (start/remove),
+    last update (success/failure) and last success, each by (ts, seq).
+    Plain ``max`` of structs, so batch and streaming aggregation share them."""
+    op = F.col("op")
+    return [
+        F.max(F.when(op.isin(*RESET_OPS), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"),
+                                                   op.alias("op")))).alias("_reset"),
+        F.max(F.when(op.isin(*UPDATE_OPS), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), op.alias("op"),
+                                                    F.col(ms).cast("long").alias("ms")))).alias("_update"),
+        F.max(F.when(op == "success", F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))).alias("_success"),
+    ]
+
+
+def state_from_aggregates(agg, key: list[str]):
+    """Current row per key from ``state_aggregates``: the key exists when
+    its last reset is a start; an update counts when it comes after it."""
+    r, u, sc = F.col("_reset"), F.col("_update"), F.col("_success")
+
+    def after(x):
+        return (x["t"] > r["t"]) | ((x["t"] == r["t"]) & (x["s"] > r["s"]))
+
+    u_after = F.coalesce(after(u), F.lit(False))
+    s_after = F.coalesce(after(sc), F.lit(False))
+    return agg.where(r["op"] == "start").select(
+        *key,
+        F.when(s_after, sc["t"]).otherwise(r["t"]).alias("applied_at"),
+        F.when(u_after, u["ms"]).otherwise(F.lit(0).cast("long")).alias("execution_time_ms"),
+        (u_after & (u["op"] == "success")).alias("success"),
+        F.when(u_after, u["op"]).otherwise(F.lit("start")).alias("last_op"))
+
+
 def ledger_state(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id",
                  ms: str = "ms") -> DataFrame:
-    """The current ledger row per key from the event log (see module doc).
-    Returns key + applied_at, execution_time_ms, success, last_op."""
-    order = F.struct(ts, seq)
-    resets = (log.where(F.col("op").isin(*RESET_OPS)).groupBy(*key)
-              .agg(F.max_by(F.struct(F.col("op").alias("op"), F.col(ts).alias("t0"), F.col(seq).alias("s0")),
-                            order).alias("r")))
-    live = resets.where(F.col("r.op") == "start").select(*key, "r.t0", "r.s0")
-    upd = log.where(F.col("op").isin(*UPDATE_OPS)).select(*key, ts, seq, "op", ms)
-    after = (per_target_join(upd, live, key, "inner", spread_by=[seq])
-             .where(_after(ts, seq, "t0", "s0")))
-    agg = after.groupBy(*key).agg(
-        F.max_by(F.struct(F.col("op").alias("op"), F.col(ms).alias("ms")), order).alias("u"),
-        F.max(F.when(F.col("op") == "success", F.col(ts))).alias("success_ts"))
-    out = live.join(agg, key, "left")
-    return out.select(
-        *key,
-        F.coalesce("success_ts", "t0").alias("applied_at"),
-        F.coalesce(F.col("u.ms").cast("long"), F.lit(0).cast("long")).alias("execution_time_ms"),
-        F.coalesce(F.col("u.op") == "success", F.lit(False)).alias("success"),
-        F.coalesce(F.col("u.op"), F.lit("start")).alias("last_op"))
+    """The current ledger row per key from the event log (see module
+    doc): one grouped aggregation with map-side partial aggregation, so a
+    hot key never lands whole in one task.  Returns key + applied_at,
+    execution_time_ms, success, last_op."""
+    agg = log.groupBy(*key).agg(*state_aggregates(ts, seq, ms))
+    return state_from_aggregates(agg, key)
 
 
 def record_start(log: DataFrame, key: list[str], ts: str = "ts") -> DataFrame:

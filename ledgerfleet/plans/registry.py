@@ -29,4 +29,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_catalog, q_changes, q_classify, q_corpus, q_ledger, q_reconcile  # noqa: F401
+    from . import q_catalog, q_changes, q_classify, q_corpus, q_ledger, q_reconcile, q_streaming  # noqa: F401

@@ -27,7 +27,12 @@ def _s(c) -> Column:
 # --- B1 scripts(doc_id, target_id, path, body) ------------------------------
 
 def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return scripts_from(table(spark, sf_dir, "documents"))
+
+
+def scripts_from(documents: DataFrame) -> DataFrame:
+    """B1 over a documents relation (batch or stream)."""
+    d = documents.select("doc_id", "source", "lang", "text")
     sid = _s("doc_id")
     nl = F.lit("\n")
     path = (F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("notes-"), sid, F.lit(".sql")))
