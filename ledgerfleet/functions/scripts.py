@@ -21,6 +21,7 @@ MARKER_STYLES = [
     ("-- +goose up", "-- +goose down"),
     ("-- @@up@@", "-- @@down@@"),
 ]
+MARKER_PREFIX = "-- "
 # Characters removed by trim: the Unicode White_Space set.
 WHITESPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
               "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -109,56 +110,59 @@ def migration_identifier(kind, version, name) -> Column:
 
 # --- P6 / P7 / P8 -------------------------------------------------------------
 
-def marker_positions(content, low) -> list[tuple[Column, Column]]:
-    """Per style: (1-based position of the Up marker, position of the Down
-    marker counted from the end of the Up marker); 0 when absent."""
-    out = []
-    low = _c(low)
-    for up, down in MARKER_STYLES:
-        u = F.instr(low, up)
-        d = F.when(u > 0, F.instr(low.substr(u + len(up), F.length(low)), down)).otherwise(F.lit(0))
-        out.append((u, d))
-    return out
+def _regex_literal(text: str) -> str:
+    return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in text)
+
+
+def marker_pattern(up: str, down: str) -> str:
+    """Java regex for 'the first Up marker, then the first Down marker after
+    it', ignoring ASCII case only (Java's default for (?i)), across lines."""
+    return "(?is)" + _regex_literal(up) + ".*?" + _regex_literal(down)
 
 
 def split_sections(df, content_col: str = "body", prefix: str = ""):
     """Add ``{prefix}marker_style`` (0 = none), ``{prefix}up_sql`` and
     ``{prefix}down_sql`` to ``df``.
 
-    The content is trimmed first, markers are searched in an ASCII-lower-cased
-    copy (same length, so offsets are valid in the original), the Up text is
-    what lies between the markers, the Down text what follows the Down
-    marker; both are trimmed.  With no complete pair the whole trimmed text is
-    the Up script and Down is NULL.  Reference behaviour kept: '-- up' also
-    matches inside '-- update ...' (SURVEY Q3).
+    The content is trimmed first.  For each marker style in order, one
+    case-insensitive regex finds the whole 'Up marker ... Down marker' span
+    (the first Up marker and the first Down marker after it); a later style
+    is only tried when the earlier ones found nothing.  The span's exact text
+    also gives its start (no earlier exact copy can exist, since the span
+    starts at the first Up marker).  The Up text lies inside the span, the
+    Down text follows it; both are trimmed.  With no complete pair the whole
+    trimmed text is the Up script and Down is NULL.  ASCII-only case folding
+    keeps character positions valid (SURVEY Q4 fix); '-- up' also matches
+    inside '-- update ...' (SURVEY Q3, kept).
     """
-    t, lo = f"{prefix}_t", f"{prefix}_lo"
-    df = df.withColumn(t, wtrim(content_col)).withColumn(lo, ascii_lower(t))
-    pos_cols = []
-    for i, (u, d) in enumerate(marker_positions(t, lo), start=1):
-        df = df.withColumn(f"{prefix}_u{i}", u).withColumn(f"{prefix}_d{i}", d)
-        pos_cols += [f"{prefix}_u{i}", f"{prefix}_d{i}"]
-    style = F.lit(0)
+    t, m, ms = f"{prefix}_t", f"{prefix}_m", f"{prefix}marker_style"
+    df = df.withColumn(t, wtrim(content_col))
+    # every marker starts with this caseless prefix: text without it (plain
+    # prose) skips the regex scans
+    may_have = F.instr(F.col(t), MARKER_PREFIX) > 0
+    match, style = None, F.lit(0)
+    for i, (up, down) in enumerate(MARKER_STYLES, start=1):
+        found = F.when(may_have, F.regexp_extract(F.col(t), marker_pattern(up, down), 0)).otherwise(F.lit(""))
+        match = found if match is None else F.when(match == "", found).otherwise(match)
+        df = df.withColumn(f"{m}{i}", match)
+        match = F.col(f"{m}{i}")
+    last = F.col(f"{m}{len(MARKER_STYLES)}")
     for i in range(len(MARKER_STYLES), 0, -1):
-        style = F.when((F.col(f"{prefix}_u{i}") > 0) & (F.col(f"{prefix}_d{i}") > 0), F.lit(i)).otherwise(style)
-    ms = f"{prefix}marker_style"
+        style = F.when((F.col(f"{m}{i}") != "") & ((F.col(f"{m}{i - 1}") == "") if i > 1 else F.lit(True)),
+                       F.lit(i)).otherwise(style)
     df = df.withColumn(ms, style)
-    # integer bookkeeping per style: where the Up text starts, how long it is,
-    # and how long the Down marker is; then one substr + trim per section.
-    up_start, up_len, down_mark = F.lit(None), F.lit(None), F.lit(None)
+    up_len = F.lit(None).cast("int")
+    down_len = F.lit(None).cast("int")
     for i, (up, down) in enumerate(MARKER_STYLES, start=1):
-        hit = F.col(ms) == i
-        up_start = F.when(hit, F.col(f"{prefix}_u{i}") + len(up)).otherwise(up_start)
-        up_len = F.when(hit, F.col(f"{prefix}_d{i}") - 1).otherwise(up_len)
-        down_mark = F.when(hit, F.lit(len(down))).otherwise(down_mark)
-    df = (df.withColumn(f"{prefix}_us", up_start).withColumn(f"{prefix}_ul", up_len)
-            .withColumn(f"{prefix}_dm", down_mark))
-    us, ul, dm = F.col(f"{prefix}_us"), F.col(f"{prefix}_ul"), F.col(f"{prefix}_dm")
-    up_expr = F.when(F.col(ms) > 0, wtrim(F.col(t).substr(us, ul))).otherwise(F.col(t))
-    down_expr = F.when(F.col(ms) > 0, wtrim(F.col(t).substr(us + ul + dm, F.length(t))))
+        up_len = F.when(F.col(ms) == i, F.lit(len(up))).otherwise(up_len)
+        down_len = F.when(F.col(ms) == i, F.lit(len(down))).otherwise(down_len)
+    span_len = F.length(last)
+    start = F.instr(F.col(t), last)
+    up_expr = F.when(F.col(ms) > 0, wtrim(last.substr(up_len + 1, span_len - up_len - down_len)))\
+        .otherwise(F.col(t))
+    down_expr = F.when(F.col(ms) > 0, wtrim(F.col(t).substr(start + span_len, F.length(F.col(t)))))
     df = df.withColumn(f"{prefix}up_sql", up_expr).withColumn(f"{prefix}down_sql", down_expr)
-    pos_cols += [f"{prefix}_us", f"{prefix}_ul", f"{prefix}_dm"]
-    return df.drop(t, lo, *pos_cols)
+    return df.drop(t, *[f"{m}{i}" for i in range(1, len(MARKER_STYLES) + 1)])
 
 
 def has_rollback(down) -> Column:
@@ -192,7 +196,8 @@ def line_count(text) -> Column:
 def preview(text) -> Column:
     """P10: the first three lines, blank ones dropped, '\\r' removed, each cut
     to 60 characters, joined by newlines."""
-    first = F.slice(F.split(_c(text), "\n", PREVIEW_LINES + 1), 1, PREVIEW_LINES)
+    head = F.substring_index(_c(text), "\n", PREVIEW_LINES)   # text before the 3rd newline
+    first = F.split(head, "\n")
     first = F.transform(first, lambda s: strip_suffix(s, "\r"))
     kept = F.filter(first, lambda s: wtrim(s) != "")
     return F.array_join(F.transform(kept, lambda s: F.substring(s, 1, PREVIEW_WIDTH)), "\n")

@@ -198,5 +198,6 @@ def file_count(spark, d):
 def corpus_order(spark, d):
     """O1: load order per target (versioned by version, then repeatable by
     name) as a position column."""
-    k = cp.script_keys(parsed(spark, d)).select("target_id", "path", "kind", "version", "name")
+    from . import inputs
+    k = inputs.keys(spark, d).select("target_id", "path", "kind", "version", "name")
     return ordinal(k, ["target_id"], cp.corpus_order_key(), "corpus_pos").select("target_id", "path", "corpus_pos")

@@ -15,15 +15,16 @@ from ..operators.scan import ordinal
 from ..plans import reports as rp
 from ..sources import bindings as b
 from ..sources import ledger as lg
+from . import inputs
 from .registry import register
 
 
 def keys(spark, d):
-    return cp.script_keys(cp.parse_scripts(b.scripts(spark, d)))
+    return inputs.keys(spark, d)
 
 
 def ledger(spark, d):
-    return b.ledger(spark, d)
+    return inputs.ledger(spark, d)
 
 
 # --- scans / decoding --------------------------------------------------------
@@ -348,8 +349,7 @@ def status_report(spark, d):
     "AND l.checksum = s.checksum AND l.success)))", "skeys", "parsed", "baselines", "ledger", "lrun"))
 def plan_report(spark, d):
     """R1 (J1+J2+J7+W3+P9-P11): the numbered pending plan per target."""
-    p = cp.parse_scripts(b.scripts(spark, d))
-    return rp.plan_report(p, ledger(spark, d))
+    return rp.plan_report(inputs.parsed(spark, d), ledger(spark, d))
 
 
 _SEQ_FINDINGS_SQL = """
@@ -462,8 +462,7 @@ def plan_order(spark, d):
     "scripts", "skeys"))
 def health_report(spark, d):
     """Data checks of the corpus per target (file count, sequence)."""
-    p = cp.parse_scripts(b.scripts(spark, d))
-    return rp.health_report(p)[0]
+    return rp.health_report(inputs.parsed(spark, d))[0]
 
 
 @register("overall_health", o.sql(
@@ -473,5 +472,4 @@ def health_report(spark, d):
     "scripts", "skeys"))
 def overall_health(spark, d):
     """R6 verdict (A9 over the health checks)."""
-    p = cp.parse_scripts(b.scripts(spark, d))
-    return rp.health_report(p)[1]
+    return rp.health_report(inputs.parsed(spark, d))[1]

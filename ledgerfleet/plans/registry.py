@@ -20,7 +20,14 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise KeyError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from . import inputs
+            inputs.clear()
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
         return fn

@@ -25,9 +25,10 @@ def plan_report(parsed: DataFrame, ledger: DataFrame | None) -> DataFrame:
     line count, checksum prefix and a short preview.  The preview is cut in
     the scan stage so no script text crosses a shuffle.  Without a ledger
     every valid script is pending."""
-    narrow = cp.valid_scripts(parsed).select(
-        *cp.KEY_COLUMNS, fs.preview("up_sql").alias("preview"),
-        fs.preview_truncated("up_sql").alias("preview_more"))
+    if "preview" not in parsed.columns:
+        parsed = (parsed.withColumn("preview", fs.preview("up_sql"))
+                        .withColumn("preview_more", fs.preview_truncated("up_sql")))
+    narrow = cp.valid_scripts(parsed).select(*cp.KEY_COLUMNS, "preview", "preview_more")
     todo = narrow if ledger is None else rc.pending(narrow, ledger)
     todo = (todo.withColumn("tag", fs.kind_tag("kind"))
                 .withColumn("checksum8", fs.checksum_prefix("checksum")))

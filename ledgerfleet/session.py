@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
+    # checkpoint files of frozen intermediate frames are removed once the
+    # frame is garbage collected on the driver
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Inferred IS NOT NULL filters on join keys get pushed into the scan with
     # the key's whole derivation inlined (file-name parsing, Up/Down split,
     # checksum); that overflows the 64 KB codegen method limit and drops the

@@ -63,11 +63,15 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
     The stored checksum is that of the Up section, as the tool would have
     written it; a 'toxic' label stands for a file edited after it was
     applied (its checksum is taken over the Up text plus one character).
+    ``parsed`` may be a narrow parse carrying ``checksum`` and
+    ``checksum_edited`` instead of the Up text.
     """
     from ..operators.corpus import parse_scripts
     if parsed is None:
         parsed = parse_scripts(scripts(spark, sf_dir))
-    p = parsed.select("doc_id", "target_id", "path", "up_sql")
+    if "checksum_edited" not in parsed.columns:
+        parsed = parsed.withColumn("checksum_edited", F.md5(F.concat(F.col("up_sql"), F.lit("x"))))
+    p = parsed.select("doc_id", "target_id", "path", "checksum", "checksum_edited")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts", "value")
     is_rep = F.col("path").startswith("R__")
@@ -81,8 +85,8 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
                 F.when(is_rep, F.lit("repeatable")).otherwise(F.lit("versioned")).alias("migration_type"),
                 F.when(is_rep, F.lit(None).cast("long")).otherwise(F.col("doc_id") + 1).alias("version"),
                 F.col("path").alias("filename"),
-                F.when(F.col("toxic") == 1, F.md5(F.concat(F.col("up_sql"), F.lit("x"))))
-                 .otherwise(F.md5(F.col("up_sql"))).alias("checksum"),
+                F.when(F.col("toxic") == 1, F.col("checksum_edited"))
+                 .otherwise(F.col("checksum")).alias("checksum"),
                 F.col("ts").alias("applied_at"),
                 F.floor(F.col("value") * 10).cast("long").alias("execution_time_ms"),
                 (F.col("quality") == 1).alias("success")))
