@@ -50,6 +50,14 @@ def later_duplicates(df: DataFrame, key: str, tie: list[str] | None = None) -> D
     return out.withColumn("is_later_duplicate", F.col("occurrence") > 1)
 
 
+def later_copies(df: DataFrame, key: str, tie: str) -> DataFrame:
+    """Rows that are not the first of their (target, key) group by ``tie``
+    -- the W2 flag without numbering: the first ``tie`` per group is a
+    partially aggregated ``min``, joined back (AQE splits a hot group)."""
+    first = df.groupBy("target_id", key).agg(F.min(tie).alias("_first"))
+    return df.join(first, ["target_id", key]).where(F.col(tie) > F.col("_first")).drop("_first")
+
+
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
     """Keys occurring more than once per target, with their count."""
     return (df.groupBy("target_id", key).agg(F.count(F.lit(1)).alias("occurrences"))
@@ -73,11 +81,11 @@ def sequence_findings(scripts: DataFrame) -> DataFrame:
             .select("target_id", F.lit("version_gap").alias("check"), F.col("filename").alias("subject"),
                     F.format_string(MSG_GAP, F.col("position"), F.col("version"), F.col("filename"))
                     .alias("message")))
-    dups = (later_duplicates(v, "version", ["path"]).where("is_later_duplicate")
+    dups = (later_copies(v, "version", "path")
             .select("target_id", F.lit("duplicate_version").alias("check"), F.col("filename").alias("subject"),
                     F.format_string(MSG_DUP_VERSION, F.col("version"), F.col("filename")).alias("message")))
     r = scripts.where(F.col("kind") == "repeatable").select("target_id", "name", "filename", "path")
-    names = (later_duplicates(r, "name", ["path"]).where("is_later_duplicate")
+    names = (later_copies(r, "name", "path")
              .select("target_id", F.lit("duplicate_name").alias("check"), F.col("filename").alias("subject"),
                      F.format_string(MSG_DUP_NAME, F.col("name"), F.col("filename")).alias("message")))
     return gaps.unionByName(dups).unionByName(names).withColumn("severity", F.lit("WARN"))
