@@ -10,9 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -------------------------------------------------------------
-# Timestamp text formats tried in order: RFC 3339 (with offset or Z), then
+# Timestamp text forms tried in order: RFC 3339 (with Z or an offset), then
 # 'YYYY-MM-DD HH:MM:SS' and the same with a fraction.
-TIMESTAMP_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS"]
+RFC3339 = r"^(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)([Zz]|[+-]\d{2}:\d{2})$"
+PLAIN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,9})?$"
 # Text read as boolean true (compared lower-cased); anything else is false.
 TRUE_WORDS = ["true", "1", "t", "yes", "y"]
 # -------------------------------------------------------------------------------
@@ -23,11 +24,20 @@ def _c(x) -> Column:
 
 
 def decode_timestamp(text) -> Column:
-    """First format that parses, as TIMESTAMP_NTZ in UTC; NULL when none
-    does (the reference substitutes the current time, SURVEY Q14)."""
+    """The instant as TIMESTAMP_NTZ in UTC, NULL when the text has none
+    of the forms (the reference substitutes the current time, SURVEY Q14).
+    Works without the session time zone: the local part is cast to NTZ and
+    an RFC 3339 offset is subtracted as an interval."""
     text = _c(text)
-    tries = [F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    local = F.concat(F.regexp_extract(text, RFC3339, 1), F.lit(" "), F.regexp_extract(text, RFC3339, 2))
+    off = F.regexp_extract(text, RFC3339, 3)
+    secs = (F.when(F.upper(off) == "Z", F.lit(0))
+            .otherwise((F.substring(off, 2, 2).cast("int") * 3600 + F.substring(off, 5, 2).cast("int") * 60)
+                       * F.when(off.startswith("-"), F.lit(-1)).otherwise(F.lit(1))))
+    rfc = local.try_cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    plain = text.try_cast("timestamp_ntz")
+    return (F.when(text.rlike(RFC3339), rfc)
+            .when(text.rlike(PLAIN), plain))
 
 
 def decode_boolean(text) -> Column:

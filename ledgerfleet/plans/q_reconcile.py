@@ -473,3 +473,59 @@ def health_report(spark, d):
 def overall_health(spark, d):
     """R6 verdict (A9 over the health checks)."""
     return rp.health_report(inputs.parsed(spark, d))[1]
+
+
+@register("ledger_create", o.sql(
+    "SELECT target_id, migration_id, migration_type, version, filename, checksum, applied_at, "
+    "execution_time_ms, success FROM ledger", "ledger"))
+def ledger_create(spark, d):
+    """Create the ledger table (defaults, fixed types) in the shared
+    folder and load the fixture ledger into it; read it back."""
+    import uuid
+    from ..session import scratch_path
+    name = f"schema_migrations_{uuid.uuid4().hex[:12]}"
+    lg.create_ledger_table(spark, scratch_path(spark, "ledger_tables"), name)
+    led = ledger(spark, d)
+    led.select(*spark.table(name).columns).write.insertInto(name)
+    return spark.table(name)
+
+
+@register("is_applied", o.sql(
+    "SELECT s.target_id, s.identifier AS migration_id, coalesce(l.applied_at IS NOT NULL AND l.success, false) "
+    "AS is_applied FROM skeys s LEFT JOIN lrun l ON l.target_id = s.target_id AND l.migration_id = s.identifier",
+    "skeys", "lrun"))
+def is_applied(spark, d):
+    """A script counts as applied when its ledger row has a time and succeeded."""
+    st = rc.status_join(keys(spark, d), ledger(spark, d))
+    return st.select("target_id", "migration_id", (F.col("status") == "APPLIED").alias("is_applied"))
+
+
+@register("status_label", o.sql(
+    "SELECT target_id, migration_id, tag, status FROM (" + _STATUS_SQL + ")", "skeys", "lrun", "baselines"))
+def status_label(spark, d):
+    """APPLIED / FAILED / PENDING label and the V/R tag per script."""
+    return rc.status_join(keys(spark, d), ledger(spark, d)).select("target_id", "migration_id", "tag", "status")
+
+
+@register("finding_message", o.sql(
+    f"SELECT target_id, \"check\", message FROM ({_SEQ_FINDINGS_SQL}) UNION ALL "
+    f"SELECT target_id, \"check\", message FROM ({_LEDGER_FINDINGS_SQL})", "skeys", "lrun"))
+def finding_message(spark, d):
+    """P25: the message text of every finding."""
+    k, led = keys(spark, d), ledger(spark, d)
+    return ck.union_findings(ck.sequence_findings(k), ck.ledger_findings(k, led)).select(
+        "target_id", "check", "message")
+
+
+@register("top_baseline", o.sql(
+    "SELECT target_id, migration_id, version, filename FROM (SELECT *, row_number() OVER (PARTITION BY target_id "
+    "ORDER BY version DESC, migration_id) AS rn FROM ledger WHERE migration_type = 'baseline') WHERE rn = 1",
+    "ledger"))
+def top_baseline(spark, d):
+    """O3: ORDER BY version DESC LIMIT 1 per target -- a top-1 that Spark
+    limits per map task (WindowGroupLimit) before the shuffle."""
+    from pyspark.sql import Window
+    b_ = ledger(spark, d).where(F.col("migration_type") == "baseline")
+    w = Window.partitionBy("target_id").orderBy(F.col("version").desc(), F.col("migration_id"))
+    return (b_.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .select("target_id", "migration_id", "version", "filename"))

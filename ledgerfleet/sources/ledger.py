@@ -19,13 +19,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def create_ledger_table(spark: SparkSession, location: str, name: str = LEDGER_TABLE) -> None:
     """Create the ledger table if missing, with its defaults.  Parquet
-    tables take no PRIMARY KEY; uniqueness is the M10 check instead."""
+    tables take no PRIMARY KEY and do not enforce NOT NULL; uniqueness and
+    nullability are the M10 / M11 data checks instead."""
     spark.sql(f"""
       CREATE TABLE IF NOT EXISTS {name} (
         target_id STRING NOT NULL, migration_id STRING NOT NULL,
         migration_type STRING NOT NULL DEFAULT 'versioned', version BIGINT,
         filename STRING NOT NULL, checksum STRING NOT NULL,
-        applied_at TIMESTAMP_NTZ, execution_time_ms BIGINT NOT NULL DEFAULT 0,
+        applied_at TIMESTAMP_NTZ DEFAULT localtimestamp(), execution_time_ms BIGINT NOT NULL DEFAULT 0,
         success BOOLEAN NOT NULL DEFAULT false)
       USING parquet LOCATION '{location}'""")
 
