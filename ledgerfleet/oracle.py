@@ -132,7 +132,7 @@ SELECT p.target_id,
   CASE WHEN starts_with(p.path, 'R__') THEN 'repeatable' ELSE 'versioned' END AS migration_type,
   CASE WHEN starts_with(p.path, 'R__') THEN NULL ELSE p.doc_id + 1 END AS version,
   p.path AS filename,
-  CASE WHEN l.toxic = 1 THEN md5(concat(p.up_sql, 'x')) ELSE md5(p.up_sql) END AS checksum,
+  CASE WHEN l.toxic = 1 THEN md5(concat(md5(p.up_sql), 'x')) ELSE md5(p.up_sql) END AS checksum,
   e.ts AS applied_at, CAST(floor(e.value * 10) AS BIGINT) AS execution_time_ms, l.quality = 1 AS success
 FROM parsed p JOIN labels l ON p.doc_id = l.doc_id JOIN events e ON e.event_id = p.doc_id
 WHERE p.doc_id % 23 <> 0

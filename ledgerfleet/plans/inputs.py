@@ -32,7 +32,7 @@ def parsed(spark: SparkSession, d: str) -> DataFrame:
         p = cp.parse_scripts(b.scripts(spark, d))
         narrow = p.select(
             "doc_id", *cp.KEY_COLUMNS, "marker_style",
-            F.md5(F.concat(F.col("up_sql"), F.lit("x"))).alias("checksum_edited"),
+            F.md5(F.concat(F.col("checksum"), F.lit("x"))).alias("checksum_edited"),
             fs.preview("up_sql").alias("preview"), fs.preview_truncated("up_sql").alias("preview_more"))
         ensure_checkpoint_dir(spark)
         _MEMO[key] = narrow.checkpoint(eager=True)

@@ -17,7 +17,24 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def spread_if_single_file(spark: SparkSession, df: DataFrame, path: str, key: str) -> DataFrame:
+    """A table stored as one Parquet file (often one row group) is read by a
+    single task; before CPU-heavy per-row work it is spread by ``key`` over
+    the cluster's parallelism.  A directory of files is already read in
+    parallel and is left as it is (no shuffle of the text)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs_ = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs_.exists(hpath) and fs_.getFileStatus(hpath).isFile():
+        return df.repartition(spark.sparkContext.defaultParallelism, key)
+    return df
 
 
 def _s(c) -> Column:
@@ -27,7 +44,9 @@ def _s(c) -> Column:
 # --- B1 scripts(doc_id, target_id, path, body) ------------------------------
 
 def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scripts_from(table(spark, sf_dir, "documents"))
+    path = table_path(sf_dir, "documents")
+    docs = spread_if_single_file(spark, spark.read.parquet(path), path, "doc_id")
+    return scripts_from(docs)
 
 
 def scripts_from(documents: DataFrame) -> DataFrame:
@@ -62,7 +81,8 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
 
     The stored checksum is that of the Up section, as the tool would have
     written it; a 'toxic' label stands for a file edited after it was
-    applied (its checksum is taken over the Up text plus one character).
+    applied (its stored checksum is the md5 of the file's checksum plus one
+    character: a different checksum, computed without a second pass over the text).
     ``parsed`` may be a narrow parse carrying ``checksum`` and
     ``checksum_edited`` instead of the Up text.
     """
@@ -70,7 +90,7 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
     if parsed is None:
         parsed = parse_scripts(scripts(spark, sf_dir))
     if "checksum_edited" not in parsed.columns:
-        parsed = parsed.withColumn("checksum_edited", F.md5(F.concat(F.col("up_sql"), F.lit("x"))))
+        parsed = parsed.withColumn("checksum_edited", F.md5(F.concat(F.col("checksum"), F.lit("x"))))
     p = parsed.select("doc_id", "target_id", "path", "checksum", "checksum_edited")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts", "value")
