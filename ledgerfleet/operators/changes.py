@@ -36,10 +36,14 @@ OPS = ("insert", "update", "delete")
 def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "value") -> DataFrame:
     """Add ``exists_before``, ``fails`` and ``status`` (applied / failed /
     blocked) to every change."""
-    base_keys = base.select(key).distinct().withColumn("_in_base", F.lit(True))
-    ch = per_target_join(changes, base_keys, [key], "left", spread_by=["version"])
-    ch = ch.withColumn("_reset", F.when(F.col("op") != "update", F.col("op")))
+    # the ordered scan runs on the change rows alone (its sampling and
+    # freezing jobs read nothing else); base existence is joined afterwards
+    ch = changes.withColumn("_reset", F.when(F.col("op") != "update", F.col("op")))
     ch = last_before(ch, [key], [F.col("version")], "_reset", "_prev_reset")
+    # one row per key on the base side: a plain join (a hot key on the change
+    # side is split by AQE's skew join; salting would copy the whole table)
+    base_keys = base.select(key).distinct().withColumn("_in_base", F.lit(True))
+    ch = ch.join(base_keys, [key], "left")
     exists = (F.when(F.col("_prev_reset") == "insert", F.lit(True))
               .when(F.col("_prev_reset") == "delete", F.lit(False))
               .otherwise(F.coalesce(F.col("_in_base"), F.lit(False))))

@@ -6,7 +6,9 @@ task.  AQE already broadcasts the small side when its runtime size is below
 guess) and splits skewed partitions otherwise; ``per_target_join`` adds a salt
 so that even the sort-merge fallback spreads a hot target over ``salts``
 tasks.  The small side must have at most one row per key; it is replicated
-``salts`` times, which is cheap because it has one row per target.
+``salts`` times, which is cheap because it has one row per target.  Sides
+with one row per *key* (as large as a table) are joined plainly instead:
+AQE's skew join splits a hot key on the large side without copying them.
 """
 
 from __future__ import annotations
