@@ -129,7 +129,7 @@ def key_value_entries(conn) -> Column:
     '=', later duplicates win (the earlier ones are dropped)."""
     pairs = F.split(_c(conn), ";")
     entries = F.transform(pairs, lambda p, i: F.struct(
-        (i + 1).alias("pos"), F.lower(wtrim(F.substring_index(p, "=", 1))).alias("key"),
+        (i + 1).cast("long").alias("pos"), F.lower(wtrim(F.substring_index(p, "=", 1))).alias("key"),
         wtrim(F.get(F.split(p, "="), 1)).alias("value"), (F.instr(p, "=") > 0).alias("has_eq")))
     kept = F.filter(entries, lambda e: e["has_eq"])
     last = F.filter(kept, lambda e, i: ~F.exists(F.slice(kept, i + 2, F.size(kept) + 1),

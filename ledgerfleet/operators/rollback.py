@@ -37,7 +37,7 @@ def plan_steps(ledger: DataFrame, steps: int) -> DataFrame:
     ``rollback_order`` (1 = newest) and ``rollback_total`` (fewer than asked
     when the target has fewer)."""
     w = Window.partitionBy("target_id").orderBy(*_order())
-    top = (rollbackable(ledger).withColumn("rollback_order", F.row_number().over(w))
+    top = (rollbackable(ledger).withColumn("rollback_order", F.row_number().over(w).cast("long"))
            .where(F.col("rollback_order") <= steps))
     total = top.groupBy("target_id").agg(F.count(F.lit(1)).alias("rollback_total"))
     return top.join(total, "target_id")

@@ -48,10 +48,15 @@ def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int |
 
 
 def ordinal(df: DataFrame, group: list[str], order: list, name: str = "pos",
-            slices: int | None = None) -> DataFrame:
+            slices: int | None = None, freeze_input: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its group, ordered
-    by ``order`` (the result of ``row_number()`` over that window)."""
+    by ``order`` (the result of ``row_number()`` over that window).
+    ``freeze_input`` checkpoints the input first: the range exchange reads its
+    input twice (sampling, then the shuffle), which is worth avoiding when the
+    input is the result of joins rather than a plain scan."""
     order = _cols(order)
+    if freeze_input:
+        df = _freeze(df)
     w = Window.partitionBy(_SLICE, *group)
     local = (_sliced(df, group, order, slices)
              .withColumn("__lpos", F.row_number().over(w.orderBy(*order)))

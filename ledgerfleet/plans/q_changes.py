@@ -173,7 +173,7 @@ def check_unique(spark, d):
 
 
 @register("check_not_null", o.sql(" UNION ALL ".join(
-    f"SELECT 'orders' AS table_name, '{c.strip()}' AS column_name, count_if({c.strip()} IS NULL) AS nulls FROM orders"
+    f"SELECT 'orders' AS table_name, '{c.strip()}' AS column_name, count(*) FILTER (WHERE {c.strip()} IS NULL) AS nulls FROM orders"
     for c in ORDER_COLS.split(","))))
 def check_not_null(spark, d):
     """NULL count per column of orders."""

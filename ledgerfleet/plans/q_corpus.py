@@ -26,7 +26,7 @@ def script_corpus_scan(spark, d):
     exactly 'sql'.  Text length stands in for the body in the comparison."""
     s = b.scripts(spark, d)
     return (s.where(F.col("path").endswith(".sql") & (F.col("path") != ".sql"))
-            .select("doc_id", "target_id", "path", F.length("body").alias("body_chars")))
+            .select("doc_id", "target_id", "path", F.length("body").cast("long").alias("body_chars")))
 
 
 @register("absent_source_is_empty", o.sql(
@@ -78,8 +78,8 @@ def identifier(spark, d):
 def split_up_down(spark, d):
     """Marker style found, and size + fingerprint of each section."""
     return parsed(spark, d).select(
-        "doc_id", "marker_style", F.length("up_sql").alias("up_chars"), F.md5("up_sql").alias("up_md5"),
-        F.length("down_sql").alias("down_chars"), F.md5("down_sql").alias("down_md5"))
+        "doc_id", "marker_style", F.length("up_sql").cast("long").alias("up_chars"), F.md5("up_sql").alias("up_md5"),
+        F.length("down_sql").cast("long").alias("down_chars"), F.md5("down_sql").alias("down_md5"))
 
 
 @register("has_rollback", o.sql("SELECT doc_id, has_rollback FROM parsed", "parsed"))
@@ -123,7 +123,7 @@ def checksum_prefix(spark, d):
 def split_statements(spark, d):
     """One row per statement with its 1-based position."""
     p = parsed(spark, d).select("doc_id", F.posexplode(fs.statements("up_sql")).alias("pos0", "stmt"))
-    return p.select("doc_id", (F.col("pos0") + 1).alias("pos"), F.length("stmt").alias("stmt_chars"),
+    return p.select("doc_id", (F.col("pos0") + 1).cast("long").alias("pos"), F.length("stmt").cast("long").alias("stmt_chars"),
                     F.md5("stmt").alias("stmt_md5"))
 
 
@@ -178,8 +178,8 @@ def filter_invalid_names(spark, d):
 
 
 @register("count_by_kind", o.sql(
-    "SELECT target_id, count(*) AS sql_files, count_if(kind = 'versioned') AS versioned, "
-    "count_if(kind = 'repeatable') AS repeatable, count_if(kind = 'invalid') AS invalid "
+    "SELECT target_id, count(*) AS sql_files, count(*) FILTER (WHERE kind = 'versioned') AS versioned, "
+    "count(*) FILTER (WHERE kind = 'repeatable') AS repeatable, count(*) FILTER (WHERE kind = 'invalid') AS invalid "
     "FROM parsed_k GROUP BY target_id", "parsed_k"))
 def count_by_kind(spark, d):
     """A1 + A11 (file count per target)."""

@@ -286,7 +286,7 @@ _BASELINE_SQL = (
     "exists', p.new_baseline) END AS message, "
     f"printf('baseline_%04d_%s', p.new_baseline, '{BASELINE_DESCRIPTION.replace(' ', '_')}') AS filename, "
     f"TIMESTAMP '{BASELINE_AT}' AS applied_at FROM props p "
-    "LEFT JOIN (SELECT l.target_id, count(*) AS existing_runs, count_if(l.version >= q.new_baseline) AS conflicts "
+    "LEFT JOIN (SELECT l.target_id, count(*) AS existing_runs, count(*) FILTER (WHERE l.version >= q.new_baseline) AS conflicts "
     "FROM lrun l JOIN props q ON q.target_id = l.target_id GROUP BY l.target_id) c ON c.target_id = p.target_id "
     "LEFT JOIN (SELECT DISTINCT target_id, version AS v FROM ledger WHERE migration_type = 'baseline') e "
     "ON e.target_id = p.target_id AND e.v = p.new_baseline")

@@ -235,9 +235,9 @@ def reconcile_full(spark, d):
 @register("status_counts", o.sql(
     "SELECT t.target_id, t.total, t.applied, t.pending, t.failed, t.skipped, t.checksum_mismatches, "
     "v.latest_version, b.baseline_version, coalesce(f.n, 0) AS failed_ledger_rows FROM ("
-    "SELECT target_id, count(*) AS total, count_if(status = 'APPLIED') AS applied, "
-    "count_if(status = 'PENDING' AND NOT below_baseline) AS pending, count_if(status = 'FAILED') AS failed, "
-    "count_if(below_baseline) AS skipped, count_if(checksum_mismatch) AS checksum_mismatches "
+    "SELECT target_id, count(*) AS total, count(*) FILTER (WHERE status = 'APPLIED') AS applied, "
+    "count(*) FILTER (WHERE status = 'PENDING' AND NOT below_baseline) AS pending, count(*) FILTER (WHERE status = 'FAILED') AS failed, "
+    "count(*) FILTER (WHERE below_baseline) AS skipped, count(*) FILTER (WHERE checksum_mismatch) AS checksum_mismatches "
     f"FROM ({_STATUS_SQL}) GROUP BY target_id) t "
     "LEFT JOIN (SELECT target_id, max(version) AS latest_version FROM ledger WHERE migration_type = 'versioned' "
     "AND success GROUP BY target_id) v USING (target_id) LEFT JOIN baselines b USING (target_id) "
@@ -393,8 +393,8 @@ def union_findings(spark, d):
     "coalesce(f.orphans, 0) AS orphans, coalesce(f.warnings, 0) AS warnings, "
     "CASE WHEN coalesce(f.errors, 0) > 0 THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM "
     "(SELECT DISTINCT target_id FROM skeys UNION SELECT DISTINCT target_id FROM lrun) t LEFT JOIN ("
-    "SELECT target_id, count_if(severity = 'FAIL') AS errors, count_if(\"check\" = 'checksum_mismatch') "
-    "AS checksum_mismatches, count_if(\"check\" = 'orphan') AS orphans, count_if(severity = 'WARN') AS warnings "
+    "SELECT target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') "
+    "AS checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans, count(*) FILTER (WHERE severity = 'WARN') AS warnings "
     f"FROM (SELECT * FROM ({_SEQ_FINDINGS_SQL}) UNION ALL SELECT * FROM ({_LEDGER_FINDINGS_SQL})) "
     "GROUP BY target_id) f USING (target_id)", "skeys", "lrun"))
 def validate_report(spark, d):
@@ -425,8 +425,8 @@ def collect_findings(spark, d):
 
 
 @register("validation_summary", o.sql(
-    "SELECT target_id, count_if(severity = 'FAIL') AS errors, count_if(\"check\" = 'checksum_mismatch') AS "
-    "checksum_mismatches, count_if(\"check\" = 'orphan') AS orphans FROM ("
+    "SELECT target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') AS "
+    "checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans FROM ("
     f"SELECT * FROM ({_LEDGER_FINDINGS_SQL})) GROUP BY target_id", "skeys", "lrun"))
 def validation_summary(spark, d):
     """A8 over the ledger findings."""

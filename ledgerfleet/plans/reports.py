@@ -32,7 +32,7 @@ def plan_report(parsed: DataFrame, ledger: DataFrame | None) -> DataFrame:
     todo = narrow if ledger is None else rc.pending(narrow, ledger)
     todo = (todo.withColumn("tag", fs.kind_tag("kind"))
                 .withColumn("checksum8", fs.checksum_prefix("checksum")))
-    out = ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos")
+    out = ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos", freeze_input=ledger is not None)
     return out.select("target_id", "path", "filename", "version", "tag", "line_count", "checksum8",
                       "preview", "preview_more", "plan_pos")
 

@@ -51,6 +51,23 @@ def rows_of(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR", "BooleanType": "BOOLEAN",
+                 "DoubleType": "DOUBLE", "TimestampNTZType": "TIMESTAMP", "DateType": "DATE", "FloatType": "FLOAT",
+                 "ShortType": "SMALLINT", "ByteType": "TINYINT"}
+
+
+def type_mismatches(sdf, rel):
+    """Columns whose Spark type does not map to the DuckDB type."""
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        got = d_types.get(f.name)
+        if got is not None and got != want and not (got == "\"NULL\"" or got == "NULL"):
+            out.append(f"{f.name}: spark {want} duck {got}")
+    return out
+
+
 def compare(spark, con, sf_dir, name, fn, sql):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -66,6 +83,10 @@ def compare(spark, con, sf_dir, name, fn, sql):
     if sorted(s_cols) != sorted(d_cols):
         res.update(ok=False, why=f"columns {sorted(s_cols)} vs {sorted(d_cols)}")
         return res
+    bad_types = type_mismatches(sdf, rel)
+    if bad_types:
+        res.update(ok=False, why=f"types {bad_types}")
+        return res
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a != b:
         diff_a = [r for r in a if r not in set(b)][:3]
