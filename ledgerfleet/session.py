@@ -54,19 +54,31 @@ def build_session(master: str = "local[8]", app: str = "ledgerfleet",
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a session without a local SparkContext (Spark Connect)
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     ``spark.checkpoint.dir`` wins.  ``fallback`` is only for tests/bench on a
     laptop, where the caller passes a fresh scratch folder.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not conf_dir:
         try:
             conf_dir = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # not set at all
             conf_dir = None
-    if not conf_dir and fallback is None and spark.sparkContext.master.startswith("local"):
+    if sc is None:
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return conf_dir
+    if not conf_dir and fallback is None and sc.master.startswith("local"):
         # single machine: a scratch folder of this process is the shared folder
         import tempfile
         fallback = tempfile.mkdtemp(prefix="ledgerfleet-ckpt-")
@@ -77,7 +89,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
                 "(HDFS/S3/ABFS) so lineage cuts survive executor loss")
         conf_dir = fallback
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 

@@ -29,12 +29,15 @@ def spread_if_single_file(spark: SparkSession, df: DataFrame, path: str, key: st
     single task; before CPU-heavy per-row work it is spread by ``key`` over
     the cluster's parallelism.  A directory of files is already read in
     parallel and is left as it is (no shuffle of the text)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs_ = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs_.exists(hpath) and fs_.getFileStatus(hpath).isFile():
-        return df.repartition(spark.sparkContext.defaultParallelism, key)
-    return df
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs_ = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        single = fs_.exists(hpath) and fs_.getFileStatus(hpath).isFile()
+        parallelism = sc.defaultParallelism
+    except Exception:  # no local context to ask (Spark Connect): leave as read
+        return df
+    return df.repartition(parallelism, key) if single and parallelism > 1 else df
 
 
 def _s(c) -> Column:

@@ -39,7 +39,9 @@ def absent_corpus(spark: SparkSession) -> DataFrame:
 
 
 def _exists(spark: SparkSession, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(root)
+        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # no local context to ask: let the reader decide
+        return True

@@ -7,6 +7,11 @@ per key and a late event only wins if it is newer.  Update mode emits the
 keys a micro-batch changed; ``foreachBatch`` appends them with the batch id to
 a change table, and the current state is the newest row per key.
 
+``foreachBatch`` is at-least-once: a batch replayed after a failure appends
+the same rows under the same batch id again, which the newest-row-per-key
+read ignores, so the result is exactly the state.  ``compact_ledger_state``
+rewrites the change table as one row per key (a new snapshot path).
+
 ST2 parses script files as they arrive (``readStream.text`` with
 ``wholetext``) and appends the narrow parsed records.
 
@@ -54,6 +59,16 @@ def read_ledger_state(spark: SparkSession, sink: str, key: list[str]) -> DataFra
     return ll.state_from_aggregates(latest, key)
 
 
+def compact_ledger_state(spark: SparkSession, sink: str, key: list[str], out: str) -> None:
+    """Rewrite ST1's change table as its newest row per key under ``out``
+    (copy-on-write; point readers at ``out`` afterwards)."""
+    changes = spark.read.parquet(sink)
+    cols = [c for c in changes.columns if c not in key]
+    latest = (changes.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(EPOCH)).alias("_x"))
+              .select(*key, "_x.*"))
+    latest.write.mode("errorifexists").parquet(out)
+
+
 def start_script_ingest_stream(scripts: DataFrame, sink: str, checkpoint: str,
                                available_now: bool = True) -> StreamingQuery:
     """ST2: parse a stream of (target_id, path, body) records (P1-P9) and

@@ -60,6 +60,10 @@ def test_ledger_stream_matches_batch(spark, scratch):
     got = st.read_ledger_state(spark, sink, ["target_id", "version"])
     batch = ll.ledger_state(spark.createDataFrame(rows, schema), ["target_id", "version"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    compact = os.path.join(scratch, "compact")
+    st.compact_ledger_state(spark, sink, ["target_id", "version"], compact)
+    again = st.read_ledger_state(spark, compact, ["target_id", "version"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
 
 
 def test_live_catalog_and_snapshot(spark):
