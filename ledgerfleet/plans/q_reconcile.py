@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import oracle as o
 from ..functions import decode as dc
-from ..functions import scripts as fs
 from ..operators import checks as ck
 from ..operators import corpus as cp
 from ..operators import reconcile as rc
