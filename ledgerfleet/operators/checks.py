@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..model import SEVERITY_RANK
 from . import reconcile as rc
+from .joins import per_target_join
 from .scan import ordinal
 
 # --- fixed values: finding texts -------------------------------------------
@@ -145,7 +146,7 @@ def numbered_findings(findings: DataFrame) -> DataFrame:
     a target with millions of findings is never gathered into one value."""
     out = ordinal(findings, ["target_id"], [F.col("message"), F.col("check"), F.col("subject")], "item")
     n = findings.groupBy("target_id").agg(F.count(F.lit(1)).alias("items"))
-    return out.join(n, "target_id")
+    return per_target_join(out, n, ["target_id"], "inner", spread_by=["item"])
 
 
 def applied_matches_corpus(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
