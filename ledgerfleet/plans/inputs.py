@@ -47,3 +47,18 @@ def keys(spark: SparkSession, d: str) -> DataFrame:
 def ledger(spark: SparkSession, d: str) -> DataFrame:
     """B2 over the frozen parse."""
     return b.ledger(spark, d, parsed(spark, d))
+
+
+def baselines(spark: SparkSession, d: str) -> DataFrame:
+    """Only the baseline rows of B2 (no parse needed)."""
+    return b.ledger_baselines(spark, d)
+
+
+def ddl(spark: SparkSession, d: str) -> DataFrame:
+    """DDL object names of the corpus, extracted in one pass and frozen."""
+    from ..operators.catalog import ddl_objects
+    key = ("ddl", d)
+    if key not in _MEMO:
+        ensure_checkpoint_dir(spark)
+        _MEMO[key] = ddl_objects(b.scripts(spark, d)).checkpoint(eager=True)
+    return _MEMO[key]

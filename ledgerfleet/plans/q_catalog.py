@@ -11,12 +11,13 @@ from ..operators import reconcile as rc
 from ..operators.scan import ordinal
 from ..sources import bindings as b
 from .q_corpus import _objects_sql
-from .q_reconcile import ledger
+from . import inputs
 from .registry import register
 
 
 def scripts(spark, d):
-    return b.scripts(spark, d)
+    """The corpus seen through its DDL names (one frozen pass over the text)."""
+    return inputs.ddl(spark, d)
 
 
 def catalog(spark, d):
@@ -61,7 +62,7 @@ _SNAP_LOCAL = [
     "baseline_version) FROM cnt", "catalog", "ledger", local=_SNAP_LOCAL))
 def schema_snapshot(spark, d):
     """The baseline snapshot of every target as numbered lines."""
-    return ct.snapshot_lines(catalog(spark, d), rc.baseline_version(ledger(spark, d)))
+    return ct.snapshot_lines(catalog(spark, d), rc.baseline_version(inputs.baselines(spark, d)))
 
 
 _GEN_TABLES = ("SELECT 'test_table_' || CAST(s_suppkey AS VARCHAR) AS table_name, "

@@ -253,7 +253,8 @@ def rollback_summary(spark, d):
     "migration_id) AS baseline_pos FROM ledger WHERE migration_type = 'baseline'", "ledger"))
 def baselines_asc(spark, d):
     """O5."""
-    return rb.baselines_asc(ledger(spark, d)).select("target_id", "migration_id", "version", "baseline_pos")
+    from . import inputs
+    return rb.baselines_asc(inputs.baselines(spark, d)).select("target_id", "migration_id", "version", "baseline_pos")
 
 
 @register("ledger_order", o.sql(

@@ -52,7 +52,7 @@ def rows_as_text(spark, d):
     "GROUP BY target_id", "ledger"))
 def scalar_lookup(spark, d):
     """One value per target (the highest baseline)."""
-    return rc.baseline_version(ledger(spark, d))
+    return rc.baseline_version(inputs.baselines(spark, d))
 
 
 @register("decode_timestamp", o.sql(
@@ -262,7 +262,7 @@ def latest_version(spark, d):
     "GROUP BY target_id", "ledger"))
 def baseline_version(spark, d):
     """A4."""
-    return rc.baseline_version(ledger(spark, d))
+    return rc.baseline_version(inputs.baselines(spark, d))
 
 
 @register("is_applied_count", o.sql(
@@ -524,7 +524,7 @@ def top_baseline(spark, d):
     """O3: ORDER BY version DESC LIMIT 1 per target -- a top-1 that Spark
     limits per map task (WindowGroupLimit) before the shuffle."""
     from pyspark.sql import Window
-    b_ = ledger(spark, d).where(F.col("migration_type") == "baseline")
+    b_ = inputs.baselines(spark, d)
     w = Window.partitionBy("target_id").orderBy(F.col("version").desc(), F.col("migration_id"))
     return (b_.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
             .select("target_id", "migration_id", "version", "filename"))

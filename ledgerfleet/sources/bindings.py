@@ -113,7 +113,12 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
                 F.col("ts").alias("applied_at"),
                 F.floor(F.col("value") * 10).cast("long").alias("execution_time_ms"),
                 (F.col("quality") == 1).alias("success")))
-    base = (table(spark, sf_dir, "documents").groupBy("source")
+    return rows.unionByName(ledger_baselines(spark, sf_dir))
+
+
+def ledger_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline rows of B2 (one per target), which need no script text."""
+    return (table(spark, sf_dir, "documents").groupBy("source")
             .agg((F.min("doc_id") + 100).alias("v"))
             .select(F.col("source").alias("target_id"), _s("v").alias("migration_id"),
                     F.lit("baseline").alias("migration_type"), F.col("v").alias("version"),
@@ -121,7 +126,6 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
                     F.lit("baseline").alias("checksum"),
                     F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("applied_at"),
                     F.lit(0).cast("long").alias("execution_time_ms"), F.lit(True).alias("success")))
-    return rows.unionByName(base)
 
 
 # --- B3 seq(target_id, version) ---------------------------------------------------
@@ -180,8 +184,10 @@ def catalog(spark: SparkSession, sf_dir: str, sc: DataFrame | None = None) -> Da
     of five of its scripts, the ledger table, and one temporary view per
     language.  Derived from the corpus so it grows with it."""
     sc = sc if sc is not None else scripts(spark, sf_dir)
-    created = (sc.where(F.col("doc_id") % 5 != 0)
-               .select("target_id", F.explode(fs.extract_objects("body", "CREATE TABLE")).alias("object_name"))
+    if "body" in sc.columns:   # raw corpus: extract the DDL names here
+        sc = sc.select("target_id", "doc_id", F.explode(fs.extract_objects("body", "CREATE TABLE"))
+                       .alias("object_name")).withColumn("keyword", F.lit("create_table"))
+    created = (sc.where((F.col("doc_id") % 5 != 0) & (F.col("keyword") == "create_table"))
                .select("target_id", F.lit("table").alias("object_type"), "object_name",
                        F.lit(False).alias("is_temporary")))
     ledger_tbl = sc.select("target_id", F.lit("table").alias("object_type"),
