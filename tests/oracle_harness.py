@@ -102,7 +102,14 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     from ledgerfleet.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # what a caller with default settings would have (no ledgerfleet conf)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.session.timeZone", os.environ["PLAIN_SESSION"]).getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
