@@ -104,6 +104,21 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str,
     return table, st
 
 
+def publish_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str, snapshot_path: str,
+                    ledger_log_path: str, defaults: dict | None = None, at: str | None = None) -> DataFrame:
+    """R7 end to end: write the new table to ``snapshot_path`` (a new path,
+    never the one being read), then append the L1-L3 events to the ledger
+    log at ``ledger_log_path``.  The events are appended only after the
+    snapshot is complete, so readers that follow the ledger never see a
+    half-written table.  Returns the change status."""
+    table, status = apply_changes(base, changes, key, set_col, defaults)
+    table.write.mode("errorifexists").parquet(snapshot_path)
+    stamp = F.lit(at).cast("timestamp_ntz") if at else F.localtimestamp()
+    (ledger_events(status).withColumn("snapshot", F.lit(snapshot_path)).withColumn("ts", stamp)
+     .write.mode("append").parquet(ledger_log_path))
+    return status
+
+
 def ledger_events(status: DataFrame) -> DataFrame:
     """L1-L3 out of R7: a start for every attempted change, then success or
     failure; blocked changes are not attempted."""

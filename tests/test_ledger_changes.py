@@ -99,3 +99,14 @@ def test_checks(spark):
     kept = cg.delete_where(spark.createDataFrame([(1, None), (2, "F")], "k int, s string"),
                            F.col("s") == "F").collect()
     assert [r.k for r in kept] == [1]                        # NULL predicate keeps the row
+
+
+def test_publish_changes(spark, scratch):
+    import os
+    base = spark.createDataFrame([(1, 10, "F", 5.0, ts(0), "1-URGENT")], ORD)
+    ch = spark.createDataFrame([(0, 1, 1, "update", 7.0), (0, 2, 9, "insert", 3.0)], CH)
+    snap, log = os.path.join(scratch, "orders_v2"), os.path.join(scratch, "ledger_log")
+    cg.publish_changes(base, ch, "o_orderkey", "o_totalprice", snap, log, at="2024-02-01 00:00:00")
+    assert sorted((r.o_orderkey, r.o_totalprice) for r in spark.read.parquet(snap).collect()) == [(1, 7.0), (9, 3.0)]
+    ev = sorted((r.version, r.op) for r in spark.read.parquet(log).collect())
+    assert ev == [(1, "start"), (1, "success"), (2, "start"), (2, "success")]
