@@ -528,3 +528,14 @@ def top_baseline(spark, d):
     w = Window.partitionBy("target_id").orderBy(F.col("version").desc(), F.col("migration_id"))
     return (b_.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
             .select("target_id", "migration_id", "version", "filename"))
+
+
+@register("version_gaps_first", o.sql(
+    "SELECT target_id, version, position FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY version) "
+    "AS position FROM seq) p WHERE position <> version AND position = (SELECT min(q.position) FROM ("
+    "SELECT target_id, version, row_number() OVER (PARTITION BY target_id ORDER BY version) AS position FROM seq) q "
+    "WHERE q.target_id = p.target_id AND q.position <> q.version)", "seq"))
+def version_gaps_first(spark, d):
+    """W1 variant: only the first gap of each target."""
+    pos = ck.version_positions(b.seq(spark, d))
+    return ck.first_gap_only(pos).select("target_id", "version", "position")

@@ -30,6 +30,12 @@ def test_read_corpus(spark, scratch):
     assert read_corpus(spark, os.path.join(scratch, "missing")).count() == 0   # S2
 
 
+def test_read_single_folder(spark, scratch):
+    write_tree(scratch, {"0001_a.sql": "A;", "R__v.sql": "V;", "sub/0002_b.sql": "not read (not recursive)"})
+    got = sorted((r.target_id, r.path) for r in read_corpus(spark, scratch, fleet=False).collect())
+    assert got == [("default", "0001_a.sql"), ("default", "R__v.sql")]
+
+
 def test_script_file_stream(spark, scratch):
     src = os.path.join(scratch, "src")
     write_tree(src, {"db1/0001_a.sql": "-- UP\nA;\n-- DOWN\nB;", "db1/0002_b.sql": "C;"})
