@@ -71,3 +71,17 @@ def test_partial_aggregation_and_pruning(spark):
     ex = ll.ledger_state(b.ledger_log(spark, d), ["target_id", "version"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "props" not in ex.split("ReadSchema")[-1].split("\n")[0]      # unused column never read
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch):
+    import os
+    from ledgerfleet.sources.tables import save_bucketed
+    k = spark.range(2000).select((F.col("id") % 7).cast("string").alias("target_id"),
+                                 F.col("id").cast("string").alias("migration_id"), F.lit("c").alias("checksum"))
+    led = k.select("target_id", "migration_id", F.lit("s").alias("stored_checksum"))
+    save_bucketed(k, "keys_b", os.path.join(scratch, "keys_b"), 8)
+    save_bucketed(led, "ledger_b", os.path.join(scratch, "ledger_b"), 8)
+    j = spark.table("keys_b").join(spark.table("ledger_b"), ["target_id", "migration_id"], "full_outer")
+    assert j.count() == 2000
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, plan
