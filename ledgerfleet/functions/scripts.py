@@ -52,11 +52,6 @@ def ascii_lower(x) -> Column:
     return F.translate(_c(x), UPPER_ASCII, LOWER_ASCII)
 
 
-def base_name(path) -> Column:
-    """File name part of a path (after the last '/')."""
-    return F.substring_index(_c(path), "/", -1)
-
-
 def strip_suffix(s, suffix: str) -> Column:
     s = _c(s)
     return F.when(s.endswith(suffix), s.substr(F.lit(1), F.length(s) - len(suffix))).otherwise(s)
