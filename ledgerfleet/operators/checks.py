@@ -93,19 +93,28 @@ def sequence_findings(scripts: DataFrame) -> DataFrame:
 
 
 def ledger_findings(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Drift, failed and orphan findings (the reference's validate), FAIL."""
-    st = rc.status_join(scripts, ledger)
-    drift = (st.where("checksum_mismatch")
-             .select("target_id", F.lit("checksum_mismatch").alias("check"), F.col("filename").alias("subject"),
-                     F.format_string(MSG_DRIFT, F.col("filename"), F.col("stored_checksum"), F.col("checksum"))
-                     .alias("message")))
-    failed = (st.where(F.col("migration_type").isNotNull() & ~F.col("success"))
-              .select("target_id", F.lit("failed").alias("check"), F.col("filename").alias("subject"),
-                      F.format_string(MSG_FAILED, F.col("filename")).alias("message")))
-    orph = (rc.orphans(scripts, ledger)
-            .select("target_id", F.lit("orphan").alias("check"), F.col("filename").alias("subject"),
-                    F.format_string(MSG_ORPHAN, F.col("filename")).alias("message")))
-    return drift.unionByName(failed).unionByName(orph).withColumn("severity", F.lit("FAIL"))
+    """Drift, failed and orphan findings (the reference's validate), FAIL.
+    One full outer join of scripts and ledger runs rows (not baselines)
+    yields all three; each joined row explodes into its 0-2 findings."""
+    s = scripts.select("target_id", F.col("identifier").alias("migration_id"), "filename", "checksum",
+                       F.lit(True).alias("_s"))
+    led = rc.non_baseline(ledger).select("target_id", "migration_id", F.col("filename").alias("l_filename"),
+                                         F.col("checksum").alias("stored_checksum"), "success",
+                                         F.lit(True).alias("_l"))
+    j = s.join(led, ["target_id", "migration_id"], "full_outer")
+    both = F.col("_s").isNotNull() & F.col("_l").isNotNull()
+
+    def item(cond, check, subject, message):
+        return F.when(cond, F.struct(F.lit(check).alias("check"), subject.alias("subject"), message.alias("message")))
+
+    items = F.array(
+        item(both & (F.col("stored_checksum") != F.col("checksum")), "checksum_mismatch", F.col("filename"),
+             F.format_string(MSG_DRIFT, F.col("filename"), F.col("stored_checksum"), F.col("checksum"))),
+        item(both & ~F.col("success"), "failed", F.col("filename"), F.format_string(MSG_FAILED, F.col("filename"))),
+        item(F.col("_s").isNull(), "orphan", F.col("l_filename"), F.format_string(MSG_ORPHAN, F.col("l_filename"))))
+    return (j.select("target_id", F.explode(F.filter(items, lambda x: x.isNotNull())).alias("f"))
+            .select("target_id", "f.check", "f.subject", "f.message")
+            .withColumn("severity", F.lit("FAIL")))
 
 
 def union_findings(*parts: DataFrame) -> DataFrame:
