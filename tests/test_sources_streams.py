@@ -54,13 +54,17 @@ def test_ledger_stream_matches_batch(spark, scratch):
     import datetime as dt
     rows = [("a", 1, i, dt.datetime(2024, 1, 1, 0, i), op, i) for i, op in
             enumerate(["start", "success", "failure", "start", "remove", "start"])]
+    # key 2: the success arrives in the second batch but happened first (late data)
+    rows[3:3] = [("a", 2, 20, dt.datetime(2024, 1, 1, 0, 9), "start", 0)]
+    rows += [("a", 2, 21, dt.datetime(2024, 1, 1, 0, 10), "success", 5),
+             ("a", 2, 19, dt.datetime(2024, 1, 1, 0, 8), "failure", 9)]
     schema = "target_id string, version long, event_id long, ts timestamp_ntz, op string, ms int"
     src = os.path.join(scratch, "events")
-    spark.createDataFrame(rows[:3], schema).write.parquet(os.path.join(src, "b1"))
+    spark.createDataFrame(rows[:4], schema).write.parquet(os.path.join(src, "b1"))
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
     sink, ck = os.path.join(scratch, "sink"), os.path.join(scratch, "ck")
     st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
-    spark.createDataFrame(rows[3:], schema).write.parquet(os.path.join(src, "b2"))      # later batch
+    spark.createDataFrame(rows[4:], schema).write.parquet(os.path.join(src, "b2"))      # later batch
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
     st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
     got = st.read_ledger_state(spark, sink, ["target_id", "version"])
