@@ -74,3 +74,24 @@ def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def proposed_baselines(scripts: DataFrame) -> DataFrame:
     """A new baseline per target at (lowest doc id + 150), for F5 / R5."""
     return scripts.groupBy("target_id").agg((F.min("doc_id") + 150).alias("new_baseline"))
+
+
+# --- fixed values: directory check texts (R6 on a corpus on disk) ------------
+MSG_DIR_MISSING = "Directory '%s' does not exist"
+MSG_DIR_FILES = "Found %d SQL migration files in '%s'"
+# -------------------------------------------------------------------------------
+
+
+def directory_health(spark, root: str) -> DataFrame:
+    """R6 'Migrations Directory' on a corpus on disk: WARN when the folder is
+    missing, else PASS with the number of ``.sql`` files per target folder
+    (counted by Spark from the file listing and contents read once)."""
+    from ..sources.corpus import _exists, read_corpus
+    if not _exists(spark, root):
+        return spark.createDataFrame(
+            [("", "Migrations Directory", "WARN", MSG_DIR_MISSING % root)],
+            "target_id string, check_name string, status string, message string")
+    files = read_corpus(spark, root).groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
+    return files.select("target_id", F.lit("Migrations Directory").alias("check_name"), F.lit("PASS").alias("status"),
+                        F.format_string(MSG_DIR_FILES, F.col("n"),
+                                        F.concat(F.lit(root.rstrip("/") + "/"), F.col("target_id"))).alias("message"))

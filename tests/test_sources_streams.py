@@ -87,3 +87,12 @@ def test_live_catalog_and_snapshot(spark):
     assert lines == ["-- Schema dump for baseline version 7", "-- Tables found:", "-- Table: a", "-- Table: b",
                      "-- This is a baseline marker - no actual DDL to execute",
                      "-- Database was baselined at version 7"]
+
+
+def test_directory_health(spark, scratch):
+    from ledgerfleet.plans.reports import directory_health
+    write_tree(scratch, {"db1/0001_a.sql": "A;", "db1/0002_b.sql": "B;", "db2/R__v.sql": "V;"})
+    got = {r.target_id: (r.status, r.message) for r in directory_health(spark, scratch).collect()}
+    assert got["db1"] == ("PASS", f"Found 2 SQL migration files in '{scratch}/db1'")
+    missing = directory_health(spark, scratch + "/nope").first()
+    assert missing.status == "WARN" and "does not exist" in missing.message
