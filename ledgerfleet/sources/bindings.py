@@ -190,7 +190,7 @@ def catalog(spark: SparkSession, sf_dir: str, sc: DataFrame | None = None) -> Da
     created = (sc.where((F.col("doc_id") % 5 != 0) & (F.col("keyword") == "create_table"))
                .select("target_id", F.lit("table").alias("object_type"), "object_name",
                        F.lit(False).alias("is_temporary")))
-    ledger_tbl = sc.select("target_id", F.lit("table").alias("object_type"),
+    ledger_tbl = sc.select("target_id").distinct().select("target_id", F.lit("table").alias("object_type"),
                            F.lit("schema_migrations").alias("object_name"), F.lit(False).alias("is_temporary"))
     docs = table(spark, sf_dir, "documents").select(F.col("source").alias("target_id"), "lang")
     temp = docs.select("target_id", F.lit("view").alias("object_type"),
