@@ -161,11 +161,14 @@ def _blocks(benchmark: DataFrame) -> list[list[tuple]]:
         yield [(r["item_id"], r["text"]) for r in part.collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted array of item ids as strings) of
-    every row of ``docs``; ``benchmark`` has item_id and text."""
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                  carry: list[str] | None = None) -> DataFrame:
+    """n_words, n_hit, items (sorted array of item ids as strings) of every
+    row of ``docs``, beside its columns ``carry`` (doc_id alone by default) in
+    a struct ``carried``; ``benchmark`` has item_id and text."""
     spark = docs.sparkSession
-    state = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+    carried = F.struct(*[docs[c] for c in carry or ["doc_id"]])
+    state = docs.select(carried.alias("carried"), F.col("text").cast("string").alias("text"),
                         F.lit(0).cast("long").alias("n_words"),
                         F.lit(None).cast("binary").alias("hits"),
                         F.array().cast("array<string>").alias("items"))
@@ -182,13 +185,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                 for batch in sub_batches(whole, "text", SHARD_BYTES):
                     yield _mark(batch, queries, window, last)
 
-        schema = "doc_id long, text string, n_words long, hits binary, items array<string>"
-        state = map_batches(state, run, schema)
+        state = map_batches(state, run, state.schema)
         if not last:
             state = materialize(state, "contamination")
         block = following
+    # the count's eight bytes as a long
     size = F.conv(F.hex(F.substring("hits", 1, 8)), 16, 10).cast("long")
-    return state.select("doc_id", "n_words", F.coalesce(size, F.lit(0)).alias("n_hit"),
+    return state.select("carried", "n_words", F.coalesce(size, F.lit(0)).alias("n_hit"),
                         F.array_sort(F.array_distinct("items")).alias("items"))
 
 
@@ -215,8 +218,8 @@ def _mark(batch: pa.RecordBatch, queries: Queries, window: int, last: bool) -> p
         items.append(sorted({*old.as_py(), *found.get(d, ())}))
     text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text")
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), text, pa.array(shard.n_words, pa.int64()), pa.array(hits, pa.binary()),
-         pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "hits", "items"])
+        [batch.column("carried"), text, pa.array(shard.n_words, pa.int64()), pa.array(hits, pa.binary()),
+         pa.array(items, pa.list_(pa.string()))], names=["carried", "text", "n_words", "hits", "items"])
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -262,3 +265,9 @@ def _locate(batch: pa.RecordBatch, queries: Queries, window: int) -> Iterator[pa
 def contaminated(n_hit, n_words):
     """The contamination rule: at least a twentieth of the words is hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns as they are."""
+    found = contamination(docs, benchmark, window, carry=docs.columns)
+    return found.where(~contaminated(F.col("n_hit"), F.col("n_words"))).select("carried.*")

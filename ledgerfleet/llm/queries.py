@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, simhash
+from . import decontam, packing, pii, quality, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,12 +26,30 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.personal_spans(read_table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 @_query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "carried.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
@@ -41,3 +59,19 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def quality_net(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.ByteNet | None:
+    """The network of op10, trained on the quality labels outside its fold."""
+    labels = (read_table(spark, sf_dir, "labels").where(~quality.held_out("doc_id"))
+              .select("doc_id", F.col("quality").alias("label")))
+    return quality.fit(docs, labels)
+
+
+@_query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_net(spark, docs, sf_dir))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))

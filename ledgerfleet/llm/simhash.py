@@ -291,3 +291,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     first = materialize(distinct.join(linked, "fp", "left")
                         .select("fp", F.coalesce("least", "first_id").alias("component_id")), "cc-first")
     return fps.join(first, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_each_group(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one
+    with the smallest doc_id stays, with all its columns; of rows that repeat a
+    doc_id, one.  Rows without a doc_id cannot be told apart by it and stay."""
+    near = near_duplicates(docs, width, max_bits)
+    first = materialize(near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-ids")
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
