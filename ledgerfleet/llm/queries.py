@@ -8,11 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, pii, quality, simhash
+from . import decontam, langid, packing, pii, quality, simhash, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+# Of the ten, only the archive's contract can be said in SQL.
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+        FROM m""",
+}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,12 +30,34 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back."""
+    manifest = warc.write_warc(read_table(spark, sf_dir, "pages"))
+    records = warc.read_warc(spark, manifest)
+    stored = F.col("record_type") == "response"
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        F.when(stored, F.octet_length("payload")).otherwise(F.col("http_length")).cast("long").alias("payload_bytes"),
+        F.when(stored, F.sha1("payload")).otherwise(F.col("declared_sha1")).alias("payload_digest"),
+        "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; the model never sees the fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    fold = quality.held_out("doc_id", remainder=2, modulus=4)
+    model = langid.fit(docs.where(~fold).select("lang", "text"))
+    return langid.predict(docs, model).select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
