@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, pii, quality, simhash, warc
+from . import decontam, langid, packing, pii, quality, simhash, suffix_dedup, topk, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-# Of the ten, only the archive's contract can be said in SQL.
+# Of the ten, these can be said in SQL; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -22,6 +22,17 @@ ORACLE: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
         FROM m""",
+    "op9_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT
+                   AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
 
 
@@ -43,6 +54,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that smaller doc_ids have."""
+    done = suffix_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("runs").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of at most 4096 tokens."""
@@ -93,6 +113,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@_query
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector."""
+    vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"))
+    found = topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def quality_net(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.ByteNet | None:
     """The network of op10, trained on the quality labels outside its fold."""
     labels = (read_table(spark, sf_dir, "labels").where(~quality.held_out("doc_id"))
