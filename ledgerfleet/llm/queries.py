@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, pii, quality, simhash, suffix_dedup, topk, warc
+from . import decontam, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("runs").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of a secret with its probability; the token itself
+    stays behind, its digest and first letters go out."""
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("token", 256).alias("token_sha256"),
+                        F.left("token", F.lit(4)).alias("token_start"), "probability", "is_secret")
+
+
 @_query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of at most 4096 tokens."""
