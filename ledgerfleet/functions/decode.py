@@ -16,6 +16,8 @@ RFC3339 = r"^(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)([Zz]|[+-]\
 PLAIN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,9})?$"
 # Text read as boolean true (compared lower-cased); anything else is false.
 TRUE_WORDS = ["true", "1", "t", "yes", "y"]
+# Ranges of the whole numbers a ledger holds.
+U32_MAX, I32_MIN, I32_MAX = 4294967295, -2147483648, 2147483647
 # -------------------------------------------------------------------------------
 
 
@@ -45,8 +47,9 @@ def decode_boolean(text) -> Column:
     return F.coalesce(F.lower(_c(text)).isin(*TRUE_WORDS), F.lit(False))
 
 
-def decode_int_or_zero(text) -> Column:
-    """An optionally signed run of digits, else 0 (also on overflow)."""
-    text = _c(text)
-    return (F.when(text.rlike(r"^[+-]?[0-9]+$"), F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint")))
-            .otherwise(F.lit(0).cast("bigint")))
+def decode_int_or_zero(text, low: int = 0, high: int = U32_MAX) -> Column:
+    """An optionally signed run of digits within [low, high], else 0.
+    Versions are unsigned 32-bit numbers (the default), durations signed ones
+    (``low=I32_MIN, high=I32_MAX``)."""
+    number = F.when(_c(text).rlike(r"^[+-]?[0-9]+$"), _c(text).try_cast("bigint"))
+    return F.when(number.between(low, high), number).otherwise(F.lit(0).cast("bigint"))

@@ -108,11 +108,16 @@ def candidates(conn) -> Column:
 
 
 def best_match(cands) -> dict[str, Column]:
-    """The top candidate unless the first two are within 0.1 (equal
-    tenths), which is ambiguous."""
+    """The top candidate unless the first two lie within 0.1 of each
+    other, which is ambiguous.  Confidences are single-precision numbers, so
+    0.9 against 0.8 (0.09999996 apart) is ambiguous and 0.8 against 0.7 is not."""
     cands = _c(cands)
     top, second = F.try_element_at(cands, F.lit(1)), F.try_element_at(cands, F.lit(2))
-    ambiguous = (F.size(cands) > 1) & (top["neg_conf"] == second["neg_conf"])
+    def single(c):
+        return (-c["neg_conf"] / F.lit(10)).cast("float")
+
+    near = F.abs(single(top) - single(second)) < F.lit(0.1).cast("float")
+    ambiguous = (F.size(cands) > 1) & near
     names = F.array_join(F.transform(cands, lambda x: F.concat(F.lit('"'), x["name"], F.lit('"'))), ", ")
     return {
         "dialect": F.when(~ambiguous, top["name"]),

@@ -109,55 +109,61 @@ def _regex_literal(text: str) -> str:
     return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in text)
 
 
-def marker_pattern(up: str, down: str) -> str:
-    """Java regex for 'the first Up marker, then the first Down marker after
-    it', ignoring ASCII case only (Java's default for (?i)), across lines."""
-    return "(?is)" + _regex_literal(up) + ".*?" + _regex_literal(down)
+def _after_first(marker: str) -> str:
+    """Java regex: everything after the first ``marker`` (group 1), ignoring
+    ASCII case only (Java's default for (?i)).  Anchored at the start, so the
+    text is walked once whether the marker is there or not."""
+    return "(?is)^.*?" + _regex_literal(marker) + "(.*)$"
+
+
+def _around_first(marker: str) -> str:
+    """Java regex: what stands before (group 1) and after (group 2) the first
+    ``marker``."""
+    return "(?is)^(.*?)" + _regex_literal(marker) + "(.*)$"
 
 
 def split_sections(df, content_col: str = "body", prefix: str = ""):
     """Add ``{prefix}marker_style`` (0 = none), ``{prefix}up_sql`` and
     ``{prefix}down_sql`` to ``df``.
 
-    The content is trimmed first.  For each marker style in order, one
-    case-insensitive regex finds the whole 'Up marker ... Down marker' span
-    (the first Up marker and the first Down marker after it); a later style
-    is only tried when the earlier ones found nothing.  The span's exact text
-    also gives its start (no earlier exact copy can exist, since the span
-    starts at the first Up marker).  The Up text lies inside the span, the
-    Down text follows it; both are trimmed.  With no complete pair the whole
-    trimmed text is the Up script and Down is NULL.  ASCII-only case folding
-    keeps character positions valid (SURVEY Q4 fix); '-- up' also matches
-    inside '-- update ...' (SURVEY Q3, kept).
+    The content is trimmed first.  For each marker style in order, the text
+    after the first Up marker is taken once; if it holds a Down marker, the
+    style is found: the Up text is what stands before that marker, the Down
+    text what follows it, both trimmed.  A style whose first Up marker has no
+    Down marker behind it is not tried again from a later Up, so the work is
+    linear in the text for every style; a later style is only tried when the
+    earlier ones found nothing.  With no complete pair the whole trimmed text is
+    the Up script and Down is NULL.  ASCII-only case folding keeps character
+    positions valid (SURVEY Q4 fix); '-- up' also matches inside '-- update ...'
+    (SURVEY Q3, kept; ``marker_in_comment`` reports it).
     """
-    t, m, ms = f"{prefix}_t", f"{prefix}_m", f"{prefix}marker_style"
+    t, ms = f"{prefix}_t", f"{prefix}marker_style"
+    n = len(MARKER_STYLES)
     df = df.withColumn(t, wtrim(content_col))
     # every marker starts with this caseless prefix: text without it (plain
     # prose) skips the regex scans
     may_have = F.instr(F.col(t), MARKER_PREFIX) > 0
-    match, style = None, F.lit(0)
-    for i, (up, down) in enumerate(MARKER_STYLES, start=1):
-        found = F.when(may_have, F.regexp_extract(F.col(t), marker_pattern(up, down), 0)).otherwise(F.lit(""))
-        match = found if match is None else F.when(match == "", found).otherwise(match)
-        df = df.withColumn(f"{m}{i}", match)
-        match = F.col(f"{m}{i}")
-    last = F.col(f"{m}{len(MARKER_STYLES)}")
-    for i in range(len(MARKER_STYLES), 0, -1):
-        style = F.when((F.col(f"{m}{i}") != "") & ((F.col(f"{m}{i - 1}") == "") if i > 1 else F.lit(True)),
-                       F.lit(i)).otherwise(style)
-    df = df.withColumn(ms, style)
-    up_len = F.lit(None).cast("int")
-    down_len = F.lit(None).cast("int")
+    earlier = F.lit(False)
     for i, (up, down) in enumerate(MARKER_STYLES, start=1):
-        up_len = F.when(F.col(ms) == i, F.lit(len(up))).otherwise(up_len)
-        down_len = F.when(F.col(ms) == i, F.lit(len(down))).otherwise(down_len)
-    span_len = F.length(last)
-    start = F.instr(F.col(t), last)
-    up_expr = F.when(F.col(ms) > 0, wtrim(last.substr(up_len + 1, span_len - up_len - down_len)))\
-        .otherwise(F.col(t))
-    down_expr = F.when(F.col(ms) > 0, wtrim(F.col(t).substr(start + span_len, F.length(F.col(t)))))
-    df = df.withColumn(f"{prefix}up_sql", up_expr).withColumn(f"{prefix}down_sql", down_expr)
-    return df.drop(t, *[f"{m}{i}" for i in range(1, len(MARKER_STYLES) + 1)])
+        df = df.withColumn(f"{prefix}_r{i}", F.when(
+            may_have & ~earlier, F.regexp_extract(F.col(t), _after_first(up), 1)).otherwise(F.lit("")))
+        df = df.withColumn(f"{prefix}_f{i}", F.col(f"{prefix}_r{i}").rlike("(?i)" + _regex_literal(down)))
+        earlier = earlier | F.col(f"{prefix}_f{i}")
+    style, up_expr, down_expr = F.lit(0), F.col(t), F.lit(None).cast("string")
+    for i in range(n, 0, -1):
+        found, rest, pattern = F.col(f"{prefix}_f{i}"), F.col(f"{prefix}_r{i}"), _around_first(MARKER_STYLES[i - 1][1])
+        style = F.when(found, F.lit(i)).otherwise(style)
+        up_expr = F.when(found, wtrim(F.regexp_extract(rest, pattern, 1))).otherwise(up_expr)
+        down_expr = F.when(found, wtrim(F.regexp_extract(rest, pattern, 2))).otherwise(down_expr)
+    df = (df.withColumn(ms, style).withColumn(f"{prefix}up_sql", up_expr)
+          .withColumn(f"{prefix}down_sql", down_expr))
+    return df.drop(t, *[f"{prefix}_{c}{i}" for i in range(1, n + 1) for c in "rf"])
+
+
+def marker_in_comment(text) -> Column:
+    """Q3: the first '-- up' of the text is the start of a longer word, such
+    as the comment '-- update the table' (ASCII case ignored)."""
+    return F.regexp_extract(_c(text), r"(?is)^.*?-- up(.?)", 1).rlike("^[A-Za-z]")
 
 
 def has_rollback(down) -> Column:

@@ -1,10 +1,11 @@
 """Catalog inventory, schema snapshot, expected-object sets and the corpus
 generator (S8-S11, J11, J14, M5, R10, T1, T2, T4).
 
-A catalog is a DataFrame (target_id, object_type, object_name, is_temporary);
-for the live Spark session it comes from ``SHOW TABLES`` (a DataFrame, no
-driver-side loop), for external databases from ``information_schema`` read
-over JDBC.
+A catalog is a DataFrame (target_id, dialect, schema_name, object_type,
+object_name, is_temporary), object_type being table, view, index or sequence.
+For the live Spark session it comes from ``SHOW`` statements, which are
+DataFrames themselves.  System objects are told by their schema; only SQLite,
+which has none, tells them by a name prefix.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from .joins import per_target_join
 from .scan import ordinal
 
 # --- fixed values: system objects never listed, snapshot text, generator ------
-SYSTEM_PREFIXES = ["sqlite_", "pg_", "information_schema", "sys."]
+SYSTEM_SCHEMAS = {"PostgreSQL": ["information_schema", "pg_catalog"],
+                  "MySQL": ["information_schema", "mysql", "performance_schema", "sys"]}
+SQLITE_PREFIX = "sqlite_"
 SNAPSHOT_HEADER = "-- Schema dump for baseline version %d"
 SNAPSHOT_TABLES = "-- Tables found:"
 SNAPSHOT_TABLE = "-- Table: %s"
@@ -38,21 +41,36 @@ ID_RANGE = 100                # ids updated / deleted are $RANDOM % 100
 
 
 def live_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """S8 on the running session: tables and views of a database as a
-    DataFrame (``SHOW TABLES`` is already one)."""
-    q = "SHOW TABLES" + (f" IN {database}" if database else "")
-    t = spark.sql(q)
-    return t.select(F.coalesce(F.col("namespace"), F.lit("")).alias("target_id"),
-                    F.lit("table").alias("object_type"), F.col("tableName").alias("object_name"),
-                    F.col("isTemporary").alias("is_temporary"))
+    """S8 on the running session: tables and views of a database (of the
+    current one by default), temporary views included."""
+    where = f" IN {database}" if database else ""
+    views = (spark.sql("SHOW VIEWS" + where)
+             .select("namespace", F.col("viewName").alias("object_name"), "isTemporary").withColumn("_view", F.lit(True)))
+    every = spark.sql("SHOW TABLES" + where).select("namespace", F.col("tableName").alias("object_name"), "isTemporary")
+    return (every.join(views, ["namespace", "object_name", "isTemporary"], "left")
+            .select(F.lit("session").alias("target_id"), F.lit("Databricks").alias("dialect"),
+                    F.coalesce("namespace", F.lit("")).alias("schema_name"),
+                    F.when(F.col("_view"), F.lit("view")).otherwise(F.lit("table")).alias("object_type"),
+                    "object_name", F.col("isTemporary").alias("is_temporary")))
+
+
+def live_schemas(spark: SparkSession) -> DataFrame:
+    """The schema names of the running session."""
+    return spark.sql("SHOW DATABASES").select(F.col("namespace").alias("schema_name"))
+
+
+def is_system_object():
+    """Whether a catalog row belongs to the database system of its dialect."""
+    cond = (F.col("dialect") == "SQLite") & (F.col("object_type") == "table") \
+        & F.lower("object_name").startswith(SQLITE_PREFIX)
+    for dialect, schemas in SYSTEM_SCHEMAS.items():
+        cond = cond | ((F.col("dialect") == dialect) & F.col("schema_name").isin(*schemas))
+    return F.coalesce(cond, F.lit(False))
 
 
 def inventory(catalog: DataFrame) -> DataFrame:
     """The object list without system objects."""
-    cond = F.lit(False)
-    for p in SYSTEM_PREFIXES:
-        cond = cond | F.lower(F.col("object_name")).startswith(p)
-    return catalog.where(~cond)
+    return catalog.where(~is_system_object())
 
 
 def user_tables(catalog: DataFrame) -> DataFrame:
@@ -63,9 +81,11 @@ def user_tables(catalog: DataFrame) -> DataFrame:
 
 def snapshot_lines(catalog: DataFrame, versions: DataFrame) -> DataFrame:
     """The baseline snapshot of each target as numbered text lines
-    (header, one line per object by name, marker, footer); ``versions`` has
-    (target_id, baseline_version).  Write with ``write_snapshot``."""
-    objs = inventory(catalog).select("target_id", "object_name").distinct()
+    (header, one line per object by name, marker, footer); the ledger table is
+    left out.  ``versions`` has (target_id, baseline_version).  Write with
+    ``write_snapshot``."""
+    objs = (inventory(catalog).where(F.col("object_name") != LEDGER_TABLE)
+            .select("target_id", "object_name").distinct())
     objs = ordinal(objs, ["target_id"], [F.col("object_name")], "obj_pos")
     body = per_target_join(objs, versions, ["target_id"], "inner", spread_by=["object_name"])
     body = body.select("target_id", "baseline_version", (F.col("obj_pos") + 2).alias("line_no"),
@@ -83,9 +103,13 @@ def snapshot_lines(catalog: DataFrame, versions: DataFrame) -> DataFrame:
     return body.unionByName(fixed)
 
 
-def write_snapshot(lines: DataFrame, path: str) -> None:
-    """S10 sink: one Parquet dataset partitioned by target and baseline."""
-    lines.write.mode("overwrite").partitionBy("target_id", "baseline_version").parquet(path)
+def write_snapshot(lines: DataFrame, path: str, baseline: int) -> str:
+    """S10 sink: the lines of one baseline under a folder of its own; an
+    earlier baseline's snapshot stays, and writing one twice is an error."""
+    out = f"{path.rstrip('/')}/baseline={baseline}"
+    (lines.where(F.col("baseline_version") == baseline)
+     .write.mode("errorifexists").partitionBy("target_id").parquet(out))
+    return out
 
 
 def ddl_objects(scripts: DataFrame) -> DataFrame:

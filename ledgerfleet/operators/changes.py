@@ -5,6 +5,9 @@ are a DataFrame ``(target_id, version, <key>, op, value)`` with op in
 {insert, update, delete}, and the new table is a transform of the old one,
 written to a new snapshot path.
 
+A row is known by (target_id, key): two targets of a fleet may hold the same
+key in their own tables, so the base table carries ``target_id`` too.
+
 Apply (R7), per target in version order, stops at the first failing change
 (SURVEY Q25).  A change fails when a data check would reject it before the
 write: an insert of a key that exists at that moment (primary key, M10), or a
@@ -14,12 +17,17 @@ change only depends on the key's earlier changes, so:
 * ``exists_before`` = the key's last earlier insert/delete (skew-proof scan),
   else whether the base table has the key;
 * the first failing version per target is a grouped ``min``;
-* applied = before it, failed = it, blocked = after it.
+* applied = before it, failed = it, blocked = after it;
+* a target with sequence issues (``gate``) is not touched at all: its changes
+  are blocked (SURVEY Q9).
 
 The final state of a key is a grouped fold of its applied changes (no
-ordering beyond ``max_by``): the last insert/delete decides existence, the
-last change decides the value, and a key with only updates keeps its base
-row (if any) with the new value.  Keys map to one target each.
+ordering beyond ``max_by``, all buffers of fixed width): the last insert/delete
+decides existence, the last change decides the value, and a key with only
+updates keeps its base row (if any) with the new value.
+
+Rollback (R9) validates first (SURVEY Q21): a target one of whose changes to
+undo has no script, or a script without a Down section, is left as it is.
 """
 
 from __future__ import annotations
@@ -28,22 +36,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import per_target_join
+from .rollback import check_plan
 from .scan import last_before
 
 OPS = ("insert", "update", "delete")
+TARGET = "target_id"
+
+
+def _code(op: str):
+    """Operations as numbers, so that folds have buffers of a fixed width."""
+    return F.when(F.col(op) == "insert", 0).when(F.col(op) == "update", 1).when(F.col(op) == "delete", 2)
 
 
-def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "value") -> DataFrame:
+def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "value",
+                  gate: DataFrame | None = None) -> DataFrame:
     """Add ``exists_before``, ``fails`` and ``status`` (applied / failed /
-    blocked) to every change."""
+    blocked) to every change.  ``gate`` holds the target_ids whose scripts have
+    sequence issues."""
+    keys = [TARGET, key]
     # the ordered scan runs on the change rows alone (its sampling and
     # freezing jobs read nothing else); base existence is joined afterwards
     ch = changes.withColumn("_reset", F.when(F.col("op") != "update", F.col("op")))
-    ch = last_before(ch, [key], [F.col("version")], "_reset", "_prev_reset")
+    ch = last_before(ch, keys, [F.col("version")], "_reset", "_prev_reset")
     # one row per key on the base side: a plain join (a hot key on the change
     # side is split by AQE's skew join; salting would copy the whole table)
-    base_keys = base.select(key).distinct().withColumn("_in_base", F.lit(True))
-    ch = ch.join(base_keys, [key], "left")
+    base_keys = base.select(*keys).distinct().withColumn("_in_base", F.lit(True))
+    ch = ch.join(base_keys, keys, "left")
     exists = (F.when(F.col("_prev_reset") == "insert", F.lit(True))
               .when(F.col("_prev_reset") == "delete", F.lit(False))
               .otherwise(F.coalesce(F.col("_in_base"), F.lit(False))))
@@ -51,20 +69,28 @@ def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "v
     fails = (((F.col("op") == "insert") & F.col("exists_before"))
              | (F.col("op").isin("insert", "update") & F.col(value).isNull()))
     ch = ch.withColumn("fails", fails).drop("_reset", "_prev_reset", "_in_base")
-    first = (ch.where("fails").groupBy("target_id").agg(F.min("version").alias("_first_fail")))
-    ch = per_target_join(ch, first, ["target_id"], "left", spread_by=["version"])
-    status = (F.when(F.col("_first_fail").isNull() | (F.col("version") < F.col("_first_fail")), F.lit("applied"))
+    first = ch.where("fails").groupBy(TARGET).agg(F.min("version").alias("_first_fail"))
+    if gate is not None:
+        gated = gate.select(TARGET).distinct().withColumn("_gated", F.lit(True))
+        first = first.join(gated, TARGET, "full_outer")
+    else:
+        first = first.withColumn("_gated", F.lit(False))
+    ch = per_target_join(ch, first, [TARGET], "left", spread_by=["version"])
+    status = (F.when(F.coalesce("_gated", F.lit(False)), F.lit("blocked"))
+              .when(F.col("_first_fail").isNull() | (F.col("version") < F.col("_first_fail")), F.lit("applied"))
               .when(F.col("version") == F.col("_first_fail"), F.lit("failed")).otherwise(F.lit("blocked")))
-    return ch.withColumn("status", status).drop("_first_fail")
+    return ch.withColumn("status", status).drop("_first_fail", "_gated")
 
 
 def fold_state(applied: DataFrame, key: str, value: str = "value") -> DataFrame:
     """Final state per touched key from its applied changes: ``last_reset``
     (insert / delete / NULL when only updates) and ``last_value``."""
-    reset = F.when(F.col("op") != "update", F.struct(F.col("version").alias("v"), F.col("op").alias("op")))
-    return (applied.groupBy(key)
-            .agg(F.max(reset).alias("_r"), F.max_by(F.col(value), F.col("version")).alias("last_value"))
-            .select(key, F.col("_r.op").alias("last_reset"), "last_value"))
+    reset_at = F.when(F.col("op") != "update", F.col("version"))
+    last = F.max_by(_code("op"), reset_at)
+    return (applied.groupBy(TARGET, key)
+            .agg(last.alias("_r"), F.max_by(F.col(value), F.col("version")).alias("last_value"))
+            .select(TARGET, key, F.when(F.col("_r") == 0, F.lit("insert")).when(F.col("_r") == 2, F.lit("delete"))
+                    .alias("last_reset"), "last_value"))
 
 
 def apply_to_table(base: DataFrame, state: DataFrame, key: str, set_col: str,
@@ -72,7 +98,8 @@ def apply_to_table(base: DataFrame, state: DataFrame, key: str, set_col: str,
     """M2/M3/M4 in one copy-on-write pass: full outer join of the base table
     with the per-key state (both unique per key, so no skew)."""
     defaults = defaults or {}
-    j = base.withColumn("_b", F.lit(True)).join(state.withColumn("_s", F.lit(True)), key, "full_outer")
+    keys = [TARGET, key]
+    j = base.withColumn("_b", F.lit(True)).join(state.withColumn("_s", F.lit(True)), keys, "full_outer")
     touched = F.col("_s").isNotNull()
     keep = (~touched
             | (F.col("last_reset") == "insert")
@@ -82,36 +109,55 @@ def apply_to_table(base: DataFrame, state: DataFrame, key: str, set_col: str,
     cols = []
     for f in base.schema.fields:
         c = f.name
-        if c == key:
+        if c in keys:
             cols.append(F.col(c))
         elif c == set_col:
             cols.append(F.when(touched, F.col("last_value")).otherwise(F.col(c)).cast(f.dataType).alias(c))
         else:
             dflt = defaults.get(c)
             new_val = F.lit(dflt).cast(f.dataType) if dflt is not None else F.lit(None).cast(f.dataType)
-            cols.append(F.when(touched & fresh, new_val).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(touched & F.coalesce(fresh, F.lit(False)), new_val).otherwise(F.col(c)).alias(c))
     return out.select(*cols)
 
 
-def apply_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str,
-                  defaults: dict | None = None, up_to_version: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """R7 (and R9 with ``up_to_version``): returns (new table, change status)."""
-    st = change_status(changes, base, key)
+def apply_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str, defaults: dict | None = None,
+                  gate: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new table, change status)."""
+    st = change_status(changes, base, key, gate=gate)
     applied = st.where(F.col("status") == "applied")
-    if up_to_version is not None:
-        applied = applied.where(F.col("version") <= F.lit(up_to_version))
-    table = apply_to_table(base, fold_state(applied, key), key, set_col, defaults)
-    return table, st
+    return apply_to_table(base, fold_state(applied, key), key, set_col, defaults), st
+
+
+def rollback_check(status: DataFrame, scripts: DataFrame, up_to_version: int) -> DataFrame:
+    """R9 gate: the applied changes above the version, each with the check of
+    its script (OK / NO_DOWN / MISSING_FILE); ``scripts`` has target_id, version,
+    kind, path, has_rollback."""
+    plan = (status.where((F.col("status") == "applied") & (F.col("version") > F.lit(up_to_version)))
+            .select(TARGET, "version", F.format_string("%04d_change.sql", "version").alias("filename")))
+    return check_plan(plan, scripts)
+
+
+def rollback_changes(base: DataFrame, status: DataFrame, scripts: DataFrame, key: str, set_col: str, up_to_version: int,
+                     defaults: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the table as of ``up_to_version``, the 'remove' events of the
+    undone changes); targets whose rollback fails its check keep everything."""
+    bad = (rollback_check(status, scripts, up_to_version).where(F.col("check_status") != "OK")
+           .select(TARGET).distinct().withColumn("_bad", F.lit(True)))
+    applied = per_target_join(status.where(F.col("status") == "applied"), bad, [TARGET], "left", spread_by=["version"])
+    stays = F.coalesce("_bad", F.lit(False)) | (F.col("version") <= F.lit(up_to_version))
+    table = apply_to_table(base, fold_state(applied.where(stays), key), key, set_col, defaults)
+    return table, applied.where(~stays).select(TARGET, "version", F.lit("remove").alias("op"))
 
 
 def publish_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str, snapshot_path: str,
-                    ledger_log_path: str, defaults: dict | None = None, at: str | None = None) -> DataFrame:
+                    ledger_log_path: str, defaults: dict | None = None, at: str | None = None,
+                    gate: DataFrame | None = None) -> DataFrame:
     """R7 end to end: write the new table to ``snapshot_path`` (a new path,
     never the one being read), then append the L1-L3 events to the ledger
     log at ``ledger_log_path``.  The events are appended only after the
     snapshot is complete, so readers that follow the ledger never see a
     half-written table.  Returns the change status."""
-    table, status = apply_changes(base, changes, key, set_col, defaults)
+    table, status = apply_changes(base, changes, key, set_col, defaults, gate)
     table.write.mode("errorifexists").parquet(snapshot_path)
     stamp = F.lit(at).cast("timestamp_ntz") if at else F.localtimestamp()
     (ledger_events(status).withColumn("snapshot", F.lit(snapshot_path)).withColumn("ts", stamp)
@@ -127,12 +173,6 @@ def ledger_events(status: DataFrame) -> DataFrame:
     return tried.select("target_id", "version", F.explode(F.array(F.lit("start"), end)).alias("op"))
 
 
-def rollback_events(status: DataFrame, up_to_version: int) -> DataFrame:
-    """R9: 'remove' events for applied changes above the target version."""
-    return (status.where((F.col("status") == "applied") & (F.col("version") > F.lit(up_to_version)))
-            .select("target_id", "version", F.lit("remove").alias("op")))
-
-
 def dry_run(status: DataFrame) -> DataFrame:
     """What R7 would do, counted per target, op and outcome."""
     return status.groupBy("target_id", "op", "status").agg(F.count(F.lit(1)).alias("changes"))
@@ -140,16 +180,29 @@ def dry_run(status: DataFrame) -> DataFrame:
 
 # --- single-purpose change operators ---------------------------------------------
 
+def create_table(spark, name: str, schema, location: str) -> None:
+    """M1: CREATE TABLE IF NOT EXISTS with ``schema`` (a StructType)."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{location}'")
+
+
+def replace_view(view: DataFrame, name: str) -> None:
+    """M8: drop-and-recreate of a view."""
+    view.createOrReplaceTempView(name)
+
+
 def insert_rows(base: DataFrame, rows: DataFrame) -> DataFrame:
     """M2: append rows (columns by name; missing ones NULL)."""
     return base.unionByName(rows, allowMissingColumns=True)
 
 
-def update_where(base: DataFrame, updates: DataFrame, key: str, set_col: str, value: str = "value") -> DataFrame:
-    """M3: set ``set_col`` where the key has an update (the latest one)."""
-    last = updates.groupBy(key).agg(F.max_by(F.col(value), F.col("version")).alias("_v"))
-    j = base.join(last, key, "left")
-    return j.withColumn(set_col, F.coalesce(F.col("_v"), F.col(set_col)).cast(base.schema[set_col].dataType)).drop("_v")
+def update_where(base: DataFrame, updates: DataFrame, keys: list[str], set_col: str, value: str = "value") -> DataFrame:
+    """M3: set ``set_col`` where the key has an update (the latest one; a NULL
+    is a value like any other)."""
+    last = updates.groupBy(*keys).agg(F.max_by(F.col(value), F.col("version")).alias("_v")).withColumn("_hit", F.lit(True))
+    j = base.join(last, keys, "left")
+    new = F.when(F.col("_hit"), F.col("_v")).otherwise(F.col(set_col)).cast(base.schema[set_col].dataType)
+    return j.withColumn(set_col, new).drop("_v", "_hit")
 
 
 def delete_where(base: DataFrame, cond) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..model import SEVERITY_RANK
 from . import reconcile as rc
 from .joins import per_target_join
-from .scan import ordinal
+from .scan import freeze, ordinal
 
 # --- fixed values: finding texts -------------------------------------------
 MSG_GAP = "Version gap detected: expected %d, found Some(%d) in %s"
@@ -23,6 +23,8 @@ MSG_DUP_VERSION = "Duplicate version %d found in %s"
 MSG_DUP_NAME = "Duplicate repeatable migration name '%s' found in %s"
 MSG_DRIFT = "Checksum mismatch for %s: stored=%s, current=%s"
 MSG_FAILED = "Migration %s failed during application"
+MSG_MARKER = "Marker '-- UP' of %s is part of a longer comment"
+MSG_TIME = "Timestamp '%s' of migration %s cannot be read"
 MSG_ORPHAN = "Migration %s exists in database but corresponding file not found"
 # ---------------------------------------------------------------------------
 
@@ -52,11 +54,10 @@ def later_duplicates(df: DataFrame, key: str, tie: list[str] | None = None) -> D
 
 
 def later_copies(df: DataFrame, key: str, tie: str) -> DataFrame:
-    """Rows that are not the first of their (target, key) group by ``tie``
-    -- the W2 flag without numbering: the first ``tie`` per group is a
-    partially aggregated ``min``, joined back (AQE splits a hot group)."""
-    first = df.groupBy("target_id", key).agg(F.min(tie).alias("_first"))
-    return df.join(first, ["target_id", key]).where(F.col(tie) > F.col("_first")).drop("_first")
+    """Rows that are not the first of their (target, key) group by ``tie``:
+    the W2 flag.  Only rows of groups with two or more are numbered."""
+    several = df.join(duplicate_groups(df, key).select("target_id", key), ["target_id", key])
+    return ordinal(several, ["target_id", key], [F.col(tie)], "_occ", freeze_input=True).where("_occ > 1").drop("_occ")
 
 
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
@@ -74,9 +75,14 @@ def count_by_kind(scripts: DataFrame) -> DataFrame:
         F.count_if(F.col("kind") == "invalid").alias("invalid"))
 
 
-def sequence_findings(scripts: DataFrame) -> DataFrame:
+# Sequence issues stop an apply; the other reports only warn.
+SEQUENCE_SEVERITY = {"apply": "FAIL"}
+
+
+def sequence_findings(scripts: DataFrame, report: str = "validate") -> DataFrame:
     """Gap, duplicate-version and duplicate-name findings of a parsed corpus
-    (the reference's sequence validator), severity WARN."""
+    (the reference's sequence validator), with the severity they have in
+    ``report`` (apply, status, validate or health)."""
     v = scripts.where(F.col("kind") == "versioned").select("target_id", "version", "filename", "path")
     gaps = (version_positions(v, ["path"]).where("is_gap")
             .select("target_id", F.lit("version_gap").alias("check"), F.col("filename").alias("subject"),
@@ -89,7 +95,31 @@ def sequence_findings(scripts: DataFrame) -> DataFrame:
     names = (later_copies(r, "name", "path")
              .select("target_id", F.lit("duplicate_name").alias("check"), F.col("filename").alias("subject"),
                      F.format_string(MSG_DUP_NAME, F.col("name"), F.col("filename")).alias("message")))
-    return gaps.unionByName(dups).unionByName(names).withColumn("severity", F.lit("WARN"))
+    severity = SEQUENCE_SEVERITY.get(report, "WARN")
+    return gaps.unionByName(dups).unionByName(names).withColumn("severity", F.lit(severity))
+
+
+def apply_gate(scripts: DataFrame) -> DataFrame:
+    """Q9: targets whose scripts have sequence issues; nothing is applied there."""
+    return sequence_findings(scripts, "apply").where(F.col("severity") == "FAIL").select("target_id").distinct()
+
+
+def marker_findings(scripts: DataFrame) -> DataFrame:
+    """Q3: scripts (with ``body``) whose Up marker was found inside a longer
+    comment such as '-- update the table'."""
+    from ..functions import scripts as fs
+    p = scripts.where((F.col("marker_style") == 2) & fs.marker_in_comment("body"))
+    return p.select("target_id", F.lit("marker_in_comment").alias("check"), F.col("path").alias("subject"),
+                    F.format_string(MSG_MARKER, F.col("path")).alias("message"), F.lit("WARN").alias("severity"))
+
+
+def unreadable_times(ledger_text: DataFrame) -> DataFrame:
+    """Q14: ledger rows in text form whose time is there but cannot be read."""
+    from ..functions import decode as dc
+    bad = ledger_text.where((F.col("applied_at") != "NULL") & dc.decode_timestamp("applied_at").isNull())
+    return bad.select("target_id", F.lit("unreadable_time").alias("check"), F.col("migration_id").alias("subject"),
+                      F.format_string(MSG_TIME, F.col("applied_at"), F.col("migration_id")).alias("message"),
+                      F.lit("WARN").alias("severity"))
 
 
 def ledger_findings(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -98,7 +128,7 @@ def ledger_findings(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
     yields all three; each joined row explodes into its 0-2 findings."""
     s = scripts.select("target_id", F.col("identifier").alias("migration_id"), "filename", "checksum",
                        F.lit(True).alias("_s"))
-    led = rc.non_baseline(ledger).select("target_id", "migration_id", F.col("filename").alias("l_filename"),
+    led = rc.latest_runs(ledger).select("target_id", "migration_id", F.col("filename").alias("l_filename"),
                                          F.col("checksum").alias("stored_checksum"), "success",
                                          F.lit(True).alias("_l"))
     j = s.join(led, ["target_id", "migration_id"], "full_outer")
@@ -137,15 +167,17 @@ def validation_summary(findings: DataFrame, targets: DataFrame) -> DataFrame:
     return out.withColumn("verdict", F.when(F.col("errors") > 0, F.lit("FAILED")).otherwise(F.lit("PASSED")))
 
 
-def worst_status(findings: DataFrame) -> DataFrame:
-    """Per target the worst severity, Fail > Warn > Pass."""
+def worst_status(findings: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per target the worst severity, Fail > Warn > Pass; a target
+    without findings passes."""
     rank = F.lit(0)
     for name, r in SEVERITY_RANK.items():
         rank = F.when(F.col("severity") == name, F.lit(r)).otherwise(rank)
     back = F.lit("PASS")
     for name, r in SEVERITY_RANK.items():
         back = F.when(F.col("worst_rank") == r, F.lit(name)).otherwise(back)
-    return (findings.groupBy("target_id").agg(F.max(rank).alias("worst_rank"))
+    worst = findings.groupBy("target_id").agg(F.max(rank).alias("worst_rank"))
+    return (targets.select("target_id").distinct().join(worst, "target_id", "left")
             .withColumn("status", back).drop("worst_rank"))
 
 
@@ -153,6 +185,7 @@ def numbered_findings(findings: DataFrame) -> DataFrame:
     """A10: the findings of a target as one ordered list -- kept as rows
     (item i of n, ordered by message) instead of one concatenated string, so
     a target with millions of findings is never gathered into one value."""
+    findings = freeze(findings)      # numbered and counted: computed once
     out = ordinal(findings, ["target_id"], [F.col("message"), F.col("check"), F.col("subject")], "item")
     n = findings.groupBy("target_id").agg(F.count(F.lit(1)).alias("items"))
     return per_target_join(out, n, ["target_id"], "inner", spread_by=["item"])
@@ -160,7 +193,7 @@ def numbered_findings(findings: DataFrame) -> DataFrame:
 
 def applied_matches_corpus(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Per target, successful ledger rows against script files."""
-    applied = (rc.non_baseline(ledger).where("success").groupBy("target_id")
+    applied = (rc.latest_runs(ledger).where("success").groupBy("target_id")
                .agg(F.count(F.lit(1)).alias("applied")))
     files = scripts.groupBy("target_id").agg(F.count(F.lit(1)).alias("files"))
     return (files.join(applied, "target_id", "full_outer")

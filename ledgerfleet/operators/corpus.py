@@ -16,17 +16,25 @@ KEY_COLUMNS = ["target_id", "path", "kind", "version", "name", "filename", "iden
                "checksum", "has_rollback", "line_count"]
 
 
-def parse_scripts(corpus: DataFrame, checksum_algo: str = "md5") -> DataFrame:
-    """Add kind/version/name/canonical filename/identifier (P1-P5), the
-    Up/Down split (P6), has_rollback (P7), checksum of the Up text (P8) and
-    the Up line count (P9) to a corpus of (target_id, path, body)."""
+# What the file name alone tells.
+NAME_COLUMNS = ["target_id", "path", "kind", "version", "name", "filename", "identifier"]
+
+
+def parse_names(corpus: DataFrame) -> DataFrame:
+    """Add kind/version/name/canonical filename/identifier."""
     fname = F.col("path")  # the file name; sources hand over base names
     df = corpus.withColumn("kind", fs.migration_kind(fname))
     df = (df.withColumn("version", fs.migration_version(fname, "kind"))
             .withColumn("name", fs.migration_name(fname, "kind")))
-    df = (df.withColumn("filename", fs.canonical_filename("kind", "version", "name"))
-            .withColumn("identifier", fs.migration_identifier("kind", "version", "name")))
-    df = fs.split_sections(df, "body")
+    return (df.withColumn("filename", fs.canonical_filename("kind", "version", "name"))
+              .withColumn("identifier", fs.migration_identifier("kind", "version", "name")))
+
+
+def parse_scripts(corpus: DataFrame, checksum_algo: str = "md5") -> DataFrame:
+    """``parse_names``, and the Up/Down split (P6), has_rollback (P7), checksum
+    of the Up text (P8) and the Up line count (P9) of a corpus of (target_id,
+    path, body)."""
+    df = fs.split_sections(parse_names(corpus), "body")
     return (df.withColumn("has_rollback", fs.has_rollback("down_sql"))
               .withColumn("checksum", fs.checksum("up_sql", checksum_algo))
               .withColumn("line_count", fs.line_count("up_sql")))

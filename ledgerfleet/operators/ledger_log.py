@@ -13,12 +13,16 @@ current ledger is a fold of the events per key:
 
 "The last update after the live start" is "the last update overall, if it
 comes after the last start/remove", so the whole fold is one grouped
-aggregation of three ``max(struct)`` values -- map-side partial aggregation,
-no join, no per-key sort, and the same aggregation runs in a stream (ST1).
+aggregation -- map-side partial aggregation, no join, no per-key sort, and the
+same aggregation runs in a stream (ST1).  The order (time, sequence) is one
+decimal and operations are small numbers: every buffer has a fixed width, so
+Spark aggregates in a hash table instead of sorting the log.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,47 +33,75 @@ RESET_OPS = ("start", "remove")
 UPDATE_OPS = ("success", "failure")
 
 
+OPS = ("start", "success", "failure", "remove")
+
+
 def _after(ts, eid, ts0, eid0):
     return (F.col(ts) > F.col(ts0)) | ((F.col(ts) == F.col(ts0)) & (F.col(eid) > F.col(eid0)))
 
 
+def event_order(ts: str, seq: str):
+    """(ts, seq) as one decimal: microseconds since 1970 times 10**19 plus the
+    sequence number (both of any size a timestamp and a long can have)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    return (micros.cast("decimal(18,0)") * F.lit(Decimal(10 ** 19)).cast("decimal(20,0)")).cast("decimal(38,0)") \
+        + F.col(seq).cast("decimal(19,0)")
+
+
+def op_code(op="op"):
+    """Operations as numbers (their place in OPS)."""
+    code = F.lit(None).cast("int")
+    for k, name in enumerate(OPS):
+        code = F.when(F.col(op) == name, F.lit(k)).otherwise(code)
+    return code
+
+
+def op_name(code):
+    """The operation of a number."""
+    name = F.lit(None).cast("string")
+    for k, own in enumerate(OPS):
+        name = F.when(code == k, F.lit(own)).otherwise(name)
+    return name
+
+
 def latest_event(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id") -> DataFrame:
     """The last event per key by (ts, seq) -- one current row per id."""
-    order = F.struct(ts, seq)
-    last = F.max_by(F.struct(*[c for c in log.columns if c not in key]), order)
-    return log.groupBy(*key).agg(last.alias("_last")).select(*key, "_last.*")
+    order = event_order(ts, seq)
+    others = [c for c in log.columns if c not in key]
+    last = [F.max_by(op_code(c) if c == "op" else F.col(c), order).alias(c) for c in others]
+    out = log.groupBy(*key).agg(*last)
+    return out.withColumn("op", op_name(F.col("op"))) if "op" in others else out
 
 
 def state_aggregates(ts: str = "ts", seq: str = "event_id", ms: str = "ms") -> list:
-    """The three running maxima the fold needs: last reset (start/remove),
-    last update (success/failure) and last success, each by (ts, seq).
-    Plain ``max`` of structs, so batch and streaming aggregation share them."""
-    op = F.col("op")
-    return [
-        F.max(F.when(op.isin(*RESET_OPS), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"),
-                                                   op.alias("op")))).alias("_reset"),
-        F.max(F.when(op.isin(*UPDATE_OPS), F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), op.alias("op"),
-                                                    F.col(ms).cast("long").alias("ms")))).alias("_update"),
-        F.max(F.when(op == "success", F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))).alias("_success"),
-    ]
+    """The running maxima the fold needs: place, operation and time of the last
+    reset (start/remove), place, operation and duration of the last update
+    (success/failure), place and time of the last success."""
+    op, order, code = F.col("op"), event_order(ts, seq), op_code()
+    reset = F.when(op.isin(*RESET_OPS), order)
+    update = F.when(op.isin(*UPDATE_OPS), order)
+    success = F.when(op == "success", order)
+    return [F.max(reset).alias("_reset"), F.max_by(code, reset).alias("_reset_op"), F.max_by(F.col(ts), reset).alias("_reset_ts"),
+            F.max(update).alias("_update"), F.max_by(code, update).alias("_update_op"),
+            F.max_by(F.col(ms).cast("long"), update).alias("_update_ms"),
+            F.max(success).alias("_success"), F.max_by(F.col(ts), success).alias("_success_ts")]
+
+
+STATE_COLUMNS = ["_reset", "_reset_op", "_reset_ts", "_update", "_update_op", "_update_ms", "_success", "_success_ts"]
 
 
 def state_from_aggregates(agg, key: list[str]):
     """Current row per key from ``state_aggregates``: the key exists when
     its last reset is a start; an update counts when it comes after it."""
-    r, u, sc = F.col("_reset"), F.col("_update"), F.col("_success")
-
-    def after(x):
-        return (x["t"] > r["t"]) | ((x["t"] == r["t"]) & (x["s"] > r["s"]))
-
-    u_after = F.coalesce(after(u), F.lit(False))
-    s_after = F.coalesce(after(sc), F.lit(False))
-    return agg.where(r["op"] == "start").select(
+    u_after = F.coalesce(F.col("_update") > F.col("_reset"), F.lit(False))
+    s_after = F.coalesce(F.col("_success") > F.col("_reset"), F.lit(False))
+    start, success = OPS.index("start"), OPS.index("success")
+    return agg.where(F.col("_reset_op") == start).select(
         *key,
-        F.when(s_after, sc["t"]).otherwise(r["t"]).alias("applied_at"),
-        F.when(u_after, u["ms"]).otherwise(F.lit(0).cast("long")).alias("execution_time_ms"),
-        (u_after & (u["op"] == "success")).alias("success"),
-        F.when(u_after, u["op"]).otherwise(F.lit("start")).alias("last_op"))
+        F.when(s_after, F.col("_success_ts")).otherwise(F.col("_reset_ts")).alias("applied_at"),
+        F.when(u_after, F.col("_update_ms")).otherwise(F.lit(0).cast("long")).alias("execution_time_ms"),
+        (u_after & (F.col("_update_op") == success)).alias("success"),
+        op_name(F.when(u_after, F.col("_update_op")).otherwise(F.lit(start))).alias("last_op"))
 
 
 def ledger_state(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id",
@@ -89,30 +121,38 @@ def record_start(log: DataFrame, key: list[str], ts: str = "ts") -> DataFrame:
         F.lit(False).alias("success"))
 
 
-def record_success(log: DataFrame, key: list[str], ts: str = "ts", ms: str = "ms") -> DataFrame:
-    """L2: the row after a success: its time, success, its timestamp."""
-    return log.where(F.col("op") == "success").select(
+def _with_live(log: DataFrame, key: list[str], ts: str, seq: str) -> DataFrame:
+    """Add ``_live`` (the key has a row before this event: its last start or
+    remove is a start) and ``_kept`` (the time that row bears)."""
+    marked = (log.withColumn("_reset", F.when(F.col("op").isin(*RESET_OPS), F.col("op")))
+              .withColumn("_stamp", F.when(F.col("op").isin("start", "success"), F.col(ts))))
+    prev = last_before(marked, key, [F.col(ts), F.col(seq)], ["_reset", "_stamp"], ["_before", "_kept"])
+    return prev.withColumn("_live", F.coalesce(F.col("_before") == "start", F.lit(False)))
+
+
+def record_success(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id", ms: str = "ms") -> DataFrame:
+    """L2: the row after a success: its time, success, its timestamp.  A
+    success of a key without a row updates nothing."""
+    return _with_live(log, key, ts, seq).where((F.col("op") == "success") & F.col("_live")).select(
         *key, F.col(ts).alias("applied_at"), F.col(ms).cast("long").alias("execution_time_ms"),
         F.lit(True).alias("success"))
 
 
 def record_failure(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id",
                    ms: str = "ms") -> DataFrame:
-    """L3: the row after a failure: its time, success false, applied_at kept
-    from the latest earlier start or success of the key (NULL when the key
-    has none: the reference's UPDATE then touches no row)."""
-    marked = log.withColumn("_stamp", F.when(F.col("op").isin("start", "success"), F.col(ts)))
-    prev = last_before(marked, key, [F.col(ts), F.col(seq)], "_stamp", "_kept")
-    return prev.where(F.col("op") == "failure").select(
+    """L3: the row after a failure: its duration, success false, applied_at
+    kept from the live row's start or latest success.  A failure of a key
+    without a row (never started, or removed since) updates nothing."""
+    return _with_live(log, key, ts, seq).where((F.col("op") == "failure") & F.col("_live")).select(
         *key, seq, F.col("_kept").alias("applied_at"), F.col(ms).cast("long").alias("execution_time_ms"),
         F.lit(False).alias("success"))
 
 
 def removed_keys(log: DataFrame, key: list[str], ts: str = "ts", seq: str = "event_id") -> DataFrame:
     """L4: keys whose row the log has deleted (last start/remove is remove)."""
-    order = F.struct(ts, seq)
     return (log.where(F.col("op").isin(*RESET_OPS)).groupBy(*key)
-            .agg(F.max_by(F.col("op"), order).alias("op")).where(F.col("op") == "remove").select(*key))
+            .agg(F.max_by(op_code(), event_order(ts, seq)).alias("op"))
+            .where(F.col("op") == OPS.index("remove")).select(*key))
 
 
 def blocked_after_failure(log: DataFrame, group: list[str], ts: str = "ts", seq: str = "event_id") -> DataFrame:

@@ -9,7 +9,7 @@ Only the baseline (one row per target) is joined on target_id alone, through
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scripts as fs
@@ -22,6 +22,16 @@ def non_baseline(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("migration_type") != "baseline")
 
 
+def latest_runs(ledger: DataFrame) -> DataFrame:
+    """The ledger a report sees: of the rows of one id (a failed
+    run and its retries) the latest by time; a success wins a tie.  Ids are
+    nearly unique, and the same partitioning serves the join that follows."""
+    latest = Window.partitionBy("target_id", "migration_id").orderBy(
+        F.col("applied_at").desc(), F.col("success").desc(), F.col("execution_time_ms").desc(), F.col("filename"))
+    return (non_baseline(ledger).withColumn("_rn", F.row_number().over(latest))
+            .where(F.col("_rn") == 1).drop("_rn"))
+
+
 def baseline_version(ledger: DataFrame) -> DataFrame:
     """A4 / O3: highest baseline per target."""
     return (ledger.where(F.col("migration_type") == "baseline")
@@ -54,7 +64,7 @@ def pending_versioned(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
 def pending_repeatable(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Repeatables never run successfully, or whose stored checksum of a
     successful run differs from the file's."""
-    ok = (ledger.where(F.col("success") & (F.col("migration_type") != "baseline"))
+    ok = (latest_runs(ledger).where("success")
           .select("target_id", F.col("migration_id").alias("identifier"), "checksum").distinct())
     return (scripts.where(F.col("kind") == "repeatable")
             .join(ok, ["target_id", "identifier", "checksum"], "left_anti"))
@@ -68,7 +78,7 @@ def pending(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def _ledger_side(ledger: DataFrame) -> DataFrame:
-    return non_baseline(ledger).select(
+    return latest_runs(ledger).select(
         "target_id", "migration_id", "migration_type", F.col("version").alias("l_version"),
         F.col("filename").alias("l_filename"), F.col("checksum").alias("stored_checksum"),
         "applied_at", "execution_time_ms", "success")
@@ -79,15 +89,17 @@ def status_join(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
     s = scripts.withColumnRenamed("identifier", "migration_id")
     j = s.join(_ledger_side(ledger), ["target_id", "migration_id"], "left")
     matched = F.col("migration_type").isNotNull()
-    return (j.withColumn("status", fs.status_label("applied_at", "success", matched))
-             .withColumn("tag", fs.kind_tag("kind"))
-             .withColumn("checksum_mismatch", matched & (F.col("stored_checksum") != F.col("checksum"))))
+    out = (j.withColumn("status", fs.status_label("applied_at", "success", matched))
+            .withColumn("tag", fs.kind_tag("kind")))
+    if "checksum" not in scripts.columns:      # the name layer knows no drift
+        return out
+    return out.withColumn("checksum_mismatch", matched & (F.col("stored_checksum") != F.col("checksum")))
 
 
 def orphans(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Ledger rows (not baselines) with no script of the same id."""
     ids = scripts.select("target_id", F.col("identifier").alias("migration_id"))
-    return non_baseline(ledger).join(ids, ["target_id", "migration_id"], "left_anti")
+    return latest_runs(ledger).join(ids, ["target_id", "migration_id"], "left_anti")
 
 
 def checksum_drift(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -140,8 +152,9 @@ def status_counts(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def stored_checksum(ledger: DataFrame, ids: DataFrame) -> DataFrame:
-    """Checksum by id, any status; ``ids`` holds (target_id, migration_id)."""
-    return ids.join(ledger.select("target_id", "migration_id", "checksum"),
+    """Checksum by id (its latest row), any status; ``ids`` holds
+    (target_id, migration_id)."""
+    return ids.join(latest_runs(ledger).select("target_id", "migration_id", "checksum"),
                     ["target_id", "migration_id"], "left")
 
 

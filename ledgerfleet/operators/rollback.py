@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import scripts as fs
 from ..sources.ledger import rollbackable
 from .joins import per_target_join
+from .reconcile import latest_runs
 from .scan import ordinal
 
 # --- fixed values: rollback / baseline texts ----------------------------------
@@ -92,12 +93,21 @@ def baselines_asc(ledger: DataFrame) -> DataFrame:
     return ordinal(b, ["target_id"], [F.col("version"), F.col("migration_id")], "baseline_pos")
 
 
-def baseline_plan(ledger: DataFrame, proposals: DataFrame, description: str, at: str) -> DataFrame:
+def would_skip(scripts: DataFrame, proposals: DataFrame) -> DataFrame:
+    """The versioned scripts at or below their target's proposed baseline."""
+    v = scripts.where(F.col("kind") == "versioned").select("target_id", "path", "version")
+    return (per_target_join(v, proposals, ["target_id"], "inner", spread_by=["path"])
+            .where(F.col("version") <= F.col("new_baseline")))
+
+
+def baseline_plan(ledger: DataFrame, proposals: DataFrame, description: str, at: str,
+                  scripts: DataFrame | None = None) -> DataFrame:
     """R5 + L5 + F5: per target, the proposed baseline (target_id,
     new_baseline) is refused when a run at or above it exists (conflict) or
     the same baseline exists; otherwise the row to append.  Also counts the
-    existing runs and the scripts the baseline would skip is left to J7."""
-    runs = ledger.where(F.col("migration_type") != "baseline")
+    existing runs and, of ``scripts``, those the baseline would skip (their
+    list is ``would_skip``)."""
+    runs = latest_runs(ledger)
     j = per_target_join(runs, proposals, ["target_id"], "inner", spread_by=["migration_id"])
     conflicts = (j.groupBy("target_id").agg(
         F.count(F.lit(1)).alias("existing_runs"),
@@ -105,6 +115,10 @@ def baseline_plan(ledger: DataFrame, proposals: DataFrame, description: str, at:
     existing = (ledger.where(F.col("migration_type") == "baseline").select("target_id", "version")
                 .distinct().withColumnRenamed("version", "new_baseline").withColumn("exists", F.lit(True)))
     p = (proposals.join(conflicts, "target_id", "left").join(existing, ["target_id", "new_baseline"], "left"))
+    if scripts is not None:
+        p = p.join(would_skip(scripts, proposals).groupBy("target_id").agg(F.count(F.lit(1)).alias("skips")), "target_id", "left")
+    else:
+        p = p.withColumn("skips", F.lit(None).cast("long"))
     status = (F.when(F.coalesce("conflicts", F.lit(0)) > 0, F.lit("CONFLICT"))
               .when(F.coalesce("exists", F.lit(False)), F.lit("EXISTS")).otherwise(F.lit("CREATE")))
     msg = (F.when(status == "CONFLICT", F.format_string(MSG_BASELINE_CONFLICT, F.col("new_baseline")))
@@ -113,6 +127,7 @@ def baseline_plan(ledger: DataFrame, proposals: DataFrame, description: str, at:
         "target_id", F.col("new_baseline").alias("version"),
         F.coalesce("existing_runs", F.lit(0)).cast("long").alias("existing_runs"),
         F.coalesce("conflicts", F.lit(0)).cast("long").alias("conflicts"),
+        F.coalesce("skips", F.lit(0)).cast("long").alias("would_skip"),
         status.alias("status"), msg.alias("message"),
         fs.baseline_filename(F.col("new_baseline"), F.lit(description)).alias("filename"),
         F.lit(at).cast("timestamp_ntz").alias("applied_at"))

@@ -5,14 +5,19 @@ with a fleet where one target holds a third of all rows that task is the job.
 The scans here give the same answer as such a window (row number, last
 non-null value before a row) but split each group over many tasks:
 
-1. ``repartitionByRange`` on (group, order) cuts the data into slices of
-   bounded size; a hot group simply spans many slices.
-2. One window over (slice, group) computes, per row, the slice-local result
-   and the slice's summary (row count, last non-null value).
+1. ``repartitionByRange`` on (group, order) cuts the data into slices and
+   sorts each; a hot group simply spans many slices.
+2. Positions (``ordinal``): a row's place in its sorted slice is part of its
+   ``monotonically_increasing_id``; less the group's first place in the slice it
+   is the local position.  Last values (``last_before``): one window over
+   (slice, group).
 3. The summaries -- one row per (slice, group), about ``#slices + #groups``
    rows -- are scanned across slices to get each slice's carry-in, which is
    joined back.
 
+The number of slices follows the data: at least the shuffle partitions, and
+one per ``SLICE_ROWS`` rows of the frozen input.
+
 The slice id (``spark_partition_id`` after the range exchange) must be the
 same for a row and for its slice summary.  Spark does not reuse an exchange
 whose subtree holds a nondeterministic expression, and AQE may coalesce the
@@ -31,9 +36,11 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _SLICE = "__slice"
+SLICE_ROWS = 4_000_000
 
 
-def _freeze(df: DataFrame) -> DataFrame:
+def freeze(df: DataFrame) -> DataFrame:
+    """Evaluate ``df`` once, into the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -43,52 +50,73 @@ def _cols(xs) -> list[Column]:
 
 
 def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int | None) -> DataFrame:
+    """The frozen rows of ``df``, range-partitioned and sorted, with their
+    slice and their id (ascending in a slice).  A checkpoint keeps its
+    partitions, so the ids are read back, never made anew."""
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *_cols(group), *order).withColumn(_SLICE, F.spark_partition_id())
+    if slices is None:
+        n = max(n, -(-df.count() // SLICE_ROWS))
+    keys = [*_cols(group), *order]
+    own = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    frozen = freeze(own.withColumn("__id", F.monotonically_increasing_id()))
+    return frozen.withColumn(_SLICE, F.shiftright("__id", 33))
 
 
 def ordinal(df: DataFrame, group: list[str], order: list, name: str = "pos",
             slices: int | None = None, freeze_input: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its group, ordered
     by ``order`` (the result of ``row_number()`` over that window).
-    ``freeze_input`` checkpoints the input first: the range exchange reads its
-    input twice (sampling, then the shuffle), which is worth avoiding when the
-    input is the result of joins rather than a plain scan."""
+    ``freeze_input`` checkpoints the input first: it is counted, sampled and
+    read, which is worth avoiding when it is the result of joins rather than a
+    plain scan."""
     order = _cols(order)
     if freeze_input:
-        df = _freeze(df)
-    w = Window.partitionBy(_SLICE, *group)
-    local = (_sliced(df, group, order, slices)
-             .withColumn("__lpos", F.row_number().over(w.orderBy(*order)))
-             .withColumn("__n", F.count(F.lit(1)).over(w)))
-    local = _freeze(local)
-    counts = local.groupBy(_SLICE, *group).agg(F.max("__n").alias("__n"))
-    carry = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(carry.select(_SLICE, *group, "__off"), [_SLICE, *group])
-            .withColumn(name, (F.col("__lpos") + F.col("__off")).cast("long"))
-            .drop("__lpos", "__off", "__n", _SLICE))
-
-
-def last_before(df: DataFrame, group: list[str], order: list, value: str, name: str,
+        df = freeze(df)
+    local = _sliced(df, group, order, slices)
+    counts = local.groupBy(_SLICE, *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = counts.select(_SLICE, *group, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first"))
+                          .alias("__shift"))
+    return (_with_carry(local, carry, group)
+            .withColumn(name, (F.col("__id") + F.col("__shift") + 1).cast("long"))
+            .drop("__id", "__shift", _SLICE))
+
+
+def _with_carry(local: DataFrame, carry: DataFrame, group: list[str]) -> DataFrame:
+    """Join the summaries back; a NULL in a group column matches a NULL."""
+    names = [_SLICE, *group]
+    renamed = carry.select(*[F.col(c).alias(f"__c_{k}") for k, c in enumerate(names)],
+                           *[c for c in carry.columns if c not in names])
+    same = [local[c].eqNullSafe(renamed[f"__c_{k}"]) for k, c in enumerate(names)]
+    on = same[0]
+    for cond in same[1:]:
+        on = on & cond
+    return local.join(renamed, on).drop(*[f"__c_{k}" for k in range(len(names))])
+
+
+def last_before(df: DataFrame, group: list[str], order: list, value: str | list[str], name: str | list[str],
                 slices: int | None = None) -> DataFrame:
     """Add ``name`` = the last non-null ``value`` among the rows of the same
     group that come strictly before this row (``last(value, ignorenulls)``
-    over ``rowsBetween(unboundedPreceding, -1)``)."""
+    over ``rowsBetween(unboundedPreceding, -1)``).  Lists give several values
+    in one scan."""
     order = _cols(order)
-    w = Window.partitionBy(_SLICE, *group)
-    w_before = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = (_sliced(df, group, order, slices)
-             .withColumn("__local", F.last(value, ignorenulls=True).over(w_before))
-             .withColumn("__slast", F.last(value, ignorenulls=True).over(w_all)))
-    local = _freeze(local)
-    summary = local.groupBy(_SLICE, *group).agg(F.max("__slast").alias("__slast"))
-    carry = summary.withColumn("__carry", F.last("__slast", ignorenulls=True).over(
-        Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)))
-    return (local.join(carry.select(_SLICE, *group, "__carry"), [_SLICE, *group])
-            .withColumn(name, F.coalesce("__local", "__carry"))
-            .drop("__local", "__carry", "__slast", _SLICE))
+    values, names = ([value], [name]) if isinstance(value, str) else (value, name)
+    w = Window.partitionBy(_SLICE, *group).orderBy("__id")
+    local = _sliced(df, group, order, slices)
+    summary = local.groupBy(_SLICE, *group).agg(
+        *[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col("__id"))).alias(f"__last{k}")
+          for k, v in enumerate(values)])
+    across = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(_SLICE, *group, *[F.last(f"__last{k}", ignorenulls=True).over(across).alias(f"__carry{k}")
+                                             for k in range(len(values))])
+    for k, v in enumerate(values):
+        local = local.withColumn(f"__local{k}", F.last(v, ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)))
+    out = _with_carry(local, carry, group)
+    for k, n in enumerate(names):
+        out = out.withColumn(n, F.coalesce(f"__local{k}", f"__carry{k}"))
+    return out.drop("__id", _SLICE, *[f"__{c}{k}" for c in ("local", "carry") for k in range(len(values))])
 
 
 def any_before(df: DataFrame, group: list[str], order: list, flag: str, name: str,

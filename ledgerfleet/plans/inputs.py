@@ -1,46 +1,72 @@
-"""Per-query inputs: the script corpus is parsed once per query.
-
-Reading and splitting the script text is the expensive part of every report;
-the narrow result (keys, checksums, preview -- no text) is frozen once with a
-reliable checkpoint in the shared folder and every branch of the query (the
-keys, the ledger fixture, the scans inside ``ordinal``) reads that instead of
-the text.  The memo is cleared at the start of each registered query, so a
-query always reads the driver tables itself.
+"""Per-query inputs in two layers.
+
+*Name layer* (``names``, ``ledger_names``): what a script's file name and the
+ledger's own columns tell.  It is lazy, so Catalyst prunes the script text from
+the scan of every query that does not look at it.
+
+*Text layer* (``parsed``, ``keys``, ``ledger``): what comes from reading and
+splitting the script text (checksum, rollback flag, line count, preview).  The
+narrow result is frozen once per query with a reliable checkpoint in the shared
+folder, and every branch of the query reads that instead of the text.  The memo
+belongs to one run of one registered query and to its session.
 """
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scripts as fs
 from ..operators import corpus as cp
-from ..session import ensure_checkpoint_dir
+from ..operators.scan import freeze
 from ..sources import bindings as b
 
-_MEMO: dict = {}
+_RUN: ContextVar[dict | None] = ContextVar("inputs_of_this_run", default=None)
 
 
 def clear() -> None:
-    _MEMO.clear()
+    """Start a new run: nothing frozen before is used again."""
+    _RUN.set({})
+
+
+def _once(key: tuple, make) -> DataFrame:
+    memo = _RUN.get()
+    if memo is None:
+        return make()
+    if key not in memo:
+        memo[key] = make()
+    return memo[key]
+
+
+def names(spark: SparkSession, d: str) -> DataFrame:
+    """The name layer of the corpus (all files, invalid names too); no text."""
+    return cp.parse_names(b.scripts(spark, d)).select("doc_id", *cp.NAME_COLUMNS)
+
+
+def valid_names(spark: SparkSession, d: str) -> DataFrame:
+    return cp.valid_scripts(names(spark, d))
+
+
+def ledger_names(spark: SparkSession, d: str) -> DataFrame:
+    """B2, lazy: a query that leaves the checksum alone reads no text."""
+    return b.ledger(spark, d)
 
 
 def parsed(spark: SparkSession, d: str) -> DataFrame:
     """The parsed corpus, narrow and frozen (all files, invalid names too)."""
-    key = ("parsed", d)
-    if key not in _MEMO:
+    def make():
         p = cp.parse_scripts(b.scripts(spark, d))
-        narrow = p.select(
+        return freeze(p.select(
             "doc_id", *cp.KEY_COLUMNS, "marker_style",
             F.md5(F.concat(F.col("checksum"), F.lit("x"))).alias("checksum_edited"),
-            fs.preview("up_sql").alias("preview"), fs.preview_truncated("up_sql").alias("preview_more"))
-        ensure_checkpoint_dir(spark)
-        _MEMO[key] = narrow.checkpoint(eager=True)
-    return _MEMO[key]
+            fs.preview("up_sql").alias("preview"), fs.preview_truncated("up_sql").alias("preview_more")))
+    return _once(("parsed", d), make)
 
 
 def keys(spark: SparkSession, d: str) -> DataFrame:
-    """Valid scripts, narrow key columns (+ doc_id)."""
+    """Valid scripts, narrow key columns (+ doc_id), text layer."""
     return cp.valid_scripts(parsed(spark, d)).select("doc_id", *cp.KEY_COLUMNS)
 
 
@@ -57,8 +83,4 @@ def baselines(spark: SparkSession, d: str) -> DataFrame:
 def ddl(spark: SparkSession, d: str) -> DataFrame:
     """DDL object names of the corpus, extracted in one pass and frozen."""
     from ..operators.catalog import ddl_objects
-    key = ("ddl", d)
-    if key not in _MEMO:
-        ensure_checkpoint_dir(spark)
-        _MEMO[key] = ddl_objects(b.scripts(spark, d)).checkpoint(eager=True)
-    return _MEMO[key]
+    return _once(("ddl", d), lambda: freeze(ddl_objects(b.scripts(spark, d))))

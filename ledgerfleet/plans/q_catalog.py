@@ -24,18 +24,20 @@ def catalog(spark, d):
     return b.catalog(spark, d, scripts(spark, d))
 
 
-_SYS = " AND ".join(f"NOT starts_with(lower(object_name), '{p}')" for p in ct.SYSTEM_PREFIXES)
+_SYS = ("NOT coalesce((dialect = 'PostgreSQL' AND schema_name IN ('information_schema', 'pg_catalog')) OR "
+        "(dialect = 'MySQL' AND schema_name IN ('information_schema', 'mysql', 'performance_schema', 'sys')) OR "
+        "(dialect = 'SQLite' AND object_type = 'table' AND starts_with(lower(object_name), 'sqlite_')), false)")
 
 
 @register("catalog_inventory", o.sql(
-    f"SELECT target_id, object_type, object_name, is_temporary FROM catalog WHERE {_SYS}", "catalog"))
+    f"SELECT * FROM catalog WHERE {_SYS}", "catalog"))
 def catalog_inventory(spark, d):
     """Tables, views and other objects per target, without system objects."""
     return ct.inventory(catalog(spark, d))
 
 
 @register("user_tables", o.sql(
-    f"SELECT target_id, object_type, object_name, is_temporary FROM catalog WHERE {_SYS} AND object_type = 'table' "
+    f"SELECT * FROM catalog WHERE {_SYS} AND object_type = 'table' "
     "AND NOT is_temporary AND object_name <> 'schema_migrations'", "catalog"))
 def user_tables(spark, d):
     """S9."""
@@ -44,7 +46,8 @@ def user_tables(spark, d):
 
 _SNAP_LOCAL = [
     ("objs", f"SELECT target_id, object_name, row_number() OVER (PARTITION BY target_id ORDER BY object_name) "
-             f"AS obj_pos FROM (SELECT DISTINCT target_id, object_name FROM catalog WHERE {_SYS})"),
+             f"AS obj_pos FROM (SELECT DISTINCT target_id, object_name FROM catalog WHERE {_SYS} "
+             "AND object_name <> 'schema_migrations')"),
     ("vers", "SELECT target_id, max(version) AS baseline_version FROM ledger WHERE migration_type = 'baseline' "
              "GROUP BY target_id"),
     ("cnt", "SELECT v.target_id, v.baseline_version, count(o.object_name) AS n FROM vers v "
@@ -137,7 +140,7 @@ def distinct_objects(spark, d):
     f"SELECT target_id, object_name FROM (SELECT target_id, object_name FROM ({_CREATED}) EXCEPT "
     f"SELECT target_id, object_name FROM ({_DROPPED})) e WHERE NOT EXISTS (SELECT 1 FROM catalog c "
     f"WHERE c.target_id = e.target_id AND lower(c.object_name) = e.object_name AND c.object_type = 'table' AND "
-    f"{_SYS.replace('object_name', 'c.object_name')})", "scripts", "catalog"))
+    f"{_SYS})", "scripts", "catalog"))
 def missing_objects(spark, d):
     """Expected tables the catalog does not report."""
     return ct.missing_objects(ct.expected_tables(scripts(spark, d)), catalog(spark, d), "table")
@@ -146,7 +149,7 @@ def missing_objects(spark, d):
 @register("schema_check", o.sql(
     f"SELECT e.target_id, 'table' AS object_type, e.object_name, CASE WHEN EXISTS (SELECT 1 FROM catalog c "
     f"WHERE c.target_id = e.target_id AND lower(c.object_name) = e.object_name AND c.object_type = 'table' AND "
-    f"{_SYS.replace('object_name', 'c.object_name')}) THEN 'PRESENT' ELSE 'MISSING' END AS status FROM ("
+    f"{_SYS}) THEN 'PRESENT' ELSE 'MISSING' END AS status FROM ("
     f"SELECT target_id, object_name FROM ({_CREATED}) EXCEPT SELECT target_id, object_name FROM ({_DROPPED})) e "
     f"UNION ALL SELECT i.target_id, 'index', i.object_name, CASE WHEN EXISTS (SELECT 1 FROM catalog c "
     f"WHERE c.target_id = i.target_id AND lower(c.object_name) = i.object_name AND c.object_type = 'index') "

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import oracle as o
 from ..operators import changes as cg
+from ..operators.scan import freeze
+from ..session import scratch_path
 from ..sources import bindings as b
 from .registry import register
 
@@ -14,7 +18,7 @@ SET_COL = "o_totalprice"
 # --- fixed values: defaults of a freshly inserted order row (M9) ---------------
 ORDER_DEFAULTS = {"o_orderstatus": "O", "o_orderpriority": "5-LOW"}
 # ---------------------------------------------------------------------------------
-ROLLBACK_TO = 20
+ROLLBACK_TO = 900
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
@@ -22,46 +26,60 @@ def orders(spark, d):
     return b.table(spark, d, "orders").select(*[c.strip() for c in ORDER_COLS.split(",")])
 
 
-def _applied(spark, d, up_to=None):
-    return cg.apply_changes(orders(spark, d), b.changes(spark, d), KEY, SET_COL, ORDER_DEFAULTS, up_to)
+def _applied(spark, d):
+    return cg.apply_changes(b.order_rows(spark, d), b.changes(spark, d), KEY, SET_COL, ORDER_DEFAULTS,
+                            b.gated_targets(spark, d))
+
+
+def _rolled_back(spark, d):
+    base = b.order_rows(spark, d)
+    st = freeze(cg.change_status(b.changes(spark, d), base, KEY, gate=b.gated_targets(spark, d)))
+    return cg.rollback_changes(base, st, b.change_scripts(spark, d), KEY, SET_COL, ROLLBACK_TO, ORDER_DEFAULTS)
 
 
 _STATUS_LOCAL = [
     ("ch", "SELECT c.*, b.o_orderkey IS NOT NULL AS in_base FROM changes c LEFT JOIN "
-           "(SELECT DISTINCT o_orderkey FROM orders) b ON b.o_orderkey = c.o_orderkey"),
-    ("st0", "SELECT *, last_value(CASE WHEN op <> 'update' THEN op END IGNORE NULLS) OVER (PARTITION BY o_orderkey "
-            "ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_reset FROM ch"),
+           "(SELECT DISTINCT target_id, o_orderkey FROM order_rows) b ON b.o_orderkey = c.o_orderkey "
+           "AND b.target_id = c.target_id"),
+    ("st0", "SELECT *, last_value(CASE WHEN op <> 'update' THEN op END IGNORE NULLS) OVER (PARTITION BY target_id, "
+            "o_orderkey ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_reset FROM ch"),
     ("st1", "SELECT *, CASE WHEN prev_reset = 'insert' THEN true WHEN prev_reset = 'delete' THEN false "
             "ELSE in_base END AS exists_before FROM st0"),
     ("st2", "SELECT *, (op = 'insert' AND exists_before) OR (op IN ('insert', 'update') AND value IS NULL) "
             "AS fails FROM st1"),
     ("ff", "SELECT target_id, min(version) AS first_fail FROM st2 WHERE fails GROUP BY target_id"),
-    ("st", "SELECT s.*, CASE WHEN f.first_fail IS NULL OR s.version < f.first_fail THEN 'applied' "
-           "WHEN s.version = f.first_fail THEN 'failed' ELSE 'blocked' END AS status "
-           "FROM st2 s LEFT JOIN ff f ON f.target_id = s.target_id"),
+    ("st", "SELECT s.*, CASE WHEN g.target_id IS NOT NULL THEN 'blocked' WHEN f.first_fail IS NULL OR "
+           "s.version < f.first_fail THEN 'applied' WHEN s.version = f.first_fail THEN 'failed' ELSE 'blocked' END AS status "
+           "FROM st2 s LEFT JOIN ff f ON f.target_id = s.target_id LEFT JOIN gated g ON g.target_id = s.target_id"),
+    ("bad", "SELECT DISTINCT s.target_id FROM st s LEFT JOIN change_scripts c ON c.target_id = s.target_id "
+            f"AND c.version = s.version WHERE s.status = 'applied' AND s.version > {ROLLBACK_TO} "
+            "AND NOT coalesce(c.has_rollback, false)"),
 ]
+_NEEDS = ("changes", "order_rows", "gated", "change_scripts")
 
 
-def _fold_local(up_to=None):
-    cond = "status = 'applied'" + (f" AND version <= {up_to}" if up_to is not None else "")
+def _fold_local(rollback=False):
+    cond = "status = 'applied'"
+    if rollback:
+        cond += f" AND (version <= {ROLLBACK_TO} OR target_id IN (SELECT target_id FROM bad))"
     return _STATUS_LOCAL + [
-        ("fs", "SELECT o_orderkey, arg_max(op, version) FILTER (WHERE op <> 'update') AS last_reset, "
-               f"arg_max(value, version) AS last_value FROM st WHERE {cond} GROUP BY o_orderkey")]
+        ("fs", "SELECT target_id, o_orderkey, arg_max(op, version) FILTER (WHERE op <> 'update') AS last_reset, "
+               f"arg_max_null(value, version) AS last_value FROM st WHERE {cond} GROUP BY target_id, o_orderkey")]
 
 
 _TABLE_SQL = """
-SELECT coalesce(o.o_orderkey, s.o_orderkey) AS o_orderkey,
+SELECT coalesce(o.target_id, s.target_id) AS target_id, coalesce(o.o_orderkey, s.o_orderkey) AS o_orderkey,
   CASE WHEN s.last_reset = 'insert' THEN NULL ELSE o.o_custkey END AS o_custkey,
   CASE WHEN s.last_reset = 'insert' THEN 'O' ELSE o.o_orderstatus END AS o_orderstatus,
   CASE WHEN s.o_orderkey IS NOT NULL THEN s.last_value ELSE o.o_totalprice END AS o_totalprice,
   CASE WHEN s.last_reset = 'insert' THEN NULL ELSE o.o_orderdate END AS o_orderdate,
   CASE WHEN s.last_reset = 'insert' THEN '5-LOW' ELSE o.o_orderpriority END AS o_orderpriority
-FROM orders o FULL OUTER JOIN fs s ON s.o_orderkey = o.o_orderkey
+FROM order_rows o FULL OUTER JOIN fs s ON s.o_orderkey = o.o_orderkey AND s.target_id = o.target_id
 WHERE s.o_orderkey IS NULL OR s.last_reset = 'insert' OR (s.last_reset IS NULL AND o.o_orderkey IS NOT NULL)"""
 
 
 @register("change_status", o.sql(
-    "SELECT target_id, version, o_orderkey, op, exists_before, fails, status FROM st", "changes",
+    "SELECT target_id, version, o_orderkey, op, exists_before, fails, status FROM st", *_NEEDS,
     local=_STATUS_LOCAL))
 def change_status(spark, d):
     """R7 step: per change, whether its key exists before it, whether a data
@@ -70,7 +88,7 @@ def change_status(spark, d):
     return st.select("target_id", "version", "o_orderkey", "op", "exists_before", "fails", "status")
 
 
-@register("apply_changes", o.sql(_TABLE_SQL, "changes", local=_fold_local()))
+@register("apply_changes", o.sql(_TABLE_SQL, *_NEEDS, local=_fold_local()))
 def apply_changes(spark, d):
     """Orders after all applicable changes (copy-on-write snapshot)."""
     return _applied(spark, d)[0]
@@ -79,38 +97,48 @@ def apply_changes(spark, d):
 @register("apply_ledger_events", o.sql(
     "SELECT target_id, version, 'start' AS op FROM st WHERE status <> 'blocked' UNION ALL "
     "SELECT target_id, version, CASE WHEN status = 'applied' THEN 'success' ELSE 'failure' END FROM st "
-    "WHERE status <> 'blocked'", "changes", local=_STATUS_LOCAL))
+    "WHERE status <> 'blocked'", *_NEEDS, local=_STATUS_LOCAL))
 def apply_ledger_events(spark, d):
     """R7 ledger output (L1-L3 events)."""
     return cg.ledger_events(_applied(spark, d)[1])
 
 
 @register("dry_run", o.sql(
-    "SELECT target_id, op, status, count(*) AS changes FROM st GROUP BY target_id, op, status", "changes",
+    "SELECT target_id, op, status, count(*) AS changes FROM st GROUP BY target_id, op, status", *_NEEDS,
     local=_STATUS_LOCAL))
 def dry_run(spark, d):
     """What R7 would do, counted per target, op and outcome."""
     return cg.dry_run(_applied(spark, d)[1])
 
 
-@register("rollback_changes", o.sql(_TABLE_SQL, "changes", local=_fold_local(ROLLBACK_TO)))
+@register("rollback_changes", o.sql(_TABLE_SQL, *_NEEDS, local=_fold_local(rollback=True)))
 def rollback_changes(spark, d):
-    """Orders as of change version 20 (later applied changes undone)."""
-    return _applied(spark, d, ROLLBACK_TO)[0]
+    """Orders as of change version 900, for the targets whose later
+    changes all have a Down section; the others keep theirs (Q21)."""
+    return _rolled_back(spark, d)[0]
 
 
 @register("rollback_events", o.sql(
-    f"SELECT target_id, version, 'remove' AS op FROM st WHERE status = 'applied' AND version > {ROLLBACK_TO}",
-    "changes", local=_STATUS_LOCAL))
+    f"SELECT target_id, version, 'remove' AS op FROM st WHERE status = 'applied' AND version > {ROLLBACK_TO} "
+    "AND target_id NOT IN (SELECT target_id FROM bad)", *_NEEDS, local=_STATUS_LOCAL))
 def rollback_events(spark, d):
     """R9 ledger output: remove events of the undone changes."""
-    return cg.rollback_events(_applied(spark, d)[1], ROLLBACK_TO)
+    return _rolled_back(spark, d)[1]
 
 
-@register("create_table", o.sql(f"SELECT {ORDER_COLS} FROM orders WHERE false"))
+@register("create_table", o.sql(f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus = 'F'"))
 def create_table(spark, d):
-    """M1: an empty table with the schema (CREATE TABLE IF NOT EXISTS as data)."""
-    return orders(spark, d).where(F.lit(False))
+    """M1: CREATE TABLE IF NOT EXISTS with the schema of orders, filled with
+    the finished ones, created once more (nothing changes), read back; the
+    table leaves the catalog, its files stay for the result."""
+    name, path = f"orders_{uuid.uuid4().hex[:12]}", scratch_path(spark, "tables")
+    base = orders(spark, d)
+    for _ in range(2):
+        cg.create_table(spark, name, base.schema, path)
+        if not spark.table(name).limit(1).count():
+            base.where(F.col("o_orderstatus") == "F").write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(base.schema).parquet(path)
 
 
 _INSERTS = ("SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, 'O' AS o_orderstatus, value AS o_totalprice, "
@@ -139,13 +167,15 @@ def apply_defaults(spark, d):
 
 
 @register("update_where", o.sql(
-    f"SELECT o.o_orderkey, coalesce(u.v, o.o_totalprice) AS o_totalprice FROM orders o LEFT JOIN ("
-    "SELECT o_orderkey, arg_max(value, version) AS v FROM changes WHERE op = 'update' GROUP BY o_orderkey) u "
-    "ON u.o_orderkey = o.o_orderkey", "changes"))
+    f"SELECT o.target_id, o.o_orderkey, CASE WHEN u.o_orderkey IS NOT NULL THEN u.v ELSE o.o_totalprice END AS "
+    "o_totalprice FROM order_rows o LEFT JOIN ("
+    "SELECT target_id, o_orderkey, arg_max_null(value, version) AS v FROM changes WHERE op = 'update' "
+    "GROUP BY target_id, o_orderkey) u ON u.o_orderkey = o.o_orderkey AND u.target_id = o.target_id",
+    "changes", "order_rows"))
 def update_where(spark, d):
-    """M3: set the price where the key has an update (latest wins)."""
+    """M3: set the price where the key has an update (latest wins, NULL too)."""
     ups = b.changes(spark, d).where(F.col("op") == "update")
-    return cg.update_where(orders(spark, d), ups, KEY, SET_COL).select(KEY, SET_COL)
+    return cg.update_where(b.order_rows(spark, d), ups, ["target_id", KEY], SET_COL).select("target_id", KEY, SET_COL)
 
 
 @register("delete_where", o.sql(
@@ -173,11 +203,11 @@ def check_unique(spark, d):
 
 
 @register("check_not_null", o.sql(" UNION ALL ".join(
-    f"SELECT 'orders' AS table_name, '{c.strip()}' AS column_name, count(*) FILTER (WHERE {c.strip()} IS NULL) AS nulls FROM orders"
-    for c in ORDER_COLS.split(","))))
+    f"SELECT 'changes' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM changes"
+    for c in ("target_id", "version", "o_orderkey", "op", "value")), "changes"))
 def check_not_null(spark, d):
-    """NULL count per column of orders."""
-    return cg.check_not_null(orders(spark, d), "orders")
+    """NULL count per column of the changes."""
+    return cg.check_not_null(b.changes(spark, d), "changes")
 
 
 @register("check_foreign_key", o.sql(
@@ -219,5 +249,8 @@ def replace_view(spark, d):
                                                       F.count(F.lit(1)).alias("execution_count"))
     view = summary.withColumn("description", F.concat(F.lit("R__create_views executed at "),
                                                       F.col("executed_at").cast("string")))
-    view.createOrReplaceTempView("migration_execution_summary")
-    return spark.table("migration_execution_summary")
+    name = f"migration_execution_summary_{uuid.uuid4().hex[:12]}"
+    cg.replace_view(view, name)
+    out = spark.table(name)
+    spark.catalog.dropTempView(name)        # the result keeps its plan
+    return out

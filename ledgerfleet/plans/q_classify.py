@@ -73,7 +73,7 @@ def classify_pattern(spark, d):
     "AS confidence_pct, CASE WHEN NOT amb THEN pattern END AS matched_pattern, "
     "CASE WHEN amb THEN 'AMBIGUOUS' ELSE 'OK' END AS status, "
     "CASE WHEN amb THEN printf('Multiple dialects detected: [%s]', names) END AS message FROM ("
-    "SELECT r.*, r.n > 1 AND r.conf = r.conf2 AS amb FROM ("
+    "SELECT r.*, r.n > 1 AND (r.conf = r.conf2 OR (r.conf = 9 AND r.conf2 = 8)) AS amb FROM ("
     "SELECT conn_id, name, conf, pattern, "
     "row_number() OVER (PARTITION BY conn_id ORDER BY conf DESC, name) AS rk, "
     "lead(conf) OVER (PARTITION BY conn_id ORDER BY conf DESC, name) AS conf2, "

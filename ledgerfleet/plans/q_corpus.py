@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from .. import oracle as o
 from ..functions import scripts as fs
 from ..operators import checks as ck
+from ..operators.catalog import ddl_objects
 from ..operators import corpus as cp
 from ..operators.scan import ordinal
+from ..session import scratch_path
 from ..sources import bindings as b
+from ..sources.corpus import read_corpus
 from .registry import register
 
 
@@ -30,10 +33,14 @@ def script_corpus_scan(spark, d):
 
 
 @register("absent_source_is_empty", o.sql(
-    "SELECT target_id, path FROM scripts WHERE false", "scripts"))
+    "SELECT DISTINCT source AS target_id, CAST(0 AS BIGINT) AS files FROM documents"))
 def absent_source_is_empty(spark, d):
-    """A corpus with no files gives an empty, typed result."""
-    return b.scripts(spark, d).where(F.lit(False)).select("target_id", "path")
+    """Every target's file count in a folder that does not exist: the
+    reader returns an empty, typed corpus, not an error."""
+    missing = read_corpus(spark, scratch_path(spark, "absent"))
+    files = missing.groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
+    return (b.targets(spark, d).join(files, "target_id", "left")
+            .select("target_id", F.coalesce("n", F.lit(0)).cast("long").alias("files")))
 
 
 @register("classify_filename", o.sql(
@@ -63,13 +70,13 @@ def extract_name(spark, d):
 @register("canonical_filename", o.sql("SELECT doc_id, filename FROM parsed_k", "parsed_k"))
 def canonical_filename(spark, d):
     """P4."""
-    return parsed(spark, d).select("doc_id", "filename")
+    return cp.parse_names(b.scripts(spark, d)).select("doc_id", "filename")
 
 
 @register("identifier", o.sql("SELECT doc_id, identifier FROM parsed_k", "parsed_k"))
 def identifier(spark, d):
     """P5."""
-    return parsed(spark, d).select("doc_id", "identifier")
+    return cp.parse_names(b.scripts(spark, d)).select("doc_id", "identifier")
 
 
 @register("split_up_down", o.sql(
@@ -143,29 +150,19 @@ def _objects_sql(keyword: str, alias: str) -> str:
             f"FROM scripts)")
 
 
-def objects(spark, d, keyword: str, alias: str):
-    s = b.scripts(spark, d)
-    return (s.select("target_id", F.explode(fs.extract_objects("body", keyword)).alias("object_name"))
-            .select("target_id", "object_name", F.lit(alias).alias("keyword")).distinct())
-
-
 @register("extract_objects", o.sql(
     " UNION ALL ".join(_objects_sql(k, a) for a, k in fs.DDL_KEYWORDS.items()), "scripts"))
 def extract_objects(spark, d):
     """P20: object names after CREATE TABLE / DROP TABLE / CREATE INDEX, over
-    the whole file text, per target."""
-    out = None
-    for alias, kw in fs.DDL_KEYWORDS.items():
-        x = objects(spark, d, kw, alias)
-        out = x if out is None else out.unionByName(x)
-    return out
+    the whole file text, per target; one pass over the text."""
+    return ddl_objects(b.scripts(spark, d)).select("target_id", "object_name", "keyword").distinct()
 
 
 @register("filter_kind", o.sql(
     "SELECT doc_id, target_id, kind FROM parsed_k WHERE kind = 'versioned'", "parsed_k"))
 def filter_kind(spark, d):
     """F1 (versioned only)."""
-    return cp.filter_kind(parsed(spark, d), "versioned").select("doc_id", "target_id", "kind")
+    return cp.filter_kind(cp.parse_names(b.scripts(spark, d)), "versioned").select("doc_id", "target_id", "kind")
 
 
 @register("filter_invalid_names", o.sql(
@@ -174,7 +171,7 @@ def filter_kind(spark, d):
     "parsed_k"))
 def filter_invalid_names(spark, d):
     """F7."""
-    return cp.invalid_names(parsed(spark, d))
+    return cp.invalid_names(cp.parse_names(b.scripts(spark, d)))
 
 
 @register("count_by_kind", o.sql(
@@ -183,7 +180,7 @@ def filter_invalid_names(spark, d):
     "FROM parsed_k GROUP BY target_id", "parsed_k"))
 def count_by_kind(spark, d):
     """A1 + A11 (file count per target)."""
-    return ck.count_by_kind(parsed(spark, d))
+    return ck.count_by_kind(cp.parse_names(b.scripts(spark, d)))
 
 
 @register("file_count", o.sql("SELECT count(*) AS sql_files FROM scripts WHERE suffix(path, '.sql')", "scripts"))
@@ -199,5 +196,5 @@ def corpus_order(spark, d):
     """O1: load order per target (versioned by version, then repeatable by
     name) as a position column."""
     from . import inputs
-    k = inputs.keys(spark, d).select("target_id", "path", "kind", "version", "name")
+    k = inputs.valid_names(spark, d).select("target_id", "path", "kind", "version", "name")
     return ordinal(k, ["target_id"], cp.corpus_order_key(), "corpus_pos").select("target_id", "path", "corpus_pos")

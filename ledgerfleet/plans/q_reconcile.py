@@ -26,6 +26,14 @@ def ledger(spark, d):
     return inputs.ledger(spark, d)
 
 
+def names(spark, d):
+    return inputs.valid_names(spark, d)
+
+
+def ledger_names(spark, d):
+    return inputs.ledger_names(spark, d)
+
+
 # --- scans / decoding --------------------------------------------------------
 
 @register("ledger_scan", o.sql(
@@ -44,15 +52,18 @@ def ledger_scan(spark, d):
     "coalesce(CAST(execution_time_ms AS VARCHAR), 'NULL') AS execution_time_ms FROM ledger", "ledger"))
 def rows_as_text(spark, d):
     """Every cell as text, NULL as 'NULL'."""
-    return lg.rows_as_text(ledger(spark, d).select("migration_id", "version", "success", "execution_time_ms"))
+    return lg.rows_as_text(ledger_names(spark, d).select("migration_id", "version", "success", "execution_time_ms"))
 
 
 @register("scalar_lookup", o.sql(
-    "SELECT target_id, max(version) AS baseline_version FROM ledger WHERE migration_type = 'baseline' "
-    "GROUP BY target_id", "ledger"))
+    "SELECT t.target_id, coalesce(CAST(max(l.version) AS VARCHAR), 'NULL') AS value FROM "
+    "(SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ledger l ON l.target_id = t.target_id AND l.success "
+    "GROUP BY t.target_id", "ledger"))
 def scalar_lookup(spark, d):
-    """One value per target (the highest baseline)."""
-    return rc.baseline_version(inputs.baselines(spark, d))
+    """A one-cell query per target (its highest successful version, any
+    row type) as text, 'NULL' when there is none."""
+    found = ledger_names(spark, d).where("success").groupBy("target_id").agg(F.max("version").alias("value"))
+    return lg.rows_as_text(b.targets(spark, d).join(found, "target_id", "left").select("target_id", "value"))
 
 
 @register("decode_timestamp", o.sql(
@@ -87,17 +98,25 @@ def decode_boolean(spark, d):
 
 
 @register("decode_int_or_zero", o.sql(
-    "SELECT event_id, CASE WHEN regexp_matches(txt, '^[+-]?[0-9]+$') THEN coalesce(try_cast(txt AS BIGINT), 0) "
-    "ELSE 0 END AS n FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR) "
-    "WHEN 1 THEN CAST(value AS VARCHAR) WHEN 2 THEN ' 5' ELSE '+' || CAST(event_id AS VARCHAR) END AS txt "
-    "FROM events)"))
+    "SELECT event_id, CASE WHEN regexp_matches(txt, '^[+-]?[0-9]+$') AND try_cast(txt AS BIGINT) BETWEEN 0 AND 4294967295 "
+    "THEN try_cast(txt AS BIGINT) ELSE 0 END AS n, CASE WHEN regexp_matches(txt, '^[+-]?[0-9]+$') AND try_cast(txt AS "
+    "BIGINT) BETWEEN -2147483648 AND 2147483647 THEN try_cast(txt AS BIGINT) ELSE 0 END AS ms "
+    "FROM (SELECT event_id, CASE event_id % 7 WHEN 0 THEN CAST(user_id AS VARCHAR) "
+    "WHEN 1 THEN CAST(value AS VARCHAR) WHEN 2 THEN ' 5' WHEN 3 THEN '-' || CAST(event_id AS VARCHAR) "
+    "WHEN 4 THEN CAST(4294967295 + user_id % 2 AS VARCHAR) WHEN 5 THEN CAST(2147483647 + user_id % 2 AS VARCHAR) "
+    "ELSE '+' || CAST(event_id AS VARCHAR) END AS txt FROM events)"))
 def decode_int_or_zero(spark, d):
-    """Text to integer, 0 when not an integer literal."""
+    """Text to a version (unsigned) and to a duration (signed), 0 when
+    it is no integer literal or out of range."""
     e = b.table(spark, d, "events").select("event_id", "user_id", "value")
-    k = F.col("event_id") % 4
+    k, odd = F.col("event_id") % 7, F.col("user_id") % 2
+    own = F.col("event_id").cast("string")
     txt = (F.when(k == 0, F.col("user_id").cast("string")).when(k == 1, F.col("value").cast("string"))
-           .when(k == 2, F.lit(" 5")).otherwise(F.concat(F.lit("+"), F.col("event_id").cast("string"))))
-    return e.select("event_id", dc.decode_int_or_zero(txt).alias("n"))
+           .when(k == 2, F.lit(" 5")).when(k == 3, F.concat(F.lit("-"), own))
+           .when(k == 4, (F.lit(4294967295) + odd).cast("string")).when(k == 5, (F.lit(2147483647) + odd).cast("string"))
+           .otherwise(F.concat(F.lit("+"), own)))
+    return e.select("event_id", dc.decode_int_or_zero(txt).alias("n"),
+                    dc.decode_int_or_zero(txt, dc.I32_MIN, dc.I32_MAX).alias("ms"))
 
 
 # --- filters over the ledger ------------------------------------------------------
@@ -106,13 +125,13 @@ def decode_int_or_zero(spark, d):
     "SELECT target_id, migration_id FROM ledger WHERE migration_type = 'versioned' AND success", "ledger"))
 def filter_rollbackable(spark, d):
     """F2."""
-    return lg.rollbackable(ledger(spark, d)).select("target_id", "migration_id")
+    return lg.rollbackable(ledger_names(spark, d)).select("target_id", "migration_id")
 
 
 @register("filter_failed", o.sql("SELECT target_id, migration_id FROM ledger WHERE NOT success", "ledger"))
 def filter_failed(spark, d):
     """F3."""
-    return ledger(spark, d).where(~F.col("success")).select("target_id", "migration_id")
+    return ledger_names(spark, d).where(~F.col("success")).select("target_id", "migration_id")
 
 
 @register("filter_below_baseline", o.sql(
@@ -120,17 +139,18 @@ def filter_failed(spark, d):
     "JOIN baselines b USING (target_id) WHERE s.kind = 'versioned'", "skeys", "baselines"))
 def filter_below_baseline(spark, d):
     """Versioned scripts at or below their target's baseline."""
-    v = rc.with_baseline(keys(spark, d).where(F.col("kind") == "versioned"), ledger(spark, d))
+    v = rc.with_baseline(names(spark, d).where(F.col("kind") == "versioned"), ledger_names(spark, d))
     return v.where(F.col("baseline_version").isNotNull()).select("target_id", "path", "below_baseline")
 
 
 @register("filter_conflicting", o.sql(
     "SELECT l.target_id, l.migration_id, l.version FROM lrun l JOIN ("
-    "SELECT target_id, min(doc_id) + 150 AS new_baseline FROM scripts GROUP BY target_id) n USING (target_id) "
+    "SELECT target_id, CASE target_id WHEN 'src2' THEN 50000000 WHEN 'src3' THEN 60000000 ELSE min(doc_id) + 150 END AS "
+    "new_baseline FROM scripts GROUP BY target_id) n USING (target_id) "
     "WHERE l.version >= n.new_baseline", "lrun", "scripts"))
 def filter_conflicting(spark, d):
     """ledger rows at or above a proposed new baseline (min id + 150)."""
-    led = rc.non_baseline(ledger(spark, d))
+    led = rc.latest_runs(ledger_names(spark, d))
     prop = rp.proposed_baselines(b.scripts(spark, d))
     return lg.conflicting(led, prop).select("target_id", "migration_id", "version")
 
@@ -140,7 +160,7 @@ def filter_conflicting(spark, d):
     "AND version > 500", "ledger"))
 def filter_above_target(spark, d):
     """Successful versioned rows above a rollback target (500)."""
-    return lg.above_target(lg.rollbackable(ledger(spark, d)), 500).select("target_id", "migration_id", "version")
+    return lg.above_target(lg.rollbackable(ledger_names(spark, d)), 500).select("target_id", "migration_id", "version")
 
 
 # --- joins -------------------------------------------------------------------------
@@ -152,7 +172,7 @@ def filter_above_target(spark, d):
     "AND l.migration_type = 'versioned' AND l.success)", "skeys", "baselines", "ledger"))
 def pending_versioned(spark, d):
     """J1."""
-    return rc.pending_versioned(keys(spark, d), ledger(spark, d)).select("target_id", "path", "version")
+    return rc.pending_versioned(names(spark, d), ledger_names(spark, d)).select("target_id", "path", "version")
 
 
 @register("pending_repeatable", o.sql(
@@ -190,7 +210,7 @@ def status_join(spark, d):
     "WHERE s.target_id = l.target_id AND s.identifier = l.migration_id)", "lrun", "skeys"))
 def orphans(spark, d):
     """J4."""
-    return rc.orphans(keys(spark, d), ledger(spark, d)).select("target_id", "migration_id", "filename")
+    return rc.orphans(names(spark, d), ledger_names(spark, d)).select("target_id", "migration_id", "filename")
 
 
 @register("checksum_drift", o.sql(
@@ -208,7 +228,7 @@ def checksum_drift(spark, d):
     "WHERE s.kind = 'versioned' AND s.version <= b.baseline_version", "skeys", "baselines"))
 def baseline_skip(spark, d):
     """Scripts the baseline skips."""
-    v = rc.with_baseline(keys(spark, d).where(F.col("kind") == "versioned"), ledger(spark, d))
+    v = rc.with_baseline(names(spark, d).where(F.col("kind") == "versioned"), ledger_names(spark, d))
     return v.where("below_baseline").select("target_id", "path", "version", "baseline_version")
 
 
@@ -254,7 +274,7 @@ def status_counts(spark, d):
 def latest_version(spark, d):
     """A3: the ordered list of applied versions per target, as rows with
     their position (the last position is the latest version)."""
-    return lg.applied_versions(ledger(spark, d))
+    return lg.applied_versions(ledger_names(spark, d))
 
 
 @register("baseline_version", o.sql(
@@ -273,7 +293,7 @@ def baseline_version(spark, d):
     "skeys", "ledger"))
 def is_applied_count(spark, d):
     """A5."""
-    return rc.is_applied(keys(spark, d), ledger(spark, d))
+    return rc.is_applied(names(spark, d), ledger_names(spark, d))
 
 
 @register("applied_matches_corpus", o.sql(
@@ -284,7 +304,7 @@ def is_applied_count(spark, d):
     "skeys", "lrun"))
 def applied_matches_corpus(spark, d):
     """A13."""
-    return ck.applied_matches_corpus(keys(spark, d), ledger(spark, d))
+    return ck.applied_matches_corpus(names(spark, d), ledger_names(spark, d))
 
 
 # --- sequence checks (B3) ----------------------------------------------------------------
@@ -321,7 +341,7 @@ def duplicate_versions(spark, d):
     "WHERE kind = 'repeatable' GROUP BY target_id, split_part(name, '_', 1) HAVING count(*) > 1", "skeys"))
 def duplicate_names(spark, d):
     """Repeatable names (their language part) occurring more than once."""
-    r = keys(spark, d).where(F.col("kind") == "repeatable").withColumn(
+    r = names(spark, d).where(F.col("kind") == "repeatable").withColumn(
         "name_key", F.substring_index("name", "_", 1))
     return ck.duplicate_groups(r, "name_key")
 
@@ -334,9 +354,48 @@ def status_report(spark, d):
     return rp.status_report(keys(spark, d), ledger(spark, d))
 
 
+@register("status_report_no_ledger", o.sql(
+    "SELECT target_id, identifier AS migration_id, path, CASE WHEN kind = 'repeatable' THEN 'R' ELSE 'V' END AS tag, "
+    "filename, 'PENDING' AS status, CAST(NULL AS TIMESTAMP) AS applied_at, CAST(NULL AS BIGINT) AS execution_time_ms, "
+    "false AS checksum_mismatch, false AS below_baseline FROM skeys", "skeys"))
+def status_report_no_ledger(spark, d):
+    """R2 where the ledger table is missing: every script is pending."""
+    return rp.status_report(names(spark, d), None)
+
+
+@register("validate_files", o.sql(
+    "SELECT target_id, count(*) AS migrations, count(*) FILTER (WHERE kind = 'versioned') AS versioned, "
+    "count(*) FILTER (WHERE kind = 'repeatable') AS repeatable, CAST(sum(line_count) AS BIGINT) AS lines FROM skeys "
+    "GROUP BY target_id", "skeys"))
+def validate_files(spark, d):
+    """R3 where the ledger table is missing: the file-based counts."""
+    return rp.validate_files(cp.script_keys(cp.parse_scripts(b.scripts(spark, d))))
+
+
+@register("marker_findings", o.sql(
+    "SELECT target_id, 'marker_in_comment' AS \"check\", path AS subject, printf('Marker ''-- UP'' of %s is part of a "
+    "longer comment', path) AS message, 'WARN' AS severity FROM parsed WHERE marker_style = 2 AND "
+    "regexp_matches(substr(lower(body), instr(lower(body), '-- up') + 5, 1), '[a-z]')", "parsed"))
+def marker_findings(spark, d):
+    """Q3: Up markers found inside a longer comment."""
+    return ck.marker_findings(cp.parse_scripts(b.scripts(spark, d)))
+
+
+@register("unreadable_times", o.sql(
+    "SELECT target_id, 'unreadable_time' AS \"check\", migration_id AS subject, printf('Timestamp ''%s'' of migration %s "
+    "cannot be read', txt, migration_id) AS message, 'WARN' AS severity FROM (SELECT *, strftime(applied_at, "
+    "'%d.%m.%Y') AS txt FROM ledger WHERE migration_type = 'repeatable')", "ledger"))
+def unreadable_times(spark, d):
+    """Q14: ledger times in a form no rule reads (here those of repeatables)."""
+    led = ledger_names(spark, d)
+    stamp = (F.when(F.col("migration_type") == "repeatable", F.date_format("applied_at", "dd.MM.yyyy"))
+             .otherwise(F.date_format("applied_at", "yyyy-MM-dd HH:mm:ss")))
+    return ck.unreadable_times(lg.rows_as_text(led.select("target_id", "migration_id", stamp.alias("applied_at"))))
+
+
 @register("plan_report", o.sql(
     "SELECT target_id, path, filename, version, tag, line_count, checksum8, preview, preview_more, "
-    "row_number() OVER (PARTITION BY target_id ORDER BY kind = 'repeatable', version NULLS FIRST, name, path) "
+    "row_number() OVER (PARTITION BY target_id ORDER BY kind = 'repeatable', version NULLS FIRST, name, path, checksum) "
     "AS plan_pos FROM ("
     "SELECT s.*, CASE WHEN s.kind = 'repeatable' THEN 'R' ELSE 'V' END AS tag, substr(s.checksum, 1, 8) AS checksum8, "
     f"{o.preview_sql('p.up_sql')} AS preview, s.line_count > 3 AS preview_more "
@@ -402,14 +461,16 @@ def validate_report(spark, d):
 
 
 @register("worst_status", o.sql(
-    "SELECT target_id, CASE max(CASE severity WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END) "
-    "WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS status FROM ("
-    f"SELECT * FROM ({_SEQ_FINDINGS_SQL}) UNION ALL SELECT * FROM ({_LEDGER_FINDINGS_SQL})) GROUP BY target_id",
-    "skeys", "lrun"))
+    "SELECT t.target_id, CASE max(CASE severity WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END) "
+    "WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS status FROM "
+    "(SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ("
+    f"SELECT * FROM ({_SEQ_FINDINGS_SQL}) UNION ALL SELECT * FROM ({_LEDGER_FINDINGS_SQL})) f USING (target_id) "
+    "GROUP BY t.target_id", "skeys", "lrun"))
 def worst_status(spark, d):
     """A9."""
     k, led = keys(spark, d), ledger(spark, d)
-    return ck.worst_status(ck.union_findings(ck.sequence_findings(k), ck.ledger_findings(k, led)))
+    return ck.worst_status(ck.union_findings(ck.sequence_findings(k), ck.ledger_findings(k, led)),
+                           b.targets(spark, d))
 
 
 @register("collect_findings", o.sql(
@@ -424,16 +485,14 @@ def collect_findings(spark, d):
 
 
 @register("validation_summary", o.sql(
-    "SELECT target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') AS "
-    "checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans FROM ("
-    f"SELECT * FROM ({_LEDGER_FINDINGS_SQL})) GROUP BY target_id", "skeys", "lrun"))
+    "SELECT t.target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') AS "
+    "checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans, "
+    "count(*) FILTER (WHERE severity = 'WARN') AS warnings, CASE WHEN count(*) FILTER (WHERE severity = 'FAIL') > 0 "
+    "THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM (SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ("
+    f"SELECT * FROM ({_LEDGER_FINDINGS_SQL})) f USING (target_id) GROUP BY t.target_id", "skeys", "lrun"))
 def validation_summary(spark, d):
-    """A8 over the ledger findings."""
-    f = ck.ledger_findings(keys(spark, d), ledger(spark, d))
-    return f.groupBy("target_id").agg(
-        F.count_if(F.col("severity") == "FAIL").alias("errors"),
-        F.count_if(F.col("check") == "checksum_mismatch").alias("checksum_mismatches"),
-        F.count_if(F.col("check") == "orphan").alias("orphans"))
+    """A8 over the ledger findings, clean targets too."""
+    return ck.validation_summary(ck.ledger_findings(keys(spark, d), ledger(spark, d)), b.targets(spark, d))
 
 
 @register("plan_order", o.sql(
@@ -443,8 +502,8 @@ def validation_summary(spark, d):
 def plan_order(spark, d):
     """Numbered plan of the scripts without any ledger row (the plan
     when the ledger holds nothing for them)."""
-    k = keys(spark, d)
-    ids = rc.non_baseline(ledger(spark, d)).select("target_id", F.col("migration_id").alias("identifier"))
+    k = names(spark, d)
+    ids = rc.non_baseline(ledger_names(spark, d)).select("target_id", F.col("migration_id").alias("identifier"))
     todo = k.join(ids, ["target_id", "identifier"], "left_anti").select("target_id", "path", "kind", "version", "name")
     return ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos").select("target_id", "path", "plan_pos")
 
@@ -457,11 +516,13 @@ def plan_order(spark, d):
     "CASE WHEN issues = 0 THEN printf('%d migrations in correct sequence', n) "
     "ELSE printf('%d sequence issues found', issues) END FROM (SELECT k.target_id, k.n, coalesce(i.issues, 0) AS issues "
     "FROM (SELECT target_id, count(*) AS n FROM skeys GROUP BY target_id) k LEFT JOIN "
-    f"(SELECT target_id, count(*) AS issues FROM ({_SEQ_FINDINGS_SQL}) GROUP BY target_id) i USING (target_id))",
+    f"(SELECT target_id, count(*) AS issues FROM ({_SEQ_FINDINGS_SQL}) GROUP BY target_id) i USING (target_id)) "
+    f"UNION ALL SELECT target_id, 'Sequence Issue', severity, message FROM ({_SEQ_FINDINGS_SQL})",
     "scripts", "skeys"))
 def health_report(spark, d):
-    """Data checks of the corpus per target (file count, sequence)."""
-    return rp.health_report(inputs.parsed(spark, d))[0]
+    """Data checks of the corpus per target (file count, sequence, and
+    each issue of the sequence)."""
+    return rp.health_report(inputs.names(spark, d))[0]
 
 
 @register("overall_health", o.sql(
@@ -471,22 +532,33 @@ def health_report(spark, d):
     "scripts", "skeys"))
 def overall_health(spark, d):
     """R6 verdict (A9 over the health checks)."""
-    return rp.health_report(inputs.parsed(spark, d))[1]
+    return rp.health_report(inputs.names(spark, d))[1]
 
 
 @register("ledger_create", o.sql(
-    "SELECT target_id, migration_id, migration_type, version, filename, checksum, applied_at, "
-    "execution_time_ms, success FROM ledger", "ledger"))
+    "SELECT target_id, migration_id, migration_type, version, filename, checksum, execution_time_ms, success, "
+    "applied_at IS NOT NULL AS stamped FROM ledger UNION ALL SELECT DISTINCT source, 'noted', 'versioned', NULL, "
+    "'noted.sql', 'none', CAST(0 AS BIGINT), false, true FROM documents", "ledger"))
 def ledger_create(spark, d):
     """Create the ledger table (defaults, fixed types) in the shared
-    folder and load the fixture ledger into it; read it back."""
+    folder, load the fixture ledger into it and one row per target that names
+    four columns only, so the defaults fill the rest; read it back.  The table
+    leaves the catalog, its files stay for the result."""
     import uuid
     from ..session import scratch_path
-    name = f"schema_migrations_{uuid.uuid4().hex[:12]}"
-    lg.create_ledger_table(spark, scratch_path(spark, "ledger_tables"), name)
+    name, path = f"schema_migrations_{uuid.uuid4().hex[:12]}", scratch_path(spark, "ledger_tables")
+    lg.create_ledger_table(spark, path, name)
     led = ledger(spark, d)
     led.select(*spark.table(name).columns).write.insertInto(name)
-    return spark.table(name)
+    noted = f"noted_{uuid.uuid4().hex[:12]}"
+    b.targets(spark, d).createOrReplaceTempView(noted)
+    spark.sql(f"INSERT INTO {name} (target_id, migration_id, filename, checksum) "
+              f"SELECT target_id, 'noted', 'noted.sql', 'none' FROM {noted}")
+    spark.catalog.dropTempView(noted)
+    spark.sql(f"DROP TABLE {name}")
+    return lg.read_ledger(spark, path).select(
+        "target_id", "migration_id", "migration_type", "version", "filename", "checksum", "execution_time_ms", "success",
+        F.col("applied_at").isNotNull().alias("stamped"))
 
 
 @register("is_applied", o.sql(
@@ -495,7 +567,7 @@ def ledger_create(spark, d):
     "skeys", "lrun"))
 def is_applied(spark, d):
     """A script counts as applied when its ledger row has a time and succeeded."""
-    st = rc.status_join(keys(spark, d), ledger(spark, d))
+    st = rc.status_join(names(spark, d), ledger_names(spark, d))
     return st.select("target_id", "migration_id", (F.col("status") == "APPLIED").alias("is_applied"))
 
 
@@ -503,7 +575,7 @@ def is_applied(spark, d):
     "SELECT target_id, migration_id, tag, status FROM (" + _STATUS_SQL + ")", "skeys", "lrun", "baselines"))
 def status_label(spark, d):
     """APPLIED / FAILED / PENDING label and the V/R tag per script."""
-    return rc.status_join(keys(spark, d), ledger(spark, d)).select("target_id", "migration_id", "tag", "status")
+    return rc.status_join(names(spark, d), ledger_names(spark, d)).select("target_id", "migration_id", "tag", "status")
 
 
 @register("finding_message", o.sql(

@@ -9,12 +9,19 @@ from ..functions import scripts as fs
 from ..operators import checks as ck
 from ..operators import corpus as cp
 from ..operators import reconcile as rc
-from ..operators.scan import ordinal
+from ..operators.scan import freeze, ordinal
 
 
-def status_report(keys: DataFrame, ledger: DataFrame) -> DataFrame:
+def status_report(keys: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """R2: every script with its label (APPLIED / FAILED / PENDING), run time,
-    drift flag and whether the baseline skips it."""
+    drift flag and whether the baseline skips it.  Without a ledger table
+    every script is pending."""
+    if ledger is None:
+        return keys.select(
+            "target_id", F.col("identifier").alias("migration_id"), "path", fs.kind_tag("kind").alias("tag"), "filename",
+            F.lit("PENDING").alias("status"), F.lit(None).cast("timestamp_ntz").alias("applied_at"),
+            F.lit(None).cast("long").alias("execution_time_ms"), F.lit(False).alias("checksum_mismatch"),
+            F.lit(False).alias("below_baseline"))
     st = rc.with_baseline(rc.status_join(keys, ledger), ledger)
     return st.select("target_id", "migration_id", "path", "tag", "filename", "status", "applied_at",
                      "execution_time_ms", "checksum_mismatch", "below_baseline")
@@ -32,13 +39,26 @@ def plan_report(parsed: DataFrame, ledger: DataFrame | None) -> DataFrame:
     todo = narrow if ledger is None else rc.pending(narrow, ledger)
     todo = (todo.withColumn("tag", fs.kind_tag("kind"))
                 .withColumn("checksum8", fs.checksum_prefix("checksum")))
-    out = ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos", freeze_input=ledger is not None)
+    out = ordinal(todo, ["target_id"], [*cp.corpus_order_key(), F.col("checksum")], "plan_pos",
+                  freeze_input=ledger is not None)
     return out.select("target_id", "path", "filename", "version", "tag", "line_count", "checksum8",
                       "preview", "preview_more", "plan_pos")
 
 
-def validate_report(keys: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(findings, per-target summary with verdict)."""
+def validate_files(keys: DataFrame) -> DataFrame:
+    """R3 without a ledger table: per target the script counts, and per
+    script type, line count and checksum prefix are columns of the corpus."""
+    return keys.groupBy("target_id").agg(
+        F.count(F.lit(1)).alias("migrations"), F.count_if(F.col("kind") == "versioned").alias("versioned"),
+        F.count_if(F.col("kind") == "repeatable").alias("repeatable"), F.sum("line_count").alias("lines"))
+
+
+def validate_report(keys: DataFrame, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(findings, per-target summary with verdict).  Without a ledger
+    table only the sequence is checked."""
+    if ledger is None:
+        findings = freeze(ck.sequence_findings(keys))
+        return findings, ck.validation_summary(findings, keys)
     findings = ck.union_findings(ck.sequence_findings(keys), ck.ledger_findings(keys, ledger))
     targets = keys.select("target_id").unionByName(rc.non_baseline(ledger).select("target_id")).distinct()
     return findings, ck.validation_summary(findings, targets)
@@ -46,15 +66,16 @@ def validate_report(keys: DataFrame, ledger: DataFrame) -> tuple[DataFrame, Data
 
 def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per target 'Migrations Directory' (file count) and 'Migration
-    Sequence' checks, and the overall status (A9).  The individual sequence
-    issues are the rows of ``sequence_findings``."""
+    Sequence' checks, one 'Sequence Issue' row per issue, and the overall
+    status (A9).  Needs the name layer only."""
     files = (parsed.where(F.col("path").endswith(".sql")).groupBy("target_id")
              .agg(F.count(F.lit(1)).alias("n")))
     dir_check = files.select("target_id", F.lit("Migrations Directory").alias("check_name"),
                              F.lit("PASS").alias("status"),
                              F.format_string("Found %d SQL migration files", F.col("n")).alias("message"))
-    keys = cp.script_keys(parsed)
-    issues = ck.sequence_findings(keys).groupBy("target_id").agg(F.count(F.lit(1)).alias("issues"))
+    keys = cp.valid_scripts(parsed)
+    found = freeze(ck.sequence_findings(keys))
+    issues = found.groupBy("target_id").agg(F.count(F.lit(1)).alias("issues"))
     loaded = keys.groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
     seq = loaded.join(issues, "target_id", "left").withColumn("issues", F.coalesce("issues", F.lit(0)))
     seq_check = seq.select(
@@ -62,7 +83,9 @@ def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("issues") == 0, F.lit("PASS")).otherwise(F.lit("WARN")).alias("status"),
         F.when(F.col("issues") == 0, F.format_string("%d migrations in correct sequence", F.col("n")))
          .otherwise(F.format_string("%d sequence issues found", F.col("issues"))).alias("message"))
-    checks = dir_check.unionByName(seq_check)
+    each = found.select("target_id", F.lit("Sequence Issue").alias("check_name"), F.col("severity").alias("status"),
+                        "message")
+    checks = dir_check.unionByName(seq_check).unionByName(each)
     rank = F.when(F.col("status") == "FAIL", 2).when(F.col("status") == "WARN", 1).otherwise(0)
     overall = (parsed.select("target_id").distinct()
                .join(checks.groupBy("target_id").agg(F.max(rank).alias("r")), "target_id", "left")
@@ -72,25 +95,39 @@ def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def proposed_baselines(scripts: DataFrame) -> DataFrame:
-    """A new baseline per target at (lowest doc id + 150), for F5 / R5."""
-    return scripts.groupBy("target_id").agg((F.min("doc_id") + 150).alias("new_baseline"))
+    """A new baseline per target for F5 / R5: the lowest doc id + 150 (runs
+    stand in the way); src2 proposes the one it has, src3 a free high one."""
+    own = F.min("doc_id") + 150
+    return scripts.groupBy("target_id").agg(own.alias("_own")).select(
+        "target_id", F.when(F.col("target_id") == "src2", F.lit(50_000_000)).when(F.col("target_id") == "src3", F.lit(60_000_000))
+        .otherwise(F.col("_own")).cast("long").alias("new_baseline"))
 
 
 # --- fixed values: directory check texts (R6 on a corpus on disk) ------------
 MSG_DIR_MISSING = "Directory '%s' does not exist"
+MSG_DIR_FILE = "'%s' exists but is not a directory"
+MSG_DIR_UNREADABLE = "Cannot read directory '%s': %s"
 MSG_DIR_FILES = "Found %d SQL migration files in '%s'"
 # -------------------------------------------------------------------------------
 
 
 def directory_health(spark, root: str) -> DataFrame:
     """R6 'Migrations Directory' on a corpus on disk: WARN when the folder is
-    missing, else PASS with the number of ``.sql`` files per target folder
-    (counted by Spark from the file listing and contents read once)."""
-    from ..sources.corpus import _exists, read_corpus
-    if not _exists(spark, root):
-        return spark.createDataFrame(
-            [("", "Migrations Directory", "WARN", MSG_DIR_MISSING % root)],
-            "target_id string, check_name string, status string, message string")
+    missing, FAIL when it is a file or cannot be read, else PASS with the
+    number of ``.sql`` files per target folder (counted by Spark)."""
+    from ..sources.corpus import folder_state, read_corpus
+
+    def single(status: str, message: str) -> DataFrame:
+        return spark.createDataFrame([("", "Migrations Directory", status, message)],
+                                     "target_id string, check_name string, status string, message string")
+
+    state, why = folder_state(spark, root)
+    if state == "missing":
+        return single("WARN", MSG_DIR_MISSING % root)
+    if state == "file":
+        return single("FAIL", MSG_DIR_FILE % root)
+    if state == "unreadable":
+        return single("FAIL", MSG_DIR_UNREADABLE % (root, why))
     files = read_corpus(spark, root).groupBy("target_id").agg(F.count(F.lit(1)).alias("n"))
     return files.select("target_id", F.lit("Migrations Directory").alias("check_name"), F.lit("PASS").alias("status"),
                         F.format_string(MSG_DIR_FILES, F.col("n"),

@@ -78,10 +78,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not conf_dir:
             raise RuntimeError("spark.checkpoint.dir is not set")
         return conf_dir
-    if not conf_dir and fallback is None and sc.master.startswith("local"):
-        # single machine: a scratch folder of this process is the shared folder
-        import tempfile
-        fallback = tempfile.mkdtemp(prefix="ledgerfleet-ckpt-")
     if not conf_dir:
         if fallback is None:
             raise RuntimeError(
@@ -101,16 +97,15 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 
 def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
-    """Settings for a cluster run sized from the bytes a job reads.
+    """Settings for a cluster run sized from the bytes a job reads (pass them
+    to ``build_session(extra=...)`` or to spark-submit).
 
-    The text is read once and parsed in the scan stage; everything after the
-    scan moves narrow rows, so shuffle partitions are sized for the narrow
-    data (about 2 % of the text) with AQE coalescing small ones and splitting
-    skewed ones.  At 100 TB: 4096+ shuffle partitions, 256 MB advisory size."""
+    Text is parsed in the scan stage; what follows moves narrow rows, about
+    2 % of the text, so shuffle partitions hold 64 MB of those.  AQE joins
+    small partitions and splits skewed ones."""
     narrow = max(input_bytes // 50, 1)
-    shuffle = max(cores * 2, min(200_000, narrow // (64 << 20) + 1))
     return {
-        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.shuffle.partitions": str(max(cores * 2, narrow // (64 << 20) + 1)),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",

@@ -24,22 +24,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread_if_single_file(spark: SparkSession, df: DataFrame, path: str, key: str) -> DataFrame:
-    """A table stored as one Parquet file (often one row group) is read by a
-    single task; before CPU-heavy per-row work it is spread by ``key`` over
-    the cluster's parallelism.  A directory of files is already read in
-    parallel and is left as it is (no shuffle of the text)."""
-    try:
-        sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        fs_ = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
-        single = fs_.exists(hpath) and fs_.getFileStatus(hpath).isFile()
-        parallelism = sc.defaultParallelism
-    except Exception:  # no local context to ask (Spark Connect): leave as read
-        return df
-    return df.repartition(parallelism, key) if single and parallelism > 1 else df
-
-
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -47,9 +31,7 @@ def _s(c) -> Column:
 # --- B1 scripts(doc_id, target_id, path, body) ------------------------------
 
 def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = table_path(sf_dir, "documents")
-    docs = spread_if_single_file(spark, spark.read.parquet(path), path, "doc_id")
-    return scripts_from(docs)
+    return scripts_from(table(spark, sf_dir, "documents"))
 
 
 def scripts_from(documents: DataFrame) -> DataFrame:
@@ -57,9 +39,12 @@ def scripts_from(documents: DataFrame) -> DataFrame:
     d = documents.select("doc_id", "source", "lang", "text")
     sid = _s("doc_id")
     nl = F.lit("\n")
+    # some numbers occur twice in a target
+    number = F.when(F.col("doc_id") % 29 == 7, F.floor(F.col("doc_id") / 400) * 400 + 1).otherwise(F.col("doc_id") + 1)
     path = (F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("notes-"), sid, F.lit(".sql")))
+            .when(F.col("doc_id") % 50 == 10, F.concat(F.lit("R__views_"), _s(F.col("doc_id") % 3), F.lit(".sql")))
             .when(F.col("doc_id") % 10 == 0, F.concat(F.lit("R__"), F.col("lang"), F.lit("_"), sid, F.lit(".sql")))
-            .otherwise(F.concat(F.format_string("%04d", F.col("doc_id") + 1), F.lit("_"), F.col("lang"),
+            .otherwise(F.concat(F.format_string("%04d", number), F.lit("_"), F.col("lang"), F.lit("_"), sid,
                                 F.lit(".sql"))))
     drop_own = F.concat(F.lit("DROP TABLE t"), sid, F.lit(";"))
     k = F.col("doc_id") % 6
@@ -70,12 +55,21 @@ def scripts_from(documents: DataFrame) -> DataFrame:
             .when(k == 3, F.concat(F.lit("-- @@UP@@"), nl, F.lit("CREATE TABLE IF NOT EXISTS t"),
                                    _s(F.col("doc_id") % 50), F.lit(" (id INT);"), nl, F.lit("-- comment"), nl,
                                    F.lit("DROP TABLE t"), _s(F.col("doc_id") % 20), F.lit(";"), nl,
+                                   F.lit("CREATE INDEX IF NOT EXISTS ix"), _s(F.col("doc_id") % 30),
+                                   F.lit(" ON t (id);"), nl, F.col("text"), nl,
                                    F.lit("-- @@DOWN@@"), nl, drop_own))
+            .when(F.col("doc_id") % 12 == 4, F.concat(F.lit("-- Update of the table"), nl, F.col("text"), nl,
+                                                      F.lit("-- DOWN"), nl, drop_own))
             .when(k == 4, F.concat(F.lit("-- +migrate Up"), nl, F.col("text")))
             .otherwise(F.col("text")))
     return d.select("doc_id", F.col("source").alias("target_id"), path.alias("path"), body.alias("body"))
 
 
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every target of B1 (no text is read)."""
+    return table(spark, sf_dir, "documents").select(F.col("source").alias("target_id")).distinct()
+
+
 # --- B2 ledger (8 columns + target_id) -----------------------------------------
 
 def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) -> DataFrame:
@@ -106,26 +100,34 @@ def ledger(spark: SparkSession, sf_dir: str, parsed: DataFrame | None = None) ->
                  .when(is_rep, F.replace(F.col("path"), F.lit(".sql"), F.lit("")))
                  .otherwise(_s(F.col("doc_id") + 1)).alias("migration_id"),
                 F.when(is_rep, F.lit("repeatable")).otherwise(F.lit("versioned")).alias("migration_type"),
-                F.when(is_rep, F.lit(None).cast("long")).otherwise(F.col("doc_id") + 1).alias("version"),
+                F.when(is_rep, F.lit(None).cast("long")).when(F.col("doc_id") % 19 == 0, F.col("doc_id") + 1_000_001)
+                 .otherwise(F.col("doc_id") + 1).alias("version"),
                 F.col("path").alias("filename"),
                 F.when(F.col("toxic") == 1, F.col("checksum_edited"))
                  .otherwise(F.col("checksum")).alias("checksum"),
                 F.col("ts").alias("applied_at"),
                 F.floor(F.col("value") * 10).cast("long").alias("execution_time_ms"),
                 (F.col("quality") == 1).alias("success")))
-    return rows.unionByName(ledger_baselines(spark, sf_dir))
+    # a failed run one hour before the recorded one: the ledger keeps both rows
+    retried = (rows.where(F.coalesce(F.col("version"), F.lit(0)) % 9 == 1)
+               .withColumn("applied_at", F.col("applied_at") - F.make_dt_interval(F.lit(0), F.lit(1)))
+               .withColumn("success", F.lit(False)))
+    return rows.unionByName(retried).unionByName(ledger_baselines(spark, sf_dir))
+
+
+HIGH_BASELINE = 50_000_000
 
 
 def ledger_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The baseline rows of B2 (one per target), which need no script text."""
-    return (table(spark, sf_dir, "documents").groupBy("source")
-            .agg((F.min("doc_id") + 100).alias("v"))
-            .select(F.col("source").alias("target_id"), _s("v").alias("migration_id"),
-                    F.lit("baseline").alias("migration_type"), F.col("v").alias("version"),
-                    F.concat(F.lit("baseline_"), F.col("source")).alias("filename"),
-                    F.lit("baseline").alias("checksum"),
-                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("applied_at"),
-                    F.lit(0).cast("long").alias("execution_time_ms"), F.lit(True).alias("success")))
+    """The baseline rows of B2 (one per target, a second, high one for src2),
+    which need no script text."""
+    first = table(spark, sf_dir, "documents").groupBy("source").agg((F.min("doc_id") + 100).alias("v"))
+    rows = first.unionByName(first.where(F.col("source") == "src2").withColumn("v", F.lit(HIGH_BASELINE).cast("long")))
+    return rows.select(
+        F.col("source").alias("target_id"), _s("v").alias("migration_id"), F.lit("baseline").alias("migration_type"),
+        F.col("v").alias("version"), F.concat(F.lit("baseline_"), F.col("source")).alias("filename"),
+        F.lit("baseline").alias("checksum"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("applied_at"),
+        F.lit(0).cast("long").alias("execution_time_ms"), F.lit(True).alias("success"))
 
 
 # --- B3 seq(target_id, version) ---------------------------------------------------
@@ -154,46 +156,108 @@ def ledger_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- B5 changes ----------------------------------------------------------------------
 
+CHANGE_TARGETS = 50
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row changes of 50 targets.  Updates and deletes go to keys of the
+    target's own base rows (``order_rows``) or beside them; inserts bring new
+    keys, but every tenth of an odd target's may meet a row.  Some values of
+    every fourth target are NULL."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     op = (F.when(F.col("event_type") == "error", F.lit("delete"))
           .when(F.col("event_type") == "signup", F.lit("insert")).otherwise(F.lit("update")))
-    return e.select((F.col("user_id") % 5).cast("long").alias("target_id"),
-                    (F.col("event_id") + 1).alias("version"),
-                    (F.col("user_id") * 7 + 1).alias("o_orderkey"), op.alias("op"), "value")
+    target = F.col("user_id") % CHANGE_TARGETS
+    own = (F.col("user_id") * 7) % 300 * CHANGE_TARGETS + target
+    fresh = F.lit(100_000_000) + F.col("event_id") * CHANGE_TARGETS + target
+    key = F.when((op == "insert") & ((target % 2 == 0) | (F.col("event_id") % 10 != 5)), fresh).otherwise(own)
+    value = F.when((target % 4 == 3) & (F.col("event_id") % 101 == 3), F.lit(None)).otherwise(F.col("value"))
+    return e.select(target.cast("long").alias("target_id"), (F.col("event_id") + 1).alias("version"),
+                    key.cast("long").alias("o_orderkey"), op.alias("op"), value.cast("double").alias("value"))
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders tables of the 50 targets as one relation: two targets may
+    hold the same key, so each order is a row of its own target and, every
+    seventh, of the next one too."""
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    o = table(spark, sf_dir, "orders").select(*cols)
+    own = F.col("o_orderkey") % CHANGE_TARGETS
+    both = F.when(F.col("o_orderkey") % 7 == 0, F.array(own, (own + 1) % CHANGE_TARGETS)).otherwise(F.array(own))
+    return o.select(F.explode(both).alias("target_id"), *cols).withColumn("target_id", F.col("target_id").cast("long"))
+
+
+def change_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scripts behind B5's changes: one per change, some without a Down
+    section (every 211th), some without a file (every 499th)."""
+    c = changes(spark, sf_dir).select("target_id", "version")
+    return c.where(F.col("version") % 499 != 0).select(
+        "target_id", "version", F.lit("versioned").alias("kind"), F.format_string("%04d_change.sql", "version").alias("path"),
+        (F.col("version") % 211 != 0).alias("has_rollback"))
+
+
+def gated_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of B5 whose script numbers have a gap or a double (B3's
+    sequences, each standing for every third target)."""
+    from ..operators.checks import version_positions
+    issues = version_positions(seq(spark, sf_dir)).where("is_gap").select("target_id").distinct()
+    return (issues.select((F.col("target_id") * 3).cast("long").alias("target_id"))
+            .where(F.col("target_id") < CHANGE_TARGETS))
 
 
 # --- B6 conns(conn_id, conn) -------------------------------------------------------------
 
+CONN_FORMS = [
+    "Driver=x; Host=h{key}; HTTPPath=/sql; AuthMech=3; PWD=p", "Driver=x;Host=h;HTTPPath=/s;AuthMech=11",
+    "postgresql://u@h/{brand}", "Driver=MySQL ODBC;Server=s", "dsn={type}", "sqlite:///data/{key}.db",
+    "Driver=psqlODBC;Server=mysqlhost{key}", "postgresql://h/mysql_{key}", "Driver=SQLite3;Database=d",
+    "Driver=x;Host=h", "Host=h;HTTPPath=/s", "Driver=x;Host=h;HTTPPath=/s", "Driver=x;Host=h;HTTPPath=/s;AuthMech=3",
+    "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=0", "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=1;Auth_Client_ID=c",
+    "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=2", "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=9{key}",
+    "Driver=x;Host=h;HTTPPath=/s;AuthMech=7", "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=2;PWD=p;PWD=q=r",
+    "Driver=x;Host=h;HTTPPath=/s;AuthMech=11;Auth_Flow=0;Auth_AccessToken=t", "pg", "mariadb", "sqlite3", "delta", "unknown"]
+
+
 def conns(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    k = F.col("p_partkey") % 5
-    conn = (F.when(k == 0, F.concat(F.lit("Driver=x; Host=h"), _s("p_partkey"),
-                                    F.lit("; HTTPPath=/sql; AuthMech=3; PWD=p")))
-            .when(k == 1, F.lit("Driver=x;Host=h;HTTPPath=/s;AuthMech=11"))
-            .when(k == 2, F.concat(F.lit("postgresql://u@h/"), F.col("p_brand")))
-            .when(k == 3, F.lit("Driver=MySQL ODBC;Server=s"))
-            .otherwise(F.concat(F.lit("dsn="), F.col("p_type"))))
+    forms = F.array(*[F.lit(x) for x in CONN_FORMS])
+    form = F.element_at(forms, (F.col("p_partkey") % len(CONN_FORMS) + 1).cast("int"))
+    conn = F.replace(F.replace(F.replace(form, F.lit("{key}"), _s("p_partkey")), F.lit("{brand}"), F.col("p_brand")),
+                     F.lit("{type}"), F.col("p_type"))
     return p.select(F.col("p_partkey").alias("conn_id"), conn.alias("conn"))
 
 
 # --- B7 catalog snapshot -------------------------------------------------------------------
 
 def catalog(spark: SparkSession, sf_dir: str, sc: DataFrame | None = None) -> DataFrame:
-    """Objects a target's database reports: the tables created by four out
-    of five of its scripts, the ledger table, and one temporary view per
-    language.  Derived from the corpus so it grows with it."""
+    """Objects a target's database reports, with dialect and schema: the
+    tables and indexes created by four out of five of its scripts, the ledger
+    table, user tables whose names look like system ones, a view, a sequence
+    and a temporary view per language, and system objects.  Derived from the
+    corpus so it grows with it."""
     sc = sc if sc is not None else scripts(spark, sf_dir)
     if "body" in sc.columns:   # raw corpus: extract the DDL names here
-        sc = sc.select("target_id", "doc_id", F.explode(fs.extract_objects("body", "CREATE TABLE"))
-                       .alias("object_name")).withColumn("keyword", F.lit("create_table"))
-    created = (sc.where((F.col("doc_id") % 5 != 0) & (F.col("keyword") == "create_table"))
-               .select("target_id", F.lit("table").alias("object_type"), "object_name",
-                       F.lit(False).alias("is_temporary")))
-    ledger_tbl = sc.select("target_id").distinct().select("target_id", F.lit("table").alias("object_type"),
-                           F.lit("schema_migrations").alias("object_name"), F.lit(False).alias("is_temporary"))
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("target_id"), "lang")
-    temp = docs.select("target_id", F.lit("view").alias("object_type"),
-                       F.concat(F.lit("tmp_"), F.col("lang")).alias("object_name"),
-                       F.lit(True).alias("is_temporary"))
-    return created.unionByName(ledger_tbl).unionByName(temp).distinct()
+        from ..operators.catalog import ddl_objects
+        sc = ddl_objects(sc)
+    made = sc.where((F.col("doc_id") % 5 != 0) & F.col("keyword").isin("create_table", "create_index"))
+    created = made.select("target_id", F.lit("public").alias("schema_name"),
+                          F.when(F.col("keyword") == "create_index", F.lit("index")).otherwise(F.lit("table"))
+                          .alias("object_type"), "object_name", F.lit(False).alias("is_temporary"))
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("target_id"), "lang").distinct()
+
+    def each(schema: str, kind: str, name, temporary: bool):
+        return F.struct(F.lit(schema).alias("schema_name"), F.lit(kind).alias("object_type"), name.alias("object_name"),
+                        F.lit(temporary).alias("is_temporary"))
+
+    fixed = F.array(
+        each("public", "table", F.lit("schema_migrations"), False), each("public", "table", F.lit("pg_archive"), False),
+        each("public", "table", F.lit("sqlite_stat1"), False), each("pg_catalog", "table", F.lit("pg_class"), False),
+        each("information_schema", "view", F.lit("tables"), False), each("mysql", "table", F.lit("user"), False),
+        each("public", "view", F.concat(F.lit("v_"), F.col("lang")), False),
+        each("public", "sequence", F.concat(F.lit("seq_"), F.col("lang")), False),
+        each("public", "view", F.concat(F.lit("tmp_"), F.col("lang")), True))
+    others = docs.select("target_id", F.explode(fixed).alias("o")).select("target_id", "o.*")
+    k = F.pmod(F.length("target_id"), F.lit(3))
+    dialect = F.when(k == 0, F.lit("MySQL")).when(k == 1, F.lit("SQLite")).otherwise(F.lit("PostgreSQL"))
+    return (created.unionByName(others).distinct()
+            .select("target_id", dialect.alias("dialect"), "schema_name", "object_type", "object_name", "is_temporary"))

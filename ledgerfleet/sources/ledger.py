@@ -49,7 +49,7 @@ def decode_ledger(text: DataFrame) -> DataFrame:
         F.when(t == "repeatable", F.lit(None).cast("long")).otherwise(dc.decode_int_or_zero("version")).alias("version"),
         "filename", "checksum",
         dc.decode_timestamp("applied_at").alias("applied_at"),
-        dc.decode_int_or_zero("execution_time_ms").alias("execution_time_ms"),
+        dc.decode_int_or_zero("execution_time_ms", dc.I32_MIN, dc.I32_MAX).alias("execution_time_ms"),
         dc.decode_boolean("success").alias("success"))
 
 

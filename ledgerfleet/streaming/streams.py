@@ -1,8 +1,7 @@
 """Structured Streaming forms of the ledger fold and the script parser (ST1, ST2).
 
 ST1 keeps the current ledger (L7) up to date from a stream of ledger events.
-The fold is a streaming aggregation of three ``max(struct)`` values per key,
-so late events resolve by (ts, seq) without a watermark: the state is one row
+The fold is a streaming aggregation of running maxima per key, so late events resolve by (ts, seq) without a watermark: the state is one row
 per key and a late event only wins if it is newer.  Update mode emits the
 keys a micro-batch changed; ``foreachBatch`` appends them with the batch id to
 a change table, and the current state is the newest row per key.
@@ -28,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import corpus as cp
 from ..operators import ledger_log as ll
 from ..session import scratch_path
+from ..sources import corpus
 
 EPOCH = "_batch_id"
 
@@ -50,23 +50,33 @@ def start_ledger_state_stream(events: DataFrame, key: list[str], sink: str, chec
     return w.start()
 
 
-def read_ledger_state(spark: SparkSession, sink: str, key: list[str]) -> DataFrame:
-    """Current ledger from ST1's change table: the newest batch per key."""
+def _newest(changes: DataFrame, key: list[str]) -> DataFrame:
+    """The newest row per key of a change table, with its batch id."""
+    others = [c for c in changes.columns if c not in (*key, EPOCH)]
+    return changes.groupBy(*key).agg(*[F.max_by(c, EPOCH).alias(c) for c in others], F.max(EPOCH).alias(EPOCH))
+
+
+def read_ledger_state(spark: SparkSession, sink: str, key: list[str], compacted: str | None = None) -> DataFrame:
+    """Current ledger from ST1's change table: the newest batch per key.
+    ``compacted``: a table of ``compact_ledger_state``; of the change table
+    only the batches after its last are read then."""
     changes = spark.read.parquet(sink)
-    cols = [c for c in changes.columns if c not in key and c != EPOCH]
-    latest = (changes.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(EPOCH)).alias("_x"))
-              .select(*key, "_x.*"))
-    return ll.state_from_aggregates(latest, key)
+    if compacted is not None:
+        base = spark.read.parquet(compacted)
+        last = base.agg(F.max(EPOCH)).first()[0]
+        changes = base.unionByName(changes.where(F.col(EPOCH) > F.lit(-1 if last is None else last)))
+    return ll.state_from_aggregates(_newest(changes, key), key)
 
 
-def compact_ledger_state(spark: SparkSession, sink: str, key: list[str], out: str) -> None:
-    """Rewrite ST1's change table as its newest row per key under ``out``
-    (copy-on-write; point readers at ``out`` afterwards)."""
+def compact_ledger_state(spark: SparkSession, sink: str, key: list[str], out: str, compacted: str | None = None) -> None:
+    """Rewrite ST1's change table (onto an earlier compaction, if given) as its
+    newest row per key under ``out``; readers pass ``out`` afterwards."""
     changes = spark.read.parquet(sink)
-    cols = [c for c in changes.columns if c not in key]
-    latest = (changes.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(EPOCH)).alias("_x"))
-              .select(*key, "_x.*"))
-    latest.write.mode("errorifexists").parquet(out)
+    if compacted is not None:
+        base = spark.read.parquet(compacted)
+        last = base.agg(F.max(EPOCH)).first()[0]
+        changes = base.unionByName(changes.where(F.col(EPOCH) > F.lit(-1 if last is None else last)))
+    _newest(changes, key).write.mode("errorifexists").parquet(out)
 
 
 def start_script_ingest_stream(scripts: DataFrame, sink: str, checkpoint: str,
@@ -85,9 +95,8 @@ def script_file_stream(spark: SparkSession, root: str) -> DataFrame:
     texts (pass ``wholetext`` as the argument: the option is overridden)."""
     df = (spark.readStream.option("pathGlobFilter", "*.sql").option("recursiveFileLookup", "true")
           .text(root, wholetext=True))
-    path = F.col("_metadata.file_path")
-    return df.select(F.try_element_at(F.split(path, "/"), F.lit(-2)).alias("target_id"),
-                     F.substring_index(path, "/", -1).alias("path"), F.col("value").alias("body"))
+    target, name = corpus.target_and_name(root)
+    return df.select(target.alias("target_id"), name.alias("path"), F.col("value").alias("body"))
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:

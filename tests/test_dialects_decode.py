@@ -54,3 +54,17 @@ def test_decoders(spark):
     assert out[2].t == dt.datetime(2024, 1, 2, 3, 4, 5, 250000) and out[3].t is None
     assert [r.b for r in out] == [True, False, True, False]
     assert [r.i for r in out] == [7, 0, 0, 0]
+
+
+def test_integer_ranges(spark):
+    df = spark.createDataFrame([("-5",), ("4294967295",), ("4294967296",), ("2147483648",), ("-2147483648",)], "i string")
+    out = df.select(dc.decode_int_or_zero("i").alias("v"), dc.decode_int_or_zero("i", dc.I32_MIN, dc.I32_MAX).alias("ms")).collect()
+    assert [r.v for r in out] == [0, 4294967295, 0, 2147483648, 0]
+    assert [r.ms for r in out] == [-5, 0, 0, 0, -2147483648]
+
+
+def test_single_precision_tie(spark):
+    """0.9 against 0.8 lies within 0.1 in single precision, 0.8 against 0.7 does not."""
+    df = spark.createDataFrame([("Driver=psqlODBC;Server=mysqlhost",), ("postgresql://h/mysql",), ("postgresql://h/x",)], "c string")
+    bm = dl.best_match(dl.candidates("c"))
+    assert [r[0] for r in df.select(bm["status"]).collect()] == ["AMBIGUOUS", "AMBIGUOUS", "OK"]

@@ -31,12 +31,44 @@ def test_fold_semantics(spark):
     assert st[6].applied_at == ts(1)                                        # failure keeps the start time
     fail = {r.event_id: r.applied_at for r in ll.record_failure(log, ["target_id", "version"]).collect()}
     assert fail[3] == ts(2) and fail[13] == ts(1) and fail[11] == ts(5)
+    # a success without a live row updates nothing
+    assert sorted(r.version for r in ll.record_success(log, ["target_id", "version"]).collect()) == [1]
     removed = sorted(r.version for r in ll.removed_keys(log, ["target_id", "version"]).collect())
     assert removed == [2]
     latest = {r.version: r.op for r in ll.latest_event(log, ["target_id", "version"]).collect()}
     assert latest[4] == "start" and latest[1] == "failure"
 
 
+def test_remove_resets_the_row(spark):
+    log = spark.createDataFrame([
+        ("a", 1, 1, ts(1), "start", 0), ("a", 1, 2, ts(2), "remove", 0), ("a", 1, 3, ts(3), "failure", 5),
+        ("a", 2, 4, ts(1), "start", 0), ("a", 2, 5, ts(2), "remove", 0), ("a", 2, 6, ts(3), "success", 5),
+        ("a", 2, 7, ts(4), "failure", 6), ("a", 3, 8, ts(1), "start", 0), ("a", 3, 9, ts(2), "remove", 0),
+        ("a", 3, 10, ts(3), "start", 0), ("a", 3, 11, ts(4), "failure", 6)], LOG)
+    key = ["target_id", "version"]
+    assert [(r.event_id, r.applied_at) for r in ll.record_failure(log, key).collect()] == [(11, ts(3))]
+    assert ll.record_success(log, key).count() == 0
+    assert [r.version for r in ll.ledger_state(log, key).collect()] == [3]
+
+
+def test_folds_aggregate_in_a_hash_table(spark):
+    d = "/root/testdata/sf0.001"
+    from ledgerfleet.sources import bindings as b
+    log = b.ledger_log(spark, d)
+    for df in (ll.ledger_state(log, ["target_id", "version"]), ll.removed_keys(log, ["target_id", "version"]),
+               ll.latest_event(log, ["target_id", "version"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_order_holds_for_far_times_and_large_sequences(spark):
+    far = [dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(1970, 1, 1), dt.datetime(9999, 12, 31)]
+    rows = [(k, t, s) for k, (t, s) in enumerate((t, s) for t in far for s in (0, 1, 2 ** 63 - 1))]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, event_id long")
+    got = df.select("k", ll.event_order("ts", "event_id").alias("o")).orderBy("o").collect()
+    assert [r.k for r in got] == list(range(len(rows))) and None not in [r.o for r in got]
+
+
 def test_blocked_after_failure(spark):
     log = spark.createDataFrame([
         ("a", 1, 1, ts(1), "start", 0), ("a", 1, 2, ts(2), "failure", 0), ("a", 2, 3, ts(3), "start", 0),
@@ -52,13 +84,14 @@ def test_bump_counts(spark):
     assert got == {1: (2, False), 2: (6, True), 3: (1, True)}
 
 
-ORD = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, " \
+ORD = "target_id long, o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, " \
       "o_orderpriority string"
 CH = "target_id long, version long, o_orderkey long, op string, value double"
 
 
 def test_apply_changes_stop_at_first_failure(spark):
-    base = spark.createDataFrame([(1, 10, "F", 5.0, ts(0), "1-URGENT"), (2, 20, "F", 6.0, ts(0), "2-HIGH")], ORD)
+    base = spark.createDataFrame([(0, 1, 10, "F", 5.0, ts(0), "1-URGENT"), (0, 2, 20, "F", 6.0, ts(0), "2-HIGH"),
+                                  (1, 1, 30, "F", 7.0, ts(0), "1-URGENT")], ORD)
     ch = spark.createDataFrame([
         (0, 1, 1, "update", 50.0),      # applied: key 1 price 50
         (0, 2, 3, "update", 9.0),       # key 3 missing: no-op, not a failure
@@ -67,20 +100,36 @@ def test_apply_changes_stop_at_first_failure(spark):
         (0, 5, 1, "insert", 1.0),       # fails: key 1 exists
         (0, 6, 4, "insert", 7.0),       # blocked
         (1, 7, 5, "insert", 8.0),       # other target: applied
+        (1, 8, 2, "insert", 9.0),       # key 2 is the first target's: applied here
+        (2, 9, 9, "insert", 1.0),       # a target with sequence issues: blocked
     ], CH)
-    table, st = cg.apply_changes(base, ch, "o_orderkey", "o_totalprice", {"o_orderstatus": "O"})
+    gate = spark.createDataFrame([(2,), (7,)], "target_id long")
+    table, st = cg.apply_changes(base, ch, "o_orderkey", "o_totalprice", {"o_orderstatus": "O"}, gate)
     status = {r.version: r.status for r in st.collect()}
     assert status == {1: "applied", 2: "applied", 3: "applied", 4: "applied", 5: "failed", 6: "blocked",
-                      7: "applied"}
-    rows = {r.o_orderkey: r for r in table.collect()}
-    assert set(rows) == {1, 2, 5}
-    assert rows[1].o_totalprice == 50.0 and rows[1].o_orderstatus == "F"
-    assert rows[2].o_totalprice == 60.0 and rows[2].o_orderstatus == "O" and rows[2].o_custkey is None
+                      7: "applied", 8: "applied", 9: "blocked"}
+    rows = {(r.target_id, r.o_orderkey): r for r in table.collect()}
+    assert set(rows) == {(0, 1), (0, 2), (1, 1), (1, 2), (1, 5)}
+    assert rows[0, 1].o_totalprice == 50.0 and rows[0, 1].o_orderstatus == "F" and rows[1, 1].o_totalprice == 7.0
+    assert rows[0, 2].o_totalprice == 60.0 and rows[0, 2].o_orderstatus == "O" and rows[0, 2].o_custkey is None
     ev = sorted((r.version, r.op) for r in cg.ledger_events(st).collect())
     assert (5, "failure") in ev and (6, "start") not in ev and (4, "success") in ev
-    asof, _ = cg.apply_changes(base, ch, "o_orderkey", "o_totalprice", {"o_orderstatus": "O"}, up_to_version=2)
-    assert {r.o_orderkey: r.o_totalprice for r in asof.collect()} == {1: 50.0, 2: 6.0}
-    assert sorted(r.version for r in cg.rollback_events(st, 2).collect()) == [3, 4, 7]
+    # target 0 can be rolled back; target 1 has a script without Down and one missing: it keeps everything
+    scripts = spark.createDataFrame([(0, v, "versioned", f"{v}.sql", True) for v in (3, 4)] + [(1, 7, "versioned", "7.sql", False)],
+                                    "target_id long, version long, kind string, path string, has_rollback boolean")
+    check = {r.version: r.check_status for r in cg.rollback_check(st, scripts, 2).collect()}
+    assert check == {3: "OK", 4: "OK", 7: "NO_DOWN", 8: "MISSING_FILE"}
+    asof, removed = cg.rollback_changes(base, st, scripts, "o_orderkey", "o_totalprice", 2, {"o_orderstatus": "O"})
+    assert {(r.target_id, r.o_orderkey): r.o_totalprice for r in asof.collect()} == {
+        (0, 1): 50.0, (0, 2): 6.0, (1, 1): 7.0, (1, 5): 8.0, (1, 2): 9.0}
+    assert sorted(r.version for r in removed.collect()) == [3, 4]
+
+
+def test_update_to_null(spark):
+    base = spark.createDataFrame([(0, 1, 10, "F", 5.0, ts(0), "x"), (0, 2, 10, "F", 6.0, ts(0), "x")], ORD)
+    ups = spark.createDataFrame([(0, 1, 1, "update", 4.0), (0, 2, 1, "update", None)], CH)
+    got = cg.update_where(base, ups, ["target_id", "o_orderkey"], "o_totalprice")
+    assert {r.o_orderkey: r.o_totalprice for r in got.collect()} == {1: None, 2: 6.0}
 
 
 def test_checks(spark):
@@ -103,7 +152,7 @@ def test_checks(spark):
 
 def test_publish_changes(spark, scratch):
     import os
-    base = spark.createDataFrame([(1, 10, "F", 5.0, ts(0), "1-URGENT")], ORD)
+    base = spark.createDataFrame([(0, 1, 10, "F", 5.0, ts(0), "1-URGENT")], ORD)
     ch = spark.createDataFrame([(0, 1, 1, "update", 7.0), (0, 2, 9, "insert", 3.0)], CH)
     snap, log = os.path.join(scratch, "orders_v2"), os.path.join(scratch, "ledger_log")
     cg.publish_changes(base, ch, "o_orderkey", "o_totalprice", snap, log, at="2024-02-01 00:00:00")

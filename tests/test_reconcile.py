@@ -117,3 +117,40 @@ def test_baseline_plan(spark):
     assert plan == {"a": "CREATE", "b": "CONFLICT", "c": "EXISTS"}
     rows = rb.baseline_rows(rb.baseline_plan(led, props, "Init Schema", "2024-06-01 00:00:00")).collect()
     assert [(r.target_id, r.filename) for r in rows] == [("a", "baseline_0005_init_schema")]
+
+
+def test_retries_fold_to_the_latest_row(spark):
+    k = corpus(spark, [("t", "0001_a.sql", "A;"), ("t", "0002_b.sql", "B;")])
+    a = md5(spark, "A;")
+    led = ledger_rows(spark, [
+        ("t", "1", "versioned", 1, "0001_a.sql", "old", T0, 1, False),
+        ("t", "1", "versioned", 1, "0001_a.sql", a, T0 + dt.timedelta(hours=1), 2, True),
+        ("t", "2", "versioned", 2, "0002_b.sql", md5(spark, "B;"), T0, 3, True),
+        ("t", "2", "versioned", 2, "0002_b.sql", "x", T0 + dt.timedelta(hours=1), 4, False)])
+    st = {r.migration_id: (r.status, r.checksum_mismatch) for r in rc.status_join(k, led).collect()}
+    assert st == {"1": ("APPLIED", False), "2": ("FAILED", True)}
+    assert rc.status_counts(k, led).first()["total"] == 2 and rc.reconcile(k, led).count() == 2
+    assert sorted(r.check for r in ck.ledger_findings(k, led).collect()) == ["checksum_mismatch", "failed"]
+
+
+def test_clean_targets_pass(spark):
+    targets = spark.createDataFrame([("a",), ("b",)], "target_id string")
+    f = spark.createDataFrame([("a", "orphan", "FAIL", "x", "m")], "target_id string, check string, severity string, subject string, message string")
+    assert {r.target_id: r.status for r in ck.worst_status(f, targets).collect()} == {"a": "FAIL", "b": "PASS"}
+    assert {r.target_id: r.verdict for r in ck.validation_summary(f, targets).collect()} == {"a": "FAILED", "b": "PASSED"}
+
+
+def test_sequence_issues_stop_an_apply_only(spark):
+    k = corpus(spark, [("gap", "0002_a.sql", "A;"), ("ok", "0001_a.sql", "A;")])
+    assert {r.severity for r in ck.sequence_findings(k).collect()} == {"WARN"}
+    assert {r.severity for r in ck.sequence_findings(k, "apply").collect()} == {"FAIL"}
+    assert [r.target_id for r in ck.apply_gate(k).collect()] == ["gap"]
+
+
+def test_reports_without_a_ledger(spark):
+    from ledgerfleet.plans import reports as rp
+    k = corpus(spark, [("t", "0002_a.sql", "A;\nB;"), ("t", "R__v.sql", "V;")])
+    assert {r.status for r in rp.status_report(k, None).collect()} == {"PENDING"}
+    findings, summary = rp.validate_report(k, None)
+    assert summary.first()["warnings"] == 1 and summary.first()["verdict"] == "PASSED"
+    assert tuple(rp.validate_files(k).first()) == ("t", 2, 1, 1, 3)

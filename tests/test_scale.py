@@ -41,6 +41,72 @@ def test_last_before_matches_window(spark):
     assert got.select("seq", "prev").exceptAll(want.select("seq", "prev")).count() == 0
 
 
+def test_ordinal_over_nulls_and_no_group(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 5), ("a", 4)], "g string, v int")
+    got = sorted((str(r.g), r.v, r.p) for r in ordinal(df, ["g"], ["v"], "p", freeze_input=True).collect())
+    assert got == [("None", 1, 1), ("None", 2, 2), ("a", 4, 1), ("a", 5, 2)]
+    assert sorted((r.v, r.p) for r in ordinal(df, [], ["v"], "p").collect()) == [(1, 1), (2, 2), (4, 3), (5, 4)]
+    assert ordinal(df.limit(0), ["g"], ["v"], "p").count() == 0
+
+
+def test_slices_follow_the_rows(spark, monkeypatch):
+    from ledgerfleet.operators import scan
+    monkeypatch.setattr(scan, "SLICE_ROWS", 500)
+    df = skewed(spark, 9000)
+    sliced = scan._sliced(df, ["target_id"], [F.col("version"), F.col("seq")], None)
+    assert sliced.select("__slice").distinct().count() > 10
+    got = ordinal(df, ["target_id"], [F.col("version"), F.col("seq")], "pos")
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("target_id").orderBy("version", "seq")))
+    assert got.select("seq", "pos").exceptAll(want.select("seq", "pos")).count() == 0
+
+
+def test_last_before_of_several_values(spark):
+    df = skewed(spark, 3000).withColumn("other", F.when(F.col("seq") % 5 == 0, F.col("version")))
+    got = last_before(df, ["target_id"], [F.col("version"), F.col("seq")], ["val", "other"], ["p", "q"], slices=8)
+    w = Window.partitionBy("target_id").orderBy("version", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("seq", F.last("val", ignorenulls=True).over(w).alias("p"), F.last("other", ignorenulls=True).over(w).alias("q"))
+    assert got.select("seq", "p", "q").exceptAll(want).count() == 0
+
+
+NAME_QUERIES = ["rows_as_text", "scalar_lookup", "filter_rollbackable", "filter_failed", "filter_below_baseline", "filter_conflicting",
+                "filter_above_target", "pending_versioned", "orphans", "baseline_skip", "is_applied_count",
+                "applied_matches_corpus", "duplicate_names", "is_applied", "status_label", "rollback_steps", "take_until",
+                "create_baseline", "baseline_report", "baseline_would_skip", "file_count", "classify_filename", "canonical_filename",
+                "identifier", "filter_kind", "filter_invalid_names", "count_by_kind", "worst_status", "latest_version",
+                "corpus_order", "ledger_order", "plan_order", "rollback_order", "health_report"]
+
+
+def test_queries_of_the_name_layer_read_no_text(spark):
+    """Neither the plan of the result nor any job before it (ordered scans
+    freeze their input) reads the script text."""
+    import __spark_entry__ as E
+    queries = E.queries()
+    frozen = []
+    from ledgerfleet.operators import scan
+    keep = scan.freeze
+    scan.freeze = lambda df: frozen.append(df) or keep(df)
+    try:
+        for name in NAME_QUERIES:
+            if name == "worst_status":          # drift needs the text
+                continue
+            frozen.clear()
+            df = queries[name](spark, "/root/testdata/sf0.001")
+            for own in [df, *frozen]:
+                plan = own._jdf.queryExecution().executedPlan().toString()
+                for scan_line in (x for x in plan.split("\n") if "FileScan" in x and "documents" in x):
+                    assert "text:" not in scan_line, (name, scan_line)
+    finally:
+        scan.freeze = keep
+
+
+def test_no_text_is_shuffled_by_corpus_queries(spark):
+    import __spark_entry__ as E
+    queries = E.queries()
+    for name in ("split_up_down", "checksum", "preview", "split_statements", "file_count", "script_corpus_scan"):
+        plan = queries[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert name == "file_count" or "Exchange" not in plan, (name, plan)
+
+
 def test_salted_join_is_exact(spark):
     df = skewed(spark, 5000)
     small = df.groupBy("target_id").agg(F.max("version").alias("mx"))
@@ -67,7 +133,7 @@ def test_partial_aggregation_and_pruning(spark):
     from ledgerfleet.sources import bindings as b
     d = "/root/testdata/sf0.001"
     plan = plan_of(ll.ledger_state(b.ledger_log(spark, d), ["target_id", "version"]))
-    assert "partial_max" in plan
+    assert "partial_max" in plan and "SortAggregate" not in plan
     ex = ll.ledger_state(b.ledger_log(spark, d), ["target_id", "version"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "props" not in ex.split("ReadSchema")[-1].split("\n")[0]      # unused column never read

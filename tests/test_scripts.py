@@ -57,6 +57,28 @@ def test_marker_styles(spark):
     assert (g["10_j.sql"]["up_sql"], g["10_j.sql"]["down_sql"]) == ("A", "B")
 
 
+def test_split_is_linear(spark):
+    """A 10 MB script of comments that look like Up markers, no Down marker."""
+    import time
+    line = "-- update the table, then -- +migrate up, -- +goose up and -- @@up@@ once more\n"
+    body = line * (10_000_000 // len(line))
+    df = spark.createDataFrame([("t", "1_a.sql", body), ("t", "2_b.sql", body + "-- +goose down\nX")],
+                               "target_id string, path string, body string")
+    t0 = time.time()
+    got = {r.path: r for r in cp.parse_scripts(df).select("path", "marker_style", F.length("up_sql").alias("n"), "down_sql").collect()}
+    assert time.time() - t0 < 20
+    assert got["1_a.sql"].marker_style == 0 and got["1_a.sql"].n == len(body.strip())
+    assert got["2_b.sql"].marker_style == 3 and got["2_b.sql"].down_sql == "X"
+
+
+def test_first_up_without_a_later_down_ends_the_style(spark):
+    g = parse(spark, [("t", "1_a.sql", "-- UP\nA\n-- +goose Up\nB\n-- +goose Down\nC"), ("t", "2_b.sql", "-- DOWN\n-- up x\n-- UP\ny\n-- down\n𝔘z"),
+                      ("t", "3_c.sql", "-- +migrate up-- +migrate down")])
+    assert (g["1_a.sql"]["marker_style"], g["1_a.sql"]["up_sql"], g["1_a.sql"]["down_sql"]) == (3, "B", "C")
+    assert (g["2_b.sql"]["up_sql"], g["2_b.sql"]["down_sql"]) == ("x\n-- UP\ny", "𝔘z")
+    assert (g["3_c.sql"]["up_sql"], g["3_c.sql"]["down_sql"], g["3_c.sql"]["has_rollback"]) == ("", "", False)
+
+
 def test_checksum_covers_up_only(spark):
     rows = [("t", "1_a.sql", "-- UP\nX\n-- DOWN\nY"), ("t", "2_a.sql", "junk\n-- UP\nX\n-- DOWN\nZZZ")]
     g = parse(spark, rows)

@@ -30,6 +30,17 @@ def test_read_corpus(spark, scratch):
     assert read_corpus(spark, os.path.join(scratch, "missing")).count() == 0   # S2
 
 
+def test_read_corpus_decodes_names_and_keeps_folders_apart(spark, scratch):
+    root = os.path.join(scratch, "my fleet+1")
+    write_tree(root, {"a/db/0001_my table.sql": "A;", "b/db/0001_my table.sql": "B;", "c d/R__v+é%20.sql": "V;", "0002_top.sql": "T;"})
+    for df in (read_corpus(spark, root), read_corpus(spark, "file://" + root + "/")):
+        assert sorted((r.target_id, r.path, r.body) for r in df.collect()) == [
+            ("", "0002_top.sql", "T;"), ("a/db", "0001_my table.sql", "A;"), ("b/db", "0001_my table.sql", "B;"),
+            ("c d", "R__v+é%20.sql", "V;")]
+    names = {r.identifier for r in cp.parse_scripts(read_corpus(spark, root)).collect()}
+    assert names == {"1", "2", "R__v+é%20"}
+
+
 def test_read_single_folder(spark, scratch):
     write_tree(scratch, {"0001_a.sql": "A;", "R__v.sql": "V;", "sub/0002_b.sql": "not read (not recursive)"})
     got = sorted((r.target_id, r.path) for r in read_corpus(spark, scratch, fleet=False).collect())
@@ -72,16 +83,62 @@ def test_ledger_stream_matches_batch(spark, scratch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
     compact = os.path.join(scratch, "compact")
     st.compact_ledger_state(spark, sink, ["target_id", "version"], compact)
-    again = st.read_ledger_state(spark, compact, ["target_id", "version"])
+    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=compact)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
+    # one more event after the compaction: only its batch is read from the change table
+    more = [("a", 3, 30, dt.datetime(2024, 1, 2), "start", 0), ("a", 2, 31, dt.datetime(2024, 1, 2), "failure", 8)]
+    spark.createDataFrame(more, schema).write.parquet(os.path.join(src, "b3"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
+    batch = ll.ledger_state(spark.createDataFrame(rows + more, schema), ["target_id", "version"])
+    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=compact)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
+    second = os.path.join(scratch, "compact2")
+    st.compact_ledger_state(spark, sink, ["target_id", "version"], second, compacted=compact)
+    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=second)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_live_catalog_and_snapshot(spark):
+CATALOG = "target_id string, dialect string, schema_name string, object_type string, object_name string, is_temporary boolean"
+
+
+def test_live_catalog_tells_views_from_tables(spark, scratch):
     spark.range(3).createOrReplaceTempView("tmp_things")
-    cat = ct.live_catalog(spark)
-    assert cat.where(F.col("object_name") == "tmp_things").count() == 1
-    c = spark.createDataFrame([("t", "table", "b", False), ("t", "table", "a", False), ("t", "table", "sqlite_x", False)],
-                              "target_id string, object_type string, object_name string, is_temporary boolean")
+    spark.sql(f"CREATE TABLE own_things (id INT) USING parquet LOCATION '{scratch}/own'")
+    try:
+        got = {r.object_name: (r.object_type, r.is_temporary) for r in ct.live_catalog(spark).collect()}
+        assert got["tmp_things"] == ("view", True) and got["own_things"] == ("table", False)
+        assert "default" in [r.schema_name for r in ct.live_schemas(spark).collect()]
+        assert [r.object_name for r in ct.user_tables(ct.live_catalog(spark)).where("object_name like 'own%'").collect()] \
+            == ["own_things"]
+    finally:
+        spark.sql("DROP TABLE own_things")
+        spark.catalog.dropTempView("tmp_things")
+
+
+def test_system_objects_go_by_schema(spark):
+    rows = [("t", "PostgreSQL", "public", "table", "pg_archive", False), ("t", "PostgreSQL", "pg_catalog", "table", "pg_class", False),
+            ("t", "MySQL", "sys", "table", "x", False), ("t", "MySQL", "app", "table", "sys.y", False),
+            ("t", "SQLite", "main", "table", "sqlite_stat1", False), ("t", "PostgreSQL", "public", "table", "sqlite_x", False),
+            ("t", "SQLite", None, "view", "sqlite_v", False), ("t", None, None, "table", "free", False)]
+    got = {r.object_name for r in ct.inventory(spark.createDataFrame(rows, CATALOG)).collect()}
+    assert got == {"pg_archive", "sys.y", "sqlite_x", "sqlite_v", "free"}
+
+
+def test_snapshots_of_two_baselines_stay(spark, scratch):
+    import pytest
+    c = spark.createDataFrame([("t", "SQLite", "main", "table", n, False) for n in ("a", "schema_migrations")], CATALOG)
+    out = []
+    for v in (1, 2):
+        lines = ct.snapshot_lines(c, spark.createDataFrame([("t", v)], "target_id string, baseline_version long"))
+        out.append(ct.write_snapshot(lines, scratch, v))
+    assert [spark.read.parquet(p).count() for p in out] == [5, 5]        # four fixed lines, one table
+    with pytest.raises(Exception):
+        ct.write_snapshot(lines, scratch, 2)
+
+
+def test_snapshot_lines(spark):
+    c = spark.createDataFrame([("t", "SQLite", "main", "table", n, False) for n in ("b", "a", "sqlite_x")], CATALOG)
     v = spark.createDataFrame([("t", 7)], "target_id string, baseline_version long")
     lines = [r.line for r in ct.snapshot_lines(c, v).orderBy("line_no").collect()]
     assert lines == ["-- Schema dump for baseline version 7", "-- Tables found:", "-- Table: a", "-- Table: b",
@@ -96,3 +153,8 @@ def test_directory_health(spark, scratch):
     assert got["db1"] == ("PASS", f"Found 2 SQL migration files in '{scratch}/db1'")
     missing = directory_health(spark, scratch + "/nope").first()
     assert missing.status == "WARN" and "does not exist" in missing.message
+    write_tree(scratch, {"plain.txt": "x"})
+    single = directory_health(spark, scratch + "/plain.txt").first()
+    assert single.status == "FAIL" and single.message.endswith("exists but is not a directory")
+    broken = directory_health(spark, "nostore://x/y").first()
+    assert broken.status == "FAIL" and broken.message.startswith("Cannot read directory")
