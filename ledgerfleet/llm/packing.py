@@ -26,22 +26,25 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scan import ordinal
-from .common import map_batches, materialize, share
+from .common import map_batches, materialize, share, sub_batches
 
 CAPACITY = 4096
 END_ID = 1
 WORD_TOKENIZER = "word_bpe_49k.json"
 # Distinct words a task remembers the ids of; words met later are encoded anew.
 MEMO_WORDS = 500_000
+ENCODE_BYTES = 6 << 20        # text whose different runs are encoded together
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -53,12 +56,14 @@ _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß
 
 
 class WordEncoder:
-    """Token ids of a text as little-endian 32-bit bytes.
+    """Token ids of texts as little-endian 32-bit bytes.
 
-    The tokenizer splits a normalized text into words and encodes each word by
-    itself, so the ids of a word are remembered.  A text with a character
-    outside the plain set, or with a special-token bracket, goes through the
-    tokenizer whole."""
+    The tokenizer splits a normalized text into words, which hold no white
+    space, and encodes each word by itself.  So texts are cut at white space,
+    each different run of a batch is encoded once from the remembered ids of
+    its words, and the ids of a text are gathered by run number.  A text with a
+    character outside the plain set, or with a special-token bracket, goes
+    through the tokenizer whole."""
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,26 +71,58 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
         self.memo_words = memo_words
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text or not _PLAIN.fullmatch(text):
-            return self._ids([text])[0]
-        words, memo = _WORD.findall(text.lower()), self.memo
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in memo]
-        found = dict(zip(new, self._ids(new)))
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Words go through the tokenizer as one text; the ids that end a word
+        tell where the next begins."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):            # a vocabulary without word ends
+            return self._ids(words)
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _run_ids(self, runs: list[str]) -> list[bytes]:
+        """The ids of different runs without white space."""
+        memo = self.memo
+        found = [memo.get(r) for r in runs]
+        parts = {k: _WORD.findall(runs[k]) for k, ids in enumerate(found) if ids is None}
+        new = list(set().union(*parts.values()).difference(memo)) if parts else []
+        fresh = dict(zip(new, self._word_ids(new))) if new else {}
         if len(memo) < self.memo_words:
-            memo.update(found)
-            return b"".join(map(memo.__getitem__, words))
-        return b"".join([memo[w] if w in memo else found[w] for w in words])
+            memo.update(fresh)
+        for k, words in parts.items():
+            found[k] = b"".join([fresh[w] if w in fresh else memo[w] for w in words])
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts."""
+        plain = [k for k, t in enumerate(texts) if "<|" not in t and _PLAIN.fullmatch(t)]
+        out: list[bytes] = [b""] * len(texts)
+        if plain:
+            split = pa.compute.ascii_split_whitespace(pa.array([texts[k].lower() for k in plain], pa.large_string()))
+            different = split.flatten().dictionary_encode()
+            ids = self._run_ids(different.dictionary.to_pylist())
+            size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            flat = np.frombuffer(b"".join(ids), dtype="<u4")
+            run = different.indices.to_numpy()
+            own = size[run]
+            after = np.cumsum(own)
+            # where each run's ids lie in `flat`, spread over its own ids
+            shift = (np.cumsum(size) - size)[run] - (after - own)
+            data = flat[np.repeat(shift, own) + np.arange(after[-1] if len(after) else 0)].tobytes()
+            ends = np.concatenate([[0], after])[split.offsets.to_numpy()]
+            for k, a, b in zip(plain, (4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist()):
+                out[k] = data[a:b]
+        for k in set(range(len(texts))).difference(plain):
+            out[k] = self._ids([texts[k]])[0]
+        return out
 
 
 def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
@@ -101,10 +138,11 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer or tokenizer_path())
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sub_batches(whole, "text", ENCODE_BYTES)):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py() or "") + end
+            encoded = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
+                ids += end
                 n = len(ids) // 4
                 for k, start in enumerate(range(0, n, capacity)):
                     cut = ids[4 * start:4 * (start + capacity)]
