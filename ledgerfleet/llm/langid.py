@@ -22,23 +22,24 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, share
+from .common import map_batches, materialize, share, sub_batches
 
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
 MOST_WORDS = 1 << 17
 MOST_GRAMS = 1 << 15          # of each length
 FLUSH_ENTRIES = 200_000       # distinct entries a task counts before it hands them on
-MEMO_WORDS = 200_000          # unseen words a task remembers the scores of
+MEMO_RUNS = 200_000           # runs without white space a task remembers the scores of
+COUNT_BYTES = 6 << 20         # text whose different runs are looked at together
 SMOOTHING = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -49,59 +50,72 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def white_space_runs(texts: list[str]) -> pa.Array:
+    """Lower-cased texts cut at white space; no word lies across a cut."""
+    return pa.compute.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+
+
 def grams(word: str, order: int) -> list[str]:
     """The n-grams of a word between end marks; its single letters if n is 1."""
     own = word if order == 1 else f"<{word}>"
     return [own[k:k + order] for k in range(len(own) - order + 1)]
 
 
-def _counted(entries: Iterator[tuple[str, Iterator]]) -> Iterator[pa.RecordBatch]:
-    """Sum weights per (group, key) of an iterator of Counters' updates."""
-    held: dict[str, Counter] = {}
+def _batch(lang: list[str], word: list[str], n: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())],
+                                      names=["lang", "word", "n"])
 
-    def flush() -> pa.RecordBatch:
-        rows = [(g, k, n) for g, own in held.items() for k, n in own.items()]
-        held.clear()
-        a, b, c = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())],
-                                          names=["lang", "word", "n"])
 
-    size = 0
-    for group, update in entries:
-        own = held.setdefault(group, Counter())
-        before = len(own)
-        own.update(update)
-        size += len(own) - before
-        if size > FLUSH_ENTRIES:
-            yield flush()
-            size = 0
-    yield flush()
+def _flush(held: dict[str, dict[str, int]]) -> Iterator[pa.RecordBatch]:
+    for lang, own in held.items():
+        if own:
+            yield _batch([lang] * len(own), list(own), list(own.values()))
+    held.clear()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """lang, word, n over all rows of ``docs`` (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted((lang.as_py(), words(text.as_py())) for batch in batches
-                            for lang, text in zip(batch.column(0), batch.column(1)))
+        held: dict[str, dict[str, int]] = {}
+        for batch in (part for whole in batches for part in sub_batches(whole, "text", COUNT_BYTES)):
+            texts: dict[str, list[str]] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts.setdefault(lang, []).append(text)
+            for lang, own in texts.items():
+                counts = held.setdefault(lang, {})
+                different = white_space_runs(own).flatten().value_counts()
+                for run, n in zip(different.field(0).to_pylist(), different.field(1).to_pylist()):
+                    for word in _WORD.findall(run):
+                        counts[word] = counts.get(word, 0) + n
+            if sum(map(len, held.values())) > FLUSH_ENTRIES:
+                yield from _flush(held)
+        yield from _flush(held)
 
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     return (map_batches(labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")), run, COUNTS)
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
-def gram_counts(counts: DataFrame, order: int) -> DataFrame:
-    """lang, word (the n-gram), n from the word counts."""
-
-    def weighted(word: str, n: int) -> dict[str, int]:
-        out: dict[str, int] = {}
-        for g in grams(word, order):
-            out[g] = out.get(g, 0) + n
-        return out
+def gram_counts(counts: DataFrame) -> DataFrame:
+    """lang, word (the n-gram; its length is its order), n from word counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted((lang, weighted(word, n)) for batch in batches
-                            for lang, word, n in zip(*batch.to_pydict().values()))
+        held: dict[str, dict[str, int]] = {}
+        for batch in batches:
+            for lang, word, n in zip(*batch.to_pydict().values()):
+                own = held.setdefault(lang, {})
+                get = own.get
+                marked, size = f"<{word}>", len(word) + 2
+                for g in word:
+                    own[g] = get(g, 0) + n
+                for order in ORDERS[:-1]:
+                    for k in range(size - order + 1):
+                        g = marked[k:k + order]
+                        own[g] = get(g, 0) + n
+            if sum(map(len, held.values())) > FLUSH_ENTRIES:
+                yield from _flush(held)
+        yield from _flush(held)
 
     return (map_batches(counts.select("lang", "word", "n"), run, COUNTS)
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -132,35 +146,70 @@ class LanguageModel:
     grams: dict[int, dict[str, int]]
     logs: np.ndarray
 
-    def unseen(self, word: str) -> np.ndarray:
+    def _known_grams(self, word: str) -> list[int]:
+        """Rows of the longest n-grams of ``word`` that are known."""
         for order in ORDERS:
             rows = [r for r in map(self.grams[order].get, grams(word, order)) if r is not None]
             if rows:
-                return self.logs[rows].mean(axis=0)
-        return np.zeros(len(self.langs), dtype=self.logs.dtype)
-
-    def sums(self, own: list[str], memo: dict[str, np.ndarray]) -> np.ndarray:
-        total, rows = np.zeros(len(self.langs)), []
-        for word in own:
-            row = self.words.get(word)
-            if row is not None:
-                rows.append(row)
+                return rows
+        return []
+
+    def unseen(self, unknown: list[str]) -> np.ndarray:
+        """Scores of words that are not in the vocabulary: (n, languages)."""
+        out = np.zeros((len(unknown), len(self.langs)), dtype=np.float64)
+        rows = [self._known_grams(w) for w in unknown]
+        size = np.array([len(r) for r in rows])
+        some = np.flatnonzero(size)
+        if len(some):
+            flat = np.fromiter((r for own in rows for r in own), dtype=np.int64, count=int(size.sum()))
+            at = (np.cumsum(size) - size)[some]
+            out[some] = np.add.reduceat(self.logs[flat].astype(np.float64), at, axis=0) / size[some, None]
+        return out
+
+    def run_scores(self, runs: list[str], memo: dict[str, np.ndarray]) -> np.ndarray:
+        """Of different runs without white space: the sums over their words,
+        and in the last column whether they hold a letter."""
+        n = len(self.langs)
+        out = np.zeros((len(runs), n + 1))
+        row = np.fromiter((self.words.get(r, -1) for r in runs), dtype=np.int64, count=len(runs))
+        out[row >= 0, :n] = self.logs[row[row >= 0]]
+        out[row >= 0, n] = 1
+        parts, unknown = {}, {}
+        for k in np.flatnonzero(row < 0).tolist():
+            known = memo.get(runs[k])
+            if known is not None:
+                out[k] = known
                 continue
-            score = memo.get(word)
-            if score is None:
-                score = self.unseen(word)
-                if len(memo) < MEMO_WORDS:
-                    memo[word] = score
-            total += score
-        return total + self.logs[rows].sum(axis=0, dtype=np.float64) if rows else total
-
-    def predict(self, text: str | None, memo: dict[str, np.ndarray]) -> tuple[str, float]:
-        own = words(text) if text else []
-        if not self.langs or not any(map(str.isalpha, own)) and not any(c.isalpha() for w in own for c in w):
-            return UNKNOWN, 0.0
-        sums = self.sums(own, memo)
-        best = int(sums.argmax())
-        return self.langs[best], float(1 / np.exp(np.maximum(sums - sums[best], -700)).sum())
+            parts[k] = _WORD.findall(runs[k])
+            for word in parts[k]:
+                if word not in self.words:
+                    unknown.setdefault(word, len(unknown))
+        scores = self.unseen(list(unknown))
+        for k, own in parts.items():
+            for word in own:
+                out[k, :n] += scores[unknown[word]] if word in unknown else self.logs[self.words[word]]
+            out[k, n] = any(c.isalpha() for c in runs[k])
+            if len(memo) < MEMO_RUNS:
+                memo[runs[k]] = out[k]
+        return out
+
+    def predict(self, texts: list[str | None], memo: dict[str, np.ndarray]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        if not texts or not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        split = white_space_runs([t or "" for t in texts])
+        different = split.flatten().dictionary_encode()
+        scores = self.run_scores(different.dictionary.to_pylist(), memo)
+        total = np.concatenate([np.zeros((1, scores.shape[1])), scores[different.indices.to_numpy()]])
+        ends = split.offsets.to_numpy()
+        sums = np.stack([total[1 + a:1 + b].sum(axis=0) for a, b in zip(ends, ends[1:])])
+        out = []
+        for own in sums:
+            logs, letters = own[:-1], own[-1]
+            best = int(logs.argmax())
+            share_of_best = float(1 / np.exp(np.maximum(logs - logs[best], -700)).sum())
+            out.append((self.langs[best], share_of_best) if letters else (UNKNOWN, 0.0))
+        return out
 
 
 def fit(docs: DataFrame, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
@@ -180,8 +229,9 @@ def fit(docs: DataFrame, most_words: int = MOST_WORDS, most_grams: int = MOST_GR
 
     known = add(_frequent(counts, most_words), totals)
     by_order = {}
+    all_grams = materialize(gram_counts(counts), "lang-grams")
     for order in ORDERS:
-        own = materialize(gram_counts(counts, order), f"lang-grams-{order}")
+        own = all_grams.where(F.length("word") == order)
         sizes = {r["lang"]: int(r["n"]) for r in own.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         by_order[order] = add(_frequent(own, most_grams), sizes)
     return LanguageModel(langs, known, by_order,
@@ -194,8 +244,8 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, memo = shared(), {}
-        for batch in batches:
-            found = [own.predict(t.as_py(), memo) for t in batch.column(1)]
+        for batch in (part for whole in batches for part in sub_batches(whole, "text", COUNT_BYTES)):
+            found = own.predict(batch.column(1).to_pylist(), memo)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
