@@ -12,10 +12,15 @@ it anchors.
 
 1. *Leading tokens.*  Splitters sampled from a bounded number of documents
    range-partition the suffixes by their first eight bytes; inside a partition
-   they are sorted by their leading 16 bytes.  A suffix whose lead occurs in no
-   other document is dropped.
-2. *Suffixes.*  The rest fetch their surroundings (the strings they anchor, at
-   most 84 bytes) and meet again in the same ranges.  A bucket sorts the strings
+   they are sorted by (a hash of) their leading 16 bytes, with a hash of their
+   *surroundings*, the at most 84 bytes of the strings they anchor.  Of equal
+   surroundings the smallest doc_id stays and all others are hits as a whole.
+   A string of 50 bytes holds, beside its lead, 17 more bytes to the right or
+   17 to the left of it; what stays goes on only if other surroundings of the
+   lead agree with it on (a short hash of) one of these sides.  Only hashes and
+   doc_ids travel here.
+2. *Suffixes.*  Those that go on are found again in their texts, and their
+   surroundings meet in the same ranges.  A bucket sorts the strings
    of each lead by multikey quicksort, eight bytes at a time, going on only
    inside runs that are still equal; the smallest doc_id of each run of equal
    strings keeps it, all others are hits.  Equal strings share a lead, so no run
@@ -49,17 +54,20 @@ from .common import map_batches, share
 
 SPAN, LEAD = 50, 16
 REACH = SPAN - LEAD + 1          # places of a lead inside a string
+SIDE = REACH // 2                # bytes beside a lead that a string holds on one side at least
+HASH_BITS = 32                   # of a lead's hash; the bits above hold its range
+MOST_RANGES = 1 << 24            # of leads
 BLOCK = 1 << 18                  # bytes worked on at once
 SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 4000
 HOT_DOCS = 8                     # sampled documents that make a lead hot
 SEEN_STRINGS = 500_000           # hot strings a task remembers
 BUCKET_ROWS = 20_000             # suffixes sorted at once, up to the end of a lead
+LEAD_ROWS = 100_000              # rows of leads looked at at once, likewise
+TEXT_LEVEL = 6                   # zstd level of texts that travel
 BUCKETS_PER_PARTITION = 16
 
-SUFFIX, STRING, HIT = 0, 1, 2    # kinds of rows
-# place: start in the document << 16 | HIT_BIT and length of a hit, or
-# strings << 8 | place of the lead in the first of them
-HIT_BIT = 1 << 15
+SUFFIX, STRING, HIT, RUN = range(4)    # kinds of rows; RUN: surroundings that are hits as a whole
+# place: start in the document << 16 | length of a string or span of hits
 
 
 def big_endian(data: np.ndarray) -> np.ndarray:
@@ -78,14 +86,43 @@ def lead_hashes(eight: np.ndarray) -> np.ndarray:
     return x
 
 
+def side_hashes(eight: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Eight bits each of the SIDE bytes right and left of the leads at
+    ``lead``; where a document ends sooner no string lies on that side."""
+    padded = np.concatenate([np.zeros(SIDE, dtype=np.uint64), eight, np.zeros(LEAD + SIDE, dtype=np.uint64)])
+    at, out = lead + SIDE, np.zeros(len(lead), dtype=np.uint64)
+    for start in (at + LEAD, at - SIDE):
+        x = padded[start] * np.uint64(0x9E3779B97F4A7C15)
+        x ^= (padded[start + 8] ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= (padded[start + SIDE - 8] ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        out = out << np.uint64(8) | x >> np.uint64(56)
+    return out
+
+
+def surrounding_hashes(eight: np.ndarray, start: np.ndarray, count: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """48 bits of the strings ``count`` from ``start`` on and the place of
+    their lead (``shift``)."""
+    padded = np.concatenate([eight, np.zeros(SPAN + REACH, dtype=np.uint64)])
+    length = count + SPAN - 1
+    x = (length << 8 | shift).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, SPAN + REACH - 1, 8):
+        spare = np.clip(at + 8 - length, 0, 8)        # bytes of these eight beyond the end
+        word = np.where(spare < 8, padded[start + at] >> (np.minimum(spare, 7) * 8).astype(np.uint64), np.uint64(0))
+        x = (x ^ word) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+    x *= np.uint64(0x94D049BB133111EB)
+    return (x ^ x >> np.uint64(29)) >> np.uint64(16)
+
+
 def anchored_runs(data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of the concatenated documents ``data`` (``owner``: the document of each
-    byte): first string, number of strings and place of the lead of every
-    anchor, the lead's hash and its first eight bytes."""
+    byte), for every anchor: first string, number of strings, the lead's hash,
+    its first eight bytes, and in one number ``surrounding_hashes`` and
+    ``side_hashes``."""
     n = len(data) - SPAN + 1
     if n <= 0:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none.view(np.uint64), none.view(np.uint64), none
     eight = big_endian(data)
     hashes = lead_hashes(eight)
     least, at, size = hashes, np.arange(len(hashes), dtype=np.int32), 1
@@ -98,7 +135,8 @@ def anchored_runs(data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]
     first = np.flatnonzero(np.diff(anchor, prepend=-1))
     start, lead = strings[first], anchor[first]
     count = np.diff(np.append(first, len(strings)))
-    return start, count, lead - start, hashes[lead], eight[lead]
+    around = surrounding_hashes(eight, start, count, lead - start)
+    return start, count, hashes[lead], eight[lead], (around << np.uint64(16) | side_hashes(eight, lead)).view(np.int64)
 
 
 def _smaller(value: np.ndarray, at: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +189,7 @@ def _sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, owner, parts in blocks(_documents(batches)):
-            start, _, _, hashes, eight = anchored_runs(data, owner)
+            start, _, hashes, eight, _ = anchored_runs(data, owner)
             step = max(1, len(start) * 4096 // (SAMPLE_SUFFIXES * max(len(data), 4096)))
             own = np.array([p[0] for p in parts], dtype=np.int64)[owner[start]]
             yield pa.RecordBatch.from_arrays(
@@ -164,111 +202,174 @@ def _sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return leads, hashes[times >= HOT_DOCS]
 
 
-def _range_of(lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    return np.searchsorted(splitters, lead, side="right").astype(np.int32)
+def keys_of(hashes: np.ndarray, lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """The range of a lead's first bytes above, its hash below: one number
+    that partitions and sorts suffixes."""
+    bucket = np.searchsorted(splitters, lead, side="right").astype(np.uint64)
+    return (bucket << np.uint64(HASH_BITS) | hashes >> np.uint64(64 - HASH_BITS)).view(np.int64)
+
+
+def by_range(rows: DataFrame, parts: int) -> DataFrame:
+    """One partition for each group of ranges, sorted by lead."""
+    return rows.repartition(parts, F.shiftright("lead", HASH_BITS)).sortWithinPartitions("lead")
 
 
-ROWS = "bucket int, kind tinyint, lead long, tail long, doc_id long, mark long, place long"
+ROWS = "lead long, kind tinyint, tail long, doc_id long, mark long, place long"
 
 
-def _rows(bucket, kind, lead, tail, doc_id, mark, place) -> pa.RecordBatch:
+def _rows(lead, kind, tail, doc_id, mark, place) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(bucket, dtype=np.int32)), pa.array(np.asarray(kind, dtype=np.int8)),
-         pa.array(np.asarray(lead, dtype=np.int64)), pa.array(np.asarray(tail, dtype=np.int64)),
-         pa.array(np.asarray(doc_id, dtype=np.int64)), pa.array(np.asarray(mark, dtype=np.int64)),
-         pa.array(np.asarray(place, dtype=np.int64))],
-        names=["bucket", "kind", "lead", "tail", "doc_id", "mark", "place"])
+        [pa.array(np.asarray(lead, dtype=np.int64)), pa.array(np.asarray(kind, dtype=np.int8)),
+         pa.array(np.asarray(tail, dtype=np.int64)), pa.array(np.asarray(doc_id, dtype=np.int64)),
+         pa.array(np.asarray(mark, dtype=np.int64)), pa.array(np.asarray(place, dtype=np.int64))],
+        names=["lead", "kind", "tail", "doc_id", "mark", "place"])
 
 
 def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFrame:
-    """A row per anchored suffix, and per string of a hot lead."""
+    """A row (lead, hashes of surroundings and sides in ``tail``, doc_id) per
+    anchored suffix; for the strings of a hot lead a row with their place, or
+    the hits found at once."""
     shared, n_buckets = share(docs.sparkSession, (splitters, hot)), len(splitters) + 1
 
+    def spread(number: int) -> int:
+        return number % n_buckets << HASH_BITS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         splitters, hot = shared()
         seen: dict[bytes, int] = {}
         for data, owner, parts in blocks(_documents(batches)):
-            start, count, shift, hashes, lead = anchored_runs(data, owner)
+            start, count, hashes, lead, tails = anchored_runs(data, owner)
             if not len(start):
                 continue
             doc_id, mark, offset, base = (np.array(x, dtype=np.int64) for x in zip(*parts))
             part = owner[start]
-            place = start - base[part] + offset[part]
             is_hot = np.isin(hashes, hot)
             own = ~is_hot
-            yield _rows(_range_of(lead[own], splitters), np.zeros(own.sum()), hashes[own].view(np.int64),
-                        np.zeros(own.sum()), doc_id[part[own]], mark[part[own]],
-                        place[own] << 16 | count[own] << 8 | shift[own])
+            none = np.zeros(int(own.sum()), dtype=np.int64)
+            yield _rows(keys_of(hashes[own], lead[own], splitters), none, tails[own], doc_id[part[own]], none, none)
             out, raw = [], data.tobytes()
             for at in np.flatnonzero(is_hot):
-                doc, note, first = int(doc_id[part[at]]), int(mark[part[at]]), int(place[at])
-                for k in range(int(count[at])):
-                    begin = int(start[at]) + k
+                k, doc, note = int(part[at]), int(doc_id[part[at]]), int(mark[part[at]])
+                hit = None                       # the span of hits that goes on
+                for begin in range(int(start[at]), int(start[at] + count[at])):
                     digest = xxhash.xxh3_128_digest(raw[begin:begin + SPAN])
+                    place = begin - int(base[k]) + int(offset[k])
                     before = seen.get(digest)
-                    if before is None or doc <= before:
-                        if len(seen) >= SEEN_STRINGS:
-                            seen.clear()
-                        seen[digest] = doc
-                    spread = int.from_bytes(digest[:4], "big") % n_buckets
-                    kind = HIT if before is not None and doc > before else STRING
-                    out.append((spread, kind, int.from_bytes(digest[:8], "big", signed=True),
-                                int.from_bytes(digest[8:], "big", signed=True), doc, note,
-                                (first + k) << 16 | HIT_BIT | SPAN))
+                    if before is not None and doc > before:
+                        hit = place if hit is None else hit
+                        continue
+                    if hit is not None:
+                        out.append((spread(place), HIT, 0, doc, note, hit << 16 | (place - hit + SPAN - 1)))
+                        hit = None
+                    if len(seen) >= SEEN_STRINGS:
+                        seen.clear()
+                    seen[digest] = doc
+                    # 96 of the 128 bits tell strings apart, the others deal them out
+                    high = int.from_bytes(digest[:8], "big")
+                    out.append((spread(high >> HASH_BITS) | high & (1 << HASH_BITS) - 1, STRING,
+                                int.from_bytes(digest[8:], "big", signed=True), doc, note, place << 16 | SPAN))
+                if hit is not None:
+                    end = int(start[at] + count[at]) - int(base[k]) + int(offset[k])
+                    out.append((spread(end), HIT, 0, doc, note, hit << 16 | (end - hit + SPAN - 1)))
             if out:
                 yield _rows(*zip(*out))
 
     return map_batches(docs, run, ROWS)
 
 
-FOUND = "kind tinyint, doc_id long, mark long, place long"
+FOUND = "kind tinyint, doc_id long, mark long, value long"
 
 
 def repeated_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by (kind, lead, tail, doc_id): suffixes whose lead is
-    in two documents, strings of hot leads that a smaller doc_id has (as hits),
-    and hits as they come.  Holds the rows of one lead's first document only."""
-    names = ("kind", "lead", "tail", "doc_id", "mark", "place")
-    held = None                  # rows of the open group's first document
-    open_key, first_doc, told = None, 0, False
+    """Over rows sorted by lead: suffixes that go on (SUFFIX) and those that
+    are hits as a whole (RUN), both with their ``key``; hits (value: place):
+    strings of hot leads that a smaller doc_id has, and those found before.
+    Whole leads are looked at together; of a lead of more than LEAD_ROWS rows
+    every suffix goes on, so that no more than these are held."""
+    names = ("lead", "kind", "tail", "doc_id", "mark", "place")
+    held, size, long_lead = [], 0, None
+
+    def told(kind: int, doc_id: np.ndarray, mark: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(doc_id), kind, dtype=np.int8)), pa.array(doc_id), pa.array(mark), pa.array(value)],
+            names=["kind", "doc_id", "mark", "value"])
+
+    def suffix_rows(kind: int, doc_id: np.ndarray, lead: np.ndarray, tail: np.ndarray) -> pa.RecordBatch:
+        return told(kind, doc_id, np.zeros(len(doc_id), dtype=np.int64), key(lead, tail))
+
+    def found(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        lead, kind, tail, doc_id, mark, place = (rows[n] for n in names)
+        own = np.flatnonzero(kind == SUFFIX)
+        if len(own):
+            around = tail[own] >> 16
+            own = own[np.lexsort((doc_id[own], around, lead[own]))]
+            heads = _heads(lead[own], tail[own] >> 16)
+            first = own[heads]                                  # the smallest doc_id of equal surroundings
+            least = np.repeat(doc_id[first], np.diff(np.append(heads, len(own))))
+            runs = own[doc_id[own] > least]
+            if long_lead is not None:
+                runs = runs[lead[runs] != long_lead]            # others of it went by before
+            yield suffix_rows(RUN, doc_id[runs], lead[runs], tail[runs])
+            on = _shared(lead[first], tail[first] >> 8 & 255) | _shared(lead[first], tail[first] & 255)
+            first = first[on] if long_lead is None else np.append(first[on & (lead[first] != long_lead)],
+                                                                  own[lead[own] == long_lead])
+            yield suffix_rows(SUFFIX, doc_id[first], lead[first], tail[first])
+        strings = np.flatnonzero(kind == STRING)
+        if len(strings):
+            strings = strings[np.lexsort((doc_id[strings], tail[strings], lead[strings]))]
+            heads = _heads(lead[strings], tail[strings])
+            least = np.repeat(doc_id[strings[heads]], np.diff(np.append(heads, len(strings))))
+            strings = strings[doc_id[strings] > least]
+        hits = np.append(strings, np.flatnonzero(kind == HIT))
+        yield told(HIT, doc_id[hits], mark[hits], place[hits])
+
+    def gathered() -> dict[str, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        return {n: table[n].to_numpy() for n in names}
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        kind, lead, tail, doc_id, mark, place = (batch.column(n).to_numpy() for n in names)
-        change = np.ones(len(lead), dtype=bool)
-        change[1:] = (kind[1:] != kind[:-1]) | (lead[1:] != lead[:-1]) | (tail[1:] != tail[:-1])
-        goes_on = open_key == (kind[0], lead[0], tail[0])
-        if goes_on:
-            change[0] = False
-        group = np.cumsum(change) - (0 if goes_on else 1)
-        heads = np.flatnonzero(change)
-        first = np.concatenate([[first_doc], doc_id[heads]]) if goes_on else doc_id[heads]
-        later = doc_id > first[group]
-        shared = np.zeros(len(first), dtype=bool)
-        shared[group[later]] = True
-        if goes_on and told:
-            shared[0] = True
-        out = []
-        if held is not None and (shared[0] or not goes_on):
-            if goes_on and held["kind"][0] == SUFFIX:
-                out.append(held)
-            held = None
-        emit = np.where(kind == SUFFIX, shared[group], (kind == HIT) | later)
-        last = len(first) - 1
-        rows = {"kind": kind, "doc_id": doc_id, "mark": mark, "place": place}
-        own = {n: v[emit] for n, v in rows.items()}
-        if len(own["kind"]):
-            out.append(own)
-        wait = (group == last) & ~shared[last] & (kind == SUFFIX)
-        if wait.any():
-            more = {n: v[wait] for n, v in rows.items()}
-            held = more if held is None else {n: np.concatenate([held[n], more[n]]) for n in more}
-        open_key, first_doc, told = (kind[-1], lead[-1], tail[-1]), int(first[last]), bool(shared[last])
-        for part in out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(part["kind"] == SUFFIX, SUFFIX, HIT).astype(np.int8)), pa.array(part["doc_id"]),
-                 pa.array(part["mark"]), pa.array(part["place"])], names=["kind", "doc_id", "mark", "place"])
+        held.append(batch)
+        size += batch.num_rows
+        if size < LEAD_ROWS:
+            continue
+        rows = gathered()
+        cut = int(np.searchsorted(rows["lead"], rows["lead"][-1]))     # the last lead may go on
+        if cut:
+            yield from found({n: v[:cut] for n, v in rows.items()})
+            held = pa.Table.from_batches(held).slice(cut).to_batches()
+            size, long_lead = size - cut, None
+        elif (rows["kind"] == SUFFIX).all():
+            long_lead = rows["lead"][0]
+            yield suffix_rows(SUFFIX, rows["doc_id"], rows["lead"], rows["tail"])
+            held, size = [], 0
+    if held:
+        yield from found(gathered())
+
+
+def key(lead: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """What finds a suffix again in its document: the 48 bits of its
+    surroundings and 16 of its lead."""
+    return tail >> 16 << 16 | lead & 0xFFFF
+
+
+def _heads(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    change = np.ones(len(sorted_columns[0]), dtype=bool)
+    change[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_columns])
+    return np.flatnonzero(change)
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether another row has the same a and b."""
+    order = np.lexsort((b, a))
+    heads = _heads(a[order], b[order])
+    size = np.diff(np.append(heads, len(order)))
+    out = np.empty(len(order), dtype=bool)
+    out[order] = np.repeat(size > 1, size)
+    return out
 
 
 def equal_strings(data: np.ndarray, start: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -291,12 +392,12 @@ def equal_strings(data: np.ndarray, start: np.ndarray, group: np.ndarray) -> tup
 
 
 def bucket_hits(lead: np.ndarray, doc_id: np.ndarray, place: np.ndarray, pieces: pa.Array) -> tuple[np.ndarray, ...]:
-    """Of the suffixes of whole leads, with their surroundings: row, start and
-    length of every span of hits."""
+    """Of the suffixes of whole leads, with the start of their surroundings
+    and these: row, start and length of every span of hits."""
     offsets = np.frombuffer(pieces.buffers()[1], dtype=np.int32)[pieces.offset:pieces.offset + len(pieces) + 1]
     data = np.frombuffer(pieces.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
     begin = (offsets[:-1] - offsets[0]).astype(np.int64)
-    count = place >> 8 & 63
+    count = offsets[1:] - offsets[:-1] - SPAN + 1
     row = np.repeat(np.arange(len(lead)), count)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     group = np.cumsum(np.concatenate([[False], lead[1:] != lead[:-1]]))
@@ -312,47 +413,93 @@ def bucket_hits(lead: np.ndarray, doc_id: np.ndarray, place: np.ndarray, pieces:
     first = np.flatnonzero(change)
     length = np.diff(np.append(first, len(hits))) + SPAN - 1
     own = row[hits[first]]
-    return own, (place[own] >> 16) + nth[hits[first]], length
+    return own, place[own] + nth[hits[first]], length
 
 
-PIECES = "bucket int, lead long, doc_id long, mark long, place long, piece binary"
+PIECES = "lead long, doc_id long, mark long, place long, piece binary"
 
 
 def surroundings(texts: DataFrame, found: DataFrame, splitters: np.ndarray) -> DataFrame:
-    """The strings that each suffix in ``found`` anchors, cut from its text;
-    hits go along without."""
+    """The strings that each suffix in ``found`` anchors (place: their start),
+    cut from its text; spans of hits go along without (place: start << 32 | length)."""
     shared, n_buckets = share(texts.sparkSession, splitters), len(splitters) + 1
-    wanted = found.groupBy("doc_id", "mark").agg(
-        F.collect_list(F.when(F.col("kind") == SUFFIX, F.col("place"))).alias("suffixes"),
-        F.collect_list(F.when(F.col("kind") == HIT, F.col("place"))).alias("hits"))
+    wanted = found.groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("kind") == SUFFIX, F.col("value"))).alias("on"),
+        F.collect_list(F.when(F.col("kind") == RUN, F.col("value"))).alias("runs"),
+        F.collect_list(F.when(F.col("kind") == HIT, F.struct("mark", "value"))).alias("hits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         unpack, splitters = zstandard.ZstdDecompressor(), shared()
-        for batch in batches:
-            for doc_id, mark, packed, anchors, hits in zip(*batch.columns):
-                data = unpack.decompress(packed.as_buffer())
-                place = anchors.values.to_numpy()
-                begin, count = place >> 16, place >> 8 & 63
-                eight = big_endian(np.frombuffer(data, dtype=np.uint8))
-                at = begin + (place & 255)
-                known = hits.values.to_numpy()
-                n, m = len(place), len(known)
-                pieces = [data[a:b] for a, b in zip(begin.tolist(), (begin + count + SPAN - 1).tolist())]
-                lead = (lead_hashes(eight)[at] if n else at).view(np.int64)
-                bucket = _range_of(eight[at], splitters)
-                spread = (known >> 16) % n_buckets
+        for whole in batches:
+            batch = whole.filter(whole.column(3).is_valid())
+            doc_ids, marks = np.array(batch.column(0).to_pylist(), dtype=np.int64), batch.column(1).to_numpy()
+            begins, ends, rows = [], [], []               # spans of hits
+            data = ((k, unpack.decompress(p.as_buffer())) for k, p in enumerate(batch.column(2)))
+            for raw, owner, parts in blocks(data):
+                start, count, hashes, lead, tails = anchored_runs(raw, owner)
+                if not len(start):
+                    continue
+                row, _, offset, base = (np.array(x, dtype=np.int64) for x in zip(*parts))
+                part = owner[start]
+                leads = keys_of(hashes, lead, splitters)
+                keys = key(leads, tails)
+                at = _among(keys, row[part], batch.column(3))
+                text = raw.tobytes()
+                pieces = [text[a:b] for a, b in zip(start[at].tolist(), (start[at] + count[at] + SPAN - 1).tolist())]
+                place = start - base[part] + offset[part]
+                own = row[part]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([bucket, spread]).astype(np.int32)),
-                     pa.array(np.concatenate([lead, known]).astype(np.int64)),
-                     pa.array(np.full(n + m, doc_id.as_py(), dtype=np.int64)),
-                     pa.array(np.full(n + m, mark.as_py(), dtype=np.int64)),
-                     pa.array(np.concatenate([place, known])),
-                     pa.array(pieces + [None] * m, pa.binary())],
-                    names=["bucket", "lead", "doc_id", "mark", "place", "piece"])
+                    [pa.array(leads[at]), pa.array(doc_ids[own[at]]), pa.array(marks[own[at]]), pa.array(place[at]),
+                     pa.array(pieces, pa.binary())], names=["lead", "doc_id", "mark", "place", "piece"])
+                at = _among(keys, own, batch.column(4))
+                begins.append(place[at])
+                ends.append(place[at] + count[at] + SPAN - 1)
+                rows.append(own[at])
+            for k, hits in enumerate(batch.column(5)):
+                place = hits.values.field(1).to_numpy()[hits.values.field(0).to_numpy() == marks[k]]
+                begins.append(place >> 16)
+                ends.append((place >> 16) + (place & 0xFFFF))
+                rows.append(np.full(len(place), k, dtype=np.int64))
+            if not rows:
+                continue
+            row, begin, end = _union(*map(np.concatenate, (rows, begins, ends)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(begin % n_buckets << HASH_BITS), pa.array(doc_ids[row]), pa.array(marks[row]),
+                 pa.array(begin << 32 | (end - begin)), pa.nulls(len(row), pa.binary())],
+                names=["lead", "doc_id", "mark", "place", "piece"])
 
-    return map_batches(texts.join(wanted, ["doc_id", "mark"])
-                       .select("doc_id", "mark", "packed", "suffixes", "hits"), run, PIECES)
+    # a left join like the one in `removed`, so that both read one shuffle of the texts
+    return map_batches(texts.join(wanted, "doc_id", "left").select("doc_id", "mark", "packed", "on", "runs", "hits"), run, PIECES)
+
+
+def _among(keys: np.ndarray, row: np.ndarray, wanted: pa.ListArray) -> np.ndarray:
+    """The suffixes whose key is in the list of their row."""
+    used = np.unique(row).tolist()
+    lists = [wanted[k].values.to_numpy() for k in used]
+    # key and row as one number (in 64 bits: a chance meeting of the two is as rare as one of two keys)
+    salted = np.concatenate([x ^ _salt(np.int64(k)) for k, x in zip(used, lists)])
+    return np.flatnonzero(np.isin(keys ^ _salt(row), salted))
+
+
+def _salt(row):
+    with np.errstate(over="ignore"):
+        return (row + np.int64(1)) * np.int64(0x1E3779B97F4A7C15)
+
+
+def _union(row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, start and end of the maximal runs that spans cover in each row
+    (touching ones join)."""
+    order = np.lexsort((begin, row))
+    row, begin, end = row[order], begin[order], end[order]
+    # rows lie apart on one line
+    width = int(end.max(initial=0)) + 2
+    reach = np.maximum.accumulate(end + row * width)
+    first = np.ones(len(row), dtype=bool)
+    first[1:] = (begin + row * width)[1:] > reach[:-1]
+    heads = np.flatnonzero(first)
+    last = np.append(heads[1:], len(row))[:len(heads)] - 1
+    return row[heads], begin[heads], reach[last] - row[last] * width
 
 
 SPANS = "doc_id long, mark long, start long, length long"
@@ -373,8 +520,8 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([own["doc_id"][row], known["doc_id"].to_numpy()])),
              pa.array(np.concatenate([own["mark"][row], known["mark"].to_numpy()])),
-             pa.array(np.concatenate([start, place >> 16])),
-             pa.array(np.concatenate([length, place & 255]))], names=["doc_id", "mark", "start", "length"])
+             pa.array(np.concatenate([start, place >> 32])),
+             pa.array(np.concatenate([length, place & 0xFFFFFFFF]))], names=["doc_id", "mark", "start", "length"])
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -395,20 +542,22 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """doc_id, packed (the text's UTF-8 bytes under zstd, as they travel),
-    spans (array of start, length of hits, which may overlap; null if none) of
-    every row of ``docs`` (columns doc_id, text)."""
+    """doc_id, packed (the text's UTF-8 bytes under zstd, as they travel), mark
+    (their checksum), spans (array of mark, start, length of hits, which may
+    overlap; null if none) of every row of ``docs`` (columns doc_id, text).
+    Rows that share a doc_id share the array; a row's own spans bear its mark."""
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     leads, hot = _sample(own)
-    cuts = np.linspace(0, len(leads), BUCKETS_PER_PARTITION * parts + 1)[1:-1].astype(int)
+    ranges = min(BUCKETS_PER_PARTITION * parts, MOST_RANGES)
+    cuts = np.linspace(0, len(leads), ranges + 1)[1:-1].astype(int)
     splitters = np.unique(leads[cuts]) if len(leads) else leads
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=TEXT_LEVEL)
         for batch in batches:
             raw = [t.as_buffer().to_pybytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -416,14 +565,10 @@ def removed(docs: DataFrame) -> DataFrame:
                  pa.array([packer.compress(x) for x in raw], pa.binary())], names=["doc_id", "mark", "packed"])
 
     texts = map_batches(own, pack, "doc_id long, mark long, packed binary")
-    rows = (suffixes(own, splitters, hot).repartition(parts, "bucket")
-            .sortWithinPartitions("kind", "lead", "tail", "doc_id"))
-    found = map_batches(rows.drop("bucket"), repeated_leads, FOUND)
-    pieces = (surroundings(texts, found, splitters).repartition(parts, "bucket")
-              .sortWithinPartitions("lead"))
-    spans = map_batches(pieces.select("lead", "doc_id", "mark", "place", "piece"), sorted_buckets, SPANS)
-    spans = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
-    return texts.join(spans, ["doc_id", "mark"], "left").select("doc_id", "packed", "spans")
+    found = map_batches(by_range(suffixes(own, splitters, hot), parts), repeated_leads, FOUND)
+    spans = map_batches(by_range(surroundings(texts, found, splitters), parts), sorted_buckets, SPANS)
+    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "start", "length")).alias("spans"))
+    return texts.join(spans, "doc_id", "left").select("doc_id", "mark", "packed", "spans")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -436,9 +581,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             sizes, runs, kept = [], [], []
-            for packed, spans in zip(batch.column(1), batch.column(2)):
+            for mark, packed, spans in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 data = unpack.decompress(packed.as_buffer())
-                edges = _merged(spans.values, len(data)) if spans.is_valid else []
+                edges = _merged(spans.values, mark) if spans.is_valid else []
                 at, parts = 0, []
                 for a, b in edges:
                     parts.append(data[at:a])
@@ -454,14 +599,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                        "runs array<struct<start: bigint, end: bigint>>, kept binary")
 
 
-def _merged(spans: pa.StructArray, n: int) -> list[tuple[int, int]]:
-    """Maximal runs of covered bytes."""
-    start, length = (spans.field(k).to_numpy() for k in range(2))
-    edge = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, start + length, -1)
-    covered = np.concatenate([[0], np.cumsum(edge)[:-1] > 0, [0]]).astype(np.int8)
-    step = np.diff(covered)
-    return list(zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()))
-
-
+def _merged(spans: pa.StructArray, mark: int) -> list[tuple[int, int]]:
+    """Maximal runs of bytes covered by the spans that bear ``mark``."""
+    own = spans.field(0).to_numpy() == mark
+    start, length = (spans.field(k).to_numpy()[own] for k in (1, 2))
+    _, begin, end = _union(np.zeros(len(start), dtype=np.int64), start, start + length)
+    return list(zip(begin.tolist(), end.tolist()))
