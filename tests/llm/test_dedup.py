@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerfleet.llm import decontam, queries, simhash, suffix_dedup
+from ledgerfleet.llm import common, decontam, queries, simhash, suffix_dedup
 from tests.llm.edge import LINE, documents, empty, prose, texts
 
 SF = "/root/testdata/sf0.001"
@@ -57,11 +57,21 @@ def test_suffix_dedup_hard_cases(spark, monkeypatch):
     rows = texts()
     assert removed(spark, documents(spark, rows)) == cut(rows)
     # small blocks, buckets and memories take the same decisions
-    for name, value in (("BLOCK", 256), ("BUCKET_ROWS", 3), ("HOT_DOCS", 3), ("SEEN_STRINGS", 5)):
+    for name, value in (("BLOCK", 256), ("BUCKET_ROWS", 3), ("LEAD_ROWS", 4), ("HOT_DOCS", 3), ("SEEN_STRINGS", 5)):
         monkeypatch.setattr(suffix_dedup, name, value)
     assert removed(spark, documents(spark, rows)) == cut(rows)
 
 
+def test_long_leads_go_by_in_parts(spark, monkeypatch):
+    """One lead in every document, more rows than a bucket may hold at once."""
+    for name, value in (("LEAD_ROWS", 8), ("BUCKET_ROWS", 8), ("HOT_DOCS", 10 ** 9)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = [(k, f"{prose(k, 6)} {LINE} {prose(k + 500, 6)}") for k in range(60)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    monkeypatch.setattr(common, "ARROW_BATCH_ROWS", 5)
+    assert removed(spark, documents(spark, rows)) == cut(rows)
+
+
 def test_suffix_dedup_without_rows(spark):
     assert removed(spark, empty(spark)) == []
 
