@@ -232,6 +232,7 @@ def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFra
     shared, n_buckets = share(docs.sparkSession, (splitters, hot)), len(splitters) + 1
 
     def spread(number: int) -> int:
+        """Any range, for rows that need no company."""
         return number % n_buckets << HASH_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +261,7 @@ def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFra
                         hit = place if hit is None else hit
                         continue
                     if hit is not None:
-                        out.append((spread(place), HIT, 0, doc, note, hit << 16 | (place - hit + SPAN - 1)))
+                        out.append((spread(place + doc), HIT, 0, doc, note, hit << 16 | (place - hit + SPAN - 1)))
                         hit = None
                     if len(seen) >= SEEN_STRINGS:
                         seen.clear()
@@ -271,7 +272,7 @@ def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFra
                                 int.from_bytes(digest[8:], "big", signed=True), doc, note, place << 16 | SPAN))
                 if hit is not None:
                     end = int(start[at] + count[at]) - int(base[k]) + int(offset[k])
-                    out.append((spread(end), HIT, 0, doc, note, hit << 16 | (end - hit + SPAN - 1)))
+                    out.append((spread(end + doc), HIT, 0, doc, note, hit << 16 | (end - hit + SPAN - 1)))
             if out:
                 yield _rows(*zip(*out))
 
@@ -465,7 +466,7 @@ def surroundings(texts: DataFrame, found: DataFrame, splitters: np.ndarray) -> D
                 continue
             row, begin, end = _union(*map(np.concatenate, (rows, begins, ends)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(begin % n_buckets << HASH_BITS), pa.array(doc_ids[row]), pa.array(marks[row]),
+                [pa.array((begin + doc_ids[row]) % n_buckets << HASH_BITS), pa.array(doc_ids[row]), pa.array(marks[row]),
                  pa.array(begin << 32 | (end - begin)), pa.nulls(len(row), pa.binary())],
                 names=["lead", "doc_id", "mark", "place", "piece"])
 
