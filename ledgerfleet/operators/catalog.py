@@ -86,7 +86,7 @@ def snapshot_lines(catalog: DataFrame, versions: DataFrame) -> DataFrame:
     ``write_snapshot``."""
     objs = (inventory(catalog).where(F.col("object_name") != LEDGER_TABLE)
             .select("target_id", "object_name").distinct())
-    objs = ordinal(objs, ["target_id"], [F.col("object_name")], "obj_pos")
+    objs = ordinal(objs, ["target_id"], [F.col("object_name")], "obj_pos", freeze_input=True)
     body = per_target_join(objs, versions, ["target_id"], "inner", spread_by=["object_name"])
     body = body.select("target_id", "baseline_version", (F.col("obj_pos") + 2).alias("line_no"),
                        F.format_string(SNAPSHOT_TABLE, F.col("object_name")).alias("line"))

@@ -17,7 +17,7 @@ from ..functions import scripts as fs
 from ..sources.ledger import rollbackable
 from .joins import per_target_join
 from .reconcile import latest_runs
-from .scan import ordinal
+from .scan import freeze, ordinal
 
 # --- fixed values: rollback / baseline texts ----------------------------------
 MSG_NO_DOWN = "Migration %s cannot be rolled back: no rollback SQL found"
@@ -46,7 +46,7 @@ def plan_steps(ledger: DataFrame, steps: int) -> DataFrame:
 
 def plan_to_version(ledger: DataFrame, target_version: int) -> DataFrame:
     """F6 + W4: all successful versioned rows above ``target_version``."""
-    r = rollbackable(ledger).where(F.col("version") > F.lit(target_version))
+    r = freeze(rollbackable(ledger).where(F.col("version") > F.lit(target_version)))
     out = ordinal(r, ["target_id"], _order(), "rollback_order")
     total = r.groupBy("target_id").agg(F.count(F.lit(1)).alias("rollback_total"))
     return per_target_join(out, total, ["target_id"], "inner", spread_by=["migration_id"])

@@ -153,6 +153,7 @@ UNION ALL
 SELECT DISTINCT source, '50000000', 'baseline', CAST(50000000 AS BIGINT), concat('baseline_', source),
   'baseline', CAST('2024-01-01 00:00:00' AS TIMESTAMP), CAST(0 AS BIGINT), TRUE
 FROM documents WHERE source = 'src2'"""),
+    "targets": ([], "SELECT DISTINCT source AS target_id FROM documents UNION SELECT 'idle'"),
     # the latest row of each id; a baseline is not a run
     "lrun": (["ledger"], """
 SELECT target_id, migration_id, migration_type, version, filename, checksum, applied_at, execution_time_ms, success

@@ -33,7 +33,7 @@ def script_corpus_scan(spark, d):
 
 
 @register("absent_source_is_empty", o.sql(
-    "SELECT DISTINCT source AS target_id, CAST(0 AS BIGINT) AS files FROM documents"))
+    "SELECT target_id, CAST(0 AS BIGINT) AS files FROM targets", "targets"))
 def absent_source_is_empty(spark, d):
     """Every target's file count in a folder that does not exist: the
     reader returns an empty, typed corpus, not an error."""

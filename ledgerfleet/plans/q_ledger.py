@@ -268,7 +268,7 @@ def baselines_asc(spark, d):
 def ledger_order(spark, d):
     """O2: versioned rows first by version, all others by file name."""
     led = ledger_names(spark, d).select("target_id", "migration_id", "migration_type", "version", "filename")
-    return ordinal(led, ["target_id"], lg.ledger_order_key(), "ledger_pos").select(
+    return ordinal(led, ["target_id"], lg.ledger_order_key(), "ledger_pos", freeze_input=True).select(
         "target_id", "migration_id", "ledger_pos")
 
 

@@ -57,8 +57,7 @@ def rows_as_text(spark, d):
 
 @register("scalar_lookup", o.sql(
     "SELECT t.target_id, coalesce(CAST(max(l.version) AS VARCHAR), 'NULL') AS value FROM "
-    "(SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ledger l ON l.target_id = t.target_id AND l.success "
-    "GROUP BY t.target_id", "ledger"))
+    "targets t LEFT JOIN ledger l ON l.target_id = t.target_id AND l.success GROUP BY t.target_id", "targets", "ledger"))
 def scalar_lookup(spark, d):
     """A one-cell query per target (its highest successful version, any
     row type) as text, 'NULL' when there is none."""
@@ -450,22 +449,22 @@ def union_findings(spark, d):
     "SELECT t.target_id, coalesce(f.errors, 0) AS errors, coalesce(f.checksum_mismatches, 0) AS checksum_mismatches, "
     "coalesce(f.orphans, 0) AS orphans, coalesce(f.warnings, 0) AS warnings, "
     "CASE WHEN coalesce(f.errors, 0) > 0 THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM "
-    "(SELECT DISTINCT target_id FROM skeys UNION SELECT DISTINCT target_id FROM lrun) t LEFT JOIN ("
+    "targets t LEFT JOIN ("
     "SELECT target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') "
     "AS checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans, count(*) FILTER (WHERE severity = 'WARN') AS warnings "
     f"FROM (SELECT * FROM ({_SEQ_FINDINGS_SQL}) UNION ALL SELECT * FROM ({_LEDGER_FINDINGS_SQL})) "
-    "GROUP BY target_id) f USING (target_id)", "skeys", "lrun"))
+    "GROUP BY target_id) f USING (target_id)", "targets", "skeys", "lrun"))
 def validate_report(spark, d):
     """R3 (+A8): per-target summary and verdict."""
-    return rp.validate_report(keys(spark, d), ledger(spark, d))[1]
+    return rp.validate_report(keys(spark, d), ledger(spark, d), b.targets(spark, d))[1]
 
 
 @register("worst_status", o.sql(
     "SELECT t.target_id, CASE max(CASE severity WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END) "
     "WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS status FROM "
-    "(SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ("
+    "targets t LEFT JOIN ("
     f"SELECT * FROM ({_SEQ_FINDINGS_SQL}) UNION ALL SELECT * FROM ({_LEDGER_FINDINGS_SQL})) f USING (target_id) "
-    "GROUP BY t.target_id", "skeys", "lrun"))
+    "GROUP BY t.target_id", "targets", "skeys", "lrun"))
 def worst_status(spark, d):
     """A9."""
     k, led = keys(spark, d), ledger(spark, d)
@@ -488,8 +487,8 @@ def collect_findings(spark, d):
     "SELECT t.target_id, count(*) FILTER (WHERE severity = 'FAIL') AS errors, count(*) FILTER (WHERE \"check\" = 'checksum_mismatch') AS "
     "checksum_mismatches, count(*) FILTER (WHERE \"check\" = 'orphan') AS orphans, "
     "count(*) FILTER (WHERE severity = 'WARN') AS warnings, CASE WHEN count(*) FILTER (WHERE severity = 'FAIL') > 0 "
-    "THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM (SELECT DISTINCT source AS target_id FROM documents) t LEFT JOIN ("
-    f"SELECT * FROM ({_LEDGER_FINDINGS_SQL})) f USING (target_id) GROUP BY t.target_id", "skeys", "lrun"))
+    "THEN 'FAILED' ELSE 'PASSED' END AS verdict FROM targets t LEFT JOIN ("
+    f"SELECT * FROM ({_LEDGER_FINDINGS_SQL})) f USING (target_id) GROUP BY t.target_id", "targets", "skeys", "lrun"))
 def validation_summary(spark, d):
     """A8 over the ledger findings, clean targets too."""
     return ck.validation_summary(ck.ledger_findings(keys(spark, d), ledger(spark, d)), b.targets(spark, d))
@@ -505,7 +504,8 @@ def plan_order(spark, d):
     k = names(spark, d)
     ids = rc.non_baseline(ledger_names(spark, d)).select("target_id", F.col("migration_id").alias("identifier"))
     todo = k.join(ids, ["target_id", "identifier"], "left_anti").select("target_id", "path", "kind", "version", "name")
-    return ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos").select("target_id", "path", "plan_pos")
+    return ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos", freeze_input=True).select(
+        "target_id", "path", "plan_pos")
 
 
 @register("health_report", o.sql(
@@ -537,8 +537,8 @@ def overall_health(spark, d):
 
 @register("ledger_create", o.sql(
     "SELECT target_id, migration_id, migration_type, version, filename, checksum, execution_time_ms, success, "
-    "applied_at IS NOT NULL AS stamped FROM ledger UNION ALL SELECT DISTINCT source, 'noted', 'versioned', NULL, "
-    "'noted.sql', 'none', CAST(0 AS BIGINT), false, true FROM documents", "ledger"))
+    "applied_at IS NOT NULL AS stamped FROM ledger UNION ALL SELECT target_id, 'noted', 'versioned', NULL, "
+    "'noted.sql', 'none', CAST(0 AS BIGINT), false, true FROM targets", "targets", "ledger"))
 def ledger_create(spark, d):
     """Create the ledger table (defaults, fixed types) in the shared
     folder, load the fixture ledger into it and one row per target that names

@@ -53,14 +53,16 @@ def validate_files(keys: DataFrame) -> DataFrame:
         F.count_if(F.col("kind") == "repeatable").alias("repeatable"), F.sum("line_count").alias("lines"))
 
 
-def validate_report(keys: DataFrame, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def validate_report(keys: DataFrame, ledger: DataFrame | None, targets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, per-target summary with verdict).  Without a ledger
-    table only the sequence is checked."""
+    table only the sequence is checked.  ``targets`` lists those to report on
+    (by default those with a script or a run)."""
     if ledger is None:
         findings = freeze(ck.sequence_findings(keys))
-        return findings, ck.validation_summary(findings, keys)
+        return findings, ck.validation_summary(findings, keys if targets is None else targets)
     findings = ck.union_findings(ck.sequence_findings(keys), ck.ledger_findings(keys, ledger))
-    targets = keys.select("target_id").unionByName(rc.non_baseline(ledger).select("target_id")).distinct()
+    if targets is None:
+        targets = keys.select("target_id").unionByName(rc.non_baseline(ledger).select("target_id")).distinct()
     return findings, ck.validation_summary(findings, targets)
 
 

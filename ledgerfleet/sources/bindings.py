@@ -66,8 +66,9 @@ def scripts_from(documents: DataFrame) -> DataFrame:
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every target of B1 (no text is read)."""
-    return table(spark, sf_dir, "documents").select(F.col("source").alias("target_id")).distinct()
+    """Every target of B1 (no text is read), and one without any script."""
+    own = table(spark, sf_dir, "documents").select(F.col("source").alias("target_id")).distinct()
+    return own.unionByName(spark.range(1).select(F.lit("idle").alias("target_id")))
 
 
 # --- B2 ledger (8 columns + target_id) -----------------------------------------
