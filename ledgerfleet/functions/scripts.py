@@ -105,59 +105,51 @@ def migration_identifier(kind, version, name) -> Column:
 
 # --- P6 / P7 / P8 -------------------------------------------------------------
 
-def _regex_literal(text: str) -> str:
-    return "".join("\\" + ch if ch in "\\.^$|?*+()[]{}" else ch for ch in text)
-
-
-def _after_first(marker: str) -> str:
-    """Java regex: everything after the first ``marker`` (group 1), ignoring
-    ASCII case only (Java's default for (?i)).  Anchored at the start, so the
-    text is walked once whether the marker is there or not."""
-    return "(?is)^.*?" + _regex_literal(marker) + "(.*)$"
-
-
-def _around_first(marker: str) -> str:
-    """Java regex: what stands before (group 1) and after (group 2) the first
-    ``marker``."""
-    return "(?is)^(.*?)" + _regex_literal(marker) + "(.*)$"
+# The one letter whose lower case is longer than itself; replaced before the
+# text is lower-cased, so that positions in the copy are positions in the text.
+# (No other letter beyond ASCII has a lower case among the markers' letters.)
+DOTTED_I, STAND_IN = "\u0130", "?"
 
 
 def split_sections(df, content_col: str = "body", prefix: str = ""):
     """Add ``{prefix}marker_style`` (0 = none), ``{prefix}up_sql`` and
     ``{prefix}down_sql`` to ``df``.
 
-    The content is trimmed first.  For each marker style in order, the text
-    after the first Up marker is taken once; if it holds a Down marker, the
-    style is found: the Up text is what stands before that marker, the Down
-    text what follows it, both trimmed.  A style whose first Up marker has no
-    Down marker behind it is not tried again from a later Up, so the work is
-    linear in the text for every style; a later style is only tried when the
-    earlier ones found nothing.  With no complete pair the whole trimmed text is
-    the Up script and Down is NULL.  ASCII-only case folding keeps character
-    positions valid (SURVEY Q4 fix); '-- up' also matches inside '-- update ...'
-    (SURVEY Q3, kept; ``marker_in_comment`` reports it).
+    The content is trimmed first.  For each marker style in order, the first
+    Up marker is looked up in a lower-cased copy, and from there the first Down
+    marker; if both are there, the style is found: the Up text is what stands
+    between them, the Down text what follows, both trimmed.  A style whose first
+    Up marker has no Down marker behind it is not tried again from a later Up,
+    so the work is linear in the text for every style; a later style is only
+    tried when the earlier ones found nothing.  With no complete pair the whole
+    trimmed text is the Up script and Down is NULL.  Positions stay valid on any
+    text (SURVEY Q4 fix); '-- up' also matches inside '-- update ...' (SURVEY Q3,
+    kept; ``marker_in_comment`` reports it).
     """
-    t, ms = f"{prefix}_t", f"{prefix}marker_style"
+    t, lo, ms = f"{prefix}_t", f"{prefix}_lo", f"{prefix}marker_style"
     n = len(MARKER_STYLES)
     df = df.withColumn(t, wtrim(content_col))
     # every marker starts with this caseless prefix: text without it (plain
-    # prose) skips the regex scans
+    # prose) is neither lower-cased nor searched
     may_have = F.instr(F.col(t), MARKER_PREFIX) > 0
-    earlier = F.lit(False)
+    df = df.withColumn(lo, F.when(may_have, F.lower(F.replace(F.col(t), F.lit(DOTTED_I), F.lit(STAND_IN)))))
+    earlier = F.col(lo).isNull()
     for i, (up, down) in enumerate(MARKER_STYLES, start=1):
-        df = df.withColumn(f"{prefix}_r{i}", F.when(
-            may_have & ~earlier, F.regexp_extract(F.col(t), _after_first(up), 1)).otherwise(F.lit("")))
-        df = df.withColumn(f"{prefix}_f{i}", F.col(f"{prefix}_r{i}").rlike("(?i)" + _regex_literal(down)))
-        earlier = earlier | F.col(f"{prefix}_f{i}")
+        u, d = f"{prefix}_u{i}", f"{prefix}_d{i}"
+        df = df.withColumn(u, F.when(~earlier, F.instr(F.col(lo), up)).otherwise(F.lit(0)))
+        df = df.withColumn(d, F.when(F.col(u) > 0, F.position(F.lit(down), F.col(lo), F.col(u) + len(up)))
+                           .otherwise(F.lit(0)))
+        earlier = earlier | (F.col(d) > 0)
     style, up_expr, down_expr = F.lit(0), F.col(t), F.lit(None).cast("string")
     for i in range(n, 0, -1):
-        found, rest, pattern = F.col(f"{prefix}_f{i}"), F.col(f"{prefix}_r{i}"), _around_first(MARKER_STYLES[i - 1][1])
-        style = F.when(found, F.lit(i)).otherwise(style)
-        up_expr = F.when(found, wtrim(F.regexp_extract(rest, pattern, 1))).otherwise(up_expr)
-        down_expr = F.when(found, wtrim(F.regexp_extract(rest, pattern, 2))).otherwise(down_expr)
+        up, down = MARKER_STYLES[i - 1]
+        start, end = F.col(f"{prefix}_u{i}") + len(up), F.col(f"{prefix}_d{i}")
+        style = F.when(end > 0, F.lit(i)).otherwise(style)
+        up_expr = F.when(end > 0, wtrim(F.col(t).substr(start, end - start))).otherwise(up_expr)
+        down_expr = F.when(end > 0, wtrim(F.col(t).substr(end + len(down), F.length(F.col(t))))).otherwise(down_expr)
     df = (df.withColumn(ms, style).withColumn(f"{prefix}up_sql", up_expr)
           .withColumn(f"{prefix}down_sql", down_expr))
-    return df.drop(t, *[f"{prefix}_{c}{i}" for i in range(1, n + 1) for c in "rf"])
+    return df.drop(t, lo, *[f"{prefix}_{c}{i}" for i in range(1, n + 1) for c in "ud"])
 
 
 def marker_in_comment(text) -> Column:
@@ -190,7 +182,8 @@ def line_count(text) -> Column:
     """Number of lines as ``str::lines`` counts them: no line for the
     empty text, no extra line after a final newline."""
     text = _c(text)
-    newlines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    # a newline is one byte, and byte lengths need no walk over the text
+    newlines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return (newlines + F.when((text == "") | text.endswith("\n"), F.lit(0)).otherwise(F.lit(1))).cast("bigint")
 
 

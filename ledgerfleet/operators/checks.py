@@ -55,9 +55,15 @@ def later_duplicates(df: DataFrame, key: str, tie: list[str] | None = None) -> D
 
 def later_copies(df: DataFrame, key: str, tie: str) -> DataFrame:
     """Rows that are not the first of their (target, key) group by ``tie``:
-    the W2 flag.  Only rows of groups with two or more are numbered."""
-    several = df.join(duplicate_groups(df, key).select("target_id", key), ["target_id", key])
-    return ordinal(several, ["target_id", key], [F.col(tie)], "_occ", freeze_input=True).where("_occ > 1").drop("_occ")
+    the W2 flag without numbering.  The first ``tie`` of a group with two or more
+    rows is a partially aggregated ``min``; equal rows are counted, and all but
+    one of the first's stay."""
+    groups = (df.groupBy("target_id", key).agg(F.min(tie).alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > 1).drop("_n"))
+    rows = (df.join(groups, ["target_id", key]).groupBy(*df.columns, (F.col(tie) == F.col("_first")).alias("_is_first"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+    later = F.col("_n") - F.col("_is_first").cast("long")
+    return rows.where(later > 0).select(*df.columns, F.explode(F.sequence(F.lit(1), later)).alias("_k")).drop("_k")
 
 
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:

@@ -61,7 +61,7 @@ def parsed(spark: SparkSession, d: str) -> DataFrame:
         return freeze(p.select(
             "doc_id", *cp.KEY_COLUMNS, "marker_style",
             F.md5(F.concat(F.col("checksum"), F.lit("x"))).alias("checksum_edited"),
-            fs.preview("up_sql").alias("preview"), fs.preview_truncated("up_sql").alias("preview_more")))
+            fs.preview("up_sql").alias("preview"), (F.col("line_count") > fs.PREVIEW_LINES).alias("preview_more")))
     return _once(("parsed", d), make)
 
 
