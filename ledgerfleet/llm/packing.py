@@ -91,14 +91,18 @@ class WordEncoder:
     def _run_ids(self, runs: list[str]) -> list[bytes]:
         """The ids of different runs without white space."""
         memo = self.memo
-        found = [memo.get(r) for r in runs]
-        parts = {k: _WORD.findall(runs[k]) for k, ids in enumerate(found) if ids is None}
-        new = list(set().union(*parts.values()).difference(memo)) if parts else []
+        found = list(map(memo.get, runs))
+        open_ = [k for k, ids in enumerate(found) if ids is None]
+        parts = list(map(_WORD.findall, map(runs.__getitem__, open_)))
+        new = [w for w in set().union(*parts) if w not in memo] if parts else []
         fresh = dict(zip(new, self._word_ids(new))) if new else {}
         if len(memo) < self.memo_words:
             memo.update(fresh)
-        for k, words in parts.items():
-            found[k] = b"".join([fresh[w] if w in fresh else memo[w] for w in words])
+            get = memo.__getitem__
+        else:
+            get = {**fresh, **{w: memo[w] for words in parts for w in words if w in memo}}.__getitem__
+        for k, words in zip(open_, parts):
+            found[k] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
