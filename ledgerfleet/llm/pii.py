@@ -16,7 +16,8 @@ card     two digits, also        16 to 19 digits that pass Luhn
          across space, hyphen
 phone    ``+`` digit             8 to 15 digits
 login    ``://``                 a URL with a user name before its host
-iban     ``iban``                country, check digits, account; modulo 97 is 1
+iban     ``iban``                country, check digits, account, of the country's
+                                 length; modulo 97 is 1
 account  ``account``, ``ssn``    a number of 6 to 18 digits after the cue
 =======  ======================  ==============================================
 
@@ -55,7 +56,14 @@ _CARD_RUN = re.compile(r"[0-9 -]+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"://[^\s/@:]+(?::[^\s/@]*)?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-.")
-_IBAN = re.compile(r"[ :=#]*([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){10,30})(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[ :=#]*([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){10,30})")
+_IBAN_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_SIZE = {country: size for size, own in _IBAN_SIZES.items() for country in own.split()}
 _ACCOUNT = re.compile(r"(?:[ ]?(?:no|nr|number|id)\b)?[ .:=#]*([0-9](?:[ -]?[0-9]){5,17})(?![0-9])", re.IGNORECASE)
 
 
@@ -93,6 +101,19 @@ def _iban_valid(text: str) -> bool:
     return 15 <= len(own) <= 34 and int("".join(str(int(c, 36)) for c in own[4:] + own[:4])) % 97 == 1
 
 
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN that starts at ``start`` ends, at ``end`` at the latest:
+    after the length of its country, or for a country without a known length
+    the last end of a word that makes it valid."""
+    size = IBAN_SIZE.get(text[start:start + 2].upper())
+    ends = [m.start() for m in _IBAN_END.finditer(text, start, min(end + 1, len(text))) if m.start() <= end]
+    for at in reversed(ends):
+        own = text[start:at]
+        if (size is None or len(own) - own.count(" ") == size) and _iban_valid(own):
+            return at
+    return None
+
+
 def _run_start(text: str, at: int, floor: int, members) -> int:
     while at > floor and text[at - 1] in members:
         at -= 1
@@ -142,9 +163,10 @@ def find_spans(text: str, automaton) -> list[tuple[str, int, int]]:
                 done["login"] = own.end()
         else:
             own = (_IBAN if kind == "iban" else _ACCOUNT).match(text, last + 1)
-            if own and (kind == "account" or _iban_valid(own.group(1))):
-                found[kind].append(own.span(1))
-                done[kind] = own.end(1)
+            end = own and (own.end(1) if kind == "account" else _iban_end(text, *own.span(1)))
+            if end:
+                found[kind].append((own.start(1), end))
+                done[kind] = end
     return [(kind, a, b) for kind in KINDS for a, b in found[kind]]
 
 
