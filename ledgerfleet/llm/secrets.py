@@ -3,8 +3,16 @@
 Everything runs in DataFrame functions and Spark's own random forest; no
 Python touches a row.
 
-A *candidate* is a run of 16 or more letters, digits and ``+ / _ -`` (with
-base64 padding) in a whole text.  Its features:
+A *candidate* is, anywhere in a whole text,
+
+* a run of 16 or more letters, digits and ``+ / _ -``, with base64 padding (an
+  ``=`` that more of a value follows is an assignment, not padding), or
+* the value behind the name of a credential and ``=`` or ``:``, of VALUE_LEAST
+  characters or more: between quotes up to the closing one on the same line,
+  else up to white space, a quote, ``<``, ``>``, the next parameter of a URL
+  query (``&name=``) or punctuation that ends it.
+
+Its features:
 
 * length, shares of digits and of capitals, different characters;
 * character transitions: how often the kind of character changes, and the mean
@@ -16,8 +24,9 @@ base64 padding) in a whole text.  Its features:
 
 The forest is trained from labelled findings (columns token, before, after,
 label).  ``labelled_findings`` derives a bounded sample of them from the corpus:
-prose words and plain numbers it holds (harmless), and digests of such tokens
-put behind the name of a credential (secret), behind the name of a checksum or
+prose words and plain numbers it holds (harmless, short words behind the name
+of a credential too), and digests of such tokens and short passwords put behind
+the name of a credential (secret), digests behind the name of a checksum or
 inside a path (harmless), or replaced by placeholders (harmless).
 
 Dictionary and letter pairs are counted over all documents.  Null texts count
@@ -38,15 +47,27 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+VALUE_LEAST = 6                 # characters of a value behind the name of a credential
+_NAME = "token|secret|password|passwd|passphrase|pass|pwd|apikey|key|auth|bearer|credential"
+# A name, alone or as the last part but one of a longer name, and its assignment.
+_ASSIGNED = (f"(?:(?<![A-Za-z])(?i:{_NAME})|(?<=[a-z0-9])(?:Token|Secret|Password|Passwd|Pass|Pwd|Key|Auth|Credential))"
+             "s?(?:[_-][A-Za-z0-9]{1,12})?[\"'`]?[ \\t]{0,2}[:=]{1,2}>?[ \\t]{0,2}")
+_CORE = r"[^\s\"'`&<>.,;:)\]}]"
+_PLAIN = rf"(?:{_CORE}|[.,;:)\]}}&]++(?={_CORE})(?!(?<=&)(?:amp;|[A-Za-z0-9_.-]{{1,40}}=)))"
+# Cheap looks behind come first; the names are looked up behind an assignment only.
+VALUE = "|".join([rf"(?<={q})(?<=[:=>][ \t]{{0,2}}{q})(?<={_ASSIGNED}{q})[^\r\n{q}]{{{VALUE_LEAST},}}+(?={q})"
+                  for q in "\"'`"]
+                 + [rf"(?<=[:=> \t\"'`])(?<=[:=>][ \t]{{0,2}}[\"'`]?)(?=[^\s=:>])(?<={_ASSIGNED}[\"'`]?)"
+                    rf"(?={_PLAIN}{{{VALUE_LEAST}}}){_PLAIN}++"])
+TOKEN = rf"{VALUE}|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
 BEFORE, AFTER = 96, 48          # characters of context a finding carries
 DICTIONARY_COUNT = 5            # occurrences that make a word a dictionary word
 TRAIN_TOKENS = 2000             # corpus tokens the labelled sample starts from
 TREES, DEPTH = 24, 7
 THRESHOLD = 0.5
 
-SECRET_CUES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "key", "auth", "bearer",
-               "credential", "access_key", "private_key", "client_secret")
+SECRET_CUES = ("token", "secret", "password", "passwd", "passphrase", "pass", "pwd", "apikey", "api_key", "key", "auth",
+               "bearer", "credential", "access_key", "private_key", "client_secret")
 HARMLESS_CUES = ("commit", "sha", "md5", "checksum", "digest", "hash", "uuid", "etag", "revision", "blob", "isbn",
                  "page", "version", "card", "phone", "example", "test", "dummy")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -62,9 +83,14 @@ def findings(docs: DataFrame) -> DataFrame:
            .where(F.col("text").rlike(TOKEN))
            .select("doc_id", F.monotonically_increasing_id().alias("row"), F.split("text", TOKEN, -1).alias("gaps"),
                    F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens")))
+
+    def last(name: str, i: Column) -> Column:
+        return F.when(i >= 0, F.right(F.get(F.col(name), i), F.lit(BEFORE))).otherwise(F.lit(""))
+
+    # a long name is a candidate itself, and is context of its value all the same
     each = F.transform("tokens", lambda token, i: F.struct(
         token.alias("token"), F.length(F.col("gaps")[i]).alias("skip"),
-        F.right(F.col("gaps")[i], F.lit(BEFORE)).alias("before"),
+        F.right(F.concat(last("gaps", i - 1), last("tokens", i - 1), last("gaps", i)), F.lit(BEFORE)).alias("before"),
         F.left(F.col("gaps")[i + 1], F.lit(AFTER)).alias("after")))
     found = own.select("doc_id", "row", F.posexplode(each).alias("pos", "f")).select("doc_id", "row", "pos", "f.*")
     order = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -114,7 +140,9 @@ def featured(found: DataFrame, words: DataFrame, pairs: list[float]) -> DataFram
         F.sequence(F.lit(1), n - 1), F.lit(0.0),
         lambda total, i: total + F.element_at(
             table, _instr(F.element_at(chars, i)) * size + _instr(F.element_at(chars, i + 1)) + 1)) / (n - 1)
-    near = F.slice(F.reverse(F.regexp_extract_all(F.lower("before"), F.lit("[a-z0-9_]+"), F.lit(0))), 1, 3)
+    lower = F.lower(F.regexp_replace("before", "(?<=[a-z0-9])(?=[A-Z])", "_"))
+    near = F.slice(F.reverse(F.regexp_extract_all(lower, F.lit("[a-z0-9_]+"), F.lit(0))), 1, 3)
+    near = F.concat(near, F.flatten(F.transform(near, lambda w: F.split(w, "_"))))
     behind = F.slice(F.regexp_extract_all(F.lower("after"), F.lit("[a-z0-9_]+"), F.lit(0)), 1, 2)
 
     def cue(cues: tuple[str, ...]) -> Column:
@@ -171,6 +199,18 @@ def labelled_findings(found: DataFrame, most: int = TRAIN_TOKENS) -> DataFrame:
     closed = F.when(opened.endswith('"'), F.lit('"')).otherwise(F.lit(" "))
     tail = F.left(F.col("before"), F.lit(40))
 
+    word = F.lower(F.regexp_extract("before", r"([A-Za-z]{6,14})[^A-Za-z]*$", 1))
+    word = F.when(F.length(word) > 0, word).otherwise(one_of(["weather", "required", "example", "understanding"], 6))
+    code = F.translate(F.base64(F.unhex(F.sha1("token"))), "+/=", "xyz")
+    sign = one_of(list("!@#$.~%*"), 7)
+    number = F.pmod(F.xxhash64("token", F.lit(8)), F.lit(9000)).cast("string")
+    short = (F.when(pick % 6 == 0, F.concat(F.left(code, F.lit(3)), sign, F.substring(code, 4, 4)))
+             .when(pick % 6 == 1, F.concat(F.initcap(F.left(word, F.lit(7))), number, sign))
+             .when(pick % 6 == 2, F.concat(F.left(word, F.lit(7)), number))
+             .when(pick % 6 == 3, F.left(code, F.lit(9)))
+             .when(pick % 6 == 4, F.concat(F.left(code, F.lit(2)), sign, F.lpad(number, 5, "7")))
+             .otherwise(F.concat(F.left(code, F.lit(5)), sign, F.substring(code, 6, 6), sign)))
+
     def row(token, before, after, label: int) -> Column:
         return F.struct(token.alias("token"), before.alias("before"), after.alias("after"), F.lit(label).alias("label"))
 
@@ -178,6 +218,8 @@ def labelled_findings(found: DataFrame, most: int = TRAIN_TOKENS) -> DataFrame:
     rows = F.array_compact(F.array(
         F.when(natural, row(F.col("token"), F.col("before"), F.col("after"), 0)),
         row(digest, F.concat(tail, F.lit(" "), opened), F.concat(closed, F.col("after")), 1),
+        row(short, F.concat(tail, F.lit(" "), opened), F.concat(closed, F.col("after")), 1),
+        row(word, F.concat(tail, F.lit(" "), opened), F.concat(closed, F.col("after")), 0),
         row(digest, F.concat(tail, F.lit(" "), one_of(harmless, 3)), F.col("after"), 0),
         row(digest, F.concat(tail, F.lit(" "), one_of(paths, 4)), F.lit(".html "), 0),
         row(one_of(dull, 5), F.concat(tail, F.lit(" "), opened), F.concat(closed, F.col("after")), 0)))
