@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, share
+from .common import map_batches, materialize, share
 
 SPAN, LEAD = 50, 16
 REACH = SPAN - LEAD + 1          # places of a lead inside a string
@@ -58,8 +58,10 @@ SIDE = REACH // 2                # bytes beside a lead that a string holds on on
 HASH_BITS = 32                   # of a lead's hash; the bits above hold its range
 MOST_RANGES = 1 << 24            # of leads
 BLOCK = 1 << 18                  # bytes worked on at once
-SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 4000
+SAMPLE_DOCS = 2000               # documents sampled, about
+SAMPLE_LEADS = 1 << 20           # leads of them that reach the driver, about
 HOT_DOCS = 8                     # sampled documents that make a lead hot
+MOST_HOT = 1 << 20               # hot leads, the most frequent ones
 SEEN_STRINGS = 500_000           # hot strings a task remembers
 BUCKET_ROWS = 20_000             # suffixes sorted at once, up to the end of a lead
 LEAD_ROWS = 100_000              # rows of leads looked at at once, likewise
@@ -180,9 +182,9 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]
 
 
 def _sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Leading bytes and hashes of the suffixes of a bounded number of
-    documents; at most SAMPLE_SUFFIXES, evenly spaced, of each.  Hot leads:
-    those in HOT_DOCS of them."""
+    """Leading bytes of about SAMPLE_LEADS suffixes of a bounded number of
+    documents, whatever their length, and hot leads: the hashes of those in
+    HOT_DOCS of all these documents, counted in Spark, at most MOST_HOT."""
     n, grain = docs.count(), 1 << 30
     kept = grain if n <= SAMPLE_DOCS else max(1, grain * SAMPLE_DOCS // n)
     few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < kept)
@@ -190,16 +192,19 @@ def _sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, owner, parts in blocks(_documents(batches)):
             start, _, hashes, eight, _ = anchored_runs(data, owner)
-            step = max(1, len(start) * 4096 // (SAMPLE_SUFFIXES * max(len(data), 4096)))
             own = np.array([p[0] for p in parts], dtype=np.int64)[owner[start]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own[::step]), pa.array(hashes.view(np.int64)[::step]),
-                 pa.array(eight.view(np.int64)[::step])], names=["doc_id", "hash", "lead"])
-
-    rows = map_batches(few, run, "doc_id long, hash long, lead long").distinct().toPandas()
-    leads = np.sort(rows["lead"].to_numpy().astype(np.int64).view(np.uint64))
-    hashes, times = np.unique(rows["hash"].to_numpy().astype(np.int64).view(np.uint64), return_counts=True)
-    return leads, hashes[times >= HOT_DOCS]
+                [pa.array(own), pa.array(hashes.view(np.int64)), pa.array(eight.view(np.int64))],
+                names=["doc_id", "hash", "lead"])
+
+    rows = materialize(map_batches(few, run, "doc_id long, hash long, lead long").distinct(), "suffix-sample")
+    total = rows.count()
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "hash"), F.lit(grain)) < grain * SAMPLE_LEADS // max(total, SAMPLE_LEADS))
+    leads = np.sort(some.select("lead").toPandas()["lead"].to_numpy().astype(np.int64).view(np.uint64))
+    hot = (rows.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= HOT_DOCS)
+           .orderBy(F.col("times").desc(), "hash").limit(MOST_HOT))
+    hashes = np.sort(hot.select("hash").toPandas()["hash"].to_numpy().astype(np.int64).view(np.uint64))
+    return leads, hashes
 
 
 def keys_of(hashes: np.ndarray, lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
