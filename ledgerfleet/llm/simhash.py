@@ -39,7 +39,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, map_batches, materialize, share
@@ -78,16 +78,19 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * counts > len(grams)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (signed long) of every row."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, mark: Column | None = None) -> DataFrame:
+    """doc_id, mark (a long of the row's own, null by default), fp (signed
+    long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), width) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps, pa.int64())],
+                                             names=["doc_id", "mark", "fp"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                       "doc_id long, fp long")
+    mark = F.lit(None) if mark is None else mark
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                                   mark.cast("long").alias("mark")), run, "doc_id long, mark long, fp long")
 
 
 def halves(fps: np.ndarray, half: int) -> np.ndarray:
@@ -279,7 +282,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     ``max_bits`` may be 0 to 7: beyond, a half's radius would pass the tree by."""
     if not 0 <= max_bits <= 7:
         raise ValueError("max_bits must be between 0 and 7")
-    fps = materialize(fingerprints(docs, width), "fingerprints")
+    return _linked(docs, width, max_bits).select("doc_id", "fp", "component_id")
+
+
+def _linked(docs: DataFrame, width: int, max_bits: int, mark: Column | None = None) -> DataFrame:
+    """doc_id, mark, fp, component_id and root (a fingerprint that tells
+    components apart, as rows of different ones may share a doc_id)."""
+    fps = materialize(fingerprints(docs, width, mark), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fp")
     edges = _links(distinct, 0, max_bits).unionByName(_links(distinct, 1, max_bits))
     roots = components(edges)
@@ -287,17 +296,27 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     least = (distinct.join(roots, distinct["fp"] == roots["node"])
              .groupBy("root").agg(F.min("first_id").alias("least")))
     least = materialize(least, "cc-least")
-    linked = materialize(roots.join(least, "root").select(F.col("node").alias("fp"), "least"), "cc-linked")
+    linked = materialize(roots.join(least, "root").select(F.col("node").alias("fp"), "root", "least"), "cc-linked")
     first = materialize(distinct.join(linked, "fp", "left")
-                        .select("fp", F.coalesce("least", "first_id").alias("component_id")), "cc-first")
-    return fps.join(first, "fp").select("doc_id", "fp", "component_id")
+                        .select("fp", F.coalesce("root", "fp").alias("root"),
+                                F.coalesce("least", "first_id").alias("component_id")), "cc-first")
+    return fps.join(first, "fp").select("doc_id", "mark", "fp", "component_id", "root")
 
 
 def first_of_each_group(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the one
-    with the smallest doc_id stays, with all its columns; of rows that repeat a
-    doc_id, one.  Rows without a doc_id cannot be told apart by it and stay."""
-    near = near_duplicates(docs, width, max_bits)
-    first = materialize(near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-ids")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` without near-duplicates: of each component one row
+    with the smallest doc_id stays, with all its columns; of different rows of a
+    component under that doc_id, the one with the smallest hash.  Rows without a
+    doc_id cannot be told apart by it and stay."""
+    if not 0 <= max_bits <= 7:
+        raise ValueError("max_bits must be between 0 and 7")
+    mark = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns), F.col("text").isNull())
+    near = _linked(docs, width, max_bits, mark)
+    first = (near.where(F.col("doc_id") == F.col("component_id"))
+             .groupBy("root", "doc_id").agg(F.min("mark").alias("mark")))
+    first = materialize(first.select(F.col("doc_id").alias("first_id"), F.col("mark").alias("first_mark")), "first-ids")
+    own = "near_mark_of_the_row"
+    kept = (docs.withColumn(own, mark)
+            .join(first, (F.col("doc_id").cast("long") == F.col("first_id")) & (F.col(own) == F.col("first_mark")), "left_semi")
+            .dropDuplicates(["doc_id", own]).drop(own))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
