@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
+from . import chat, decontam, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-# Of the ten, these can be said in SQL; the others are tested by brute force.
+# These can be said in SQL; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -33,6 +33,21 @@ ORACLE: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, role, text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+            UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+        t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+        e AS (SELECT *, length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '|', '%7C'))
+                     + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 24 AS chars FROM t)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
 
 
@@ -144,3 +159,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality_net(spark, docs, sf_dir))
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted with
+    their loss mask and read back."""
+    control = chat.TURN_END + chat.TURN_START + "assistant ok"
+    own = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{control}'), (-1L, 1L, 'assistant', '{control}') "
+                    "AS t(conv_id, turn, role, text)")
+    said = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    done = chat.format_conversations(said.select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts")))
+    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       chat.read_loss(F.col("formatted"), F.col("marks")).alias("loss"))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""),
+               256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
