@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
+from . import chat, decontam, divergence, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,35 @@ ORACLE: dict[str, str] = {
                    AS loss_sha256,
                sum(chars)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        t AS (SELECT lang, source, doc, unnest(w) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+        c AS (SELECT g.lang, g.source, k.term, k.lang_n, coalesce(n.n, 0) AS n
+              FROM g JOIN kept k ON k.lang = g.lang
+              LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+        s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source) AS own,
+                     sum(lang_n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source) AS whole
+              FROM c),
+        r AS (SELECT lang, source, term, n, (1 + (1000000000::HUGEINT * (n + 2)) // own)::BIGINT AS p,
+                     (1 + (1000000000::HUGEINT * (lang_n + 2)) // whole)::BIGINT AS q FROM s),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+              FROM r a JOIN r b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+              GROUP BY a.lang, a.source, b.source),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+                  FROM r WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+                   FROM (FROM pairs UNION ALL FROM terms))
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }
 
 
@@ -178,3 +207,10 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@_query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the word use of every two sources of a language lies apart, and
+    the terms a source uses most above its language."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
