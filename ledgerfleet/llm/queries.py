@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, divergence, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, warc
-from .common import read_table
+from . import chat, decontam, divergence, langid, packing, pii, quality, secrets, simhash, suffix_dedup, topk, trie, warc
+from .common import materialize, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # These can be said in SQL; the others are tested by brute force.
@@ -48,6 +48,35 @@ ORACLE: dict[str, str] = {
                    AS loss_sha256,
                sum(chars)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op12_conversation_trie": r"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(
+                       length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM t),
+        i AS (SELECT conv_id, conv_id - conv_id % 100 AS donor, xor(list_reduce(
+                  flatten(list_transform(range(1, length(s) + 1), lambda j: [ascii(s[j])::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                  lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295), 4294967295) % 6 AS h
+              FROM c),
+        b AS (SELECT i.conv_id, k, role, text FROM i JOIN t ON t.conv_id = i.donor AND t.k <= i.h
+              UNION ALL SELECT i.conv_id, k, role, text FROM i JOIN t ON t.conv_id = i.conv_id AND t.k > i.h),
+        p AS (SELECT conv_id, row_number() OVER w AS depth, length(text) AS len, list({'r': role, 't': text}) OVER w AS path
+              FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              UNION ALL SELECT conv_id, 0, 0, [] FROM i),
+        e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+        n AS (SELECT path, depth, min(conv_id) AS m, count(*) AS n, max(len) AS len,
+                     string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ended FROM e GROUP BY path, depth),
+        q AS (SELECT p.conv_id, p.depth, n.m FROM p JOIN n ON n.path = p.path AND n.depth = p.depth),
+        x AS (SELECT n.m, n.depth, n.n, n.len, n.ended, q.m AS parent FROM n
+              LEFT JOIN q ON q.conv_id = n.m AND q.depth = n.depth - 1),
+        k AS (SELECT parent AS m, depth - 1 AS depth, count(*) AS children FROM x WHERE depth > 0 GROUP BY ALL),
+        y AS (SELECT x.*, coalesce(k.children, 0) AS children FROM x LEFT JOIN k ON k.m = x.m AND k.depth = x.depth),
+        u AS (SELECT q.m, q.depth, sum((y.children = 0)::INTEGER) AS leaves, sum((y.n - 1) * y.len) AS saved
+              FROM y JOIN q ON q.conv_id = y.m AND q.depth <= y.depth GROUP BY q.m, q.depth)
+        SELECT y.m AS conv_id, y.depth, y.parent AS parent_conv_id, y.n AS n_convs, y.children AS n_children,
+               u.leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, sha256(coalesce(y.ended, '')) AS ends_sha256
+        FROM y JOIN u ON u.m = y.m AND u.depth = y.depth""",
     "op13_source_divergence": r"""
         WITH d AS (
             SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
@@ -209,6 +238,16 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@_query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each opened by the first turns of the
+    one whose id is the next lower multiple of 100."""
+    seqs = materialize(trie.sequences(read_table(spark, sf_dir, "conversations")), "trie-turns")
+    conv = F.col("conv_id")
+    opened = trie.with_openings(seqs, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5)
+    return trie.prefix_trie(opened).select(*trie.NODE_COLUMNS)
+
+
 @_query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the word use of every two sources of a language lies apart, and
