@@ -8,6 +8,8 @@ character set so the same rule holds in DuckDB (the oracle).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,6 +49,11 @@ def wtrim(x) -> Column:
     return F.trim(_c(x), F.lit(WHITESPACE))
 
 
+def is_blank(x) -> Column:
+    """Nothing but white space; looks no further than the first other letter."""
+    return F.ltrim(_c(x), F.lit(WHITESPACE)) == ""
+
+
 def ascii_lower(x) -> Column:
     """Lower-case A-Z only; keeps every character position."""
     return F.translate(_c(x), UPPER_ASCII, LOWER_ASCII)
@@ -105,51 +112,93 @@ def migration_identifier(kind, version, name) -> Column:
 
 # --- P6 / P7 / P8 -------------------------------------------------------------
 
-# The one letter whose lower case is longer than itself; replaced before the
-# text is lower-cased, so that positions in the copy are positions in the text.
-# (No other letter beyond ASCII has a lower case among the markers' letters.)
-DOTTED_I, STAND_IN = "\u0130", "?"
-
-
-def split_sections(df, content_col: str = "body", prefix: str = ""):
-    """Add ``{prefix}marker_style`` (0 = none), ``{prefix}up_sql`` and
-    ``{prefix}down_sql`` to ``df``.
-
-    The content is trimmed first.  For each marker style in order, the first
-    Up marker is looked up in a lower-cased copy, and from there the first Down
-    marker; if both are there, the style is found: the Up text is what stands
-    between them, the Down text what follows, both trimmed.  A style whose first
-    Up marker has no Down marker behind it is not tried again from a later Up,
-    so the work is linear in the text for every style; a later style is only
-    tried when the earlier ones found nothing.  With no complete pair the whole
-    trimmed text is the Up script and Down is NULL.  Positions stay valid on any
-    text (SURVEY Q4 fix); '-- up' also matches inside '-- update ...' (SURVEY Q3,
-    kept; ``marker_in_comment`` reports it).
+# Cuts a text at every marker of any style (and at words that begin like one,
+# SURVEY Q3); the prefix that all markers share goes, the rest starts a piece.
+_MARKERS = [m.removeprefix(MARKER_PREFIX) for style in MARKER_STYLES for m in style]
+_AT_MARKER = "%s(?=(?i:%s))" % (MARKER_PREFIX, "|".join(map(re.escape, _MARKERS)))
+
+
+def _kind(head: Column) -> Column:
+    """Which marker a piece starts with: i for the Up marker of style i, -i
+    for its Down marker."""
+    found = F.lit(0)
+    for i in range(len(MARKER_STYLES), 0, -1):
+        up, down = _MARKERS[2 * i - 2:2 * i]
+        found = F.when(head.startswith(up), i).when(head.startswith(down), -i).otherwise(found)
+    return found
+
+
+def split_sections(df, content_col: str = "body"):
+    """Add ``marker_style`` (0 = none), ``up_sql`` and ``down_sql`` to ``df``.
+
+    The text is cut once, at every marker of any style, ASCII case ignored; all
+    that follows works on the short list of what marker each piece starts with.
+    For each style in order, the first Up marker is looked up there and behind it the
+    first Down marker; if both are there, the style is found: the Up text is what
+    stands between them, the Down text what follows, both trimmed.  A style whose
+    first Up marker has no Down marker behind it is not tried again from a later Up.
+    With no complete pair the whole trimmed text is the Up script and Down is
+    NULL.  Markers are found in the text itself, so they are right on any text
+    (SURVEY Q4 fix); '-- up' also matches inside '-- update ...' (SURVEY Q3, kept;
+    ``marker_in_comment`` reports it).
     """
-    t, lo, ms = f"{prefix}_t", f"{prefix}_lo", f"{prefix}marker_style"
-    n = len(MARKER_STYLES)
-    df = df.withColumn(t, wtrim(content_col))
-    # every marker starts with this caseless prefix: text without it (plain
-    # prose) is neither lower-cased nor searched
-    may_have = F.instr(F.col(t), MARKER_PREFIX) > 0
-    df = df.withColumn(lo, F.when(may_have, F.lower(F.replace(F.col(t), F.lit(DOTTED_I), F.lit(STAND_IN)))))
-    earlier = F.col(lo).isNull()
-    for i, (up, down) in enumerate(MARKER_STYLES, start=1):
-        u, d = f"{prefix}_u{i}", f"{prefix}_d{i}"
-        df = df.withColumn(u, F.when(~earlier, F.instr(F.col(lo), up)).otherwise(F.lit(0)))
-        df = df.withColumn(d, F.when(F.col(u) > 0, F.position(F.lit(down), F.col(lo), F.col(u) + len(up)))
-                           .otherwise(F.lit(0)))
-        earlier = earlier | (F.col(d) > 0)
-    style, up_expr, down_expr = F.lit(0), F.col(t), F.lit(None).cast("string")
-    for i in range(n, 0, -1):
-        up, down = MARKER_STYLES[i - 1]
-        start, end = F.col(f"{prefix}_u{i}") + len(up), F.col(f"{prefix}_d{i}")
-        style = F.when(end > 0, F.lit(i)).otherwise(style)
-        up_expr = F.when(end > 0, wtrim(F.col(t).substr(start, end - start))).otherwise(up_expr)
-        down_expr = F.when(end > 0, wtrim(F.col(t).substr(end + len(down), F.length(F.col(t))))).otherwise(down_expr)
-    df = (df.withColumn(ms, style).withColumn(f"{prefix}up_sql", up_expr)
-          .withColumn(f"{prefix}down_sql", down_expr))
-    return df.drop(t, lo, *[f"{prefix}_{c}{i}" for i in range(1, n + 1) for c in "ud"])
+    styles = range(1, len(MARKER_STYLES) + 1)
+    longest = max(map(len, _MARKERS))
+    pieces, kinds = F.col("_pieces"), F.col("_kinds")
+    heads = F.transform(F.slice(pieces, 2, 1 << 30), lambda p: F.lower(F.left(p, F.lit(longest))))
+    df = (df.withColumn("_pieces", F.split(F.col(content_col), _AT_MARKER)).withColumn("_heads", heads)
+            .withColumn("_kinds", F.transform("_heads", _kind)))
+    df = df.withColumns({f"_u{i}": F.array_position(kinds, i).cast("int") for i in styles})
+    df = df.withColumns({f"_d{i}": F.when(F.col(f"_u{i}") > 0, F.array_position(
+        F.slice(kinds, F.col(f"_u{i}") + 1, F.size(kinds)), -i).cast("int")).otherwise(0) for i in styles})
+    style = F.coalesce(*[F.when(F.col(f"_d{i}") > 0, i) for i in styles], F.lit(0))
+    df = df.withColumn("marker_style", style)
+    is_split = F.col("marker_style") > 0
+
+    def of_style(make) -> Column:
+        case = F.lit(0)
+        for i in reversed(styles):
+            case = F.when(F.col("marker_style") == i, make(i)).otherwise(case)
+        return case
+
+    # list entry k of the markers is piece k + 1
+    df = df.withColumns({"_u": of_style(lambda i: F.col(f"_u{i}") + 1), "_n": of_style(lambda i: F.col(f"_d{i}")),
+                         "_u_len": of_style(lambda i: len(_MARKERS[2 * i - 2])),
+                         "_d_len": of_style(lambda i: len(_MARKERS[2 * i - 1]))})
+
+    def section(start: Column, length: Column, marker: Column) -> Column:
+        # the marker is ASCII, so it is cut off in bytes
+        return _bytes_of(F.array_join(F.slice(pieces, start, length), MARKER_PREFIX), marker + 1)
+
+    ws = F.lit(WHITESPACE)
+    df = df.withColumns({
+        "_up": F.ltrim(F.when(is_split, section(F.col("_u"), F.col("_n"), F.col("_u_len"))).otherwise(F.col(content_col)), ws),
+        "_down": F.ltrim(F.when(is_split, section(F.col("_u") + F.col("_n"), F.size(pieces), F.col("_d_len"))), ws)})
+    df = df.withColumns({"up_sql": _rtrim(F.col("_up")), "down_sql": _rtrim(F.col("_down"))})
+    return df.drop("_pieces", "_heads", "_kinds", "_u", "_n", "_u_len", "_d_len", "_up", "_down",
+                   *[f"_{c}{i}" for i in styles for c in "ud"])
+
+
+def _bytes_of(text: Column, start, length=None) -> Column:
+    """Part of a text by byte positions, which need no walk over it."""
+    raw = text.cast("binary")
+    return F.substr(raw, start, *([length] if length is not None else [])).cast("string")
+
+
+_TAIL = 64
+
+
+def _rtrim(text: Column) -> Column:
+    """Trim white space on the right, looking at the last bytes only: Spark's
+    ``rtrim`` of a set of characters walks the whole text.  A longer run of
+    white space at the end is left to it."""
+    tail = _bytes_of(text, F.greatest(F.octet_length(text) - _TAIL + 1, F.lit(1)))
+    kept = F.octet_length(F.rtrim(tail, F.lit(WHITESPACE)))
+    cut = F.octet_length(tail) - kept
+    # the first three bytes of the tail may belong to a letter that starts before it
+    return (F.when(cut == 0, text)
+            .when(kept > 3, _bytes_of(text, F.lit(1), F.octet_length(text) - cut))
+            .otherwise(F.rtrim(text, F.lit(WHITESPACE))))
 
 
 def marker_in_comment(text) -> Column:
@@ -161,7 +210,7 @@ def marker_in_comment(text) -> Column:
 def has_rollback(down) -> Column:
     """A Down section exists and is not blank."""
     down = _c(down)
-    return down.isNotNull() & (wtrim(down) != "")
+    return down.isNotNull() & ~is_blank(down)
 
 
 def checksum(text, algo: str = "md5") -> Column:
@@ -182,9 +231,7 @@ def line_count(text) -> Column:
     """Number of lines as ``str::lines`` counts them: no line for the
     empty text, no extra line after a final newline."""
     text = _c(text)
-    # a newline is one byte, and byte lengths need no walk over the text
-    newlines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
-    return (newlines + F.when((text == "") | text.endswith("\n"), F.lit(0)).otherwise(F.lit(1))).cast("bigint")
+    return (F.size(F.split(text, "\n")) - F.when((text == "") | text.endswith("\n"), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
 def preview(text) -> Column:
@@ -193,7 +240,7 @@ def preview(text) -> Column:
     head = F.substring_index(_c(text), "\n", PREVIEW_LINES)   # text before the 3rd newline
     first = F.split(head, "\n")
     first = F.transform(first, lambda s: strip_suffix(s, "\r"))
-    kept = F.filter(first, lambda s: wtrim(s) != "")
+    kept = F.filter(first, lambda s: ~is_blank(s))
     return F.array_join(F.transform(kept, lambda s: F.substring(s, 1, PREVIEW_WIDTH)), "\n")
 
 
