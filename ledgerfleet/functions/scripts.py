@@ -28,6 +28,7 @@ MARKER_PREFIX = "-- "
 WHITESPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
               "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
               "\u2028\u2029\u202f\u205f\u3000")
+_WS = f"'{WHITESPACE}'"
 UPPER_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = "abcdefghijklmnopqrstuvwxyz"
 U32_MAX = 4294967295
@@ -118,14 +119,9 @@ _MARKERS = [m.removeprefix(MARKER_PREFIX) for style in MARKER_STYLES for m in st
 _AT_MARKER = "%s(?=(?i:%s))" % (MARKER_PREFIX, "|".join(map(re.escape, _MARKERS)))
 
 
-def _kind(head: Column) -> Column:
-    """Which marker a piece starts with: i for the Up marker of style i, -i
-    for its Down marker."""
-    found = F.lit(0)
-    for i in range(len(MARKER_STYLES), 0, -1):
-        up, down = _MARKERS[2 * i - 2:2 * i]
-        found = F.when(head.startswith(up), i).when(head.startswith(down), -i).otherwise(found)
-    return found
+def _case(pairs, default: str) -> str:
+    """``CASE`` of (condition, value) pairs in order."""
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {default} END"
 
 
 def split_sections(df, content_col: str = "body"):
@@ -142,63 +138,57 @@ def split_sections(df, content_col: str = "body"):
     (SURVEY Q4 fix); '-- up' also matches inside '-- update ...' (SURVEY Q3, kept;
     ``marker_in_comment`` reports it).
     """
+    body = f"`{content_col}`"
     styles = range(1, len(MARKER_STYLES) + 1)
-    longest = max(map(len, _MARKERS))
-    pieces, kinds = F.col("_pieces"), F.col("_kinds")
-    heads = F.transform(F.slice(pieces, 2, 1 << 30), lambda p: F.lower(F.left(p, F.lit(longest))))
-    df = (df.withColumn("_pieces", F.split(F.col(content_col), _AT_MARKER)).withColumn("_heads", heads)
-            .withColumn("_kinds", F.transform("_heads", _kind)))
-    df = df.withColumns({f"_u{i}": F.array_position(kinds, i).cast("int") for i in styles})
-    df = df.withColumns({f"_d{i}": F.when(F.col(f"_u{i}") > 0, F.array_position(
-        F.slice(kinds, F.col(f"_u{i}") + 1, F.size(kinds)), -i).cast("int")).otherwise(0) for i in styles})
-    style = F.coalesce(*[F.when(F.col(f"_d{i}") > 0, i) for i in styles], F.lit(0))
-    df = df.withColumn("marker_style", style)
-    is_split = F.col("marker_style") > 0
-
-    def of_style(make) -> Column:
-        case = F.lit(0)
-        for i in reversed(styles):
-            case = F.when(F.col("marker_style") == i, make(i)).otherwise(case)
-        return case
-
-    # list entry k of the markers is piece k + 1
-    df = df.withColumns({"_u": of_style(lambda i: F.col(f"_u{i}") + 1), "_n": of_style(lambda i: F.col(f"_d{i}")),
-                         "_u_len": of_style(lambda i: len(_MARKERS[2 * i - 2])),
-                         "_d_len": of_style(lambda i: len(_MARKERS[2 * i - 1]))})
-
-    def section(start: Column, length: Column, marker: Column) -> Column:
-        # the marker is ASCII, so it is cut off in bytes
-        return _bytes_of(F.array_join(F.slice(pieces, start, length), MARKER_PREFIX), marker + 1)
+    ups, downs = _MARKERS[0::2], _MARKERS[1::2]
+    # list entry k of _kinds is what piece k + 1 starts with: i or -i for the
+    # Up or Down marker of style i
+    kind = _case([(f"startswith(h, '{m}')", k) for i in styles for m, k in ((ups[i - 1], i), (downs[i - 1], -i))], "0")
+
+    def of_style(value) -> str:
+        return _case([(f"marker_style = {i}", value(i)) for i in styles], "0")
 
-    ws = F.lit(WHITESPACE)
-    df = df.withColumns({
-        "_up": F.ltrim(F.when(is_split, section(F.col("_u"), F.col("_n"), F.col("_u_len"))).otherwise(F.col(content_col)), ws),
-        "_down": F.ltrim(F.when(is_split, section(F.col("_u") + F.col("_n"), F.size(pieces), F.col("_d_len"))), ws)})
-    df = df.withColumns({"up_sql": _rtrim(F.col("_up")), "down_sql": _rtrim(F.col("_down"))})
+    def section(start: str, length: str, marker: str) -> str:
+        # the marker is ASCII, so it is cut off in bytes
+        return _bytes(f"array_join(slice(_pieces, {start}, {length}), '{MARKER_PREFIX}')", f"{marker} + 1")
+
+    steps = [
+        {"_pieces": f"split({body}, r'{_AT_MARKER}')"},
+        {"_heads": f"transform(slice(_pieces, 2, {1 << 30}), p -> lower(left(p, {max(map(len, _MARKERS))})))"},
+        {"_kinds": f"transform(_heads, h -> {kind})"},
+        {f"_u{i}": f"int(array_position(_kinds, {i}))" for i in styles},
+        {f"_d{i}": f"if(_u{i} > 0, int(array_position(slice(_kinds, _u{i} + 1, size(_kinds)), {-i})), 0)" for i in styles},
+        {"marker_style": _case([(f"_d{i} > 0", i) for i in styles], "0")},
+        {"_u": of_style(lambda i: f"_u{i} + 1"), "_n": of_style(lambda i: f"_d{i}"),
+         "_u_len": of_style(lambda i: len(ups[i - 1])), "_d_len": of_style(lambda i: len(downs[i - 1]))},
+        {"_up": f"trim(LEADING {_WS} FROM if(marker_style > 0, {section('_u', '_n', '_u_len')}, {body}))",
+         "_down": f"trim(LEADING {_WS} FROM if(marker_style > 0, {section('_u + _n', 'size(_pieces)', '_d_len')}, NULL))"},
+        {"up_sql": _rtrim("_up"), "down_sql": _rtrim("_down")},
+    ]
+    for step in steps:
+        df = df.withColumns({name: F.expr(sql) for name, sql in step.items()})
     return df.drop("_pieces", "_heads", "_kinds", "_u", "_n", "_u_len", "_d_len", "_up", "_down",
                    *[f"_{c}{i}" for i in styles for c in "ud"])
 
 
-def _bytes_of(text: Column, start, length=None) -> Column:
+def _bytes(text: str, start: str, length: str | None = None) -> str:
     """Part of a text by byte positions, which need no walk over it."""
-    raw = text.cast("binary")
-    return F.substr(raw, start, *([length] if length is not None else [])).cast("string")
+    return f"string(substr(binary({text}), {start}{f', {length}' if length else ''}))"
 
 
 _TAIL = 64
 
 
-def _rtrim(text: Column) -> Column:
+def _rtrim(text: str) -> str:
     """Trim white space on the right, looking at the last bytes only: Spark's
-    ``rtrim`` of a set of characters walks the whole text.  A longer run of
-    white space at the end is left to it."""
-    tail = _bytes_of(text, F.greatest(F.octet_length(text) - _TAIL + 1, F.lit(1)))
-    kept = F.octet_length(F.rtrim(tail, F.lit(WHITESPACE)))
-    cut = F.octet_length(tail) - kept
+    trim of a set of characters walks the whole text.  A longer run of white
+    space at the end is left to it."""
+    tail = _bytes(text, f"greatest(octet_length({text}) - {_TAIL - 1}, 1)")
+    kept = f"octet_length(trim(TRAILING {_WS} FROM {tail}))"
+    cut = f"(octet_length({tail}) - {kept})"
     # the first three bytes of the tail may belong to a letter that starts before it
-    return (F.when(cut == 0, text)
-            .when(kept > 3, _bytes_of(text, F.lit(1), F.octet_length(text) - cut))
-            .otherwise(F.rtrim(text, F.lit(WHITESPACE))))
+    return _case([(f"{cut} = 0", text), (f"{kept} > 3", _bytes(text, "1", f"octet_length({text}) - {cut}"))],
+                 f"trim(TRAILING {_WS} FROM {text})")
 
 
 def marker_in_comment(text) -> Column:
@@ -231,7 +221,8 @@ def line_count(text) -> Column:
     """Number of lines as ``str::lines`` counts them: no line for the
     empty text, no extra line after a final newline."""
     text = _c(text)
-    return (F.size(F.split(text, "\n")) - F.when((text == "") | text.endswith("\n"), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    lines = F.size(F.split(text, "\n"))
+    return (lines - ((text == "") | text.endswith("\n")).cast("int")).cast("bigint")
 
 
 def preview(text) -> Column:

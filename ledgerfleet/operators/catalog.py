@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import scripts as fs
 from ..model import LEDGER_TABLE
 from .joins import per_target_join
-from .scan import ordinal
+from .scan import freeze, ordinal
 
 # --- fixed values: system objects never listed, snapshot text, generator ------
 SYSTEM_SCHEMAS = {"PostgreSQL": ["information_schema", "pg_catalog"],
@@ -86,7 +86,7 @@ def snapshot_lines(catalog: DataFrame, versions: DataFrame) -> DataFrame:
     ``write_snapshot``."""
     objs = (inventory(catalog).where(F.col("object_name") != LEDGER_TABLE)
             .select("target_id", "object_name").distinct())
-    objs = ordinal(objs, ["target_id"], [F.col("object_name")], "obj_pos", freeze_input=True)
+    objs = ordinal(freeze(objs), ["target_id"], [F.col("object_name")], "obj_pos")
     body = per_target_join(objs, versions, ["target_id"], "inner", spread_by=["object_name"])
     body = body.select("target_id", "baseline_version", (F.col("obj_pos") + 2).alias("line_no"),
                        F.format_string(SNAPSHOT_TABLE, F.col("object_name")).alias("line"))

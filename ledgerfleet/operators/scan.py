@@ -16,7 +16,7 @@ non-null value before a row) but split each group over many tasks:
    joined back.
 
 The number of slices follows the data: at least the shuffle partitions, and
-one per ``SLICE_ROWS`` rows of the frozen input.
+one per ``SLICE_ROWS`` rows of the input (or of a bound that the caller knows).
 
 The slice id (``spark_partition_id`` after the range exchange) must be the
 same for a row and for its slice summary.  Spark does not reuse an exchange
@@ -49,13 +49,15 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int | None) -> DataFrame:
+def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int | None,
+            at_most: int | None = None) -> DataFrame:
     """The frozen rows of ``df``, range-partitioned and sorted, with their
     slice and their id (ascending in a slice).  A checkpoint keeps its
-    partitions, so the ids are read back, never made anew."""
+    partitions, so the ids are read back, never made anew.  ``at_most``: a known
+    upper bound of the rows, which then need not be counted."""
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if slices is None:
-        n = max(n, -(-df.count() // SLICE_ROWS))
+        n = max(n, -(-(df.count() if at_most is None else at_most) // SLICE_ROWS))
     keys = [*_cols(group), *order]
     own = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     frozen = freeze(own.withColumn("__id", F.monotonically_increasing_id()))
@@ -63,16 +65,13 @@ def _sliced(df: DataFrame, group: list[str], order: list[Column], slices: int |
 
 
 def ordinal(df: DataFrame, group: list[str], order: list, name: str = "pos",
-            slices: int | None = None, freeze_input: bool = False) -> DataFrame:
+            slices: int | None = None, at_most: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its group, ordered
-    by ``order`` (the result of ``row_number()`` over that window).
-    ``freeze_input`` checkpoints the input first: it is counted, sampled and
-    read, which is worth avoiding when it is the result of joins rather than a
-    plain scan."""
+    by ``order`` (the result of ``row_number()`` over that window).  Pass
+    ``at_most``, an upper bound of the rows, when the input is the result of joins:
+    counting it would run them once more."""
     order = _cols(order)
-    if freeze_input:
-        df = freeze(df)
-    local = _sliced(df, group, order, slices)
+    local = _sliced(df, group, order, slices, at_most)
     counts = local.groupBy(_SLICE, *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
     before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = counts.select(_SLICE, *group, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first"))

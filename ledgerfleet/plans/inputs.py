@@ -29,6 +29,7 @@ _RUN: ContextVar[dict | None] = ContextVar("inputs_of_this_run", default=None)
 def clear() -> None:
     """Start a new run: nothing frozen before is used again."""
     _RUN.set({})
+    b.new_run()
 
 
 def _once(key: tuple, make) -> DataFrame:

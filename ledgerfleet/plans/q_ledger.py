@@ -9,7 +9,7 @@ from .. import oracle as o
 from ..operators import ledger_log as ll
 from ..operators import reconcile as rc
 from ..operators import rollback as rb
-from ..operators.scan import ordinal
+from ..operators.scan import freeze, ordinal
 from ..sources import bindings as b
 from ..sources import ledger as lg
 from .q_reconcile import keys, ledger, ledger_names
@@ -268,7 +268,7 @@ def baselines_asc(spark, d):
 def ledger_order(spark, d):
     """O2: versioned rows first by version, all others by file name."""
     led = ledger_names(spark, d).select("target_id", "migration_id", "migration_type", "version", "filename")
-    return ordinal(led, ["target_id"], lg.ledger_order_key(), "ledger_pos", freeze_input=True).select(
+    return ordinal(freeze(led), ["target_id"], lg.ledger_order_key(), "ledger_pos").select(
         "target_id", "migration_id", "ledger_pos")
 
 

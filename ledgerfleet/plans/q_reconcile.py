@@ -504,7 +504,7 @@ def plan_order(spark, d):
     k = names(spark, d)
     ids = rc.non_baseline(ledger_names(spark, d)).select("target_id", F.col("migration_id").alias("identifier"))
     todo = k.join(ids, ["target_id", "identifier"], "left_anti").select("target_id", "path", "kind", "version", "name")
-    return ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos", freeze_input=True).select(
+    return ordinal(todo, ["target_id"], cp.corpus_order_key(), "plan_pos", at_most=k.count()).select(
         "target_id", "path", "plan_pos")
 
 

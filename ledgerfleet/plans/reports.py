@@ -37,10 +37,11 @@ def plan_report(parsed: DataFrame, ledger: DataFrame | None) -> DataFrame:
                         .withColumn("preview_more", fs.preview_truncated("up_sql")))
     narrow = cp.valid_scripts(parsed).select(*cp.KEY_COLUMNS, "preview", "preview_more")
     todo = narrow if ledger is None else rc.pending(narrow, ledger)
+    # what is pending is a part of the corpus, whose rows are frozen
     todo = (todo.withColumn("tag", fs.kind_tag("kind"))
                 .withColumn("checksum8", fs.checksum_prefix("checksum")))
     out = ordinal(todo, ["target_id"], [*cp.corpus_order_key(), F.col("checksum")], "plan_pos",
-                  freeze_input=ledger is not None)
+                  at_most=narrow.count())
     return out.select("target_id", "path", "filename", "version", "tag", "line_count", "checksum8",
                       "preview", "preview_more", "plan_pos")
 

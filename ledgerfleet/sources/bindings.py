@@ -7,6 +7,8 @@ Only ``scripts`` carries text; every other binding is keys and small values.
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Schemas of the tables that the current run has read (a run starts by
+# forgetting them): a table is read several times, its footer once.
+_SCHEMAS: ContextVar[dict | None] = ContextVar("schemas_of_this_run", default=None)
+
+
+def new_run() -> None:
+    _SCHEMAS.set({})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path, known = table_path(sf_dir, name), _SCHEMAS.get()
+    if known is None:
+        return spark.read.parquet(path)
+    if path not in known:
+        known[path] = spark.read.parquet(path).schema
+    return spark.read.schema(known[path]).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -36,33 +52,22 @@ def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scripts_from(documents: DataFrame) -> DataFrame:
     """B1 over a documents relation (batch or stream)."""
-    d = documents.select("doc_id", "source", "lang", "text")
-    sid = _s("doc_id")
-    nl = F.lit("\n")
     # some numbers occur twice in a target
-    number = F.when(F.col("doc_id") % 29 == 7, F.floor(F.col("doc_id") / 400) * 400 + 1).otherwise(F.col("doc_id") + 1)
-    path = (F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("notes-"), sid, F.lit(".sql")))
-            .when(F.col("doc_id") % 50 == 10, F.concat(F.lit("R__views_"), _s(F.col("doc_id") % 3), F.lit(".sql")))
-            .when(F.col("doc_id") % 10 == 0, F.concat(F.lit("R__"), F.col("lang"), F.lit("_"), sid, F.lit(".sql")))
-            .otherwise(F.concat(F.format_string("%04d", number), F.lit("_"), F.col("lang"), F.lit("_"), sid,
-                                F.lit(".sql"))))
-    drop_own = F.concat(F.lit("DROP TABLE t"), sid, F.lit(";"))
-    k = F.col("doc_id") % 6
-    body = (F.when(k == 0, F.concat(F.lit("-- +migrate Up"), nl, F.col("text"), nl,
-                                    F.lit("-- +migrate Down"), nl, drop_own))
-            .when(k == 1, F.concat(F.lit("-- UP"), nl, F.col("text"), nl, F.lit("-- DOWN"), nl, drop_own))
-            .when(k == 2, F.concat(F.lit("-- +goose up"), nl, F.col("text"), nl, F.lit("-- +GOOSE Down"), nl))
-            .when(k == 3, F.concat(F.lit("-- @@UP@@"), nl, F.lit("CREATE TABLE IF NOT EXISTS t"),
-                                   _s(F.col("doc_id") % 50), F.lit(" (id INT);"), nl, F.lit("-- comment"), nl,
-                                   F.lit("DROP TABLE t"), _s(F.col("doc_id") % 20), F.lit(";"), nl,
-                                   F.lit("CREATE INDEX IF NOT EXISTS ix"), _s(F.col("doc_id") % 30),
-                                   F.lit(" ON t (id);"), nl, F.col("text"), nl,
-                                   F.lit("-- @@DOWN@@"), nl, drop_own))
-            .when(F.col("doc_id") % 12 == 4, F.concat(F.lit("-- Update of the table"), nl, F.col("text"), nl,
-                                                      F.lit("-- DOWN"), nl, drop_own))
-            .when(k == 4, F.concat(F.lit("-- +migrate Up"), nl, F.col("text")))
-            .otherwise(F.col("text")))
-    return d.select("doc_id", F.col("source").alias("target_id"), path.alias("path"), body.alias("body"))
+    path = """CASE WHEN doc_id % 23 = 0 THEN concat('notes-', doc_id, '.sql')
+        WHEN doc_id % 50 = 10 THEN concat('R__views_', doc_id % 3, '.sql')
+        WHEN doc_id % 10 = 0 THEN concat('R__', lang, '_', doc_id, '.sql')
+        ELSE concat(format_string('%04d', if(doc_id % 29 = 7, floor(doc_id / 400) * 400 + 1, doc_id + 1)), '_', lang, '_',
+                    doc_id, '.sql') END"""
+    body = r"""CASE WHEN doc_id % 6 = 0 THEN concat('-- +migrate Up\n', text, '\n-- +migrate Down\nDROP TABLE t', doc_id, ';')
+        WHEN doc_id % 6 = 1 THEN concat('-- UP\n', text, '\n-- DOWN\nDROP TABLE t', doc_id, ';')
+        WHEN doc_id % 6 = 2 THEN concat('-- +goose up\n', text, '\n-- +GOOSE Down\n')
+        WHEN doc_id % 6 = 3 THEN concat('-- @@UP@@\nCREATE TABLE IF NOT EXISTS t', doc_id % 50, ' (id INT);\n-- comment\nDROP TABLE t',
+            doc_id % 20, ';\nCREATE INDEX IF NOT EXISTS ix', doc_id % 30, ' ON t (id);\n', text,
+            '\n-- @@DOWN@@\nDROP TABLE t', doc_id, ';')
+        WHEN doc_id % 12 = 4 THEN concat('-- Update of the table\n', text, '\n-- DOWN\nDROP TABLE t', doc_id, ';')
+        WHEN doc_id % 6 = 4 THEN concat('-- +migrate Up\n', text)
+        ELSE text END"""
+    return documents.selectExpr("doc_id", "source AS target_id", f"{path} AS path", f"{body} AS body")
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:

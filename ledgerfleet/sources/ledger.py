@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import decode as dc
 from ..model import LEDGER_SCHEMA, LEDGER_TABLE
 from ..operators.joins import per_target_join
-from ..operators.scan import ordinal
+from ..operators.scan import freeze, ordinal
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -74,7 +74,7 @@ def applied_versions(ledger: DataFrame) -> DataFrame:
     """A3: the ordered list of successfully applied versions, as rows with a
     position; the highest position holds the latest version."""
     v = rollbackable(ledger).select("target_id", "version").distinct()
-    return ordinal(v, ["target_id"], [F.col("version")], "pos", freeze_input=True).select("target_id", "version", "pos")
+    return ordinal(freeze(v), ["target_id"], [F.col("version")], "pos").select("target_id", "version", "pos")
 
 
 def ledger_order_key():
