@@ -24,14 +24,15 @@ ORACLE: dict[str, str] = {
         FROM m""",
     "op9_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            SELECT row_number() OVER () AS n, vec_id,
+                   list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT
-                   AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+            SELECT q.n, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(
+                       list_zip(q.e, c.e), lambda p: p[1]::HUGEINT * p[2])), 0)::BIGINT AS score
+            FROM v q JOIN v c ON q.n <> c.n AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op11_chat_format": r"""
         WITH c AS (

@@ -1,7 +1,7 @@
 """Exact top-k inner products by k-d trees per shard.
 
-Vectors become integers (``floor(scale * x)``).  A hash of the vector deals the
-candidates into shards of about ``SHARD_ROWS`` rows.  A shard's task builds a
+Vectors become whole numbers (``floor(scale * x)``).  A hash of the row deals the
+candidates into shards of about ``SHARD_ROWS`` rows, one task each.  A task builds a
 k-d tree: median splits along the widest dimension, with tight bounding boxes;
 queries then stream past it.  For a query the inner product of a box is at most
 the sum over dimensions of max(q * low, q * high); the traversal always opens
@@ -14,12 +14,16 @@ other shards as the score to beat.  The queries are a stated set: they are
 copied to each shard, in the rows of one shuffle, so neither side is collected
 or broadcast, and a task holds one shard and a batch of queries.
 
-Scores are exact: products are made in float64 while they stay below 2**53 and
-in integers beyond (components are held within 32 bits, larger ones count as
-the largest).  Vectors that are null or empty, or hold null or non-finite
-components, and rows without vec_id take no part.  Vectors of different
-lengths never meet.  Repeated rows (vec_id and vector) count once; of different
-vectors under one vec_id each takes part.
+Scores are exact: components are whole float64 numbers, products are made in
+float64 while they stay below 2**53, in 64-bit integers below 2**62, and in
+unbounded integers beyond; bounds of boxes are widened by what rounding can take
+there.  A score beyond a long counts as the largest (or smallest) long.
+
+A row is a candidate of every query but itself, so a repeated row is a
+candidate once for each time it stands, also for its own copies, and a repeated query
+answers for each of its rows.  Vectors that are null or hold null or non-finite
+components, and rows without vec_id, take no part.  Vectors of different lengths never
+meet; empty vectors meet each other with score 0.
 """
 
 from __future__ import annotations
@@ -38,29 +42,38 @@ from .common import map_batches, materialize
 SCALE = 64
 SHARD_ROWS = 16384
 LEAF_ROWS = 256
-LIMIT = (1 << 31) - 1
+SHARD_BYTES = 64 << 20
+LONG = (1 << 63) - 1
+WIDEST = np.finfo(np.float64).max
 
 
 def integer_vectors(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id, dims, vector (little-endian 32-bit integers, packed) of the rows
-    that take part, each once."""
+    """row_id, vec_id, dims, vector (packed little-endian float64) of the rows
+    that take part, written once: a row keeps its id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, dims, packed = [], [], []
             for own, values in zip(batch.column(0), batch.column(1)):
-                if not own.is_valid or not values.is_valid or not len(values.values) or values.values.null_count:
+                if not own.is_valid or not values.is_valid or values.values.null_count:
                     continue
                 x = values.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if np.isfinite(x).all():
+                    with np.errstate(over="ignore"):
+                        whole = np.clip(np.floor(scale * x), -WIDEST, WIDEST)
                     ids.append(own.as_py())
                     dims.append(len(x))
-                    packed.append(np.clip(np.floor(scale * x), -LIMIT, LIMIT).astype("<i4").tobytes())
+                    packed.append(whole.astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
                                               pa.array(packed, pa.binary())], names=["vec_id", "dims", "vector"])
 
-    return map_batches(table.select(F.col(vec_id).cast("long"), F.col(vector).cast("array<double>")), run,
-                       "vec_id long, dims int, vector binary").dropDuplicates(["vec_id", "vector"])
+    whole = map_batches(table.select(F.col(vec_id).cast("long"), F.col(vector).cast("array<double>")), run,
+                        "vec_id long, dims int, vector binary")
+    return materialize(whole.withColumn("row_id", F.monotonically_increasing_id()), "topk-points")
+
+
+def _unpack(packed: pa.Buffer) -> np.ndarray:
+    return np.frombuffer(packed, dtype="<f8") if packed.size else np.zeros(0)
 
 
 @dataclass
@@ -69,15 +82,17 @@ class KdTree:
     children or the rows [first, last) of the permuted points."""
     points: np.ndarray
     ids: np.ndarray
+    row_ids: np.ndarray
     low: np.ndarray
     high: np.ndarray
     least_id: np.ndarray
     children: list[tuple[int, int] | None]
     rows: list[tuple[int, int]]
-    exact: type
 
     @classmethod
-    def build(cls, ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> KdTree:
+    def build(cls, ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS,
+              row_ids: np.ndarray | None = None) -> KdTree:
+        points = points.astype(np.float64)
         order = np.arange(len(points))
         low, high, least, children, rows = [], [], [], [], []
 
@@ -94,35 +109,52 @@ class KdTree:
         while todo:
             n = todo.pop()
             first, last = rows[n]
-            wide = high[n].astype(np.int64) - low[n]
-            if last - first <= leaf_rows or not wide.max():
+            # halves, so that the width of a box never overflows
+            wide = high[n] / 2 - low[n] / 2
+            if last - first <= leaf_rows or not wide.any():
                 continue
             middle = (first + last) // 2
             part = order[first:last]
             order[first:last] = part[np.argpartition(points[part, int(wide.argmax())], middle - first)]
             children[n] = (node(first, middle), node(middle, last))
             todo += children[n]
-        return cls(points[order].astype(np.float64), ids[order], np.array(low, dtype=np.float64),
-                   np.array(high, dtype=np.float64), np.array(least), children, rows, np.float64)
+        return cls(points[order], ids[order], (ids if row_ids is None else row_ids)[order], np.array(low), np.array(high),
+                   np.array(least), children, rows)
 
     def products(self, first: int, last: int, query: np.ndarray) -> np.ndarray:
-        """Exact inner products of rows [first, last)."""
-        found = self.points[first:last] @ query
-        if np.abs(self.points[first:last]).max(initial=0) * np.abs(query).sum() < 2 ** 53:
-            return found.astype(np.int64)
-        return self.points[first:last].astype(np.int64) @ query.astype(np.int64)
+        """Exact inner products of rows [first, last), within a long."""
+        own = self.points[first:last]
+        with np.errstate(over="ignore"):
+            most = np.abs(own).max(initial=0) * np.abs(query).sum()
+        if most < 2 ** 53:
+            return (own @ query).astype(np.int64)
+        if most < 2 ** 62:
+            return own.astype(np.int64) @ query.astype(np.int64)
+        q = [int(x) for x in query]
+        return np.array([max(-LONG, min(LONG, sum(int(x) * y for x, y in zip(row, q)))) for row in own], dtype=np.int64)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """An upper bound of the inner product with every node's box."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
-
-    def best(self, query: np.ndarray, bound: np.ndarray, own_id: int, k: int, floor: int) -> list[tuple[int, int]]:
+        """An upper bound of the inner product with every node's box, but for
+        rounding (``slack``)."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+
+    def slack(self, query: np.ndarray) -> float:
+        """What rounding can take from the bounds of this query."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            size = float(np.abs(query) @ np.maximum(np.abs(self.low[0]), np.abs(self.high[0])))
+        if size < 2 ** 53:
+            return 0.0
+        return 1 + size * (len(query) + 2) * 2.0 ** -50 if np.isfinite(size) else np.inf
+
+    def best(self, query: np.ndarray, bound: np.ndarray, own_row: int, k: int, floor: int) -> list[tuple[int, int]]:
         """The k best (score, vec_id) but the query's own row; none below
         ``floor``."""
         scores, ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         kth, kth_id = floor, np.iinfo(np.int64).max
-        slack = 1 + 1e-12 * abs(bound[0]) if abs(bound[0]) >= 2 ** 53 else 0
+        slack, bound = self.slack(query), bound.tolist()
         heap = [(-bound[0], 0)]
+        # comparisons are turned so that a bound that is not a number prunes nothing
         while heap:
             top, n = heapq.heappop(heap)
             if -top + slack < kth:
@@ -131,17 +163,14 @@ class KdTree:
                 continue
             if self.children[n]:
                 for c in self.children[n]:
-                    if bound[c] + slack >= kth:
+                    if not bound[c] + slack < kth:
                         heapq.heappush(heap, (-bound[c], c))
                 continue
             first, last = self.rows[n]
             found = self.products(first, last, query)
-            own = np.flatnonzero(found >= kth)
+            own = np.flatnonzero((found >= kth) & (self.row_ids[first:last] != own_row))
             if not len(own):
                 continue
-            near = own[self.ids[first + own] == own_id]
-            if len(near):
-                own = np.setdiff1d(own, near[(self.points[first + near] == query).all(axis=1)])
             scores, ids = np.append(scores, found[own]), np.append(ids, self.ids[first + own])
             order = np.lexsort((ids, -scores))[:k]
             scores, ids = scores[order], ids[order]
@@ -150,76 +179,74 @@ class KdTree:
         return list(zip(scores.tolist(), ids.tolist()))
 
 
-FOUND = "query_id long, query_key long, vec_id long, score long"
+FOUND = "query_id long, query_row long, vec_id long, score long"
 
 
 def _search(points: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
-    """Queries (shard, vec_id, dims, key, vector, floor) against the points
-    (shard, vec_id, dims, vector) of their shard: at most k rows each."""
-    none = F.lit(None).cast("long")
-    rows = (points.select("shard", "dims", F.lit(0).alias("asks"), "vec_id", none.alias("key"), "vector",
-                          none.alias("floor"))
-            .unionByName(queries.select("shard", "dims", F.lit(1).alias("asks"), "vec_id", "key", "vector", "floor"))
-            .repartition(shards, "shard", "dims").sortWithinPartitions("shard", "dims", "asks"))
+    """Queries (shard, row_id, vec_id, dims, vector, floor) against the points
+    (shard, row_id, vec_id, dims, vector) of their shard: at most k rows each."""
+    rows = (points.select("shard", "dims", F.lit(0).alias("asks"), "vec_id", "row_id", "vector",
+                          F.lit(None).cast("long").alias("floor"))
+            .unionByName(queries.select("shard", "dims", F.lit(1).alias("asks"), "vec_id", "row_id", "vector", "floor"))
+            .repartitionById(shards, "shard").sortWithinPartitions("shard", "dims", "asks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, tree, ids, held = None, None, [], []
+        at, tree, ids, row_ids, held = None, None, [], [], []
         for batch in batches:
             out = []
-            shard, dims, asks, vec_id, key, floor = (batch.column(n).to_pylist() for n in (
-                "shard", "dims", "asks", "vec_id", "key", "floor"))
+            shard, dims, asks, vec_id, row_id, floor = (batch.column(n).to_pylist() for n in (
+                "shard", "dims", "asks", "vec_id", "row_id", "floor"))
             vectors = batch.column("vector")
             waiting = []
 
             def answer(waiting=waiting, out=out) -> None:
                 if waiting and tree is not None:
-                    q = np.array([v for *_, v in waiting], dtype=np.float64)
-                    for (own, note, least, _), x, bound in zip(waiting, q, tree.bounds(q)):
-                        out += [(own, note, i, s) for s, i in tree.best(x, bound, own, k, least)]
+                    q = np.array([v for *_, v in waiting])
+                    for (own, row, least, _), x, bound in zip(waiting, q, tree.bounds(q)):
+                        out += [(own, row, i, s) for s, i in tree.best(x, bound, row, k, least)]
                 waiting.clear()
 
             for j in range(batch.num_rows):
                 if (shard[j], dims[j]) != at:
                     answer()
-                    at, tree, ids, held = (shard[j], dims[j]), None, [], []
-                x = np.frombuffer(vectors[j].as_buffer(), dtype="<i4")
+                    at, tree, ids, row_ids, held = (shard[j], dims[j]), None, [], [], []
+                x = _unpack(vectors[j].as_buffer())
                 if not asks[j]:
                     ids.append(vec_id[j])
+                    row_ids.append(row_id[j])
                     held.append(x)
                     continue
                 if tree is None and held:
-                    tree = KdTree.build(np.array(ids, dtype=np.int64), np.array(held))
-                    ids, held = [], []
-                waiting.append((vec_id[j], key[j], -(1 << 62) if floor[j] is None else floor[j], x))
+                    tree = KdTree.build(np.array(ids, dtype=np.int64), np.array(held), LEAF_ROWS,
+                                        np.array(row_ids, dtype=np.int64))
+                    ids, row_ids, held = [], [], []
+                waiting.append((vec_id[j], row_id[j], -LONG if floor[j] is None else floor[j], x))
                 if len(waiting) >= 512:
                     answer()
             answer()
             a, b, c, d = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a, b, c, d)],
-                                             names=["query_id", "query_key", "vec_id", "score"])
+                                             names=["query_id", "query_row", "vec_id", "score"])
 
     return map_batches(rows, run, FOUND)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(points: DataFrame, queries: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """query_id, query_key (a hash of the query's vector), rank, vec_id, score:
-    the k best points of every query but its own row.  Both sides as
-    ``integer_vectors`` returns them."""
-    points = materialize(points, "topk-points")
-    shards = max(1, -(-points.count() // shard_rows))
-    own = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
-    points = points.withColumn("shard", own)
-    asked = materialize(queries.withColumn("key", F.xxhash64("vector")).withColumn("shard", own), "topk-queries")
+    """query_id, query_row (the row of the query), rank, vec_id, score: the k
+    best points of every query but its own row.  ``points`` as ``integer_vectors``
+    returns them, ``queries`` some of their rows."""
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("vector")), F.lit(0)).alias("b")).first()
+    shards = max(1, -(-size["n"] // shard_rows), -(-size["b"] // SHARD_BYTES))
+    own = F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")
+    points, asked = points.withColumn("shard", own), queries.withColumn("shard", own)
     first = materialize(_search(points, asked.withColumn("floor", F.lit(None).cast("long")), shards, k), "topk-first")
-    kth = (_ranked(first, k).where(F.col("rank") == k)
-           .select(F.col("query_id").alias("vec_id"), F.col("query_key").alias("key"), F.col("score").alias("floor")))
-    others = (asked.join(materialize(kth, "topk-kth"), ["vec_id", "key"], "left")
-              .withColumnRenamed("shard", "met")
+    kth = _ranked(first, k).where(F.col("rank") == k).select(F.col("query_row").alias("row_id"), F.col("score").alias("floor"))
+    others = (asked.join(kth, "row_id", "left").withColumnRenamed("shard", "met")
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> met"))
     found = first.unionByName(_search(points, others, shards, k))
-    return _ranked(found, k).select("query_id", "query_key", "rank", "vec_id", "score")
+    return _ranked(found, k).select("query_id", "query_row", "rank", "vec_id", "score")

@@ -127,26 +127,35 @@ def test_two_smaller_documents_replace_the_smallest():
 
 
 def brute_topk(rows, k, every):
-    own = [(i, np.floor(64 * np.array(v, dtype=np.float32).astype(np.float64)).astype(np.int64)) for i, v in rows
-           if i is not None and v and None not in v and np.isfinite(v).all()]
+    whole = lambda x: int(max(-topk.WIDEST, min(topk.WIDEST, float(np.floor(64.0 * x)))))
+    own = [(n, i, [whole(x) for x in v]) for n, (i, v) in enumerate(rows)
+           if i is not None and v is not None and None not in v and np.isfinite(v).all()]
     out = []
-    for i, v in own:
+    for n, i, v in own:
         if i % every == 0:
-            found = sorted((-int(v @ w), j) for j, w in own if len(w) == len(v) and not (i == j and (v == w).all()))
+            found = sorted((-max(-topk.LONG, min(topk.LONG, sum(a * b for a, b in zip(v, w)))), j)
+                           for m, j, w in own if len(w) == len(v) and m != n)
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found[:k])]
     return sorted(out)
 
 
+HARD_VECTORS = [(300, None), (None, [0.5] * 8), (305, [0.1, None] * 4), (310, [float("nan")] * 8), (315, [float("inf")] * 8),
+                (320, []), (321, []), (325, []), (330, [1.0, 2.0]), (340, [2.0, 1.0]), (350, [1e6] * 8), (355, [-1e6] * 8)]
+
+
 @pytest.mark.parametrize("shard", [7, 50, 10_000])
 def test_topk_hard_cases(spark, monkeypatch, shard):
     monkeypatch.setattr(topk, "LEAF_ROWS", 4)
     rnd = random.Random(3)
     rows = [(k, [rnd.gauss(0, 0.3) for _ in range(8)]) for k in range(200)]
     rows += [(k, [0.5] * 8) for k in range(200, 260)]                       # one vector, many copies: ties
-    rows += [(300, None), (None, [0.5] * 8), (305, [0.1, None] * 4), (310, [float("nan")] * 8), (315, [float("inf")] * 8),
-             (320, []), (330, [1.0, 2.0]), (340, [2.0, 1.0]), (350, [1e6] * 8), (355, [-1e6] * 8)]
-    frame = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + rows[:3]],
-                                  "vec_id long, embedding array<float>, label int, score long")
+    # components far beyond 32 and 53 bits
+    rows += [(k, [rnd.choice([-1, 1]) * 2.0 ** rnd.uniform(20, 33) for _ in range(8)]) for k in range(400, 440)]
+    rows += [(450, [1e15, 1.0, -1e15] + [0.0] * 5), (455, [1e15, 2.0, 1e15] + [3.0] * 5), (460, [1e300] * 8), (465, [-1.7e308] * 8)]
+    rows += HARD_VECTORS
+    rows += rows[:3] + rows[5:6] + [(200, [0.5] * 8)] * 3                    # repeated rows, queries among them
+    frame = spark.createDataFrame([(i, v, 1, 2) for i, v in rows],
+                                  "vec_id long, embedding array<double>, label int, score long")
     vectors = topk.integer_vectors(frame)
     got = topk.top_k(vectors, vectors.where("vec_id % 5 = 0"), 6, shard).select("query_id", "rank", "vec_id", "score")
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 6, 5)
@@ -154,6 +163,24 @@ def test_topk_hard_cases(spark, monkeypatch, shard):
     assert topk.top_k(none, none, 6).count() == 0
 
 
+def test_topk_equals_its_sql_on_repeated_empty_and_large_vectors(spark, scratch):
+    rnd = random.Random(8)
+    rows = [(k, [rnd.gauss(0, 1) for _ in range(4)]) for k in range(120)] + HARD_VECTORS
+    rows += [(k, [rnd.choice([-1, 1]) * 2.0 ** rnd.uniform(18, 24) for _ in range(4)]) for k in range(400, 440)]
+    rows += rows[:21] + [(20, rows[20][1])] * 2
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{scratch}/embeddings.parquet")
+    con = duck(SF)
+    con.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM read_parquet('{scratch}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute("SELECT query_id, rank, vec_id, score FROM (" + queries.ORACLE["op9_exact_topk"] + ")").fetchall())
+    got = queries.QUERIES["op9_exact_topk"](spark, scratch).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_one_shard_to_a_task(spark):
+    rows = spark.range(64).select(F.col("id").cast("int").alias("shard")).repartitionById(64, "shard")
+    assert rows.groupBy(F.spark_partition_id()).count().where("count > 1").count() == 0
+
+
 def test_kd_tree_boxes_and_pruning():
     rng = np.random.default_rng(1)
     points = rng.integers(-50, 50, (5000, 3)).astype(np.int32)
