@@ -7,40 +7,45 @@ frequency of its longest known n-grams: all of its 5-grams that are known, if
 none is the 4-grams, and so on.  A text's language has the largest sum over
 its words; its score is the share of that language (softmax of the sums).
 
-Counts cover all training documents and are made in Spark.  The model that is
-sent to tasks has a documented capacity: the words, and the n-grams of each
-length, seen at least so often that ``MOST_WORDS`` and ``MOST_GRAMS`` bound
-them; rarer words back off like unseen ones.
-
-Null texts and texts without a letter are ``und`` with score 0; so is every
-text if there is no labelled training document.  Of equal sums the first
+All counts are complete: every word and n-gram of the training documents counts,
+whatever the size of the corpus, and every sum is made of whole numbers (log
+frequencies times ``SCALE``), so no order of additions changes it.  The most
+frequent words (at most ``MOST_WORDS``) go to the tasks as a fast path.  The other words of
+a document are joined by Spark: the distinct ones meet the complete word
+counts, those that no training document holds are cut into n-grams, longest first,
+and meet the complete n-gram counts, and the scores go back to the documents.
+The fast path changes how much is joined and nothing else.
+
+Null texts and texts without a letter of their own are ``und`` with score 0;
+so is every text if there is no labelled training document.  A word without any known
+letter adds nothing.  Of equal sums the first
 language in alphabetical order wins.  Repeated documents count as often as
 they occur.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialize, share, sub_batches
 
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
-MOST_WORDS = 1 << 17
-MOST_GRAMS = 1 << 15          # of each length
+MOST_WORDS = 1 << 18          # of the fast path
 FLUSH_ENTRIES = 200_000       # distinct entries a task counts before it hands them on
 MEMO_RUNS = 200_000           # runs without white space a task remembers the scores of
 COUNT_BYTES = 6 << 20         # text whose different runs are looked at together
 SMOOTHING = 0.5
+SCALE = 1 << 20               # log frequencies are whole multiples of 1 / SCALE
 
 _WORD = re.compile(r"[^\W\d_]+")
 COUNTS = "lang string, word string, n long"
@@ -121,134 +126,183 @@ def gram_counts(counts: DataFrame) -> DataFrame:
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
-def _frequent(counts: DataFrame, most: int) -> list[tuple[str, dict[str, int]]]:
-    """Entries seen at least 2**k times in all languages together, with the
-    smallest k that leaves at most ``most``: (entry, counts by language)."""
+def _scores(entries: DataFrame, langs: list[str], totals: dict[str, int], kinds: int) -> DataFrame:
+    """word, n, and a column ``s<k>`` per language: the log frequency of the
+    entry, of ``entries`` (word, n, by_lang), times ``SCALE``."""
+    def score(lang: str) -> Column:
+        count = F.coalesce(F.col("by_lang")[lang], F.lit(0)) + SMOOTHING
+        return F.round((F.log(count) - F.log(F.lit(totals.get(lang, 0) + SMOOTHING * (kinds + 1)))) * SCALE).cast("long")
+    return entries.select("word", "n", *[score(lang).alias(f"s{k}") for k, lang in enumerate(langs)])
+
+
+def _by_entry(counts: DataFrame, kind: str) -> DataFrame:
     total = counts.groupBy("word").agg(
         F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    total = materialize(total, "lang-totals")
-    sizes = {r["k"]: r["c"] for r in total.groupBy(F.floor(F.log2("n")).alias("k")).agg(
+    return materialize(total, kind)
+
+
+def _frequent(words: DataFrame, most: int) -> pa.Table:
+    """The words seen at least 2**k times, with the smallest k that leaves at
+    most ``most``."""
+    sizes = {r["k"]: r["c"] for r in words.groupBy(F.floor(F.log2("n")).alias("k")).agg(
         F.count(F.lit(1)).alias("c")).collect()}                       # at most 64 rows
     kept, k = 0, 64
     while k > 0 and kept + sizes.get(k - 1, 0) <= most:
         k -= 1
         kept += sizes.get(k, 0)
-    rows = total.where(F.col("n") >= (1 << k)).select("word", "by_lang").collect()
-    return sorted((r["word"], r["by_lang"]) for r in rows)
+    return words.where(F.col("n") >= (1 << k)).drop("n").toArrow()
 
 
 @dataclass
 class LanguageModel:
-    """Row numbers of words and of n-grams (by length) in ``logs``, the log
-    frequencies by language."""
+    """Scores of all words and, by length, of all n-grams; ``frequent`` holds
+    those of the fast path."""
     langs: list[str]
-    words: dict[str, int]
-    grams: dict[int, dict[str, int]]
-    logs: np.ndarray
-
-    def _known_grams(self, word: str) -> list[int]:
-        """Rows of the longest n-grams of ``word`` that are known."""
-        for order in ORDERS:
-            rows = [r for r in map(self.grams[order].get, grams(word, order)) if r is not None]
-            if rows:
-                return rows
-        return []
-
-    def unseen(self, unknown: list[str]) -> np.ndarray:
-        """Scores of words that are not in the vocabulary: (n, languages)."""
-        out = np.zeros((len(unknown), len(self.langs)), dtype=np.float64)
-        rows = [self._known_grams(w) for w in unknown]
-        size = np.array([len(r) for r in rows])
-        some = np.flatnonzero(size)
-        if len(some):
-            flat = np.fromiter((r for own in rows for r in own), dtype=np.int64, count=int(size.sum()))
-            at = (np.cumsum(size) - size)[some]
-            out[some] = np.add.reduceat(self.logs[flat].astype(np.float64), at, axis=0) / size[some, None]
-        return out
-
-    def run_scores(self, runs: list[str], memo: dict[str, np.ndarray]) -> np.ndarray:
-        """Of different runs without white space: the sums over their words,
-        and in the last column whether they hold a letter."""
-        n = len(self.langs)
-        out = np.zeros((len(runs), n + 1))
-        row = np.fromiter((self.words.get(r, -1) for r in runs), dtype=np.int64, count=len(runs))
-        out[row >= 0, :n] = self.logs[row[row >= 0]]
-        out[row >= 0, n] = 1
-        parts, unknown = {}, {}
-        for k in np.flatnonzero(row < 0).tolist():
-            known = memo.get(runs[k])
-            if known is not None:
-                out[k] = known
-                continue
-            parts[k] = _WORD.findall(runs[k])
-            for word in parts[k]:
-                if word not in self.words:
-                    unknown.setdefault(word, len(unknown))
-        scores = self.unseen(list(unknown))
-        for k, own in parts.items():
-            for word in own:
-                out[k, :n] += scores[unknown[word]] if word in unknown else self.logs[self.words[word]]
-            out[k, n] = any(c.isalpha() for c in runs[k])
-            if len(memo) < MEMO_RUNS:
-                memo[runs[k]] = out[k]
-        return out
-
-    def predict(self, texts: list[str | None], memo: dict[str, np.ndarray]) -> list[tuple[str, float]]:
-        """Language and score of each text."""
-        if not texts or not self.langs:
-            return [(UNKNOWN, 0.0)] * len(texts)
-        split = white_space_runs([t or "" for t in texts])
-        different = split.flatten().dictionary_encode()
-        scores = self.run_scores(different.dictionary.to_pylist(), memo)
-        total = np.concatenate([np.zeros((1, scores.shape[1])), scores[different.indices.to_numpy()]])
-        ends = split.offsets.to_numpy()
-        sums = np.stack([total[1 + a:1 + b].sum(axis=0) for a, b in zip(ends, ends[1:])])
-        out = []
-        for own in sums:
-            logs, letters = own[:-1], own[-1]
-            best = int(logs.argmax())
-            share_of_best = float(1 / np.exp(np.maximum(logs - logs[best], -700)).sum())
-            out.append((self.langs[best], share_of_best) if letters else (UNKNOWN, 0.0))
-        return out
+    words: DataFrame | None
+    grams: dict[int, DataFrame]
+    frequent: pa.Table | None
 
+    @property
+    def columns(self) -> list[str]:
+        return [f"s{k}" for k in range(len(self.langs))]
 
-def fit(docs: DataFrame, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
+
+def fit(docs: DataFrame, most_words: int = MOST_WORDS) -> LanguageModel:
     """Train on ``docs`` (lang, text); rows without either are left out."""
     counts = materialize(word_counts(docs), "lang-words")
-    totals = {r["lang"]: int(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
-    logs: list[list[float]] = []
 
-    def add(entries: list[tuple[str, dict[str, int]]], sizes: dict[str, int]) -> dict[str, int]:
-        numbers = {}
-        spread = {lang: math.log(sizes.get(lang, 0) + SMOOTHING * (len(entries) + 1)) for lang in langs}
-        for entry, by_lang in entries:
-            numbers[entry] = len(logs)
-            logs.append([math.log(by_lang.get(lang, 0) + SMOOTHING) - spread[lang] for lang in langs])
-        return numbers
+    def sizes(rows: DataFrame) -> dict[str, int]:        # a number per language
+        return {r["lang"]: int(r["n"]) for r in rows.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
 
-    known = add(_frequent(counts, most_words), totals)
-    by_order = {}
+    totals = sizes(counts)
+    langs = sorted(totals)
+    if not langs:
+        return LanguageModel([], None, {}, None)
+    entries = _by_entry(counts, "lang-word-totals")
+    words = _scores(entries, langs, totals, entries.count())
     all_grams = materialize(gram_counts(counts), "lang-grams")
+    grams_of = _by_entry(all_grams, "lang-gram-totals")
+    by_order = {}
     for order in ORDERS:
-        own = all_grams.where(F.length("word") == order)
-        sizes = {r["lang"]: int(r["n"]) for r in own.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        by_order[order] = add(_frequent(own, most_grams), sizes)
-    return LanguageModel(langs, known, by_order,
-                         np.array(logs, dtype=np.float32).reshape(len(logs), len(langs)))
+        own = grams_of.where(F.length("word") == order)
+        by_order[order] = _scores(own, langs, sizes(all_grams.where(F.length("word") == order)), own.count())
+    return LanguageModel(langs, words, by_order, _frequent(words, most_words))
+
+
+# --- prediction ------------------------------------------------------------------------------
+
+class _FastPath:
+    """Sums over the frequent words of texts, and the other words as they are."""
+
+    def __init__(self, frequent: pa.Table, width: int):
+        own = frequent.column("word").to_pylist()
+        self.row = {w: k for k, w in enumerate(own)}
+        self.scores = np.stack([frequent.column(f"s{k}").to_numpy() for k in range(width)], axis=1) if own else \
+            np.zeros((0, width), dtype=np.int64)
+        self.has_letter = np.array([any(c.isalpha() for c in w) for w in own], dtype=bool)
+        self.width = width
+        self.memo: dict[str, tuple[np.ndarray, bool, list[str]]] = {}
+
+    def _mixed(self, run: str) -> tuple[np.ndarray, bool, list[str]]:
+        """A run that is no frequent word itself: sum, letter, other words."""
+        known = self.memo.get(run)
+        if known is None:
+            found = _WORD.findall(run)
+            rows = [self.row[w] for w in found if w in self.row]
+            known = (self.scores[rows].sum(axis=0), any(c.isalpha() for c in run), [w for w in found if w not in self.row])
+            if len(self.memo) < MEMO_RUNS and len(run) < 64:
+                self.memo[run] = known
+        return known
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
+        """Of each text the sums, whether it holds a letter, the other words."""
+        split = white_space_runs([t or "" for t in texts])
+        different = split.flatten().dictionary_encode()
+        runs, at = different.dictionary.to_pylist(), different.indices.to_numpy()
+        ends = split.offsets.to_numpy()
+        row = np.fromiter((self.row.get(r, -1) for r in runs), dtype=np.int64, count=len(runs))
+        sums, letters = np.zeros((len(runs), self.width), dtype=np.int64), np.zeros(len(runs), dtype=np.int64)
+        sums[row >= 0], letters[row >= 0] = self.scores[row[row >= 0]], self.has_letter[row[row >= 0]]
+        others: dict[int, list[str]] = {}
+        for k in np.flatnonzero(row < 0).tolist():
+            sums[k], letters[k], rest = self._mixed(runs[k])
+            if rest:
+                others[k] = rest
+        whole = np.concatenate([np.zeros((1, self.width), dtype=np.int64), np.cumsum(sums[at], axis=0)])
+        lettered = np.concatenate([[0], np.cumsum(letters[at])])
+        rest_of: list[Counter] = [Counter() for _ in texts]
+        rare = np.zeros(len(runs), dtype=bool)
+        rare[list(others)] = True
+        places = np.flatnonzero(rare[at])
+        for doc, run in zip((np.searchsorted(ends, places, side="right") - 1).tolist(), at[places].tolist()):
+            rest_of[doc].update(others[run])
+        return whole[ends[1:]] - whole[ends[:-1]], lettered[ends[1:]] > lettered[ends[:-1]], rest_of
+
+
+def _gram_rows(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, gram, n = [], [], []
+            for w in batch.column(0).to_pylist():
+                own = Counter(grams(w, order))
+                word += [w] * len(own)
+                gram += own
+                n += own.values()
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(gram, pa.string()), pa.array(n, pa.int64())],
+                                             names=["unseen", "word", "n"])
+    return run
+
+
+def _back_off(unseen: DataFrame, model: LanguageModel) -> DataFrame:
+    """word and its scores: the mean over its longest known n-grams.  Words
+    without a known letter are not among the rows."""
+    found, left = None, materialize(unseen, "lang-unseen")
+    for order in ORDERS:
+        pieces = map_batches(left, _gram_rows(order), "unseen string, word string, n long").withColumnRenamed("n", "times")
+        own = (pieces.join(model.grams[order], "word").groupBy("unseen").agg(
+            *[F.floor(F.sum(F.col(c) * F.col("times")) / F.sum("times")).alias(c) for c in model.columns])
+            .withColumnRenamed("unseen", "word"))
+        own = materialize(own, "lang-backed-off")
+        found = own if found is None else found.unionByName(own)
+        left = materialize(left.join(own, "word", "left_anti"), "lang-unseen")
+        if left.isEmpty():
+            break
+    return found
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score of every row of ``docs``, from its text alone."""
-    shared = share(docs.sparkSession, model)
+    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if not model.langs:
+        return asked.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    columns, width = model.columns, len(model.langs)
+    shared = share(docs.sparkSession, model.frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memo = shared(), {}
+        fast = _FastPath(shared(), width)
         for batch in (part for whole in batches for part in sub_batches(whole, "text", COUNT_BYTES)):
-            found = own.predict(batch.column(1).to_pylist(), memo)
+            sums, letters, rest = fast.read(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                       "doc_id long, lang_pred string, score double")
+                [batch.column(0), pa.array(letters), *[pa.array(sums[:, k]) for k in range(width)],
+                 pa.array([list(r) for r in rest], pa.list_(pa.string())),
+                 pa.array([list(r.values()) for r in rest], pa.list_(pa.int64()))],
+                names=["doc_id", "letters", *columns, "words", "times"])
+
+    schema = ", ".join(["doc_id long, letters boolean", *[f"{c} long" for c in columns], "words array<string>, times array<long>"])
+    base = materialize(map_batches(asked, run, schema).withColumn("row", F.monotonically_increasing_id()), "lang-read")
+    tail = (base.select("row", F.explode(F.arrays_zip("words", "times")).alias("t"))
+            .select("row", F.col("t.words").alias("word"), F.col("t.times").alias("times")))
+    different = materialize(tail.select("word").distinct().join(model.words.drop("n"), "word", "left"), "lang-tail")
+    seen = F.col(columns[0]).isNotNull()
+    scores = different.where(seen).unionByName(_back_off(different.where(~seen).select("word"), model))
+    added = tail.join(scores, "word").groupBy("row").agg(*[F.sum(F.col(c) * F.col("times")).alias(f"t{c}") for c in columns])
+    sums = base.select("row", "doc_id", "letters", *columns).join(added, "row", "left").select(
+        "doc_id", "letters", *[(F.col(c) + F.coalesce(f"t{c}", F.lit(0))).alias(c) for c in columns])
+    best = F.greatest(*columns) if width > 1 else F.col(columns[0])
+    lang = F.lit(model.langs[-1])
+    for k in range(width - 2, -1, -1):
+        lang = F.when(F.col(columns[k]) == F.col("best"), model.langs[k]).otherwise(lang)
+    others = sum((F.exp((F.col(c) - F.col("best")) / F.lit(float(SCALE))) for c in columns), F.lit(0.0))
+    return sums.withColumn("best", best).select(
+        "doc_id", F.when(F.col("letters"), lang).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("letters"), 1 / others).otherwise(0.0).alias("score"))

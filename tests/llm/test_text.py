@@ -1,7 +1,9 @@
 """PII, language, quality and secrets."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,47 +94,84 @@ def test_language_held_out_accuracy(spark):
     assert own["n"] > 2000 and own["ok"] / own["n"] > 0.97
 
 
+def hand_made_languages(rows, asked):
+    """(lang, score) of the texts ``asked`` by counting the training rows
+    (lang, text) in dictionaries, word by word."""
+    words, by_order = {}, {n: {} for n in langid.ORDERS}
+    for lang, text in rows:
+        for w in langid.words(text) if lang is not None and text is not None else ():
+            words.setdefault(w, Counter())[lang] += 1
+            for n in langid.ORDERS:
+                for g in langid.grams(w, n):
+                    by_order[n].setdefault(g, Counter())[lang] += 1
+    langs = sorted({lang for c in words.values() for lang in c})
+
+    def logs(table):
+        total = {lang: sum(c[lang] for c in table.values()) for lang in langs}
+        return {e: [math.log(c[lang] + 0.5) - math.log(total[lang] + 0.5 * (len(table) + 1)) for lang in langs]
+                for e, c in table.items()}
+
+    word_logs, gram_logs = logs(words), {n: logs(t) for n, t in by_order.items()}
+    out = []
+    for text in asked:
+        if not langs or not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        sums = np.zeros(len(langs))
+        for w in langid.words(text):
+            if w in word_logs:
+                sums += word_logs[w]
+                continue
+            for n in langid.ORDERS:
+                known = [gram_logs[n][g] for g in langid.grams(w, n) if g in gram_logs[n]]
+                if known:
+                    sums += np.mean(known, axis=0)
+                    break
+        out.append((langs[int(sums.argmax())], 1 / np.exp(np.maximum(sums - sums.max(), -700)).sum()))
+    return out
+
+
+def predicted(spark, model, texts_):
+    docs = spark.createDataFrame([(k, t, "x", 3) for k, t in enumerate(texts_)], "doc_id long, text string, word string, row long")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs.repartition(3), model).collect()}
+    return [got[k] for k in range(len(texts_))]
+
+
 def test_language_backs_off_and_handles_hard_cases(spark):
-    rows = [("en", "the weather and the water"), ("en", "there with the other"), ("de", "das wetter und der wind"),
+    rows = [("en", "the weather and the water ½ ²"), ("en", "there with the other"), ("de", "das wetter und der wind ½"),
             ("de", None), (None, "the the the"), ("de", "und nicht der hund")]
     model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
     assert model.langs == ["de", "en"]
-    own = model.predict(["weatherly", "hundlich", "12 ... ²", None, "中", "the weather-und"], {})
-    assert [o[0] for o in own[:4]] == ["en", "de", "und", "und"] and own[2:4] == [("und", 0.0)] * 2
-    assert own[4][0] in ("de", "en") and 0 < own[5][1] <= 1
-    score = model.unseen(["hundlich", "中"])
-    assert score[0][0] > score[0][1] and (score[1] == 0).all()
-    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(documents(spark), model).collect()}
-    assert got[4] == got[5] == got[6] == ("und", 0.0) and 0 <= got[9][1] <= 1
+    asked = ["weatherly", "hundlich", "12 ... ²", None, "中", "the weather-und", "½", "½ ½ ², 7", "", "the", "½ the",
+             "the " * 30_000, "x" * 50_000, "hundlich " * 5]
+    got = predicted(spark, model, asked)
+    want = hand_made_languages(rows, asked)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-3)
+    assert got[0][0] == "en" and got[1][0] == "de"
+    assert [got[k] for k in (2, 3, 6, 7, 8)] == [("und", 0.0)] * 5           # no letter of their own
+    edge_ = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(documents(spark), model).collect()}
+    assert edge_[4] == edge_[5] == edge_[6] == ("und", 0.0) and 0 <= edge_[9][1] <= 1
+    assert langid.predict(documents(spark), model).count() == len(texts())
     nothing = langid.fit(empty(spark).select("lang", "text"))
-    assert nothing.predict(["the"], {}) == [("und", 0.0)]
+    assert predicted(spark, nothing, ["the"]) == [("und", 0.0)]
     assert langid.predict(empty(spark), model).count() == 0
 
 
-def test_language_capacity_bounds_the_model(spark):
-    docs = spark.createDataFrame([("en", prose(k, 50)) for k in range(40)], "lang string, text string")
-    small = langid.fit(docs, most_words=8, most_grams=16)
-    assert len(small.words) <= 8 and all(len(g) <= 16 for g in small.grams.values())
-    assert small.predict(["the on er"], {})[0][0] == "en"
-
-
-def test_language_sums_equal_a_word_by_word_loop(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text")
-    model = langid.fit(docs, most_words=300, most_grams=400)
-    texts_ = [r["text"] for r in docs.collect()]
-    for text, (lang, score) in zip(texts_, model.predict(texts_, {})):
-        sums = np.zeros(len(model.langs))
-        for w in langid.words(text):
-            if w in model.words:
-                sums += model.logs[model.words[w]]
-                continue
-            for n in langid.ORDERS:
-                rows = [model.grams[n][g] for g in langid.grams(w, n) if g in model.grams[n]]
-                if rows:
-                    sums += model.logs[rows].mean(axis=0)
-                    break
-        assert lang == model.langs[int(sums.argmax())]
-        assert score == pytest.approx(1 / np.exp(np.maximum(sums - sums.max(), -700)).sum(), abs=1e-3)
+def test_language_equals_a_count_by_hand_and_the_fast_path_changes_nothing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text").orderBy("doc_id").collect()
+    train = [(r["lang"], r["text"]) for r in docs if r["doc_id"] % 3]
+    asked = [r["text"] for r in docs]
+    want = hand_made_languages(train, asked)
+    first = None
+    for most in (0, 40, 1 << 18):
+        model = langid.fit(spark.createDataFrame(train, "lang string, text string"), most)
+        assert model.frequent.num_rows <= most
+        got = predicted(spark, model, asked)
+        assert first in (None, got)                                          # to the last bit
+        first = got
+    assert [g[0] for g in first] == [w[0] for w in want]
+    assert [g[1] for g in first] == pytest.approx([w[1] for w in want], abs=1e-3)
 
 
 def test_quality_gradients_are_right():
