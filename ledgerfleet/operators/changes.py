@@ -32,12 +32,13 @@ undo has no script, or a script without a Down section, is left as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import per_target_join
 from .rollback import check_plan
 from .scan import last_before
+from .snapshots import SnapshotTable
 
 OPS = ("insert", "update", "delete")
 TARGET = "target_id"
@@ -50,8 +51,8 @@ def _code(op: str):
 
 def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "value",
                   gate: DataFrame | None = None) -> DataFrame:
-    """Add ``exists_before``, ``fails`` and ``status`` (applied / failed /
-    blocked) to every change.  ``gate`` holds the target_ids whose scripts have
+    """Add ``prev_reset`` (the key's last insert or delete before), ``exists_before``,
+    ``fails`` and ``status`` (applied / failed / blocked) to every change.  ``gate`` holds the target_ids whose scripts have
     sequence issues."""
     keys = [TARGET, key]
     # the ordered scan runs on the change rows alone (its sampling and
@@ -68,7 +69,7 @@ def change_status(changes: DataFrame, base: DataFrame, key: str, value: str = "v
     ch = ch.withColumn("exists_before", exists)
     fails = (((F.col("op") == "insert") & F.col("exists_before"))
              | (F.col("op").isin("insert", "update") & F.col(value).isNull()))
-    ch = ch.withColumn("fails", fails).drop("_reset", "_prev_reset", "_in_base")
+    ch = ch.withColumn("fails", fails).withColumnRenamed("_prev_reset", "prev_reset").drop("_reset", "_in_base")
     first = ch.where("fails").groupBy(TARGET).agg(F.min("version").alias("_first_fail"))
     if gate is not None:
         gated = gate.select(TARGET).distinct().withColumn("_gated", F.lit(True))
@@ -130,39 +131,79 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str, d
 
 def rollback_check(status: DataFrame, scripts: DataFrame, up_to_version: int) -> DataFrame:
     """R9 gate: the applied changes above the version, each with the check of
-    its script (OK / NO_DOWN / MISSING_FILE); ``scripts`` has target_id, version,
-    kind, path, has_rollback."""
+    its script (OK / NO_DOWN / MISSING_FILE), which names the file; ``scripts``
+    has target_id, version, kind, path, has_rollback."""
     plan = (status.where((F.col("status") == "applied") & (F.col("version") > F.lit(up_to_version)))
-            .select(TARGET, "version", F.format_string("%04d_change.sql", "version").alias("filename")))
-    return check_plan(plan, scripts)
+            .select(TARGET, "version"))
+    names = scripts.where(F.col("kind") == "versioned").groupBy(TARGET, "version").agg(F.min("path").alias("filename"))
+    return check_plan(plan.join(names, [TARGET, "version"], "left"), scripts)
+
+
+def validity(applied: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """The interval table of the applied changes: per change of a key
+    the state it leaves (``last_reset``, ``last_value`` as ``fold_state`` has them)
+    and the versions it holds for, ``valid_from`` to before ``valid_to`` (NULL: still).
+    Any version of the table is a filter on it (``as_of``).  ``applied`` comes from
+    ``change_status``, which tells the last insert or delete before each change.
+    The next change of a key comes from the skew-proof scan, latest first, so a key with
+    a third of all changes is no single task's."""
+    rows = applied.select(TARGET, key, F.col("version").alias("valid_from"),
+                          F.when(F.col("op") != "update", F.col("op")).otherwise(F.col("prev_reset")).alias("last_reset"),
+                          F.col(value).alias("last_value"))
+    return last_before(rows, [TARGET, key], [F.col("valid_from").desc()], "valid_from", "valid_to")
+
+
+def as_of(intervals: DataFrame, version) -> DataFrame:
+    """The state per touched key (as ``fold_state``) right after ``version``, a
+    number or a column; NULL is the latest."""
+    v = version if isinstance(version, Column) else F.lit(version).cast("long")
+    holds = v.isNull() & F.col("valid_to").isNull()
+    return intervals.where(F.coalesce(holds | ((F.col("valid_from") <= v) & (F.col("valid_to").isNull() | (F.col("valid_to") > v))),
+                                      F.lit(False)))
 
 
 def rollback_changes(base: DataFrame, status: DataFrame, scripts: DataFrame, key: str, set_col: str, up_to_version: int,
-                     defaults: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                     defaults: dict | None = None, intervals: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(the table as of ``up_to_version``, the 'remove' events of the
-    undone changes); targets whose rollback fails its check keep everything."""
+    undone changes); targets whose rollback fails its check keep everything.
+    ``intervals``: the interval table (``validity``), if it is kept already."""
     bad = (rollback_check(status, scripts, up_to_version).where(F.col("check_status") != "OK")
            .select(TARGET).distinct().withColumn("_bad", F.lit(True)))
-    applied = per_target_join(status.where(F.col("status") == "applied"), bad, [TARGET], "left", spread_by=["version"])
-    stays = F.coalesce("_bad", F.lit(False)) | (F.col("version") <= F.lit(up_to_version))
-    table = apply_to_table(base, fold_state(applied.where(stays), key), key, set_col, defaults)
-    return table, applied.where(~stays).select(TARGET, "version", F.lit("remove").alias("op"))
-
-
-def publish_changes(base: DataFrame, changes: DataFrame, key: str, set_col: str, snapshot_path: str,
-                    ledger_log_path: str, defaults: dict | None = None, at: str | None = None,
-                    gate: DataFrame | None = None) -> DataFrame:
-    """R7 end to end: write the new table to ``snapshot_path`` (a new path,
-    never the one being read), then append the L1-L3 events to the ledger
-    log at ``ledger_log_path``.  The events are appended only after the
-    snapshot is complete, so readers that follow the ledger never see a
-    half-written table.  Returns the change status."""
-    table, status = apply_changes(base, changes, key, set_col, defaults, gate)
-    table.write.mode("errorifexists").parquet(snapshot_path)
+    applied = status.where(F.col("status") == "applied")
+    if intervals is None:
+        intervals = validity(applied, key)
+    held = per_target_join(intervals, bad, [TARGET], "left", spread_by=["valid_from"])
+    state = as_of(held, F.when(F.col("_bad"), F.lit(None).cast("long")).otherwise(F.lit(up_to_version)))
+    table = apply_to_table(base, state.select(TARGET, key, "last_reset", "last_value"), key, set_col, defaults)
+    undone = per_target_join(applied.where(F.col("version") > F.lit(up_to_version)), bad, [TARGET], "left_anti",
+                             spread_by=["version"])
+    return table, undone.select(TARGET, "version", F.lit("remove").alias("op"))
+
+
+def publish_changes(table: SnapshotTable, changes: DataFrame, key: str, set_col: str, run: str,
+                    defaults: dict | None = None, at: str | None = None, gate: DataFrame | None = None) -> int:
+    """R7 end to end on a table in buckets: the status of every change is
+    frozen, the touched buckets alone are read and written, then the L1-L3 events
+    follow and the run is committed.  A run that died is repeated under its
+    name.  Returns the new snapshot."""
+    keys = [TARGET, key]
+
+    def status(before) -> DataFrame:
+        return change_status(changes, before(table.touched(changes)).select(*keys), key, gate=gate)
+
+    def applied(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("status") == "applied")
+
     stamp = F.lit(at).cast("timestamp_ntz") if at else F.localtimestamp()
-    (ledger_events(status).withColumn("snapshot", F.lit(snapshot_path)).withColumn("ts", stamp)
-     .write.mode("append").parquet(ledger_log_path))
-    return status
+    return table.publish(
+        run, status, lambda part, rows: apply_to_table(part, fold_state(applied(rows), key), key, set_col, defaults), applied,
+        lambda rows: ledger_events(rows).withColumn("ts", stamp))
+
+
+def publish_updates(table: SnapshotTable, updates: DataFrame, set_col: str, run: str, value: str = "value") -> int:
+    """M3 on a table in buckets: only buckets with an updated key are rewritten."""
+    return table.publish(run, lambda before: updates, lambda part, rows: update_where(part, rows, table.keys, set_col, value),
+                         lambda rows: rows)
 
 
 def ledger_events(status: DataFrame) -> DataFrame:

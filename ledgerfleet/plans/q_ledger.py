@@ -301,8 +301,7 @@ _BASELINE_SQL = (
 
 
 def _baseline_plan(spark, d):
-    from .reports import proposed_baselines
-    return rb.baseline_plan(ledger_names(spark, d), proposed_baselines(b.scripts(spark, d)), BASELINE_DESCRIPTION,
+    return rb.baseline_plan(ledger_names(spark, d), b.proposed_baselines(spark, d), BASELINE_DESCRIPTION,
                             BASELINE_AT, inputs.valid_names(spark, d))
 
 
@@ -311,8 +310,7 @@ def _baseline_plan(spark, d):
     "WHERE s.kind = 'versioned' AND s.version <= p.new_baseline", "skeys", "scripts", local=[("props", _PROPOSALS)]))
 def baseline_would_skip(spark, d):
     """The scripts a new baseline would skip, per target."""
-    from .reports import proposed_baselines
-    return rb.would_skip(inputs.valid_names(spark, d), proposed_baselines(b.scripts(spark, d))).select(
+    return rb.would_skip(inputs.valid_names(spark, d), b.proposed_baselines(spark, d)).select(
         "target_id", "path", "version", "new_baseline")
 
 

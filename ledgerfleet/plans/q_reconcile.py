@@ -150,7 +150,7 @@ def filter_below_baseline(spark, d):
 def filter_conflicting(spark, d):
     """ledger rows at or above a proposed new baseline (min id + 150)."""
     led = rc.latest_runs(ledger_names(spark, d))
-    prop = rp.proposed_baselines(b.scripts(spark, d))
+    prop = b.proposed_baselines(spark, d)
     return lg.conflicting(led, prop).select("target_id", "migration_id", "version")
 
 

@@ -31,10 +31,11 @@ def _log_stream(spark, d):
     "LEFT JOIN lastu u ON u.target_id = l.target_id AND u.version = l.version "
     "LEFT JOIN succ s ON s.target_id = l.target_id AND s.version = l.version", "ledger_log", local=_STATE_LOCAL))
 def ledger_state_stream(spark, d):
-    """ST1: the L7 fold as a streaming aggregation over the events file."""
-    sink, ck = st.fresh_paths(spark, "ledger_state")
-    st.run_to_completion(st.start_ledger_state_stream(_log_stream(spark, d), KEY, sink, ck))
-    return st.read_ledger_state(spark, sink, KEY)
+    """ST1: the L7 fold as a streaming aggregation over the events file, read
+    from its keyed state."""
+    _, ck = st.fresh_paths(spark, "ledger_state")
+    st.run_to_completion(st.start_ledger_state_stream(_log_stream(spark, d), KEY, ck))
+    return st.read_ledger_state(spark, ck, KEY)
 
 
 @register("script_ingest_stream", o.sql(

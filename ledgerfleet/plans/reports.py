@@ -97,15 +97,6 @@ def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checks, overall
 
 
-def proposed_baselines(scripts: DataFrame) -> DataFrame:
-    """A new baseline per target for F5 / R5: the lowest doc id + 150 (runs
-    stand in the way); src2 proposes the one it has, src3 a free high one."""
-    own = F.min("doc_id") + 150
-    return scripts.groupBy("target_id").agg(own.alias("_own")).select(
-        "target_id", F.when(F.col("target_id") == "src2", F.lit(50_000_000)).when(F.col("target_id") == "src3", F.lit(60_000_000))
-        .otherwise(F.col("_own")).cast("long").alias("new_baseline"))
-
-
 # --- fixed values: directory check texts (R6 on a corpus on disk) ------------
 MSG_DIR_MISSING = "Directory '%s' does not exist"
 MSG_DIR_FILE = "'%s' exists but is not a directory"

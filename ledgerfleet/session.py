@@ -111,4 +111,7 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        # keyed state of ledger streams on disk, not on the executors' heaps
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

@@ -70,6 +70,15 @@ def scripts_from(documents: DataFrame) -> DataFrame:
     return documents.selectExpr("doc_id", "source AS target_id", f"{path} AS path", f"{body} AS body")
 
 
+def proposed_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new baseline per target for F5 / R5: the lowest doc id + 150 (runs
+    stand in the way); src2 proposes the one it has, src3 a free high one."""
+    own = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("target_id")).agg((F.min("doc_id") + 150).alias("_own"))
+    return own.select("target_id", F.when(F.col("target_id") == "src2", F.lit(HIGH_BASELINE))
+                      .when(F.col("target_id") == "src3", F.lit(60_000_000)).otherwise(F.col("_own")).cast("long")
+                      .alias("new_baseline"))
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every target of B1 (no text is read), and one without any script."""
     own = table(spark, sf_dir, "documents").select(F.col("source").alias("target_id")).distinct()

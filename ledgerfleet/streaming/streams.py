@@ -1,15 +1,14 @@
 """Structured Streaming forms of the ledger fold and the script parser (ST1, ST2).
 
 ST1 keeps the current ledger (L7) up to date from a stream of ledger events.
-The fold is a streaming aggregation of running maxima per key, so late events resolve by (ts, seq) without a watermark: the state is one row
-per key and a late event only wins if it is newer.  Update mode emits the
-keys a micro-batch changed; ``foreachBatch`` appends them with the batch id to
-a change table, and the current state is the newest row per key.
-
-``foreachBatch`` is at-least-once: a batch replayed after a failure appends
-the same rows under the same batch id again, which the newest-row-per-key
-read ignores, so the result is exactly the state.  ``compact_ledger_state``
-rewrites the change table as one row per key (a new snapshot path).
+The fold is a streaming aggregation of running maxima per key, so late events
+resolve by (ts, seq) without a watermark: the keyed state is one row per key and a
+late event only wins if it is newer.  The current ledger is read from that
+state itself, through the state data source at the last committed batch: no change
+history is kept or aggregated, a reader's work is one row per key, and a batch
+replayed after a failure changes nothing.  ``sink`` also publishes the keys each
+batch changed, for readers that want a feed.  Large ledgers keep the state in
+RocksDB (``session.cluster_conf``).
 
 ST2 parses script files as they arrive (``readStream.text`` with
 ``wholetext``) and appends the narrow parsed records.
@@ -38,45 +37,37 @@ def _append_batch(path: str):
     return write
 
 
-def start_ledger_state_stream(events: DataFrame, key: list[str], sink: str, checkpoint: str,
+def start_ledger_state_stream(events: DataFrame, key: list[str], checkpoint: str, sink: str | None = None,
                               available_now: bool = True, ts: str = "ts", seq: str = "event_id",
                               ms: str = "ms") -> StreamingQuery:
-    """ST1: start the streaming fold of a stream of ledger events
-    (key..., ts, seq, op, ms) into the change table at ``sink``."""
+    """ST1: start the streaming fold of a stream of ledger events (key..., ts,
+    seq, op, ms).  Its state is the ledger (``read_ledger_state``)."""
     agg = events.groupBy(*key).agg(*ll.state_aggregates(ts, seq, ms))
-    w = (agg.writeStream.outputMode("update").foreachBatch(_append_batch(sink))
-         .option("checkpointLocation", checkpoint))
+    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    w = w.format("noop") if sink is None else w.foreachBatch(_append_batch(sink))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def _newest(changes: DataFrame, key: list[str]) -> DataFrame:
-    """The newest row per key of a change table, with its batch id."""
-    others = [c for c in changes.columns if c not in (*key, EPOCH)]
-    return changes.groupBy(*key).agg(*[F.max_by(c, EPOCH).alias(c) for c in others], F.max(EPOCH).alias(EPOCH))
-
-
-def read_ledger_state(spark: SparkSession, sink: str, key: list[str], compacted: str | None = None) -> DataFrame:
-    """Current ledger from ST1's change table: the newest batch per key.
-    ``compacted``: a table of ``compact_ledger_state``; of the change table
-    only the batches after its last are read then."""
-    changes = spark.read.parquet(sink)
-    if compacted is not None:
-        base = spark.read.parquet(compacted)
-        last = base.agg(F.max(EPOCH)).first()[0]
-        changes = base.unionByName(changes.where(F.col(EPOCH) > F.lit(-1 if last is None else last)))
-    return ll.state_from_aggregates(_newest(changes, key), key)
-
-
-def compact_ledger_state(spark: SparkSession, sink: str, key: list[str], out: str, compacted: str | None = None) -> None:
-    """Rewrite ST1's change table (onto an earlier compaction, if given) as its
-    newest row per key under ``out``; readers pass ``out`` afterwards."""
-    changes = spark.read.parquet(sink)
-    if compacted is not None:
-        base = spark.read.parquet(compacted)
-        last = base.agg(F.max(EPOCH)).first()[0]
-        changes = base.unionByName(changes.where(F.col(EPOCH) > F.lit(-1 if last is None else last)))
-    _newest(changes, key).write.mode("errorifexists").parquet(out)
+# The fields of the fold's state, in the order of ``state_aggregates``: a maximum
+# keeps itself, the value at a maximum is kept with the place it comes from.
+_STATE_FIELDS = [("_reset", "decimal(38,0)"), ("_reset_op", "int"), ("_p1", "decimal(38,0)"), ("_reset_ts", None),
+                 ("_p2", "decimal(38,0)"), ("_update", "decimal(38,0)"), ("_update_op", "int"), ("_p3", "decimal(38,0)"),
+                 ("_update_ms", "bigint"), ("_p4", "decimal(38,0)"), ("_success", "decimal(38,0)"), ("_success_ts", None),
+                 ("_p5", "decimal(38,0)")]
+
+
+def read_ledger_state(spark: SparkSession, checkpoint: str, key: list[str], batch_id: int | None = None) -> DataFrame:
+    """The current ledger of ST1's stream, from its keyed state at the last
+    committed batch (or at ``batch_id``, as long as the stream keeps it)."""
+    reader = spark.read.format("statestore")
+    state = (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
+    kinds = [f.dataType.simpleString() for f in state.schema["value"].dataType.fields]
+    if len(kinds) != len(_STATE_FIELDS) or any(want not in (None, own) for (_, want), own in zip(_STATE_FIELDS, kinds)):
+        raise ValueError(f"not the state of a ledger stream: {kinds}")
+    named = ",".join(f"{name}:{kind}" for (name, _), kind in zip(_STATE_FIELDS, kinds))
+    rows = state.select(*[F.col("key").getField(c).alias(c) for c in key], F.col("value").cast(f"struct<{named}>").alias("v"))
+    return ll.state_from_aggregates(rows.select(*key, *[F.col("v").getField(c).alias(c) for c in ll.STATE_COLUMNS]), key)
 
 
 def start_script_ingest_stream(scripts: DataFrame, sink: str, checkpoint: str,

@@ -1,7 +1,9 @@
 """Ledger event fold (L1-L7, W6, W8) and row changes (M*, R7-R9)."""
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfleet.operators import changes as cg
@@ -125,6 +127,28 @@ def test_apply_changes_stop_at_first_failure(spark):
     assert sorted(r.version for r in removed.collect()) == [3, 4]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_version_is_a_filter_on_the_intervals(spark, seed):
+    import random
+    from ledgerfleet.operators.scan import freeze
+    rnd = random.Random(seed)
+    base = spark.createDataFrame([(t, k, 10, "F", float(k), ts(0), "x") for t in range(3) for k in range(0, 12, 2)], ORD)
+    # one key takes a third of all changes
+    ch = spark.createDataFrame([(rnd.randrange(3), v, 5 if v % 3 == 0 else rnd.randrange(12), rnd.choice(["insert", "update", "delete", "update"]),
+                                 rnd.choice([None, 1.5, 2.5]) if v % 29 == 0 else float(v)) for v in range(1, 200)], CH)
+    st = freeze(cg.change_status(ch, base, "o_orderkey"))
+    applied = st.where("status = 'applied'")
+    intervals = freeze(cg.validity(applied, "o_orderkey"))
+    assert applied.count() > 20
+    for v in (0, 7, 60, 10_000, None):
+        replay = applied if v is None else applied.where(F.col("version") <= v)
+        want = cg.apply_to_table(base, cg.fold_state(replay, "o_orderkey"), "o_orderkey", "o_totalprice", {"o_orderstatus": "O"})
+        state = cg.as_of(intervals, v)
+        got = cg.apply_to_table(base, state.select("target_id", "o_orderkey", "last_reset", "last_value"), "o_orderkey",
+                                "o_totalprice", {"o_orderstatus": "O"})
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_update_to_null(spark):
     base = spark.createDataFrame([(0, 1, 10, "F", 5.0, ts(0), "x"), (0, 2, 10, "F", 6.0, ts(0), "x")], ORD)
     ups = spark.createDataFrame([(0, 1, 1, "update", 4.0), (0, 2, 1, "update", None)], CH)
@@ -150,12 +174,90 @@ def test_checks(spark):
     assert [r.k for r in kept] == [1]                        # NULL predicate keeps the row
 
 
-def test_publish_changes(spark, scratch):
-    import os
-    base = spark.createDataFrame([(0, 1, 10, "F", 5.0, ts(0), "1-URGENT")], ORD)
-    ch = spark.createDataFrame([(0, 1, 1, "update", 7.0), (0, 2, 9, "insert", 3.0)], CH)
-    snap, log = os.path.join(scratch, "orders_v2"), os.path.join(scratch, "ledger_log")
-    cg.publish_changes(base, ch, "o_orderkey", "o_totalprice", snap, log, at="2024-02-01 00:00:00")
-    assert sorted((r.o_orderkey, r.o_totalprice) for r in spark.read.parquet(snap).collect()) == [(1, 7.0), (9, 3.0)]
-    ev = sorted((r.version, r.op) for r in spark.read.parquet(log).collect())
-    assert ev == [(1, "start"), (1, "success"), (2, "start"), (2, "success")]
+def orders_table(spark, scratch, n=400, buckets=100):
+    from ledgerfleet.operators.snapshots import SnapshotTable
+    rows = [(k % 4, k, 10, "F", float(k), ts(0), "1-URGENT") for k in range(n)]
+    return SnapshotTable.create(spark.createDataFrame(rows, ORD), f"{scratch}/orders", ["target_id", "o_orderkey"], buckets)
+
+
+CHANGES = [(0, 1, 8, "update", 7.0), (0, 2, 9001, "insert", 3.0), (1, 3, 5, "delete", None), (2, 4, 6, "insert", 1.0),
+           (2, 5, 10, "update", 5.0)]
+
+
+def published(spark, root):
+    from ledgerfleet.operators.snapshots import SnapshotTable
+    t = SnapshotTable(spark, root)
+    return sorted(map(str, t.read().collect())), sorted((r.target_id, r.version, r.op, r.snapshot) for r in t.events().collect())
+
+
+def test_a_run_touches_only_its_buckets(spark, scratch):
+    t = orders_table(spark, scratch)
+    before = {str(r) for r in t.read().collect()}
+    size = lambda df: sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles())
+    ups = spark.createDataFrame([(0, 1, 8, "update", 7.0)], CH)
+    touched = t.touched(ups)
+    assert len(touched) == 1
+    part = t.read(0, touched)
+    assert len(part.inputFiles()) == 1 and size(part) < size(t.read()) / 50      # 1 % of the buckets
+    assert cg.publish_updates(t, ups, "o_totalprice", "r1") == 1
+    new = [f for f in t.read().inputFiles() if "run=r1" in f]
+    assert len(new) == 1 and len(t.read().inputFiles()) == len(t.read(0).inputFiles())
+    after = {str(r) for r in t.read().collect()}
+    assert len(after - before) == 1 and "o_totalprice=7.0" in (after - before).pop()
+    assert {str(r) for r in t.read(0).collect()} == before                       # the old snapshot stays readable
+
+
+def test_a_run_that_dies_after_any_step_is_repeated(spark, scratch, monkeypatch):
+    from ledgerfleet.operators import snapshots
+    ch = spark.createDataFrame(CHANGES, CH)
+    base = spark.createDataFrame([(k % 4, k, 10, "F", float(k), ts(0), "1-URGENT") for k in range(40)], ORD)
+    table, st = cg.apply_changes(base, ch, "o_orderkey", "o_totalprice", {"o_orderstatus": "O"})
+    rows = sorted(map(str, table.collect()))
+    events = sorted((r.target_id, r.version, r.op, 1) for r in cg.ledger_events(st).collect())
+    assert len(events) == 8                                                      # four tried, one blocked
+    real, steps = snapshots.write_step, 6
+    # every step once, and the data and the events with files but without their mark
+    for dies_at, partial in [(k, False) for k in range(steps)] + [(2, True), (4, True)]:
+        root = f"{scratch}/{dies_at}{partial}"
+        t = orders_table(spark, root, 40, 7)
+        old = sorted(map(str, t.read().collect()))
+        done = []
+
+        def dying(df, path, *partitions):
+            if len(done) == dies_at:
+                if partial:
+                    real(df, path, *partitions)
+                    os.remove(f"{path}/_SUCCESS")
+                raise OSError("lost")
+            done.append(path)
+            real(df, path, *partitions)
+
+        def publish():
+            return cg.publish_changes(t, ch, "o_orderkey", "o_totalprice", "r1", {"o_orderstatus": "O"}, at="2024-02-01 00:00:00")
+
+        monkeypatch.setattr(snapshots, "write_step", dying)
+        with pytest.raises(OSError):
+            publish()
+        assert sorted(map(str, t.read().collect())) == old                       # readers see nothing of it
+        monkeypatch.setattr(snapshots, "write_step", real)
+        assert publish() == 1 and publish() == 1                                 # repeated, and once too often
+        assert published(spark, f"{root}/orders") == (rows, events)
+
+
+def test_a_run_from_a_replaced_snapshot_is_refused(spark, scratch):
+    t = orders_table(spark, scratch, 20, 3)
+    ups = spark.createDataFrame([(0, 1, 8, "update", 7.0)], CH)
+    t._step(f"{t.root}/starts/late", lambda: spark.createDataFrame([(0,)], "parent int"))
+    cg.publish_updates(t, ups, "o_totalprice", "r1")
+    with pytest.raises(RuntimeError, match="replaced"):
+        cg.publish_updates(t, ups, "o_totalprice", "late")
+
+
+def test_all_rows_of_a_bucket_may_go(spark, scratch):
+    t = orders_table(spark, scratch, 8, 2)
+    ch = spark.createDataFrame([(k % 4, k + 1, k, "delete", None) for k in range(8)], CH)
+    assert cg.publish_changes(t, ch, "o_orderkey", "o_totalprice", "r1") == 1
+    assert t.read().count() == 0 and t.events().count() == 16
+    more = spark.createDataFrame([(0, 9, 77, "insert", 1.0)], CH)
+    assert cg.publish_changes(t, more, "o_orderkey", "o_totalprice", "r2") == 2
+    assert [r.o_orderkey for r in t.read().collect()] == [77]

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfleet.operators import catalog as ct
@@ -61,42 +62,40 @@ def test_script_file_stream(spark, scratch):
     assert got.select(*batch.columns).exceptAll(batch).count() == 0
 
 
-def test_ledger_stream_matches_batch(spark, scratch):
+@pytest.mark.parametrize("store", ["HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider"])
+def test_ledger_stream_state_over_restarts_and_late_events(spark, scratch, store):
     import datetime as dt
+    key, ck = ["target_id", "version"], os.path.join(scratch, "ck")
     rows = [("a", 1, i, dt.datetime(2024, 1, 1, 0, i), op, i) for i, op in
             enumerate(["start", "success", "failure", "start", "remove", "start"])]
     # key 2: the success arrives in the second batch but happened first (late data)
     rows[3:3] = [("a", 2, 20, dt.datetime(2024, 1, 1, 0, 9), "start", 0)]
     rows += [("a", 2, 21, dt.datetime(2024, 1, 1, 0, 10), "success", 5),
              ("a", 2, 19, dt.datetime(2024, 1, 1, 0, 8), "failure", 9)]
+    more = [("a", 3, 30, dt.datetime(2024, 1, 2), "start", 0), ("a", 2, 31, dt.datetime(2024, 1, 2), "failure", 8),
+            ("a", 1, 3, dt.datetime(2024, 1, 1, 0, 3), "start", 3)]             # an event delivered twice
     schema = "target_id string, version long, event_id long, ts timestamp_ntz, op string, ms int"
-    src = os.path.join(scratch, "events")
-    spark.createDataFrame(rows[:4], schema).write.parquet(os.path.join(src, "b1"))
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-    sink, ck = os.path.join(scratch, "sink"), os.path.join(scratch, "ck")
-    st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
-    spark.createDataFrame(rows[4:], schema).write.parquet(os.path.join(src, "b2"))      # later batch
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-    st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
-    got = st.read_ledger_state(spark, sink, ["target_id", "version"])
-    batch = ll.ledger_state(spark.createDataFrame(rows, schema), ["target_id", "version"])
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
-    compact = os.path.join(scratch, "compact")
-    st.compact_ledger_state(spark, sink, ["target_id", "version"], compact)
-    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=compact)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
-    # one more event after the compaction: only its batch is read from the change table
-    more = [("a", 3, 30, dt.datetime(2024, 1, 2), "start", 0), ("a", 2, 31, dt.datetime(2024, 1, 2), "failure", 8)]
-    spark.createDataFrame(more, schema).write.parquet(os.path.join(src, "b3"))
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-    st.run_to_completion(st.start_ledger_state_stream(stream, ["target_id", "version"], sink, ck))
-    batch = ll.ledger_state(spark.createDataFrame(rows + more, schema), ["target_id", "version"])
-    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=compact)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
-    second = os.path.join(scratch, "compact2")
-    st.compact_ledger_state(spark, sink, ["target_id", "version"], second, compacted=compact)
-    again = st.read_ledger_state(spark, sink, ["target_id", "version"], compacted=second)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, batch.collect()))
+    src, seen = os.path.join(scratch, "events"), []
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name)
+    spark.conf.set(name, f"org.apache.spark.sql.execution.streaming.state.{store}")
+    try:
+        for k, batch in enumerate([rows[:4], rows[4:], more]):                   # the stream stops and restarts each time
+            seen += batch
+            spark.createDataFrame(batch, schema).write.parquet(os.path.join(src, f"b{k}"))
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+            st.run_to_completion(st.start_ledger_state_stream(stream, key, ck, os.path.join(scratch, "feed")))
+            got = st.read_ledger_state(spark, ck, key)
+            want = ll.ledger_state(spark.createDataFrame(seen, schema), key)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Aggregate" not in plan and "Exchange" not in plan            # state rows as they are
+        first = st.read_ledger_state(spark, ck, key, batch_id=0)
+        want = ll.ledger_state(spark.createDataFrame(rows[:4], schema), key)
+        assert sorted(map(tuple, first.collect())) == sorted(map(tuple, want.collect()))
+        assert spark.read.parquet(os.path.join(scratch, "feed")).select("_batch_id").distinct().count() == 3
+    finally:
+        spark.conf.set(name, old)
 
 
 CATALOG = "target_id string, dialect string, schema_name string, object_type string, object_name string, is_temporary boolean"
