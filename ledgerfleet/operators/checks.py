@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import SEVERITY_RANK
@@ -29,13 +29,56 @@ MSG_ORPHAN = "Migration %s exists in database but corresponding file not found"
 # ---------------------------------------------------------------------------
 
 
+BITS = 1 << 15                # versions of one bitmap (Spark's bitmap functions)
+HEAVY_VERSION = 1_000_000     # files of one version beyond which their order is made in slices
+
+
+def _bits_before(bitmap: str, bit: str) -> str:
+    """How many bits below ``bit`` are set: whole bytes, then part of one."""
+    last = f"cast(conv(hex(substring({bitmap}, {bit} div 8 + 1, 1)), 16, 10) as int)"
+    return f"(bitmap_count(substring({bitmap}, 1, {bit} div 8)) + bit_count({last} & (shiftleft(1, {bit} % 8) - 1)))"
+
+
 def version_positions(df: DataFrame, tie: list[str] | None = None) -> DataFrame:
     """W1 input: 1-based position of each versioned row inside its target,
     ordered by version then ``tie``; ``is_gap`` when position != version
-    (SURVEY Q8: one gap flags every later row, sequences start at 1)."""
-    order = [F.col("version")] + [F.col(c) for c in (tie or [])]
-    out = ordinal(df, ["target_id"], order, "position")
-    return out.withColumn("is_gap", F.col("position") != F.col("version"))
+    (SURVEY Q8: one gap flags every later row, sequences start at 1).
+
+    Nothing is sorted for it: the versions of a target stand in bitmaps of 32768
+    (``bitmap_construct_agg``, map-side first), of which it has at most 2**17, and
+    a position is the rows of the earlier bitmaps plus the bits set before its
+    own.  Versions that occur more than once are counted apart: what they add to
+    later positions is a list of their bitmap, and only their own rows are numbered by
+    ``tie`` (in slices for a version of more than ``HEAVY_VERSION`` files)."""
+    columns, place = df.columns, ["target_id", "_b"]
+    rows = df.withColumns({"_b": F.shiftright("version", 15), "_bit": F.col("version").bitwiseAND(BITS - 1).cast("int")})
+    maps = rows.groupBy(*place).agg(F.bitmap_construct_agg("_bit").alias("_map"), F.count(F.lit(1)).alias("_n"))
+    doubled = maps.where(F.col("_n") > F.bitmap_count("_map")).select(*place)
+    often = (rows.join(doubled, place, "left_semi").groupBy(*place, "_bit").agg(F.count(F.lit(1)).alias("_k"))
+             .where(F.col("_k") > 1).groupBy(*place)
+             .agg(F.collect_list(F.struct("_bit", (F.col("_k") - 1).alias("more"))).alias("_often")))
+    earlier = Window.partitionBy("target_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (maps.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+              .join(often, place, "left"))
+    out = rows.join(placed, place).withColumns({
+        "_more": F.expr("coalesce(get(filter(_often, x -> x._bit = _bit), 0).more, 0)"),
+        "position": F.expr(f"_before + {_bits_before('_map', '_bit')} + 1 + coalesce(aggregate(filter(_often, x -> x._bit < _bit), "
+                           "0L, (n, x) -> n + x.more), 0L)")})
+    once = out.where(F.col("_more") == 0)
+    twice = out.where((F.col("_more") > 0) & (F.col("_more") < HEAVY_VERSION))
+    order = [F.col(c) for c in (tie or ["version"])]
+    in_version = F.row_number().over(Window.partitionBy("target_id", "version").orderBy(*order))
+    twice = twice.withColumn("position", F.col("position") + in_version - 1)
+    kept = [*columns, F.col("position").cast("long").alias("position")]
+    out_rows = once.select(*kept).unionByName(twice.select(*kept))
+    heavy = rows.join(often.select(*place, F.explode("_often").alias("o")).where(F.col("o.more") >= HEAVY_VERSION)
+                      .select(*place, "o._bit"), [*place, "_bit"], "left_semi")
+    if not heavy.isEmpty():
+        numbered = ordinal(out.where(F.col("_more") >= HEAVY_VERSION).select(*columns, "position"), ["target_id", "version"],
+                           order, "_in_version")
+        out_rows = out_rows.unionByName(numbered.withColumn("position", F.col("position") + F.col("_in_version") - 1)
+                                        .select(*columns, "position"))
+    return out_rows.withColumn("is_gap", F.col("position") != F.col("version"))
 
 
 def first_gap_only(positions: DataFrame) -> DataFrame:

@@ -154,3 +154,24 @@ def test_reports_without_a_ledger(spark):
     findings, summary = rp.validate_report(k, None)
     assert summary.first()["warnings"] == 1 and summary.first()["verdict"] == "PASSED"
     assert tuple(rp.validate_files(k).first()) == ("t", 2, 1, 1, 3)
+
+
+def test_positions_come_from_bitmaps(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(4)
+    rows = [("hot", v, f"{v}_{k}.sql") for v in rnd.sample(range(0, 200_000), 900) for k in range(1 if v % 7 else 3)]
+    rows += [("hot", 4_294_967_295, "max.sql"), ("hot", 32_768, "a"), ("hot", 32_767, "b"), ("hot", 32_769, "c")]
+    rows += [(f"t{k % 9}", v, f"{k}.sql") for k, v in enumerate(rnd.choices(range(1, 60), k=300))]
+    rows += [("many", 5, f"{k:04d}.sql") for k in range(200)] + [("many", 4, "x"), ("many", 6, "y"), ("same", 1, "z"), ("same", 1, "z")]
+    df = spark.createDataFrame(rows, "target_id string, version long, path string").repartition(6)
+    want = df.withColumn("position", F.row_number().over(Window.partitionBy("target_id").orderBy("version", "path")).cast("long"))
+    want = sorted(map(tuple, want.select("target_id", "version", "path", "position").collect()))
+    for heavy in (1_000_000, 100):
+        monkeypatch.setattr(ck, "HEAVY_VERSION", heavy)
+        got = ck.version_positions(df, ["path"])
+        assert sorted(map(tuple, got.select("target_id", "version", "path", "position").collect())) == want
+        if heavy > 100:              # no range sort of the rows, no checkpoint of them
+            assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert ck.version_positions(df.limit(0), ["path"]).count() == 0
