@@ -10,13 +10,17 @@ suffix array: the positions from which at least a shortest window of known
 words follows, sorted by their next 13 word numbers (a suffix that meets an
 unknown word or the document's end sooner than the shortest window cannot hold
 an occurrence).  Every benchmark suffix is then binary-searched in it; the
-range between its lower and upper bound are all verbatim locations, and each is
-extended to its longest match.
+range between its lower and upper bound are all verbatim locations.  Where the words
+before differ a match begins, and it is extended to the longest verbatim match
+from there; the hit words of a document are those of its longest matches, which
+are returned with their places.
 
 Documents are never shuffled: a hot source or a passage shared by thousands of
 documents only makes ranges longer.  The benchmark is a stated query set; it is
-sent in blocks of at most ``BLOCK_BYTES`` of text, one pass over the documents
-per block, with the hit words carried along, so its size is not limited.
+sent in blocks of at most ``BLOCK_BYTES`` of text, from which a task builds some 60
+bytes a word besides the vocabulary; there is one pass over the documents per
+block, with the matches carried along, so its size is not limited.  A single item beyond a
+block is a block of its own.
 
 Null texts have no words and are never contaminated.  Items with a null id take
 part under an empty id; items sharing an id count as one.  Repeated documents
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, map_batches, materialize, share, sub_batches
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 8 << 20
 
 _WORD = re.compile(r"[0-9a-z\x80-\U0010FFFF]+")
@@ -50,11 +54,13 @@ def words(text: str) -> list[str]:
 
 @dataclass
 class Queries:
-    """The benchmark suffixes that begin a window: padded word numbers, item
-    number, place in the item, and window length."""
+    """The benchmark suffixes that begin a window: padded word numbers (of
+    those shorter than a window also the upper bound), item number, place in the
+    item, and window length."""
     vocabulary: dict[str, int]
     lower: np.ndarray
-    upper: np.ndarray
+    short: np.ndarray
+    short_upper: np.ndarray
     item: np.ndarray
     place: np.ndarray
     length: np.ndarray
@@ -76,22 +82,20 @@ def build_queries(items: list[tuple], window: int = WINDOW) -> Queries:
         if own:
             numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in own], dtype=np.uint32))
             ids.append(item_id)
-    lower, item, place, length = [], [], [], []
-    for k, own in enumerate(numbers):
-        size = min(window, len(own))
-        for start in range(len(own) - size + 1):
-            row = np.zeros(window, dtype=np.uint32)
-            row[:size] = own[start:start + size]
-            lower.append(row)
-            item.append(k)
-            place.append(start)
-            length.append(size)
-    lower = np.array(lower, dtype=np.uint32).reshape(-1, window)
-    length = np.array(length, dtype=np.int64)
-    upper = lower.copy()
-    upper[np.arange(window)[None, :] >= length[:, None]] = 0xFFFFFFFF
-    return Queries(vocabulary, _keys(lower), _keys(upper), np.array(item, dtype=np.int64),
-                   np.array(place, dtype=np.int64), length, numbers, ids,
+    size = np.array([len(own) for own in numbers], dtype=np.int64)
+    flat = np.concatenate([*numbers, np.zeros(window, dtype=np.uint32)])
+    windows = size - np.minimum(size, window) + 1
+    item = np.repeat(np.arange(len(numbers)), windows)
+    place = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
+    length = np.minimum(size, window)[item]
+    first = (np.cumsum(size) - size)[item] + place
+    rows = flat[first[:, None] + np.arange(window)[None, :]]
+    beyond = np.arange(window)[None, :] >= length[:, None]
+    rows[beyond] = 0
+    short = np.flatnonzero(length < window)
+    upper = rows[short]
+    upper[beyond[short]] = 0xFFFFFFFF
+    return Queries(vocabulary, _keys(rows), short, _keys(upper), item, place, length, numbers, ids,
                    int(length.min()) if len(length) else window)
 
 
@@ -128,10 +132,23 @@ class Shard:
     def locations(self, queries: Queries) -> Iterator[tuple[int, np.ndarray]]:
         """For each benchmark suffix that occurs: its number and where."""
         lo = np.searchsorted(self.keys, queries.lower, side="left")
-        hi = np.searchsorted(self.keys, queries.upper, side="right")
+        hi = np.searchsorted(self.keys, queries.lower, side="right")
+        hi[queries.short] = np.searchsorted(self.keys, queries.short_upper, side="right")
         for q in np.flatnonzero(hi > lo):
             yield int(q), self.suffixes[lo[q]:hi[q]]
 
+    def matches(self, queries: Queries) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The longest verbatim matches: for each benchmark suffix that begins
+        some, its number, where, and how many words.  A match begins where the words
+        before differ (or there is none), so each is given once."""
+        for q, positions in self.locations(queries):
+            place = queries.place[q]
+            if place:
+                before = queries.items[queries.item[q]][place - 1]
+                positions = positions[(positions == 0) | (self.ids[positions - 1] != before)]
+            if len(positions):
+                yield q, positions, self.longest(queries, q, positions)
+
     def document(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
@@ -163,63 +180,73 @@ def _blocks(benchmark: DataFrame) -> list[list[tuple]]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   carry: list[str] | None = None) -> DataFrame:
-    """n_words, n_hit, items (sorted array of item ids as strings) of every
-    row of ``docs``, beside its columns ``carry`` (doc_id alone by default) in
-    a struct ``carried``; ``benchmark`` has item_id and text."""
+    """n_words, n_hit, items (sorted array of item ids as strings) and
+    ``matches`` (start and n_words of the longest match from each place where
+    one begins, in words) of every row of ``docs``, beside its columns ``carry``
+    (doc_id alone by default): ``text`` as itself, the others in a struct ``carried``.
+    ``benchmark`` has item_id and text."""
     spark = docs.sparkSession
-    carried = F.struct(*[docs[c] for c in carry or ["doc_id"]])
+    carry = carry or ["doc_id"]
+    keep = "text" in carry
+    carried = F.struct(*[docs[c] for c in carry if c != "text"], F.lit(0).alias("__none"))
+    none = F.array().cast("array<int>")
     state = docs.select(carried.alias("carried"), F.col("text").cast("string").alias("text"),
-                        F.lit(0).cast("long").alias("n_words"),
-                        F.lit(None).cast("binary").alias("hits"),
-                        F.array().cast("array<string>").alias("items"))
+                        F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+                        none.alias("starts"), none.alias("lengths"), F.array().cast("array<string>").alias("items"))
     blocks = _blocks(benchmark)
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
         last = following is None
-        shared = share(spark, build_queries(block, window))
+        shared = share(spark, block)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            queries = shared()
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, drop=last and not keep) -> Iterator[pa.RecordBatch]:
+            queries = build_queries(shared(), window)
             for whole in batches:
                 for batch in sub_batches(whole, "text", SHARD_BYTES):
-                    yield _mark(batch, queries, window, last)
+                    yield _mark(batch, queries, window, drop)
 
         state = map_batches(state, run, state.schema)
         if not last:
             state = materialize(state, "contamination")
         block = following
-    # the count's eight bytes as a long
-    size = F.conv(F.hex(F.substring("hits", 1, 8)), 16, 10).cast("long")
-    return state.select("carried", "n_words", F.coalesce(size, F.lit(0)).alias("n_hit"),
-                        F.array_sort(F.array_distinct("items")).alias("items"))
+    return state.select("carried", *(["text"] if keep else []), "n_words", "n_hit",
+                        F.array_sort(F.array_distinct("items")).alias("items"),
+                        F.transform(F.arrays_zip("starts", "lengths"), lambda m: F.struct(
+                            m["starts"].alias("start"), m["lengths"].alias("n_words"))).alias("matches"))
 
 
-def _mark(batch: pa.RecordBatch, queries: Queries, window: int, last: bool) -> pa.RecordBatch:
-    """Add the hits of one benchmark block to a batch of documents.  ``hits``
-    holds the hit words as packed bits; after the last block, their count as
-    eight big-endian bytes.  The text is dropped after the last block."""
+def _mark(batch: pa.RecordBatch, queries: Queries, window: int, drop_text: bool) -> pa.RecordBatch:
+    """Add the longest matches of one benchmark block to a batch of documents,
+    and count the words under all that are known so far."""
     shard = Shard(batch.column("text").to_pylist(), queries, window)
-    edge = np.zeros(len(shard.ids) + 1, dtype=np.int64)
+    reach = np.zeros(len(shard.ids) + 1, dtype=np.int64)       # words of the longest match from each position
+    for d, (old, sizes) in enumerate(zip(batch.column("starts"), batch.column("lengths"))):
+        if len(old.values):
+            reach[shard.starts[d] + old.values.to_numpy()] = sizes.values.to_numpy()
     found = defaultdict(set)
-    for q, positions in shard.locations(queries):
-        np.add.at(edge, positions, 1)
-        np.add.at(edge, positions + queries.length[q], -1)
+    for q, positions, length in shard.matches(queries):
+        np.maximum.at(reach, positions, length)
         for d in np.unique(shard.document(positions)):
             found[int(d)].add(queries.ids[queries.item[q]])
-    hit = np.cumsum(edge)[:-1] > 0
-    hits, items = [], []
-    for d, (before, old) in enumerate(zip(batch.column("hits"), batch.column("items"))):
+    begin = np.flatnonzero(reach)
+    edge = np.zeros(len(reach) + 1, dtype=np.int64)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, begin + reach[begin], -1)
+    hit = np.cumsum(np.cumsum(edge) > 0)                       # hit words up to and with each position
+    n_hit, starts, lengths, items = [], [], [], []
+    for d, old in enumerate(batch.column("items")):
         start, n = int(shard.starts[d]), shard.n_words[d]
-        own = hit[start:start + n]
-        if before.is_valid:
-            own = own | np.unpackbits(np.frombuffer(before.as_py(), dtype=np.uint8), count=n).astype(bool)
-        hits.append(int(own.sum()).to_bytes(8, "big") if last else np.packbits(own).tobytes())
+        n_hit.append(int(hit[start + n - 1] - (hit[start - 1] if start else 0)) if n else 0)
+        own = begin[np.searchsorted(begin, start):np.searchsorted(begin, start + n)]
+        starts.append(own - start)
+        lengths.append(reach[own])
         items.append(sorted({*old.as_py(), *found.get(d, ())}))
-    text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text")
+    text = pa.nulls(batch.num_rows, pa.string()) if drop_text else batch.column("text")
     return pa.RecordBatch.from_arrays(
-        [batch.column("carried"), text, pa.array(shard.n_words, pa.int64()), pa.array(hits, pa.binary()),
-         pa.array(items, pa.list_(pa.string()))], names=["carried", "text", "n_words", "hits", "items"])
+        [batch.column("carried"), text, pa.array(shard.n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+         pa.array(starts, pa.list_(pa.int32())), pa.array(lengths, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
+        names=["carried", "text", "n_words", "n_hit", "starts", "lengths", "items"])
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -229,10 +256,10 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     spark = docs.sparkSession
     out = None
     for block in _blocks(benchmark):
-        shared = share(spark, build_queries(block, window))
+        shared = share(spark, block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            queries = shared()
+            queries = build_queries(shared(), window)
             for whole in batches:
                 for batch in sub_batches(whole, "text", SHARD_BYTES):
                     yield from _locate(batch, queries, window)
@@ -246,19 +273,14 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 def _locate(batch: pa.RecordBatch, queries: Queries, window: int) -> Iterator[pa.RecordBatch]:
     shard = Shard(batch.column("text").to_pylist(), queries, window)
     ids = batch.column("doc_id").to_pylist()
-    for q, positions in shard.locations(queries):
+    for q, positions, length in shard.matches(queries):
         item, place = int(queries.item[q]), int(queries.place[q])
-        if place:
-            before = queries.items[item][place - 1]
-            positions = positions[(positions == 0) | (shard.ids[positions - 1] != before)]
-        if not len(positions):
-            continue
         d = shard.document(positions)
         n = len(positions)
         yield pa.RecordBatch.from_arrays(
             [pa.array([queries.ids[item]] * n, pa.string()), pa.array(np.full(n, place, dtype=np.int32)),
              pa.array([ids[x] for x in d], pa.int64()), pa.array((positions - shard.starts[d]).astype(np.int32)),
-             pa.array(shard.longest(queries, q, positions).astype(np.int32))],
+             pa.array(length.astype(np.int32))],
             names=["item_id", "item_word", "doc_id", "doc_word", "n_words"])
 
 
@@ -270,4 +292,5 @@ def contaminated(n_hit, n_words):
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
     found = contamination(docs, benchmark, window, carry=docs.columns)
-    return found.where(~contaminated(F.col("n_hit"), F.col("n_words"))).select("carried.*")
+    return found.where(~contaminated(F.col("n_hit"), F.col("n_words"))).select(
+        *[F.col(c) if c == "text" else F.col("carried").getField(c).alias(c) for c in docs.columns])

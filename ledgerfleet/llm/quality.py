@@ -135,26 +135,31 @@ def train(blocks: np.ndarray, labels: np.ndarray, steps: int = TRAIN_STEPS, batc
 
 def training_chunks(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS,
                     most_chunks: int = TRAIN_CHUNKS) -> tuple[np.ndarray, np.ndarray]:
-    """The bounded sample: chunks and labels of at most ``most_docs`` rows of
-    ``labels`` (doc_id, label 0/1), evenly spaced chunks of each text."""
+    """The bounded sample: evenly spaced chunks and their labels, of at most
+    ``most_docs`` rows of ``labels`` (doc_id, label 0/1) and at most ``most_docs``
+    times ``most_chunks`` chunks, whatever the number of documents under a labelled
+    doc_id: equal rows count once, and of more the smallest by a hash stay."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
               .select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most_docs))
     texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values, rows = [], [], []
+            ids, values, places, rows = [], [], [], []
             for doc_id, text, label in zip(*batch.to_pydict().values()):
                 own = chunks((text or "").encode("utf-8", "replace"))
                 for k in np.unique(np.linspace(0, len(own) - 1, most_chunks).round().astype(int)):
                     ids.append(doc_id)
                     values.append(label)
+                    places.append(k)
                     rows.append(own[k].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.int32()),
-                                              pa.array(rows, pa.binary())], names=["doc_id", "label", "chunk"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.int32()), pa.array(places, pa.int32()),
+                                              pa.array(rows, pa.binary())], names=["doc_id", "label", "place", "chunk"])
 
-    found = map_batches(texts.select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int")), cut,
-                        "doc_id long, label int, chunk binary").collect()
+    cuts = map_batches(texts.select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int")), cut,
+                       "doc_id long, label int, place int, chunk binary").distinct()
+    found = (cuts.orderBy(F.xxhash64("doc_id", "place", "chunk"), "doc_id", "label", "place", "chunk")
+             .limit(most_docs * most_chunks).collect())
     found.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["chunk"])))
     data = np.frombuffer(b"".join(bytes(r["chunk"]) for r in found), dtype=np.uint8).reshape(-1, CHUNK)
     return data, np.array([r["label"] for r in found], dtype=np.float32)

@@ -181,12 +181,15 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of every document that lie in a window of a benchmark item."""
+    """Words of every document that lie in a longest verbatim match with a
+    benchmark item, and where these begin."""
     found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
         "carried.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+        decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws("+", m["start"].cast("string"), m["n_words"].cast("string"))),
+                     ",").alias("matches"))
 
 
 @_query

@@ -191,8 +191,12 @@ def test_decontamination_hard_cases(spark, monkeypatch, block):
     monkeypatch.setattr(decontam, "SHARD_BYTES", 2000)
     rows = texts()
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontam.contamination(documents(spark, rows), items).collect()
+    for r in found:                     # the hit words are those under the longest matches
+        under = {k for m in r["matches"] for k in range(m["start"], m["start"] + m["n_words"])}
+        assert len(under) == r["n_hit"] and len({m["start"] for m in r["matches"]}) == len(r["matches"])
     got = [(r["carried"]["doc_id"], r["n_words"], r["n_hit"], r["items"])
-           for r in decontam.contamination(documents(spark, rows), items).collect()]
+           for r in found]
     assert sorted(got, key=str) == judged(rows, ITEMS)
 
 

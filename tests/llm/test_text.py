@@ -228,6 +228,18 @@ def test_quality_hard_cases(spark):
     assert quality.good_documents(empty(spark), net).count() == 0
 
 
+def test_quality_sample_stays_bounded_under_a_repeated_labelled_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k} " * 40) for k in range(500)] + [(2, "one text " * 400)] * 300 + [(3, "x")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, label int")
+    blocks, values = quality.training_chunks(docs.repartition(7), labels, 5, 4)
+    assert len(blocks) == 20
+    again, same = quality.training_chunks(docs.repartition(3), labels, 5, 4)
+    assert (blocks == again).all() and (values == same).all()
+    blocks, values = quality.training_chunks(docs.where("doc_id > 1"), labels, 5, 4)
+    assert len(blocks) <= 5 and (values == 1).all()                 # equal rows count once
+
+
 def test_held_out_folds(spark):
     import zlib
     rows = spark.range(200).select(quality.held_out("id").alias("a"), quality.held_out("id", 2, 4).alias("b")).collect()
