@@ -109,13 +109,15 @@ def checksum_drift(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
              .where(F.col("stored_checksum") != F.col("checksum")))
 
 
-def reconcile(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Scripts full-outer-join ledger with one state per row:
-    PENDING (file only), ORPHAN (ledger only), FAILED (run not successful),
-    DRIFT (checksum changed after the run), APPLIED."""
+def joined(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """J8's join: every script and every latest run, matched by id."""
     s = scripts.select("target_id", F.col("identifier").alias("migration_id"), "kind", "version",
                        "filename", "checksum")
-    j = s.join(_ledger_side(ledger), ["target_id", "migration_id"], "full_outer")
+    return s.join(_ledger_side(ledger), ["target_id", "migration_id"], "full_outer")
+
+
+def with_state(j: DataFrame, *more: str) -> DataFrame:
+    """J8's rows from ``joined`` ones (and their columns ``more``)."""
     has_s, has_l = F.col("kind").isNotNull(), F.col("migration_type").isNotNull()
     state = (F.when(~has_l, F.lit("PENDING"))
              .when(~has_s, F.lit("ORPHAN"))
@@ -127,7 +129,15 @@ def reconcile(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
                     F.coalesce("version", "l_version").alias("version"),
                     F.coalesce("filename", "l_filename").alias("filename"),
                     state.alias("state"), F.col("checksum").alias("current_checksum"),
-                    "stored_checksum", "applied_at", "execution_time_ms", "success")
+                    "stored_checksum", "applied_at", "execution_time_ms", "success", *more)
+
+
+def reconcile(scripts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Scripts full-outer-join ledger with one state per row:
+    PENDING (file only), ORPHAN (ledger only), FAILED (run not successful),
+    DRIFT (checksum changed after the run), APPLIED.  ``incremental`` keeps it up
+    to date."""
+    return with_state(joined(scripts, ledger))
 
 
 def status_counts(scripts: DataFrame, ledger: DataFrame) -> DataFrame:

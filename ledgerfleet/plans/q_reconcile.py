@@ -9,14 +9,18 @@ from .. import oracle as o
 from ..functions import decode as dc
 from ..operators import checks as ck
 from ..operators import corpus as cp
+from ..operators import incremental as inc
 from ..operators import reconcile as rc
 from ..operators.scan import ordinal
 from ..plans import reports as rp
+from ..session import scratch_path
 from ..sources import bindings as b
 from ..sources import ledger as lg
 from . import inputs
 from .registry import register
 
+RECONCILED_BUCKETS = 64       # a table to keep wants files of some 128 MB
+
 
 def keys(spark, d):
     return inputs.keys(spark, d)
@@ -248,6 +252,34 @@ def reconcile_full(spark, d):
         "target_id", "migration_id", "kind", "version", "filename", "state")
 
 
+def _kept_reconciliation(spark, d):
+    """The reconciled table after a load with the ledger as it was a week before
+    its last run, and a run over the rows that came since."""
+    rows = ledger(spark, d)
+    last = rows.agg(F.max("applied_at")).first()[0]
+    newer = (F.coalesce(F.col("applied_at") > F.lit(str(last)).cast("timestamp_ntz") - F.expr("INTERVAL 7 DAYS"), F.lit(False))
+             if last is not None else F.lit(False))
+    scripts = keys(spark, d).withColumnRenamed("identifier", "migration_id").select(*inc.KEYS, *inc.SCRIPT, F.lit(1).alias("sign"))
+    table = inc.create(spark, scratch_path(spark, "reconciled"), RECONCILED_BUCKETS)
+    inc.publish(table, "load", scripts, rows.where(~newer))
+    inc.publish(table, "week", ledger=rows.where(newer))
+    return table
+
+
+@register("reconcile_incremental", o.sql(_RECONCILE_SQL, "skeys", "lrun"))
+def reconcile_incremental(spark, d):
+    """J8 from a table that two runs keep up to date, the second by its own keys alone."""
+    return inc.reconciled(_kept_reconciliation(spark, d)).select(
+        "target_id", "migration_id", "kind", "version", "filename", "state")
+
+
+@register("reconcile_counts", o.sql(
+    f"SELECT target_id, state, count(*) AS n FROM ({_RECONCILE_SQL}) GROUP BY target_id, state", "skeys", "lrun"))
+def reconcile_counts(spark, d):
+    """A2 over J8, summed from the signed changes of the runs."""
+    return inc.state_counts(_kept_reconciliation(spark, d))
+
+
 # --- aggregates -------------------------------------------------------------------------
 
 @register("status_counts", o.sql(
