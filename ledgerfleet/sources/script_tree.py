@@ -6,8 +6,10 @@ level of ``<root>/<target>/...``, deals its folders out, and the tasks walk them
 one folder at a time.  What it returns is the listing (target_id, path, file,
 bytes, modified), so queries on names open no file.
 
-* Filters on ``target_id`` (``=``, ``IN``, a prefix) reach the planning: other
-  folders are not walked (``spark.sql.python.filterPushdown.enabled``).
+* ``targets`` and ``prefix`` limit what is walked: other folders are not opened.  They
+  are options of the reader and not pushed-down filters, because Spark 4.1 keeps the
+  filters pushed into a Python source with the frame: a second query on the same
+  frame would run under the first one's (``tests/test_script_tree.py`` reuses one).
 * ``read_bodies`` turns a listing into whole texts.  The files are dealt out by
   (target, path), so one target with a third of all files is read by many tasks,
   and a task hands on READ_BATCH bytes at a time.
@@ -27,6 +29,7 @@ S3, GCS, ABFS); ``corpus.read_corpus`` reads any store Spark knows.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import time
@@ -37,8 +40,7 @@ from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition,
-                                    StringStartsWith)
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..operators.scan import freeze
 
@@ -80,14 +82,25 @@ class Tree:
     def __init__(self, options: dict[str, str]):
         self.root = options["path"]
         self.tasks = int(options.get("tasks", LIST_TASKS))
+        self.targets = set(json.loads(options["targets"])) if "targets" in options else None
+        self.prefix = options.get("prefix", "")
 
-    def planned(self, wanted=lambda folder: True, after: int = -1, until: int | None = None) -> list[Folders]:
+    def asked(self, target: str) -> bool:
+        return target.startswith(self.prefix) and (self.targets is None or target in self.targets)
+
+    def leads(self, folder: str, tops: set[str] | None) -> bool:
+        """Whether targets asked for may lie in a first-level folder."""
+        top, deeper, _ = self.prefix.partition("/")
+        return (tops is None or folder in tops) and (folder == top if deeper else folder.startswith(top))
+
+    def planned(self, after: int = -1, until: int | None = None) -> list[Folders]:
         store, root = open_root(self.root)
         if store.get_file_info(root).type != fs.FileType.Directory:
             return [Folders([])]
+        tops = None if self.targets is None else {t.split("/")[0] for t in self.targets}
         names = sorted(i.base_name for i in store.get_file_info(fs.FileSelector(root))
-                       if i.type == fs.FileType.Directory and wanted(i.base_name))
-        names = [""] * wanted("") + names
+                       if i.type == fs.FileType.Directory and self.leads(i.base_name, tops))
+        names = [""] * self.asked("") + names
         n = max(1, min(self.tasks, len(names)))
         return [Folders(names[k::n], after, until) for k in range(n)]
 
@@ -103,7 +116,7 @@ class Tree:
                     if info.type == fs.FileType.Directory:
                         if name:                    # the root's folders have tasks of their own
                             todo.append(f"{folder}/{info.base_name}")
-                    elif is_script(info.base_name):
+                    elif is_script(info.base_name) and self.asked(folder):
                         at = info.mtime_ns or 0
                         if at > part.after and (part.until is None or at <= part.until):
                             rows.append((folder, info.base_name, info.path, info.size, at))
@@ -122,26 +135,10 @@ def listed(rows: list[tuple]) -> pa.RecordBatch:
 
 class TreeReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.tree, self.tests = Tree(options), []
-
-    def pushFilters(self, filters):
-        """Filters on the target prune folders; Spark applies them to the rows
-        as well, since a target can lie deeper than the first level."""
-        for f in filters:
-            if getattr(f, "attribute", None) == ("target_id",):
-                if isinstance(f, EqualTo):
-                    self.tests.append(({f.value.split("/")[0]}, None))
-                elif isinstance(f, In):
-                    self.tests.append(({v.split("/")[0] for v in f.value if v is not None}, None))
-                elif isinstance(f, StringStartsWith):
-                    head, deeper, _ = f.value.partition("/")
-                    self.tests.append(({head}, None) if deeper else (None, head))
-            yield f
+        self.tree = Tree(options)
 
     def partitions(self):
-        def wanted(folder: str) -> bool:
-            return all(folder in names if names is not None else folder.startswith(head) for names, head in self.tests)
-        return self.tree.planned(wanted)
+        return self.tree.planned()
 
     def read(self, partition):
         return self.tree.walk(partition)
@@ -166,7 +163,8 @@ class TreeStreamReader(DataSourceStreamReader):
 
 
 class ScriptTree(DataSource):
-    """``format("script_tree")`` with the options path, tasks and settle."""
+    """``format("script_tree")`` with the options path, tasks, targets (a JSON
+    list), prefix and settle."""
 
     @classmethod
     def name(cls):
@@ -182,11 +180,15 @@ class ScriptTree(DataSource):
         return TreeStreamReader(dict(self.options))
 
 
-def list_scripts(spark: SparkSession, root: str, tasks: int = LIST_TASKS) -> DataFrame:
-    """The listing of ``root``: target_id, path, file, bytes, modified (ns)."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def list_scripts(spark: SparkSession, root: str, targets: list[str] | None = None, prefix: str = "",
+                 tasks: int = LIST_TASKS) -> DataFrame:
+    """The listing of ``root``: target_id, path, file, bytes, modified (ns); of
+    ``targets`` alone, and of those that start with ``prefix``, where given."""
     spark.dataSource.register(ScriptTree)
-    return spark.read.format(FORMAT).option("tasks", tasks).load(root)
+    reader = spark.read.format(FORMAT).option("tasks", tasks).option("prefix", prefix)
+    if targets is not None:
+        reader = reader.option("targets", json.dumps(targets))
+    return reader.load(root)
 
 
 def stream_scripts(spark: SparkSession, root: str, settle: float = 5, read_tasks: int | None = None) -> DataFrame:
@@ -204,9 +206,9 @@ def read_bodies(files: DataFrame, root: str) -> DataFrame:
     return _bodies(own, root, max(1, min(total["n"], (total["bytes"] or 0) // READ_TASK + 1)))
 
 
-def read_fleet(spark: SparkSession, root: str) -> DataFrame:
-    """The whole corpus under ``root`` through the tree source."""
-    return read_bodies(list_scripts(spark, root), root)
+def read_fleet(spark: SparkSession, root: str, targets: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """The corpus under ``root`` through the tree source."""
+    return read_bodies(list_scripts(spark, root, targets, prefix), root)
 
 
 def _bodies(files: DataFrame, root: str, tasks: int) -> DataFrame:

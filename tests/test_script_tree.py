@@ -1,5 +1,6 @@
 """The script tree source (S1, ST2): listing by tasks, pruning, whole texts, streams."""
 
+import json
 import os
 import time
 
@@ -36,7 +37,7 @@ def test_tree_equals_the_text_reader(spark, scratch):
         assert ("b", "empty.sql", "") in got                                 # the text reader drops empty files
         assert [r for r in got if r[1] != "empty.sql"] == rows(read_corpus(spark, root))
     for tasks in (1, 2, 200):
-        listing = tree.list_scripts(spark, root, tasks)
+        listing = tree.list_scripts(spark, root, tasks=tasks)
         assert {(r.target_id, r.path): r.bytes for r in listing.collect()} == {
             tuple(os.path.split(p)): len(b) for p, b in FILES.items() if p.endswith(".sql") and not p.endswith("/.sql")}
     parsed = cp.script_keys(cp.parse_scripts(tree.read_fleet(spark, root).where("path <> 'empty.sql'")))
@@ -51,19 +52,29 @@ def test_tree_names_that_the_text_reader_skips_and_missing_roots(spark, scratch)
         assert tree.read_fleet(spark, os.path.join(scratch, gone)).collect() == []
 
 
-def test_tree_target_filters_prune_the_folders(spark, scratch):
-    write(scratch, {f"db{k}/sub/000{k}_a.sql": b"A;" for k in range(9)} | {"0001_top.sql": b"T;"})
-    wanted = {"= 'db3/sub'": ["db3"], "IN ('db1/sub', 'db5/sub', 'none')": ["db1", "db5"], "LIKE 'db7%'": ["db7"],
-              "LIKE 'db2/su%'": ["db2"], "= ''": [""]}
+def test_tree_targets_limit_what_is_walked(spark, scratch):
+    write(scratch, {f"db{k}/sub/000{k}_a.sql": b"A;" for k in range(9)} | {"0001_top.sql": b"T;", "db7/other/0001_a.sql": b"A;"})
+
+    def planned(**options):
+        return sorted(n for p in tree.Tree({"path": scratch, **options}).planned() for n in p.names)
+
+    everything = sorted([""] + [f"db{k}" for k in range(9)])
+    cases = [({}, everything, 11), ({"targets": ["db3/sub"]}, ["db3"], 1), ({"targets": ["db1/sub", "db5/sub", "none"]}, ["db1", "db5"], 2),
+             ({"targets": [""]}, [""], 1), ({"targets": ["db3", "sub"]}, ["db3"], 0), ({"targets": []}, [], 0),
+             ({"prefix": "db7"}, ["db7"], 2), ({"prefix": "db7/s"}, ["db7"], 1), ({"prefix": "d"}, everything[1:], 10),
+             ({"prefix": "db7/s", "targets": ["db7/other", "db7/sub"]}, ["db7"], 1)]
+    for asked, folders, n in cases:
+        options = {k: v if isinstance(v, str) else json.dumps(v) for k, v in asked.items()}
+        assert planned(**options) == folders, asked
+        assert tree.read_fleet(spark, scratch, **asked).count() == n, asked
+
+
+def test_tree_frame_is_reused_under_other_filters(spark, scratch):
+    write(scratch, {f"db{k}/000{k}_a.sql": b"A;" for k in range(9)})
     files = tree.list_scripts(spark, scratch)
-    for test, folders in wanted.items():
-        got = files.where(f"target_id {test}")
-        assert sorted(r.target_id.split("/")[0] for r in got.collect()) == folders, test
-    reader = tree.TreeReader({"path": scratch})
-    assert list(reader.pushFilters([tree.EqualTo(("target_id",), "db3/sub"), tree.EqualTo(("path",), "x")])) != []
-    assert [n for p in reader.partitions() for n in p.names] == ["db3"]
-    assert files.rdd.getNumPartitions() == 10                               # a task for each folder and the root
-    assert files.where("target_id = 'db3/sub'").rdd.getNumPartitions() == 1
+    one, two = files.where("target_id = 'db3'"), files.where("target_id = 'db5'")
+    assert one.count() == 1 and files.count() == 9 and one.union(two).count() == 2
+    assert files.alias("a").join(one.alias("b"), F.col("a.target_id") == F.col("b.target_id")).count() == 1
 
 
 def test_tree_driver_holds_folder_names_only(spark, scratch):
