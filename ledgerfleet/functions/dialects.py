@@ -3,8 +3,9 @@
 The reference matches a connection string against every registered
 dialect's patterns in a loop.  The pattern lists are fixed configuration, so
 here each dialect's detector is one ``CASE`` over ``rlike`` tests, evaluated
-per row inside the scan -- no join against a pattern table, no shuffle.  New
-dialects are added with ``register_dialect`` (the registry extension point).
+per row inside the scan -- no join against a pattern table, no shuffle.  A
+registry with one more dialect is ``with_dialect(spec)``, passed as ``specs``; many
+patterns, or patterns kept as rows, are met by ``operators/patterns.py``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from .scripts import wtrim
 # and the label reported when a substring matched.  Databricks is registered
 # but never detects (selection by configuration only); Generic always matches
 # with confidence 0.1.
-DIALECTS = [
+DIALECTS = (
     {"name": "PostgreSQL", "aliases": ["postgres", "postgresql", "pg"],
      "connection": ["postgresql://.*", "postgres://.*", ".*postgresql.*", ".*postgres.*"],
      "driver": ["PostgreSQL.*", "psqlODBC.*"],
@@ -37,7 +38,7 @@ DIALECTS = [
      "connection": [], "driver": [], "substrings": [], "substring_label": None, "detects": False},
     {"name": "Generic", "aliases": ["generic", "unknown"],
      "connection": [], "driver": [], "substrings": [], "substring_label": None, "detects": False},
-]
+)
 FALLBACK_DIALECT = "Generic"
 FALLBACK_LABEL = "fallback"
 # confidences in tenths: connection pattern 0.9, driver pattern 0.8, substring 0.7, fallback 0.1
@@ -57,21 +58,22 @@ MSG_BAD_AUTHMECH = "Unsupported AuthMech: %s"
 # ------------------------------------------------------------------------------------
 
 
-def register_dialect(spec: dict) -> None:
-    """Add a dialect (same keys as the entries of ``DIALECTS``)."""
-    DIALECTS.insert(len(DIALECTS) - 1, spec)
+def with_dialect(spec: dict, specs: tuple[dict, ...] = DIALECTS) -> tuple[dict, ...]:
+    """A registry with one more dialect (same keys as the entries of
+    ``DIALECTS``); the fallback stays last."""
+    return (*specs[:-1], spec, specs[-1])
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def resolve(requested) -> Column:
+def resolve(requested, specs: tuple[dict, ...] = DIALECTS) -> Column:
     """A requested name resolves by exact dialect name, else by alias,
     else to the Generic fallback (names and aliases are case-sensitive)."""
     req = _c(requested)
-    names = F.create_map(*[x for d in DIALECTS for x in (F.lit(d["name"]), F.lit(d["name"]))])
-    aliases = F.create_map(*[x for d in DIALECTS for a in d["aliases"] for x in (F.lit(a), F.lit(d["name"]))])
+    names = F.create_map(*[x for d in specs for x in (F.lit(d["name"]), F.lit(d["name"]))])
+    aliases = F.create_map(*[x for d in specs for a in d["aliases"] for x in (F.lit(a), F.lit(d["name"]))])
     return F.coalesce(F.try_element_at(names, req), F.try_element_at(aliases, req), F.lit(FALLBACK_DIALECT))
 
 
@@ -92,11 +94,11 @@ def detection(conn, spec: dict) -> Column:
     return out
 
 
-def candidates(conn) -> Column:
+def candidates(conn, specs: tuple[dict, ...] = DIALECTS) -> Column:
     """All matching dialects as array<struct<neg_conf, name, pattern>>,
     best first (confidence desc, then name)."""
     items = []
-    for d in DIALECTS:
+    for d in specs:
         if d["detects"]:
             det = detection(conn, d)
             items.append(F.when(det.isNotNull(), F.struct((-det["conf"]).alias("neg_conf"),

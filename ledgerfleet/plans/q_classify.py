@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import oracle as o
 from ..functions import dialects as dl
+from ..operators import patterns as pt
 from ..sources import bindings as b
 from .registry import register
 
@@ -62,10 +63,10 @@ def resolve_alias(spark, d):
 @register("classify_pattern", o.sql(
     "SELECT conn_id, name, conf * 10 AS confidence_pct, pattern FROM cands", "conns", local=_CANDS))
 def classify_pattern(spark, d):
-    """Every dialect whose patterns match, with confidence and pattern."""
-    c = conns(spark, d).select("conn_id", F.explode(dl.candidates("conn")).alias("c"))
-    return c.select("conn_id", F.col("c.name").alias("name"), (-F.col("c.neg_conf") * 10).alias("confidence_pct"),
-                    F.col("c.pattern").alias("pattern"))
+    """Every dialect whose patterns match, with confidence and pattern,
+    from the patterns as rows."""
+    found = pt.detected(conns(spark, d), pt.pattern_table(spark))
+    return found.select("conn_id", "name", (F.col("conf") * 10).alias("confidence_pct"), "pattern")
 
 
 @register("best_match", o.sql(
