@@ -26,6 +26,9 @@ it anchors.
    strings keeps it, all others are hits.  Equal strings share a lead, so no run
    crosses a boundary between partitions, and a bucket is worked off lead by
    lead in bounded memory.
+   Equal surroundings inside a document travel once for each part of it (256 KB), with
+   their places as stretches of equal steps, so a run of one byte or a repeated
+   line costs a few rows whatever its length.
 3. *Spans.*  Hits are gathered per document and cut out of its text.
 
 **Hot leads.**  A lead that occurs in many sampled documents (a line that a
@@ -58,7 +61,8 @@ SIDE = REACH // 2                # bytes beside a lead that a string holds on on
 HASH_BITS = 32                   # of a lead's hash; the bits above hold its range
 MOST_RANGES = 1 << 24            # of leads
 BLOCK = 1 << 18                  # bytes worked on at once
-SAMPLE_DOCS = 2000               # documents sampled, about
+SAMPLE_DOCS = 2000               # documents sampled, about, or one in DOCS_A_SAMPLE if that is more
+DOCS_A_SAMPLE = 3000             # a lead in more than HOT_DOCS times as many documents is hot, about
 SAMPLE_LEADS = 1 << 20           # leads of them that reach the driver, about
 HOT_DOCS = 8                     # sampled documents that make a lead hot
 MOST_HOT = 1 << 20               # hot leads, the most frequent ones
@@ -182,11 +186,13 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]
 
 
 def _sample(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Leading bytes of about SAMPLE_LEADS suffixes of a bounded number of
-    documents, whatever their length, and hot leads: the hashes of those in
-    HOT_DOCS of all these documents, counted in Spark, at most MOST_HOT."""
+    """Leading bytes of about SAMPLE_LEADS suffixes of sampled documents,
+    whatever their length, and hot leads: the hashes of those in HOT_DOCS of
+    all these documents, counted in Spark, at most MOST_HOT.  Large tables are
+    sampled at a fixed rate, so that a lead that is not hot keeps to a fixed
+    number of documents at every size."""
     n, grain = docs.count(), 1 << 30
-    kept = grain if n <= SAMPLE_DOCS else max(1, grain * SAMPLE_DOCS // n)
+    kept = grain if n <= SAMPLE_DOCS else max(grain * SAMPLE_DOCS // n, grain // DOCS_A_SAMPLE)
     few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +225,17 @@ def by_range(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, F.shiftright("lead", HASH_BITS)).sortWithinPartitions("lead")
 
 
+def different(*columns: np.ndarray) -> np.ndarray:
+    """Rows without those that equal an earlier one in all columns (all but a
+    few of them: those that a chance meeting of hashes parts may stay)."""
+    mixed = np.zeros(len(columns[0]), dtype=np.uint64)
+    for c in columns:
+        mixed = (mixed ^ c.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    order = np.argsort(mixed, kind="stable")
+    return np.sort(order[_heads(*(c[order] for c in columns))]) if len(order) else order
+
+
 ROWS = "lead long, kind tinyint, tail long, doc_id long, mark long, place long"
 
 
@@ -251,10 +268,24 @@ def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFra
             doc_id, mark, offset, base = (np.array(x, dtype=np.int64) for x in zip(*parts))
             part = owner[start]
             is_hot = np.isin(hashes, hot)
-            own = ~is_hot
-            none = np.zeros(int(own.sum()), dtype=np.int64)
-            yield _rows(keys_of(hashes[own], lead[own], splitters), none, tails[own], doc_id[part[own]], none, none)
-            out, raw = [], data.tobytes()
+            own = np.flatnonzero(~is_hot)
+            keys, tail, docs_of = keys_of(hashes[own], lead[own], splitters), tails[own], doc_id[part[own]]
+            one = different(keys, tail, docs_of)          # a repeated suffix is found again by its key
+            none = np.zeros(len(one), dtype=np.int64)
+            yield _rows(keys[one], none, tail[one], docs_of[one], none, none)
+            out, raw, last = [], data.tobytes(), {}
+
+            def add(mate: tuple, range_key: int, kind: int, tail: int, doc: int, note: int, begin: int, end: int) -> None:
+                """A row, or a longer span for its ``mate`` (an equal string,
+                or a hit, of the same part) where the two overlap or touch."""
+                row = last.get(mate)
+                if row is not None and (row[5] >> 16) <= begin <= (row[5] >> 16) + (row[5] & 0xFFFF) \
+                        and end - (row[5] >> 16) <= 0xFFFF:
+                    row[5] = row[5] >> 16 << 16 | max(row[5] & 0xFFFF, end - (row[5] >> 16))
+                    return
+                last[mate] = row = [range_key, kind, tail, doc, note, begin << 16 | (end - begin)]
+                out.append(row)
+
             for at in np.flatnonzero(is_hot):
                 k, doc, note = int(part[at]), int(doc_id[part[at]]), int(mark[part[at]])
                 hit = None                       # the span of hits that goes on
@@ -266,18 +297,18 @@ def suffixes(docs: DataFrame, splitters: np.ndarray, hot: np.ndarray) -> DataFra
                         hit = place if hit is None else hit
                         continue
                     if hit is not None:
-                        out.append((spread(place + doc), HIT, 0, doc, note, hit << 16 | (place - hit + SPAN - 1)))
+                        add((k,), spread(place + doc), HIT, 0, doc, note, hit, place + SPAN - 1)
                         hit = None
                     if len(seen) >= SEEN_STRINGS:
                         seen.clear()
                     seen[digest] = doc
                     # 96 of the 128 bits tell strings apart, the others deal them out
                     high = int.from_bytes(digest[:8], "big")
-                    out.append((spread(high >> HASH_BITS) | high & (1 << HASH_BITS) - 1, STRING,
-                                int.from_bytes(digest[8:], "big", signed=True), doc, note, place << 16 | SPAN))
+                    add((k, digest), spread(high >> HASH_BITS) | high & (1 << HASH_BITS) - 1, STRING,
+                        int.from_bytes(digest[8:], "big", signed=True), doc, note, place, place + SPAN)
                 if hit is not None:
                     end = int(start[at] + count[at]) - int(base[k]) + int(offset[k])
-                    out.append((spread(end + doc), HIT, 0, doc, note, hit << 16 | (end - hit + SPAN - 1)))
+                    add((k,), spread(end + doc), HIT, 0, doc, note, hit, end + SPAN - 1)
             if out:
                 yield _rows(*zip(*out))
 
@@ -422,7 +453,33 @@ def bucket_hits(lead: np.ndarray, doc_id: np.ndarray, place: np.ndarray, pieces:
     return own, place[own] + nth[hits[first]], length
 
 
-PIECES = "lead long, doc_id long, mark long, place long, piece binary"
+def gathered_places(row: np.ndarray, place: np.ndarray, pieces: list[bytes]) -> tuple[list[int], list[bytes | None]]:
+    """Of equal pieces of a row the first, and all of their places where they
+    are several: (first place, step, number) of each stretch of equal steps."""
+    places: dict[tuple[int, bytes], list[int]] = {}
+    for at, mate in enumerate(zip(row.tolist(), pieces)):
+        places.setdefault(mate, []).append(at)
+    again = []
+    for own in places.values():
+        if len(own) == 1:
+            again.append(None)
+            continue
+        where = place[own]
+        step = np.diff(where)
+        heads = _heads(step)
+        number = np.diff(np.append(heads, len(step))) + 1
+        again.append(np.stack([where[heads], step[heads], number], axis=1).astype(np.int64).tobytes())
+    return [own[0] for own in places.values()], again
+
+
+def all_places(again: bytes) -> np.ndarray:
+    """The places that ``gathered_places`` wrote (some of them twice)."""
+    first, step, number = np.frombuffer(again, dtype=np.int64).reshape(-1, 3).T
+    nth = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number)
+    return np.repeat(first, number) + np.repeat(step, number) * nth
+
+
+PIECES = "lead long, doc_id long, mark long, place long, piece binary, again binary"
 
 
 def surroundings(texts: DataFrame, found: DataFrame, splitters: np.ndarray) -> DataFrame:
@@ -455,9 +512,12 @@ def surroundings(texts: DataFrame, found: DataFrame, splitters: np.ndarray) -> D
                 pieces = [text[a:b] for a, b in zip(start[at].tolist(), (start[at] + count[at] + SPAN - 1).tolist())]
                 place = start - base[part] + offset[part]
                 own = row[part]
+                one, again = gathered_places(own[at], place[at], pieces)
+                pieces, at = [pieces[k] for k in one], at[one]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leads[at]), pa.array(doc_ids[own[at]]), pa.array(marks[own[at]]), pa.array(place[at]),
-                     pa.array(pieces, pa.binary())], names=["lead", "doc_id", "mark", "place", "piece"])
+                     pa.array(pieces, pa.binary()), pa.array(again, pa.binary())],
+                    names=["lead", "doc_id", "mark", "place", "piece", "again"])
                 at = _among(keys, own, batch.column(4))
                 begins.append(place[at])
                 ends.append(place[at] + count[at] + SPAN - 1)
@@ -472,8 +532,8 @@ def surroundings(texts: DataFrame, found: DataFrame, splitters: np.ndarray) -> D
             row, begin, end = _union(*map(np.concatenate, (rows, begins, ends)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array((begin + doc_ids[row]) % n_buckets << HASH_BITS), pa.array(doc_ids[row]), pa.array(marks[row]),
-                 pa.array(begin << 32 | (end - begin)), pa.nulls(len(row), pa.binary())],
-                names=["lead", "doc_id", "mark", "place", "piece"])
+                 pa.array(begin << 32 | (end - begin)), pa.nulls(len(row), pa.binary()), pa.nulls(len(row), pa.binary())],
+                names=["lead", "doc_id", "mark", "place", "piece", "again"])
 
     # a left join like the one in `removed`, so that both read one shuffle of the texts
     return map_batches(texts.join(wanted, "doc_id", "left").select("doc_id", "mark", "packed", "on", "runs", "hits"), run, PIECES)
@@ -508,6 +568,27 @@ def _union(row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return row[heads], begin[heads], reach[last] - row[last] * width
 
 
+def everywhere(row: np.ndarray, start: np.ndarray, length: np.ndarray, place: np.ndarray,
+               again: pa.BinaryArray) -> tuple[np.ndarray, ...]:
+    """Spans of hits (rows ascending) at all places of their rows; those of a
+    row with several places are joined."""
+    several = np.flatnonzero(again.is_valid().to_numpy(zero_copy_only=False)[row]) if len(row) else row
+    if not len(several):
+        return row, start, length
+    alone = np.ones(len(row), dtype=bool)
+    alone[several] = False
+    rows, starts, lengths = [row[alone]], [start[alone]], [length[alone]]
+    for k in np.unique(row[several]):
+        a, b = np.searchsorted(row, [k, k + 1])
+        begin = (all_places(again[int(k)].as_py())[:, None] + (start[a:b] - place[k])).ravel()
+        size = np.resize(length[a:b], len(begin))
+        _, begin, end = _union(np.zeros(len(begin), dtype=np.int64), begin, begin + size)
+        rows.append(np.full(len(begin), k, dtype=np.int64))
+        starts.append(begin)
+        lengths.append(end - begin)
+    return np.concatenate(rows), np.concatenate(starts), np.concatenate(lengths)
+
+
 SPANS = "doc_id long, mark long, start long, length long"
 
 
@@ -522,6 +603,7 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         row, start, length = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         if plain.num_rows:
             row, start, length = bucket_hits(own["lead"], own["doc_id"], own["place"], plain["piece"].chunk(0))
+            row, start, length = everywhere(row, start, length, own["place"], plain["again"].chunk(0))
         place = known["place"].to_numpy()
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([own["doc_id"][row], known["doc_id"].to_numpy()])),

@@ -72,6 +72,40 @@ def test_long_leads_go_by_in_parts(spark, monkeypatch):
     assert removed(spark, documents(spark, rows)) == cut(rows)
 
 
+@pytest.mark.parametrize("hot_docs", [2, 10 ** 9])
+@pytest.mark.parametrize("block", [1 << 9, 1 << 18])
+def test_runs_and_repeated_lines_inside_documents(spark, monkeypatch, hot_docs, block):
+    for name, value in (("BLOCK", block), ("HOT_DOCS", hot_docs), ("BUCKET_ROWS", 50), ("LEAD_ROWS", 60)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    sheet, comb = (prose(7, 30) + "\n")[:130], "-=" * 700
+    rows = [(1, "x" * 3000), (2, prose(1, 9) + "x" * 2000 + prose(2, 9)), (3, comb), (4, "y" + comb[1:900] + "z"), (5, "x" * 49),
+            (6, sheet * 40), (7, sheet * 12 + "!" + sheet[40:] * 9 + "x" * 60), (8, "".join(sheet + prose(k, 3) for k in range(30))),
+            (9, (sheet[20:90] + "\n") * 30), (10, " " * 4000), (11, "a" + " " * 51 + "b" + " " * 90 + sheet[:60] * 3), (11, " " * 70),
+            (12, "x" * 1500 + " " * 1500 + "x" * 1500)]
+    rows += [(20 + k, prose(k, 5) + "=" * (60 + 7 * k) + prose(k + 50, 5) + "\n" + LINE * 3) for k in range(12)]
+    assert removed(spark, documents(spark, rows)) == cut(rows)
+
+
+def test_long_runs_travel_in_few_rows(spark):
+    line = "=" * 1000 + "\n"
+    rows = [(1, "x" * 3_000_000), (2, "a" + "x" * 2_000_000 + "b"), (3, line * 2000), (4, "c" + line * 1000 + "d")]
+    docs = documents(spark, rows).select("doc_id", "text")
+    none = np.zeros(0, dtype=np.uint64)
+    found = suffix_dedup.suffixes(docs, none, none)
+    assert found.count() < 2000                                   # 8 MB, an anchor at almost every byte
+    hot = np.unique(suffix_dedup.lead_hashes(suffix_dedup.big_endian(np.frombuffer(b"x" * 99 + b"=" * 99, dtype=np.uint8))))
+    assert suffix_dedup.suffixes(docs, none, np.sort(hot)).count() < 20_000
+    got = {r[0]: r[2:4] for r in removed(spark, docs)}
+    assert got == {1: (0, 0), 2: (2_000_000, 1), 3: (0, 0), 4: (1000 * 1001, 1)}
+
+
+def test_places_of_equal_pieces():
+    place = np.array([5, 6, 7, 9, 40, 71, 72, 3, 100])
+    one, again = suffix_dedup.gathered_places(np.array([0] * 8 + [1]), place, [b"a"] * 7 + [b"b", b"a"])
+    assert one == [0, 7, 8] and again[1:] == [None, None]
+    assert sorted(set(suffix_dedup.all_places(again[0]).tolist())) == [5, 6, 7, 9, 40, 71, 72]
+
+
 def test_suffix_dedup_without_rows(spark):
     assert removed(spark, empty(spark)) == []
 
