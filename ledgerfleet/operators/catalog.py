@@ -105,13 +105,24 @@ def snapshot_lines(catalog: DataFrame, versions: DataFrame) -> DataFrame:
 
 def write_snapshot(lines: DataFrame, path: str, baseline: int) -> str:
     """S10 sink: the lines of one baseline under a folder of its own; an
-    earlier baseline's snapshot stays, and writing one twice is an error."""
+    earlier baseline's snapshot stays, and writing one twice is an error.  The
+    files are ranges of (target_id, line_no): as many as there are tasks and not
+    as there are targets, a large target spreads over several, and a reader of
+    one target skips the others by the files' statistics (``read_snapshot``)."""
     out = f"{path.rstrip('/')}/baseline={baseline}"
     (lines.where(F.col("baseline_version") == baseline)
-     .write.mode("errorifexists").partitionBy("target_id").parquet(out))
+     .repartitionByRange("target_id", "line_no").sortWithinPartitions("target_id", "line_no")
+     .write.mode("errorifexists").parquet(out))
     return out
 
 
+def read_snapshot(spark: SparkSession, path: str, baseline: int, target: str | None = None) -> DataFrame:
+    """The lines of one baseline, of one target where given; order by
+    (target_id, line_no)."""
+    lines = spark.read.parquet(f"{path.rstrip('/')}/baseline={baseline}")
+    return lines if target is None else lines.where(F.col("target_id") == target)
+
+
 def ddl_objects(scripts: DataFrame) -> DataFrame:
     """P20 in one pass over the text: every (target_id, doc_id, keyword,
     object_name) named after CREATE TABLE / DROP TABLE / CREATE INDEX."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scripts as fs
@@ -67,6 +67,38 @@ def validate_report(keys: DataFrame, ledger: DataFrame | None, targets: DataFram
     return findings, ck.validation_summary(findings, targets)
 
 
+def _counted(report: DataFrame, counters: dict) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return report.observe(seen, *[F.coalesce(c, F.lit(0)).cast("long").alias(k) for k, c in counters.items()]), seen
+
+
+def observed_status(report: DataFrame) -> tuple[DataFrame, Observation]:
+    """R2 with the fleet's A1 and A2 counters from the same pass: the counters
+    are in ``Observation.get`` once the returned report has been written or
+    collected.  Spark counts them in the tasks that hand out the report, so write
+    it as it is: behind a further shuffle a lost stage could be counted twice, and
+    a limit would stop the count."""
+    status, kind = F.col("status"), F.col("tag")
+    return _counted(report, {
+        "total": F.count(F.lit(1)),
+        "versioned": F.count_if(kind == fs.kind_tag(F.lit("versioned"))),
+        "repeatable": F.count_if(kind == fs.kind_tag(F.lit("repeatable"))),
+        "applied": F.count_if(status == "APPLIED"), "failed": F.count_if(status == "FAILED"),
+        "pending": F.count_if((status == "PENDING") & ~F.col("below_baseline")),
+        "skipped": F.count_if(F.col("below_baseline")),
+        "checksum_mismatches": F.count_if(F.col("checksum_mismatch"))})
+
+
+def observed_findings(findings: DataFrame) -> tuple[DataFrame, Observation]:
+    """R3's findings with the fleet's A8 counters from the same pass (as
+    ``observed_status``); the fleet fails where ``errors`` is above 0 (A9)."""
+    severity, check = F.col("severity"), F.col("check")
+    return _counted(findings, {
+        "findings": F.count(F.lit(1)), "errors": F.count_if(severity == "FAIL"),
+        "checksum_mismatches": F.count_if(check == "checksum_mismatch"), "orphans": F.count_if(check == "orphan"),
+        "warnings": F.count_if(severity == "WARN")})
+
+
 def health_report(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per target 'Migrations Directory' (file count) and 'Migration
     Sequence' checks, one 'Sequence Issue' row per issue, and the overall

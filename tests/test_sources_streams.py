@@ -136,6 +136,20 @@ def test_snapshots_of_two_baselines_stay(spark, scratch):
         ct.write_snapshot(lines, scratch, 2)
 
 
+def test_snapshot_files_follow_tasks_not_targets(spark, scratch):
+    rows = [(f"t{k:03d}", "SQLite", "main", "table", f"x{j}", False) for k in range(150) for j in range(2)]
+    rows += [("t077", "SQLite", "main", "table", f"big{j:04d}", False) for j in range(3000)]
+    versions = spark.createDataFrame([(f"t{k:03d}", 3) for k in range(150)], "target_id string, baseline_version long")
+    lines = ct.snapshot_lines(spark.createDataFrame(rows, CATALOG), versions)
+    out = ct.write_snapshot(lines, scratch, 3)
+    files = [f for _, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = ct.read_snapshot(spark, scratch, 3, "t077")
+    assert [r.line_no for r in big.orderBy("line_no").collect()] == list(range(1, 3007))
+    assert "EqualTo(target_id,t077)" in big._jdf.queryExecution().executedPlan().toString()
+    assert ct.read_snapshot(spark, scratch, 3).exceptAll(lines).count() == 0
+
+
 def test_snapshot_lines(spark):
     c = spark.createDataFrame([("t", "SQLite", "main", "table", n, False) for n in ("b", "a", "sqlite_x")], CATALOG)
     v = spark.createDataFrame([("t", 7)], "target_id string, baseline_version long")
