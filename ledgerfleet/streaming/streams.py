@@ -91,9 +91,12 @@ def script_file_stream(spark: SparkSession, root: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table as a file stream (new Parquet files are new rows)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """A driver table as a file stream (new Parquet files are new rows).  The
+    table is a folder of part files or one file; a stream takes no path of a file,
+    but a pattern that only this file meets (other tables are not listed)."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return reader.parquet(f"{path[:-1]}[t]" if corpus.folder_state(spark, path)[0] == "file" else path)
 
 
 def run_to_completion(q: StreamingQuery) -> None:

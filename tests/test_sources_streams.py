@@ -171,3 +171,44 @@ def test_directory_health(spark, scratch):
     assert single.status == "FAIL" and single.message.endswith("exists but is not a directory")
     broken = directory_health(spark, "nostore://x/y").first()
     assert broken.status == "FAIL" and broken.message.startswith("Cannot read directory")
+
+
+def test_table_stream_of_part_files(spark, scratch):
+    """A table may be one file or a folder of part files, also partitioned by a column; parts that arrive later are read."""
+    rows = spark.range(40).select("id", (F.col("id") * 3).alias("v"), F.when(F.col("id") % 4 == 0, "en").otherwise("de").alias("lang"))
+    folder = os.path.join(scratch, "tables")
+    rows.repartition(4).write.parquet(os.path.join(folder, "parts.parquet"))
+    rows.write.partitionBy("lang").parquet(os.path.join(folder, "dealt.parquet"))
+    rows.coalesce(1).write.parquet(os.path.join(scratch, "one"))
+    [only] = [f for f in os.listdir(os.path.join(scratch, "one")) if f.endswith(".parquet")]
+    os.rename(os.path.join(scratch, "one", only), os.path.join(folder, "single.parquet"))
+
+    def read(name):
+        sink, ck = os.path.join(scratch, "sink", name), os.path.join(scratch, "ck", name)
+        w = st.table_stream(spark, folder, name).writeStream.format("parquet").option("path", sink)
+        st.run_to_completion(w.option("checkpointLocation", ck).trigger(availableNow=True).start())
+        return sorted((r.id, r.v, r.lang) for r in spark.read.parquet(sink).collect())
+
+    want = sorted((r.id, r.v, r.lang) for r in rows.collect())
+    assert [read(name) == want for name in ("single", "parts", "dealt")] == [True, True, True]
+    more = spark.createDataFrame([(100, 1, "fr")], rows.schema)
+    more.write.mode("append").parquet(os.path.join(folder, "parts.parquet"))
+    assert read("parts") == want + [(100, 1, "fr")]
+
+
+def test_stream_queries_over_tables_of_part_files(spark, scratch):
+    import __spark_entry__ as E
+    import datetime as dt
+    docs = [(k, f"SELECT {k};\nSELECT 2;", ["en", "de"][k % 2], f"src{k % 3}") for k in range(60)] + [(60, None, None, "src1")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(5) \
+        .write.parquet(os.path.join(scratch, "documents.parquet"))
+    events = [(k, dt.datetime(2024, 1, 1, 0, k % 60), k % 5, ["view", "purchase", "error", "click"][k % 4], k * 0.5) for k in range(200)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").repartition(5) \
+        .write.parquet(os.path.join(scratch, "events.parquet"))
+    from ledgerfleet.sources import bindings as b
+    got = E.queries()["script_ingest_stream"](spark, scratch)
+    want = cp.script_keys(cp.parse_scripts(b.scripts(spark, scratch))).select(*got.columns)
+    assert got.count() == want.count() > 50 and got.exceptAll(want).count() == 0
+    got = E.queries()["ledger_state_stream"](spark, scratch)
+    want = ll.ledger_state(b.ledger_log(spark, scratch), ["target_id", "version"]).select(*got.columns)
+    assert got.count() == want.count() == 10 and got.exceptAll(want).count() == 0
