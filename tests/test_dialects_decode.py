@@ -68,3 +68,19 @@ def test_single_precision_tie(spark):
     df = spark.createDataFrame([("Driver=psqlODBC;Server=mysqlhost",), ("postgresql://h/mysql",), ("postgresql://h/x",)], "c string")
     bm = dl.best_match(dl.candidates("c"))
     assert [r[0] for r in df.select(bm["status"]).collect()] == ["AMBIGUOUS", "AMBIGUOUS", "OK"]
+
+
+def test_connection_strings_are_parsed_once(spark):
+    """The pairs of a string are worked out once for all rules, and in about linear time."""
+    df = spark.createDataFrame([(None,), ("",), ("=a;junk;;=",), ("B=1; a = x ;b=2;A==y;c",)], "c string")
+    for got in (dl.key_value_entries("c"), dl.validate_connection(dl.key_value_entries("c"))):
+        plan = df.select(got.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(c#") == 1
+    rows = [r[0] and [tuple(e) for e in r[0]] for r in df.select(dl.key_value_entries("c")).collect()]
+    assert rows == [None, [], [(4, "", "")], [(3, "b", "2"), (4, "a", "")]]
+    assert [r[0] for r in df.select(dl.validate_connection(dl.key_value_entries("c"))).collect()] == [dl.MSG_MISSING % "driver"] * 4
+    long = ";".join(f"k{i % 15000}={i}" for i in range(20000)) + ";Driver=x;Host=h;HTTPPath=/p;AuthMech=3;PWD=t;pwd=u"
+    df = spark.createDataFrame([(long,)], "c string")
+    e, m = df.select(dl.key_value_entries("c"), dl.validate_connection(dl.key_value_entries("c"))).first()
+    assert m is None and [x["pos"] for x in e] == [*range(5001, 20005), 20006]
+    assert [x["value"] for x in e][-16:] == [*(str(i) for i in range(19989, 20000)), "x", "h", "/p", "3", "u"]
